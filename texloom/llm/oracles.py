@@ -4,13 +4,13 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 ORACLES = {
     "op2_line_dedup": """
-with lines as (select doc_id, source, unnest(list_distinct(list_filter(string_split(text, chr(10)), x -> trim(x, ' ') <> ''))) as line from documents where source is not null),
+with lines as (select doc_id, source, unnest(list_distinct(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> ''))) as line from documents where source is not null),
 totals as (select source, count(*) as pages from documents group by source),
 drops as (select source, list(line) as dropped from (select source, line, count(*) as n from lines group by source, line) c join totals t using (source) where n >= 3 and n > 0.1 * pages group by source),
 kept as (select doc_id, d.source, text, string_split(text, chr(10)) as lines, dropped from documents d left join drops using (source))
-select doc_id, source, case when dropped is null then text else array_to_string(list_filter(lines, x -> trim(x, ' ') = '' or not list_contains(dropped, x)), chr(10)) end as text,
+select doc_id, source, case when dropped is null then text else array_to_string(list_filter(lines, lambda x: trim(x, ' ') = '' or not list_contains(dropped, x)), chr(10)) end as text,
  cast(coalesce(len(lines), 0) as bigint) as n_lines,
- cast(case when dropped is null or text is null then 0 else len(list_filter(lines, x -> trim(x, ' ') <> '' and list_contains(dropped, x))) end as bigint) as n_dropped
+ cast(case when dropped is null or text is null then 0 else len(list_filter(lines, lambda x: trim(x, ' ') <> '' and list_contains(dropped, x))) end as bigint) as n_dropped
 from kept""",
     "op3_decontamination": f"""
 with doc_words as (select doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') as w from documents),
