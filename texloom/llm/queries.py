@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, linededup, quality, simhash
+from . import decontam, linededup, packing, quality, simhash, tokenstore
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,4 +29,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_decontamination, op5_simhash)}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenstore.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), "word", 2)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_decontamination, op5_simhash, op8_packing, op9_token_store)}
