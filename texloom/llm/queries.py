@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, linededup, packing, quality, simhash, tokenstore
+from . import chat, decontam, html_text, linededup, packing, quality, simhash, tokenstore, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +25,25 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.match(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", trap), (-7, 1, "assistant", trap)], table.schema)
+    return chat.read_chats(chat.format_chats(table.union(more)))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -37,4 +52,4 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), "word", 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_decontamination, op5_simhash, op8_packing, op9_token_store)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_decontamination, op4_warc, op5_simhash, op6_chat_format, op7_html_text, op8_packing, op9_token_store)}
