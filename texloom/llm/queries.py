@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, html_text, linededup, packing, quality, simhash, tokenstore, warc
+from . import chat, decontam, html_text, licenses, linededup, packing, quality, simhash, tokenstore, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,4 +52,8 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), "word", 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_decontamination, op4_warc, op5_simhash, op6_chat_format, op7_html_text, op8_packing, op9_token_store)}
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_decontamination, op4_warc, op5_simhash, op6_chat_format, op7_html_text, op8_packing, op9_token_store, op10_licenses)}
