@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .arrow import pieces, texts_of
 from .shared import written
@@ -95,11 +95,12 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """u, v: links between different fingerprints whose closure is that of all pairs within `distance`. distinct: fp, each once."""
     if distance not in (1, 2):
         raise ValueError("links are exact for a distance of 1 or 2")
-    keys = _keys(distinct, distance)
-    buckets = written(keys.groupBy("variant", "value").agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v")).where("n > 1"), "simhash-buckets")
-    pairs = buckets.where("n = 2").select("u", "v")
+    # one shuffle of the keys; of what most of them are, alone in their bucket, nothing is kept
+    bucket = Window.partitionBy("variant", "value")
+    shared = written(_keys(distinct, distance).withColumn("n", F.count("*").over(bucket)).where("n > 1"), "simhash-buckets")
+    pairs = shared.where("n = 2").groupBy("variant", "value").agg(F.min("fp").alias("u"), F.max("fp").alias("v")).select("u", "v")
     # members of larger buckets, keyed again by every value within one bit of them
-    members = keys.join(buckets.where("n > 2").select("variant", "value"), ["variant", "value"], "left_semi").select("fp").distinct()
+    members = shared.where("n > 2").select("fp").distinct()
     if distance == 2:
         flips = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(BITS)))
     else:
