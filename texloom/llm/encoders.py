@@ -14,20 +14,23 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Chunks that a worker remembers, twice over at most (about 200 bytes each), so its memory is bounded.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 #: White_Space of Unicode, which the tokenizers' patterns call \s.
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_CHUNKS = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+#: A run of letters that ends for certain where it is cut: before white space or ASCII punctuation but the apostrophe.
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[ \\n.,;:!?#$%&*|()])"
+_BYTE_CHUNKS = re.compile(f" ?{_LETTERS}| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+_WORD_CHUNKS = re.compile(f"{_LETTERS}|[^ \\n]+")
 
 
 def byte_level_chunks(text: str) -> list[str]:
     """For byte-level BPE, which joins at most one space with what follows it."""
-    return _CHUNKS.findall(text)
+    return _BYTE_CHUNKS.findall(text)
 
 
 def word_chunks(text: str) -> list[str]:
     """For tokenizers that drop white space."""
-    return text.replace("\n", " ").split(" ")
+    return _WORD_CHUNKS.findall(text)
 
 
 class Encoder:
@@ -43,6 +46,7 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder()
         self.apart, self.between = next(((k, v.content) for k, v in added.items()), (None, None))
         self.special = re.compile(f"({'|'.join(re.escape(v.content) for v in added.values())})") if added else None
+        self.found = [v.content for v in added.values()]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -51,8 +55,8 @@ class Encoder:
         alone = chunks if self.special is None else [x for x in chunks if self.special.search(x)]
         yield from ((x, np.array(e.ids, self.dtype).tobytes()) for x, e in zip(alone, encode(alone), strict=True))
         rest = [] if self.special is None else [x for x in chunks if not self.special.search(x)]
-        for k in range(0, len(rest), 512):
-            some = rest[k : k + 512]
+        for k in range(0, len(rest), 128):
+            some = rest[k : k + 128]
             ids = np.array(encode([self.between.join(some)])[0].ids, self.dtype)
             ends = np.append(np.flatnonzero(ids == self.apart), len(ids))
             raw, w = ids.tobytes(), self.dtype.itemsize
@@ -60,8 +64,9 @@ class Encoder:
             yield from ((x, raw[a:b]) for x, a, b in zip(some, (starts * w).tolist(), (ends * w).tolist(), strict=True))
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.chunks(t) if self.special is None or not self.special.search(t) else [c for s in self.special.split(t) for c in self.chunks(s)] for t in texts]
-        needed = set().union(*cut) - self.young.keys()
+        cut = [[c for s in self.special.split(t) for c in self.chunks(s)] if any(x in t for x in self.found) else self.chunks(t) for t in texts]
+        known = self.young
+        needed = {x for c in cut for x in c if x not in known}
         if len(self.young) + len(needed) > REMEMBERED:  # what is still in use moves on from the older half
             self.old, self.young = self.young, {}
             needed = set().union(*cut)

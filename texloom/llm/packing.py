@@ -51,13 +51,17 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> tuple[DataFrame,
         enc = encoder(tokenizer, "byte")
         size = max(enc.tokenizer.get_vocab_size(), end_id + 1)
         having, total, rows, id_type = np.zeros(size, np.int64), 0, 0, pa.int64()
+        here = np.zeros(size, bool)
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
             for part in pieces(batch, "text"):
                 made = []
                 for ids in enc.encode_all(texts_of(part)):
                     ids = np.append(ids, np.array(end_id, ids.dtype))
-                    having[np.flatnonzero(np.bincount(ids)) if len(ids) > size // 4 else np.unique(ids)] += 1
+                    here[ids] = True
+                    once = np.flatnonzero(here)
+                    having[once] += 1
+                    here[once] = False
                     total, rows = total + len(ids), rows + 1
                     made.append(ids.astype("<u4" if ids.dtype.itemsize > 2 else "<u2").tobytes())
                 n = len(made)
