@@ -78,3 +78,15 @@ def more_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of schema.BLOCKS."""
     return _over(spark, sf_dir, blocks_sql("spark"))
+
+
+#: Characters with a meaning in LaTeX, for prose that must parse.
+SPECIAL = "$%&#{}[]_^~|\\"
+
+#: TeX logs with the layout lengths; one of them is reported twice.
+LOGS = "select doc_id, concat('x', chr(10), '[layout: The columnwidth is: 1.0pt]', chr(10), " + ", ".join(
+    f"'[layout: The {k} is: ', cast({v} as varchar(19)), '.5pt]', chr(10)" for k, v in {
+        "columnwidth": "200 + doc_id % 3 * 100", "columnsep": "10", "textwidth": "410 + doc_id % 4 * 10", "paperwidth": "614", "hoffset": "0", "voffset": "0", "oddsidemargin": "doc_id % 9", "evensidemargin": "3",
+        "marginparwidth": "65", "marginparsep": "11", "topmargin": "doc_id % 7", "headheight": "12", "headsep": "25", "footskip": "30", "textheight": "650",
+    }.items()
+) + ") as log from documents"

@@ -65,7 +65,7 @@ def float_spans(docs: DataFrame) -> DataFrame:
 
 def located(mentions: DataFrame, docs: DataFrame) -> DataFrame:
     """mentions with m_start and m_end, where their source first occurs; those that do not occur go."""
-    at = F.locate(F.col("source_code"), F.col("tex"))
+    at = F.position("source_code", "tex")
     return mentions.join(docs.select("doc_id", "tex"), "doc_id").where(at > 0).select(*mentions.columns, (at - 1).cast("long").alias("m_start"), (at - 1 + F.length("source_code")).cast("long").alias("m_end"))
 
 
