@@ -52,7 +52,7 @@ TEMPLATES = [
 ]
 
 #: A word, once A-Z are lower case: digits, a-z and all that is not ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[0-9a-z\u0080-\x{10FFFF}]+"
 
 
 def words_of(text: Column) -> Column:
