@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute
 
 #: Text bytes that are worked on at a time, so that memory does not follow the row count of a batch.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -42,7 +42,7 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, lea
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES, broadcast_bytes: int = BROADCAST_BYTES, counted: bool = False) -> DataFrame:
     """docs with boilerplate lines cut from text; counted: also n_lines and n_dropped."""
-    hosts = written(boilerplate(docs, host, ratio, least_pages), "boilerplate")
+    hosts = written(boilerplate(docs, host, ratio, least_pages), "boilerplate", compact=True)
     side = F.broadcast(hosts) if table_bytes(hosts) <= broadcast_bytes else hosts
     joined = docs.join(side, F.col(host) == F.col("_tl_host"), "left")
     kept = F.filter(_lines(F.col("text")), lambda x: (F.trim(x) == "") | ~F.array_contains("_tl_drop", F.xxhash64(x)))

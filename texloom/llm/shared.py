@@ -21,10 +21,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
+def written(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
+    """df as a Parquet table in the shared folder: cuts the lineage and survives lost executors.
+
+    compact: rows are brought together first, into files of the advisory size, where tasks are many and rows few and small.
+    """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if compact else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

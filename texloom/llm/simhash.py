@@ -97,7 +97,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
         raise ValueError("links are exact for a distance of 1 or 2")
     # one shuffle of the keys; of what most of them are, alone in their bucket, nothing is kept
     bucket = Window.partitionBy("variant", "value")
-    shared = written(_keys(distinct, distance).withColumn("n", F.count("*").over(bucket)).where("n > 1"), "simhash-buckets")
+    shared = written(_keys(distinct, distance).withColumn("n", F.count("*").over(bucket)).where("n > 1"), "simhash-buckets", compact=True)
     pairs = shared.where("n = 2").groupBy("variant", "value").agg(F.min("fp").alias("u"), F.max("fp").alias("v")).select("u", "v")
     # members of larger buckets, keyed again by every value within one bit of them
     members = shared.where("n > 2").select("fp").distinct()
@@ -111,34 +111,35 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return pairs.union(stars).where(_apart(F.col("u"), F.col("v")) <= distance).distinct()
 
 
+def _is_forest(state: DataFrame) -> bool:
+    """Whether each node points to one other at most, and none that is pointed to points on."""
+    ends = state.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(state.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 or out = 1 and into = 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the least node of each component with a link, for every node of edges (u, v)."""
-    state = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    mark = None
-    while True:
+    state = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links", compact=True)
+    while not _is_forest(state):
+        # large star: each node's greater neighbours go to its least one
         both = state.select("u", "v").union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = written(large, "large-star")
+        # small star: each node's lesser neighbours, and it itself, go to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        state = written(small, "small-star")
-        now = tuple(state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head())
-        if now == mark:
-            return state.select(F.col("u").alias("node"), F.col("v").alias("root")).union(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        mark = now
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        state = written(small, "stars", compact=True)
+    return state.select(F.col("u").alias("node"), F.col("v").alias("root")).union(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the least doc_id that links reach."""
-    rows = written(fingerprints(docs, shingle), "fingerprints")
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    distinct = written(distinct, "distinct-fingerprints")
+    rows = written(fingerprints(docs, shingle), "fingerprints", compact=True)
+    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints", compact=True)
     grouped = components(links(distinct.select("fp"), distance))
     roots = distinct.join(grouped, F.col("fp") == F.col("node")).select("fp", "root", "least")
     named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(roots.join(named, "root").select("fp", "component_id"), "components")
+    named = written(roots.join(named, "root").select("fp", "component_id"), "components", compact=True)
     every = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
     return rows.join(every, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -146,4 +147,4 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SH
 def keep_one(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
     """The rows of docs, with all their columns, that stand for their group: those with the least doc_id of each component. Rows without a doc_id stay."""
     drop = near_duplicates(docs, distance, shingle).where("doc_id <> component_id").select(F.col("doc_id").alias("_other_id")).distinct()
-    return docs.join(written(drop, "near-duplicates"), F.col("doc_id") == F.col("_other_id"), "left_anti")
+    return docs.join(written(drop, "near-duplicates", compact=True), F.col("doc_id") == F.col("_other_id"), "left_anti")
