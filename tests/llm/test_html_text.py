@@ -16,6 +16,8 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
     ("<div><h2>Title here</h2><p>Long paragraph of the article with many words in it.</p><p>So.</p></div>", "Title here Long paragraph of the article with many words in it. So."),
     ("<article><p>&lt;b&gt; &eacute;&#233;&#xe9; &nbsp; a</p><ul><li>i<li>j</ul><pre>k  l</pre></article>", "<b> ééé a i j k l"),
     ("<article><p>a <a href='x>y'>link</a> b</p><script>if (a<b) {}</script><p data-x=\"</p>\">c</p>", "a link b c"),
+    ("<div class='site-header'>Site</div><div id='content'><div class='post-header'><h1>A</h1></div><div><p>x</p></div><div class='share'>s</div><p>y</p></div><div>other text here, quite long but not the article</div>", "A x y"),
+    ("<p>intro text with some words</p><div class='ad'>Buy</div><p>more text with several words that follow it</p><ul><li><a href='x'>l1</a></li><li><a href='y'>l2</a></li></ul>", "intro text with some words more text with several words that follow it"),
 ])
 def test_pages(body, want):
     assert extract(PAGE % body) == want

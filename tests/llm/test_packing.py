@@ -66,7 +66,8 @@ def test_neighbours_are_the_best_by_bm25():
         return idf[t] * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(p) / usual))
 
     for k in range(30):
-        asked = index.query[index.bounds[k] : index.bounds[k + 1]][: packing.QUERY]
+        asked = index.asked(k)
+        assert len(set(asked)) == len(asked) <= packing.QUERY
         unused = np.ones(30, bool)
         unused[k] = False
         scores = {j: sum(weight(parts[j], t) for t in asked) for j in range(30) if j != k}

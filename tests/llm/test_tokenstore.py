@@ -19,6 +19,9 @@ def test_chunked_encoding_equals_whole_text_encoding(name, chunks):
     alphabet = " \n\t\r\x1c\x85 ́éÀab'sS1.,\\<|endoftext|>ΣΑσ"
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(3000)]
     texts += [t + "<|endoftext|>" + t for t in texts[:300]]
+    texts += ["plain words, and more. " * 3, "a b", " a", "a ", "", "x  y", "x\n y", "x \ny", "\0a \0b", "a|b | c", "first first"]
+    for _ in range(2):
+        assert [x.tolist() for x in enc.encode_all(texts)] == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert [x.tolist() for x in enc.encode_all(texts)] == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 

@@ -14,7 +14,9 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Chunks that a worker remembers, twice over at most (about 200 bytes each), so its memory is bounded.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
+#: Text bytes that are encoded together.
+PIECE_BYTES = 4 << 20
 #: White_Space of Unicode, which the tokenizers' patterns call \s.
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: A run of letters that ends for certain where it is cut: before white space or ASCII punctuation but the apostrophe.
@@ -42,19 +44,24 @@ class Encoder:
 
         self.tokenizer, self.chunks = Tokenizer.from_file(path), chunks
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        # strings that the tokenizer finds in a text before anything else; the first also parts chunks that are encoded together
+        # strings that the tokenizer finds in a text before anything else
         added = self.tokenizer.get_added_tokens_decoder()
-        self.apart, self.between = next(((k, v.content) for k, v in added.items()), (None, None))
         self.special = re.compile(f"({'|'.join(re.escape(v.content) for v in added.values())})") if added else None
+        # what parts chunks that are encoded together: a bar between lines, where white space is dropped, else a special string
+        if chunks is word_chunks:
+            self.between, self.apart = "\n|\n", self.tokenizer.encode("|", add_special_tokens=False).ids[0]
+        else:
+            self.apart, self.between = next(((k, v.content) for k, v in added.items()), (None, None))
+        self.single = re.compile("|".join(re.escape(x) for x in {self.between.strip(), *(v.content for v in added.values())})) if self.between else None
         self.found = [v.content for v in added.values()]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _encoded(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
         encode = lambda x: self.tokenizer.encode_batch_fast(x, add_special_tokens=False)
-        alone = chunks if self.special is None else [x for x in chunks if self.special.search(x)]
+        alone = chunks if self.single is None else [x for x in chunks if self.single.search(x)]
         yield from ((x, np.array(e.ids, self.dtype).tobytes()) for x, e in zip(alone, encode(alone), strict=True))
-        rest = [] if self.special is None else [x for x in chunks if not self.special.search(x)]
+        rest = [] if self.single is None else [x for x in chunks if not self.single.search(x)]
         for k in range(0, len(rest), 128):
             some = rest[k : k + 128]
             ids = np.array(encode([self.between.join(some)])[0].ids, self.dtype)
@@ -76,6 +83,10 @@ class Encoder:
         found = self.young.__getitem__
         return [np.frombuffer(b"".join(map(found, c)), self.dtype) for c in cut]
 
+    def rest(self) -> None:
+        """At the end of a task: the older half goes, as the worker's next task may be another's."""
+        self.old = {}
+
 
 _LOADED: dict[tuple[str, str], Encoder] = {}
 

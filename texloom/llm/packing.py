@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .arrow import pieces, texts_of
-from .encoders import encoder
+from .encoders import PIECE_BYTES, encoder
 from .shared import new_path
 
 WINDOW = 1024
@@ -54,7 +54,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> tuple[DataFrame,
         here = np.zeros(size, bool)
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 made = []
                 for ids in enc.encode_all(texts_of(part)):
                     ids = np.append(ids, np.array(end_id, ids.dtype))
@@ -66,6 +66,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> tuple[DataFrame,
                     made.append(ids.astype("<u4" if ids.dtype.itemsize > 2 else "<u2").tobytes())
                 n = len(made)
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), part.column("doc_id"), pa.array(made, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names)
+        enc.rest()
         if rows:
             at = np.flatnonzero(having)
             token, count = np.append(at, [-1, -2]), np.append(having[at], [rows, total])
@@ -95,17 +96,24 @@ class Index:
         self.weight = weight.astype(np.float32)
         self.tokens, first, n = np.unique(token, return_index=True, return_counts=True)
         self.first, self.last = first, first + n
-        # each piece's own ids, heaviest first, without those that no other piece has
-        shared = (n > 1)[np.searchsorted(self.tokens, token)]
-        mine = np.flatnonzero(shared)
-        order = mine[np.lexsort((mine, -self.weight[mine], self.doc[mine]))]
-        self.query, bounds = token[order], np.searchsorted(self.doc[order], np.arange(len(parts) + 1))
-        self.bounds = bounds
+        # each piece's own postings, without ids that no other piece has
+        mine = np.flatnonzero((n > 1)[np.searchsorted(self.tokens, token)])
+        short = self.doc[mine].astype(np.uint16 if len(parts) < 1 << 16 else np.int64)  # short integers sort by radix
+        self.own = mine[np.argsort(short, kind="stable")]
+        self.bounds = np.searchsorted(self.doc[self.own], np.arange(len(parts) + 1))
+        self.token = token
+
+    def asked(self, k: int) -> np.ndarray:
+        """The heaviest ids of piece k, QUERY at most."""
+        own = self.own[self.bounds[k] : self.bounds[k + 1]]
+        if len(own) > QUERY:
+            own = own[np.argpartition(-self.weight[own], QUERY)[:QUERY]]
+        return self.token[own]
 
     def neighbours(self, k: int, unused: np.ndarray, most: int = NEIGHBOURS) -> np.ndarray:
         """Unused pieces that share ids with piece k, best first."""
         scores = np.zeros(len(unused), np.float32)
-        for t in np.searchsorted(self.tokens, self.query[self.bounds[k] : min(self.bounds[k + 1], self.bounds[k] + QUERY)]):
+        for t in np.searchsorted(self.tokens, self.asked(k)):
             a, b = self.first[t], self.last[t]
             scores[self.doc[a:b]] += self.weight[a:b]
         scores *= unused

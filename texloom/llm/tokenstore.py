@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .arrow import pieces, texts_of
-from .encoders import encoder
+from .encoders import PIECE_BYTES, encoder
 from .files import new_file, open_file
 from .shared import new_path
 
@@ -122,7 +122,7 @@ def tokenized_sample(docs: DataFrame, path: str, kind: str, end_id: int, rows: i
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, kind)
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 made = [np.append(x, np.array(end_id, x.dtype)).tobytes() for x in enc.encode_all(texts_of(part))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(made, pa.binary())], ["doc_id", "ids"])
 
@@ -141,7 +141,7 @@ def write_store(docs: DataFrame, tokenizer: str, kind: str, end_id: int, folder:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, writer = encoder(tokenizer, kind), TaskContext.get().partitionId(), None
         with_end = lambda x: np.append(x, np.array(end_id, x.dtype))
-        batches = (part for batch in batches for part in pieces(batch, "text"))
+        batches = (part for batch in batches for part in pieces(batch, "text", PIECE_BYTES))
         first = next(batches, None)
         if first is None:
             return
@@ -152,6 +152,7 @@ def write_store(docs: DataFrame, tokenizer: str, kind: str, end_id: int, folder:
                     writer.add(doc_id, with_end(ids))
                 first = next(batches, None)
             n, tokens = writer.finish()
+        enc.rest()
         yield pa.RecordBatch.from_pydict({"shard": [shard], "uri": [uri], "docs": [n], "tokens": [tokens]}, schema=pa.schema([("shard", pa.int32()), ("uri", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())]))
 
     tie = F.xxhash64("text").alias("_tie")
