@@ -5,7 +5,8 @@ element (scripts, menus, headers, footers, sidebars, notices, adverts, forms,
 reader comments) leaves blank lines. Text lengths are summed over a sliding
 window of lines. Where the sum rises from nothing to text is a surge point,
 where it falls back to nothing a dive point; the text between them is kept.
-If the page marks its article, lines outside it count as blank. Otherwise lines
+If the page marks its article, by an element or else by the class of a
+container, lines outside it count as blank. Otherwise lines
 that are mostly links count as blank, and a region is kept if its text is at
 least LEAST_SHARE of the largest region's.
 
@@ -30,7 +31,7 @@ from .arrow import pieces, texts_of
 
 #: Lines of a window, and of the gap that a removed element leaves.
 BLOCK = 3
-LEAST_SHARE = 0.2
+LEAST_SHARE = 0.1
 #: Share of a line's text in links from which it counts as a menu's.
 LINKS = 0.6
 
@@ -43,11 +44,14 @@ ARTICLE = frozenset("article main".split())
 #: Words of class, id, role and aria-label that mark what is not the article.
 NOT_TEXT = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion promoted "
-    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toolbar topbar skip masthead "
-    "sidebar aside complementary widget widgets related recommended recommendations more teaser teasers "
+    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toolbar topbar masthead "
+    "sidebar aside complementary widget widgets related recommended recommendations "
     "footer colophon copyright contentinfo notice notices notification alert cookie cookies consent gdpr privacy popup modal overlay dialog paywall subscribe subscription newsletter signup login "
-    "comment comments commentlist respond reply replies disqus discussion form search share sharing social tags metadata".split()
+    "comment comments commentlist respond reply replies disqus discussion form search share sharing social".split()
 )
+#: A container of these words alone is a page's header; one with any of the second list is its article, where no element says so.
+HEADER = frozenset("header site top global main bar wrapper container inner".split())
+CONTENT = frozenset("article content post entry story main maincontent".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
@@ -59,23 +63,24 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|dis
 _WORD = re.compile(r"[A-Za-z]+")
 
 
-def _not_text(attrs: str) -> bool:
-    if not attrs or attrs.isspace():
-        return False
-    for m in _MARKS.finditer(attrs):
-        value = m[1] or m[2] or m[3] or ""
-        if any(w.lower() in NOT_TEXT for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value))):
-            return True
-    return bool(_HIDDEN.search(attrs))
+def _marks(attrs: str) -> set[str]:
+    """Lower-case words of an element's class, id, role and label."""
+    values = " ".join(m[1] or m[2] or m[3] or "" for m in _MARKS.finditer(attrs))
+    return {w.lower() for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", values))}
 
 
-def lines_of(html: str) -> tuple[list[str], list[float], list[bool]]:
-    """(lines, share of links, whether in an article) in page order; removed elements leave BLOCK blank lines."""
+def _not_text(attrs: str, marks: set[str]) -> bool:
+    return bool(marks & NOT_TEXT) or "header" in marks and marks <= HEADER or bool(attrs) and bool(_HIDDEN.search(attrs))
+
+
+def lines_of(html: str) -> tuple[list[str], list[float], list[int]]:
+    """(lines, share of links, 2 in an article, 1 in an element marked as content, else 0) in page order; removed elements leave BLOCK blank lines."""
     lines: list[str] = []
     links: list[float] = []
-    inside: list[bool] = []
+    inside: list[int] = []
     text: list[str] = []
     linked = article = anchors = 0
+    held, deep, content = None, 0, 0  # an element marked as content, and how many of its name are open
     seen = False  # whether an article has begun
     removed, depth = None, 0  # the element being removed, and how many of its name are open
     at = 0
@@ -86,7 +91,7 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[bool]]:
         if joined and not joined.isspace():
             lines.append(" ".join(joined.split()))
             links.append(min(1.0, linked / max(1, sum(map(len, text)))))
-            inside.append(article > 0)
+            inside.append(2 if article > 0 else 1 if content > 0 else 0)
         text.clear()
         linked = 0
 
@@ -95,7 +100,7 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[bool]]:
         for _ in range(BLOCK):
             lines.append("")
             links.append(0.0)
-            inside.append(False)
+            inside.append(0)
 
     lower, size = html.lower(), len(html)
     while at < size:
@@ -115,6 +120,7 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[bool]]:
             continue
         name, closing = name.lower(), bool(m["close"] or m["close2"])
         attrs = m["attrs"] or m["attrs2"] or ""
+        marks = _marks(attrs) if attrs and not closing and "=" in attrs else set()
         if name in RAW and not closing:
             stop = lower.find(f"</{name}", at)
             at = size if stop < 0 else (html.find(">", stop) + 1 or size)
@@ -122,7 +128,7 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[bool]]:
                 gap()
             continue
         if removed is not None:
-            if name in ARTICLE and not closing and not seen and not _not_text(attrs):
+            if name in ARTICLE and not closing and not seen and not _not_text(attrs, marks):
                 removed = None
                 gap()  # and go on to the article below
             elif name == removed:
@@ -137,10 +143,21 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[bool]]:
                 continue
             else:
                 continue
-        if not closing and name not in VOID and (name in REMOVED or name not in ("html", "body") and name not in ARTICLE and _not_text(attrs) or name in ARTICLE and article > 0 and _not_text(attrs)):
+        drop = not closing and name not in VOID and (name in REMOVED or name not in ("html", "body") and (name not in ARTICLE or article > 0) and _not_text(attrs, marks))
+        if drop:
             gap()
             removed, depth = name, 1
             continue
+        if name == held:
+            deep += -1 if closing else 1
+            if deep == 0:
+                end_line()
+                held = None
+                content -= 1
+        elif held is None and not closing and name in ("div", "section", "td") and marks & CONTENT:
+            end_line()
+            held, deep = name, 1
+            content += 1
         if name in ARTICLE:
             end_line()
             seen = True
@@ -162,8 +179,8 @@ def extract(html: str) -> str:
     lines, links, inside = lines_of(html)
     if not lines:
         return ""
-    marked = any(i and t for i, t in zip(inside, lines, strict=True))
-    sizes = np.array([len(t) if (i if marked else s < LINKS) else 0 for t, s, i in zip(lines, links, inside, strict=True)])
+    marked = max(i if t else 0 for i, t in zip(inside, lines, strict=True))
+    sizes = np.array([len(t) if (i == marked if marked else s < LINKS) else 0 for t, s, i in zip(lines, links, inside, strict=True)])
     if not sizes.any():
         return ""
     # distribution[k]: text of the BLOCK lines up to k; surges where a line has text after nothing, dives where a whole window has none
