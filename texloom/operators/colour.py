@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import tex as T
 from ..schema import CATEGORIES, LAYOUT_KEYS
@@ -86,22 +86,26 @@ def coloured(text: Column) -> Column:
 _ORDER = rf"\\(?:text)?color\{{({'|'.join(sorted((n for _, n, _ in CATEGORIES), key=len, reverse=True))})_color\}}"
 
 
+def _ordered(docs: DataFrame) -> DataFrame:
+    """doc_id, tex, seq, category, idx: a row for each coloured mention; idx counts those of its category before it, within the row's own list."""
+    listed = docs.select("doc_id", "tex", T.every("tex", _ORDER, 1).alias("_all"))
+    rows = listed.select("doc_id", "tex", "_all", F.posexplode("_all").alias("seq", "category"))
+    idx = F.size(F.filter(F.slice("_all", F.lit(1), F.col("seq")), lambda x: x == F.col("category")))
+    return rows.select("doc_id", "tex", F.col("seq").cast("long").alias("seq"), "category", idx.cast("long").alias("idx"))
+
+
 def mention_order(docs: DataFrame) -> DataFrame:
     """doc_id, seq, category, idx: coloured mentions in document order; definitions are none."""
-    found = docs.select("doc_id", F.posexplode(T.every("tex", _ORDER, 1)).alias("seq", "category"))
-    w = Window.partitionBy("doc_id", "category").orderBy("seq")
-    return found.select("doc_id", F.col("seq").cast("long").alias("seq"), "category", (F.row_number().over(w) - 1).cast("long").alias("idx"))
+    return _ordered(docs).select("doc_id", "seq", "category", "idx")
 
 
 def variants(docs: DataFrame) -> DataFrame:
-    """doc_id, seq, category, name, tex: for each mention the document with that mention in black."""
-    ordered = mention_order(docs)
-    joined = ordered.join(docs.select("doc_id", "tex"), "doc_id")
+    """doc_id, seq, category, name, tex: for each mention the document with that mention in black. Nothing is shuffled."""
     colour = F.concat(F.lit("color{"), F.col("category"), F.lit("_color}"))
     parts = F.split(F.col("tex"), F.concat(F.lit(r"(?<=\\|\\text)\Q"), colour, F.lit(r"\E")), -1)
     n = (F.col("idx") + 1).cast("int")
     text = F.concat(
-        F.aggregate(F.slice(parts, F.lit(2), n - 1), F.get(parts, F.lit(0)), lambda a, x: F.concat(a, colour, x)), F.lit("color{black}"),
-        F.aggregate(F.slice(parts, n + 2, F.size(parts)), F.get(parts, n), lambda a, x: F.concat(a, colour, x)))
+        F.aggregate(F.slice("_p", F.lit(2), n - 1), F.get("_p", F.lit(0)), lambda a, x: F.concat(a, colour, x)), F.lit("color{black}"),
+        F.aggregate(F.slice("_p", n + 2, F.size("_p")), F.get("_p", n), lambda a, x: F.concat(a, colour, x)))
     name = F.format_string("paper_block__%05d_%s_%05d", F.col("seq"), F.col("category"), F.col("idx"))
-    return joined.select("doc_id", "seq", "category", name.alias("name"), text.alias("tex"))
+    return _ordered(docs).withColumn("_p", parts).select("doc_id", "seq", "category", name.alias("name"), text.alias("tex"))

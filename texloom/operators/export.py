@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..schema import CATEGORIES
+from ..schema import BOX_COLOURS, CATEGORIES
 
 
 def _category_id() -> Column:
@@ -61,6 +61,12 @@ def page_names(pages: DataFrame) -> DataFrame:
     return pages.withColumn("file_name", F.format_string("original-page-%04d.jpg", "page_index"))
 
 
+def overlay(blocks: DataFrame) -> DataFrame:
+    """Drawing commands of a page's boxes: file_name, box, label and colour, in the order in which they are drawn."""
+    colours = F.array(*map(F.lit, BOX_COLOURS))
+    return blocks.select("doc_id", F.format_string("page_%04d.jpg", "page_index").alias("file_name"), F.col("ann_pos").alias("z"), "x0", "y0", "x1", "y1", F.col("category").alias("label"), F.get(colours, _category_id()).alias("colour"))
+
+
 def export(df: DataFrame, path: str, keys: list[str]) -> None:
     """Appends the rows whose keys the dataset at path has not; running it again adds nothing."""
     spark = df.sparkSession

@@ -223,4 +223,11 @@ select path, 'cs' as discipline, concat('p', doc_id) as paper_id, cast(length(te
     "q38_connected_boxes": "select doc_id, cast(0 as bigint) as page_index, k as box, 3 + doc_id % 7 as x0, 5 + 12 * k as y0, 20 + k as x1, 12 + 12 * k as y1 from (select doc_id, unnest(range(doc_id % 4)) as k from documents) t",
     "q39_id_normalise": "select concat('2301.', lpad(cast(doc_id as varchar), 5, '0')) as paper_id, concat('http://papers.example/abs/2301.', lpad(cast(doc_id as varchar), 5, '0'), case when doc_id % 2 = 0 then concat('v', doc_id % 9 + 1) else '' end) as entry_id, source as title, lang as primary_category, 'low' as quality from documents",
     "q39_first_distinct": "select distinct source as id from documents order by id limit 7",
+    "q41_segment_mentions": rf"""with t as ({SAFE}) select doc_id, 'Title' as category, cast(0 as bigint) as idx, regexp_extract(tex, '\\section\{{.*?\}}') as source_code from t
+union all select doc_id, 'List', 0, regexp_extract(tex, '(?s)\\begin\{{itemize\}}.*?\\end\{{itemize\}}') from t
+union all select doc_id, 'Equation', 0, regexp_extract(tex, '\\begin\{{equation\}}.*?\\end\{{equation\}}') from t where doc_id % 5 <> 0""",
+    "q42_clean_documents": rf"""select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(replace(tex, '\%', chr(1)), '%[^\n]*', '', 'g'), chr(1), '\%'), '\\({'|'.join(schema.TABLES_OF_CONTENTS)})', '', 'g'), '\\(?:psfig|epsfig)\{{(.*?)\}}', '\\includegraphics{{\1}}', 'g'), '\n\s*\n', chr(10) || chr(10), 'g'), '\A\s*\n', '') as tex from ({MORE}) t""",
+    "q42_clean_project": "select doc_id, 'main.tex' as path, concat('start A[B', doc_id, '] mid ', chr(92), 'include{missing} B', doc_id, ' end', doc_id) as content from documents union all select doc_id, 'sub/b.tex', concat('B', doc_id) from documents",
+    "q43_overlay": f"select doc_id, concat('page_', lpad(cast(page_index as varchar), 4, '0'), '.jpg') as file_name, ann_pos as z, x0, y0, x1, y1, category as label, {schema.BOX_COLOURS}[{CATEGORY_ID} + 1] as colour from ({BLOCKS}) b",
+    "q44_argument_lists": "select doc_id, case when doc_id % 2 = 0 then '{a}{n}[o]{b}' else '{a}{b}{z}' end as args, case when doc_id % 2 = 0 then '{n}[o]{b}{a}' else '{b}{z}{a}' end as rotated, doc_id % 2 = 0 as has_option from documents",
 }

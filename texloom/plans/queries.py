@@ -8,8 +8,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixtures, schema
-from ..functions import tex as T
-from ..operators import colour, export, extract, includes, layout, order, parse, quality, raster, records, refs, tree
+from ..functions import args, tex as T
+from ..operators import clean, colour, export, extract, includes, layout, order, parse, quality, raster, records, refs, segments, tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -547,3 +547,47 @@ def q39_first_distinct(spark, d):
 @query
 def q40_categories(spark, d):
     return schema.categories(spark).select(F.col("id").cast("long").alias("id"), "name", "supercategory")
+
+
+def _main(spark, d):
+    return parse.parse_segments(_safe(spark, d).select("doc_id", T.main_content("tex")[0].alias("tex")))
+
+
+@query
+def q41_segment_mentions(spark, d):
+    return segments.segment_mentions(_main(spark, d)).where("category in ('Title', 'List', 'Equation')")
+
+
+@query
+def q41_segment_texts(spark, d):
+    return segments.segment_mentions(_main(spark, d)).where("category in ('Text', 'Text-EQ')")
+
+
+@query
+def q42_clean_documents(spark, d):
+    return clean.clean_documents(fixtures.more_docs(spark, d))
+
+
+@query
+def q42_clean_project(spark, d):
+    files = _project(spark, d)
+    lines = files.select("doc_id", F.explode(F.array(F.lit("INPUT main.tex"), F.lit("INPUT sub/b.tex"), F.lit("OUTPUT a.tex"))).alias("line"))
+    return clean.clean_project(files, files.where("path = 'main.tex'").select("doc_id", "path"), lines)
+
+
+@query
+def q42_annotated_orders(spark, d):
+    return clean.annotated(fixtures.tex_docs(spark, d), fixtures.blocks(spark, d))["orders"]
+
+
+@query
+def q43_overlay(spark, d):
+    return export.overlay(fixtures.blocks(spark, d))
+
+
+@query
+def q44_argument_lists(spark, d):
+    made = F.array(args.argument("a"), args.argument("o", "bracket"), args.argument("b"))
+    first = F.when(F.col("doc_id") % 2 == 0, args.inserted(made, 1, args.argument("n"))).otherwise(args.removed(args.appended(made, args.argument("z")), "o"))
+    one, others = args.popped(first, 0)
+    return fixtures.documents(spark, d).select("doc_id", args.written(first).alias("args"), args.written(args.extended(others, F.array(one))).alias("rotated"), args.contains(first, "o").alias("has_option"))

@@ -18,6 +18,9 @@ CATEGORIES = [
     (11, "Reference", "Reference"), (12, "PaperTitle", "Title"), (13, "Code", "Algorithm"), (14, "Abstract", "Text"),
 ]
 
+# The colour that a category's boxes are drawn in, by category id.
+BOX_COLOURS = ["magenta", "cyan", "yellow", "blue", "green", "red", "teal", "purple", "orange", "brown", "pink", "olive", "pink", "magenta", "brown"]
+
 # Categories that reading order sorts, by their part in it.
 TITLE_LIKE = ["Title", "PaperTitle", "Abstract"]
 TEXT_LIKE = ["Text", "Text-EQ", "Equation", "List"]
