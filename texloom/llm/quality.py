@@ -29,12 +29,12 @@ WINDOW = 8
 LABELLED_ROWS = 8192
 TREES, SAMPLE, SEED = 128, 256, 7
 #: By how much of a feature's spread over labelled rows the range of a split is widened.
-ROOM = 2.0
+ROOM = 1.0
 #: Share of clean labelled rows that may lie above the threshold.
-CLEAN_LOSS = 0.003
+CLEAN_LOSS = 0.002
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-FEATURES = ["word_length", "symbols", "dup_lines", "repeats", "capitals", "digits", "exclaims", "bars", "stops", "line_words"]
+FEATURES = ["word_length", "symbols", "dup_lines", "repeats", "capitals", "digits", "exclaims", "bars", "stops", "line_words", "stutters"]
 _NOT_SYMBOL = bytes(set(range(256)) - set(b"#*$%&|<>"))
 _NOT_CAPITAL = bytes(set(range(256)) - set(range(65, 91)))
 _NOT_DIGIT = bytes(set(range(256)) - set(b"0123456789"))
@@ -96,11 +96,15 @@ def rule_statistics(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         capitals = len(raw.translate(None, _NOT_CAPITAL))
         more[i] = len(lines), capitals, len(raw.translate(None, _NOT_DIGIT)), raw.count(b"!"), raw.count(b"|"), raw.count(b"."), len(raw)
     starts = np.concatenate([[0], ends[:-1]]) if len(texts) else ends
-    base[:, 4] = _repeated_words(np.array(codes, np.int64), starts, ends)
+    flat = np.array(codes, np.int64)
+    base[:, 4] = _repeated_words(flat, starts, ends)
+    # words that repeat the one before them, counted by what lies between a document's first and last word
+    same = np.concatenate([[0, 0], np.cumsum(flat[1:] == flat[:-1])]) if len(flat) else np.zeros(1, np.int64)
+    stutters = np.where(ends > starts, same[ends] - same[np.minimum(starts + 1, len(flat))], 0)
     words, lines = np.maximum(base[:, 0], 1), np.maximum(more[:, 0], 1)
     features = np.column_stack([
         base[:, 1] / words, base[:, 2] / words, base[:, 3] / lines, base[:, 4] / words, more[:, 1] / np.maximum(base[:, 1], 1),
-        more[:, 2] / np.maximum(base[:, 1], 1), more[:, 3] / words, more[:, 4] / words, more[:, 5] / words, np.log1p(words / lines),
+        more[:, 2] / np.maximum(base[:, 1], 1), more[:, 3] / words, more[:, 4] / words, more[:, 5] / words, np.log1p(words / lines), stutters / words,
     ])
     return base, features
 
