@@ -230,4 +230,6 @@ union all select doc_id, 'Equation', 0, regexp_extract(tex, '\\begin\{{equation\
     "q42_clean_project": "select doc_id, 'main.tex' as path, concat('start A[B', doc_id, '] mid ', chr(92), 'include{missing} B', doc_id, ' end', doc_id) as content from documents union all select doc_id, 'sub/b.tex', concat('B', doc_id) from documents",
     "q43_overlay": f"select doc_id, concat('page_', lpad(cast(page_index as varchar), 4, '0'), '.jpg') as file_name, ann_pos as z, x0, y0, x1, y1, category as label, {schema.BOX_COLOURS}[{CATEGORY_ID} + 1] as colour from ({BLOCKS}) b",
     "q44_argument_lists": "select doc_id, case when doc_id % 2 = 0 then '{a}{n}[o]{b}' else '{a}{b}{z}' end as args, case when doc_id % 2 = 0 then '{n}[o]{b}{a}' else '{b}{z}{a}' end as rotated, doc_id % 2 = 0 as has_option from documents",
+    "q42_annotated_orders": ORDERS,  # the lines of the blocks have no labels, so citations add nothing
+    "q19_resolved_graphics": f"select doc_id, replace(replace(tex, concat('{{h', doc_id % 4, '}}'), concat('{{h', doc_id % 4, '.png}}')), concat('{{h', doc_id % 5, '.pdf}}'), concat('{{h', doc_id % 5, '.png}}')) as tex from ({MORE}) t",
 }
