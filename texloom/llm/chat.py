@@ -8,9 +8,11 @@ gives the text back.
 A batch of turns is one byte array. Marks, headers and contents are segments
 with lengths; cumulative offsets give their places, and scatter indices copy
 every byte, shifted by the backslashes before it, into one preallocated Arrow
-buffer. Each conversation's turns are brought together and sorted by a shuffle
-with spill; a conversation longer than PART_BYTES comes as several parts, so
-that memory has a bound, and only its rows' text, not its group, is held.
+buffer. Turns are dealt out by ranges of conversation and turn, so a
+conversation that holds a third of all rows is formatted by many tasks; it
+comes as several parts, numbered in order, as does one longer than PART_BYTES.
+Only the digests, which a hash over all turns makes sequential, read one
+conversation's parts in one task, one part at a time.
 
 Defined results: a null text or role is empty; turns of equal number are
 ordered by role and text, nulls first, and repeated rows are turns each; a
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .arrow import pieces
@@ -96,15 +99,16 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
-    """conv_id, part, text, and loss: [start, stop) of trained-on code points of the part's text. Parts of a conversation lie in order in one partition."""
+    """conv_id, part, text, and loss: [start, stop) of trained-on code points of the part's text. A conversation is its parts in ascending order."""
     kind = conversations.schema["conv_id"].dataType
-    # ties are ordered by their text; repeated rows are alike, so their order does not show
+    # ties are ordered by their text; repeated rows are alike, so their order does not show, and a row number parts them
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
+    order = ["conv_id", "turn", "role", "text", "_row"]
+    rows = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", "role", "text")
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[str, int, int] | tuple[str, None, None]] = []
-        current, part, size, begun, id_type = None, 0, 0, False, pa.int64()
+        current, part, size, begun, id_type = None, TaskContext.get().partitionId() << 32, 0, False, pa.int64()
 
         def row() -> pa.RecordBatch:
             spans, at = [], 0
@@ -112,7 +116,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
                 if a is not None:
                     spans.append({"start": at + a, "stop": at + b})
                 at += len(t)
-            return pa.RecordBatch.from_arrays([pa.array([current], id_type), pa.array([part], pa.int32()), pa.array(["".join(t for t, _, _ in held)]), pa.array([spans], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], ["conv_id", "part", "text", "loss"])
+            return pa.RecordBatch.from_arrays([pa.array([current], id_type), pa.array([part], pa.int64()), pa.array(["".join(t for t, _, _ in held)]), pa.array([spans], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], ["conv_id", "part", "text", "loss"])
 
         for batch in batches:
             id_type = batch.schema.field("conv_id").type
@@ -121,7 +125,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
                 for conv, role, turn, a, b in zip(some.column("conv_id").to_pylist(), some.column("role").to_pylist(), turns.to_pylist(), starts.tolist(), stops.tolist(), strict=True):
                     if begun and (conv != current or size >= PART_BYTES):
                         yield row()
-                        part, held, size = (part + 1 if conv == current else 0), [], 0
+                        part, held, size = part + 1, [], 0
                     current, begun = conv, True
                     if role == LOSS_ROLE:
                         raw = turn if turn.isascii() else turn.encode()
@@ -133,7 +137,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
         if begun:
             yield row()
 
-    return rows.mapInArrow(formatted, f"conv_id {kind.simpleString()}, part int, text string, loss array<struct<start: bigint, stop: bigint>>")
+    return rows.mapInArrow(formatted, f"conv_id {kind.simpleString()}, part bigint, text string, loss array<struct<start: bigint, stop: bigint>>")
 
 
 _ESCAPED = re.compile(r"\\(.)", re.S)
@@ -157,7 +161,7 @@ def parse(text: str) -> list[tuple[str, str]]:
 
 
 def read_chats(formatted: DataFrame) -> DataFrame:
-    """Digests of what format_chats' output holds, by conversation; streams its parts, which must be in its order."""
+    """Digests of what format_chats' output holds, by conversation."""
     kind = formatted.schema["conv_id"].dataType
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
@@ -171,8 +175,8 @@ def read_chats(formatted: DataFrame) -> DataFrame:
 
         for batch in batches:
             id_type = batch.schema.field("conv_id").type
-            for conv, part, text, loss in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if part == 0:
+            for conv, text, loss in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if state is None or conv != state[0]:
                     state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                     rows.append(state)
                 for role, content in parse(text):
@@ -189,4 +193,5 @@ def read_chats(formatted: DataFrame) -> DataFrame:
                     rows = [last]
         yield batch_of()
 
-    return formatted.mapInArrow(read, f"conv_id {kind.simpleString()}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+    parts = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part").select("conv_id", "text", "loss")
+    return parts.mapInArrow(read, f"conv_id {kind.simpleString()}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
