@@ -38,6 +38,9 @@ def test_conversations(spark, monkeypatch):
 def test_long_conversations_come_in_parts(spark):
     df = spark.range(300).selectExpr("1L as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "repeat('word ', 20000) as text")
     made = chat.format_chats(df)
-    assert made.count() > 2
+    assert made.count() > 2 and not made.where("whole").count()
+    many = spark.range(4000).selectExpr("id div 2 as conv_id", "id % 2 as turn", "'user' as role", "cast(id as string) as text")
+    assert chat.format_chats(many).where("whole").count() > 1900
+    assert {tuple(r)[1:3] for r in chat.read_chats(chat.format_chats(many)).collect()} == {digests([("user", str(2 * i)), ("user", str(2 * i + 1))])[:2] for i in range(2000)}
     (row,) = chat.read_chats(made).collect()
     assert tuple(row)[1:5] == digests([("user" if i % 2 == 0 else "assistant", "word " * 20000) for i in range(300)])

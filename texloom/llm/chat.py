@@ -11,8 +11,9 @@ every byte, shifted by the backslashes before it, into one preallocated Arrow
 buffer. Turns are dealt out by ranges of conversation and turn, so a
 conversation that holds a third of all rows is formatted by many tasks; it
 comes as several parts, numbered in order, as does one longer than PART_BYTES.
-Only the digests, which a hash over all turns makes sequential, read one
-conversation's parts in one task, one part at a time.
+Only the digests of such conversations, which a hash over all turns makes
+sequential, read their parts in one task, one part at a time; all others are
+digested where they are.
 
 Defined results: a null text or role is empty; turns of equal number are
 ordered by role and text, nulls first, and repeated rows are turns each; a
@@ -99,7 +100,10 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
-    """conv_id, part, text, and loss: [start, stop) of trained-on code points of the part's text. A conversation is its parts in ascending order."""
+    """conv_id, part, whole, text, and loss: [start, stop) of trained-on code points of the part's text.
+
+    A conversation is its parts in ascending order; whole marks one of which no other task can have a part.
+    """
     kind = conversations.schema["conv_id"].dataType
     # ties are ordered by their text; repeated rows are alike, so their order does not show, and a row number parts them
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -107,16 +111,18 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     rows = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", "role", "text")
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[str, int, int] | tuple[str, None, None]] = []
-        current, part, size, begun, id_type = None, TaskContext.get().partitionId() << 32, 0, False, pa.int64()
+        held: list[tuple[str, int | None, int | None]] = []
+        part, size, id_type = TaskContext.get().partitionId() << 32, 0, pa.int64()
+        current, begun, alone = None, False, False  # alone: the conversation began in this task, and has one part so far
+        span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
-        def row() -> pa.RecordBatch:
+        def row(whole: bool) -> pa.RecordBatch:
             spans, at = [], 0
             for t, a, b in held:
                 if a is not None:
                     spans.append({"start": at + a, "stop": at + b})
                 at += len(t)
-            return pa.RecordBatch.from_arrays([pa.array([current], id_type), pa.array([part], pa.int64()), pa.array(["".join(t for t, _, _ in held)]), pa.array([spans], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], ["conv_id", "part", "text", "loss"])
+            return pa.RecordBatch.from_arrays([pa.array([current], id_type), pa.array([part], pa.int64()), pa.array([whole]), pa.array(["".join(t for t, _, _ in held)]), pa.array([spans], span)], ["conv_id", "part", "whole", "text", "loss"])
 
         for batch in batches:
             id_type = batch.schema.field("conv_id").type
@@ -124,8 +130,8 @@ def format_chats(conversations: DataFrame) -> DataFrame:
                 turns, starts, stops = assemble(some.column("role"), some.column("text"))
                 for conv, role, turn, a, b in zip(some.column("conv_id").to_pylist(), some.column("role").to_pylist(), turns.to_pylist(), starts.tolist(), stops.tolist(), strict=True):
                     if begun and (conv != current or size >= PART_BYTES):
-                        yield row()
-                        part, held, size = part + 1, [], 0
+                        yield row(alone and conv != current)
+                        part, held, size, alone = part + 1, [], 0, conv != current
                     current, begun = conv, True
                     if role == LOSS_ROLE:
                         raw = turn if turn.isascii() else turn.encode()
@@ -135,9 +141,9 @@ def format_chats(conversations: DataFrame) -> DataFrame:
                         held.append((turn, None, None))
                     size += len(turn)
         if begun:
-            yield row()
+            yield row(False)
 
-    return rows.mapInArrow(formatted, f"conv_id {kind.simpleString()}, part bigint, text string, loss array<struct<start: bigint, stop: bigint>>")
+    return rows.mapInArrow(formatted, f"conv_id {kind.simpleString()}, part bigint, whole boolean, text string, loss array<struct<start: bigint, stop: bigint>>")
 
 
 _ESCAPED = re.compile(r"\\(.)", re.S)
@@ -160,38 +166,62 @@ def parse(text: str) -> list[tuple[str, str]]:
     return out
 
 
-def read_chats(formatted: DataFrame) -> DataFrame:
-    """Digests of what format_chats' output holds, by conversation."""
-    kind = formatted.schema["conv_id"].dataType
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+class Digest:
+    """What a conversation's parts hold, read one after another."""
+
+    def __init__(self):
+        self.turns, self.loss_chars, self.chars = 0, 0, 0
+        self.all, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, text: str, loss: list[dict]) -> Digest:
+        for role, content in parse(text):
+            self.turns += 1
+            self.all.update(f"{role}\n{content}\n".encode("utf-8", "surrogatepass"))
+        for span in loss:
+            content = unescaped(text[span["start"] : span["stop"]])
+            self.loss_chars += len(content)
+            self.loss.update(content.encode("utf-8", "surrogatepass"))
+        self.chars += len(text)
+        return self
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, rows, id_type = None, [], pa.int64()
+    def row(self) -> tuple:
+        return self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
 
-        def batch_of() -> pa.RecordBatch:
-            done = [(s[0], s[1], s[2].hexdigest(), s[3], s[4].hexdigest(), s[5]) for s in rows]
-            kinds = [id_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], k) for i, k in enumerate(kinds)], names)
 
+def read_chats(formatted: DataFrame) -> DataFrame:
+    """Digests of what format_chats' output holds, by conversation."""
+    kind = formatted.schema["conv_id"].dataType.simpleString()
+    digests = "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+    names = [x.split()[0] for x in digests.split(", ")]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    no_digest = (None,) * len(names)
+
+    def whole_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Digests of whole conversations; the parts of others as they are."""
         for batch in batches:
-            id_type = batch.schema.field("conv_id").type
-            for conv, text, loss in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if state is None or conv != state[0]:
-                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                    rows.append(state)
-                for role, content in parse(text):
-                    state[1] += 1
-                    state[2].update(f"{role}\n{content}\n".encode("utf-8", "surrogatepass"))
-                for span in loss:
-                    content = unescaped(text[span["start"] : span["stop"]])
-                    state[3] += len(content)
-                    state[4].update(content.encode("utf-8", "surrogatepass"))
-                state[5] += len(text)
-                if len(rows) > 4096:
-                    last = rows.pop()
-                    yield batch_of()
-                    rows = [last]
-        yield batch_of()
-
-    parts = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part").select("conv_id", "text", "loss")
-    return parts.mapInArrow(read, f"conv_id {kind.simpleString()}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+            whole = batch.column("whole").to_pylist()
+            found = [Digest().add(t, x).row() if w else no_digest for w, t, x in zip(whole, batch.column("text").to_pylist(), batch.column("loss").to_pylist(), strict=True)]
+            made = [pa.array(c, k) for c, k in zip(zip(*found, strict=True) if found else [[]] * len(names), kinds, strict=True)]
+            keep = pa.array([not w for w in whole], pa.bool_())
+            left = [pa.compute.if_else(keep, batch.column(c), pa.scalar(None, batch.column(c).type)) for c in ("text", "loss")]
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("part"), *left, *made], ["conv_id", "part", "text", "loss", *names])
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, current, id_type = None, None, pa.int64()
+        for batch in batches:
+            id_type, out = batch.schema.field("conv_id").type, []
+            columns = [batch.column(c).to_pylist() for c in ("conv_id", "text", "loss", *names)]
+            for conv, text, loss, *digest in zip(*columns, strict=True):
+                if open_ is not None and (text is None or conv != current):
+                    out.append((current, *open_.row()))
+                    open_ = None
+                if text is None:
+                    out.append((conv, *digest))
+                else:
+                    open_, current = (open_ or Digest()).add(text, loss), conv
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True) if out else [[]] * (len(names) + 1), [id_type, *kinds], strict=True)], ["conv_id", *names])
+        if open_ is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((current, *open_.row()), [id_type, *kinds], strict=True)], ["conv_id", *names])
+
+    parts = formatted.select("conv_id", "part", "whole", "text", "loss").mapInArrow(whole_ones, f"conv_id {kind}, part bigint, text string, loss array<struct<start: bigint, stop: bigint>>, {digests}")
+    return parts.repartition("conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(others, f"conv_id {kind}, {digests}")
