@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.tables import table
+
 #: LaTeX documents with the usual environments.
 TEX_DOCS = """select doc_id, concat(
  chr(92),'documentclass{article}',chr(10),chr(92),'title{T ',source,'}',chr(10),
@@ -58,7 +60,7 @@ def blocks_sql(dialect: str) -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def _over(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
