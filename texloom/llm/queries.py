@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.tables import spread
 from . import chat, decontam, html_text, licenses, linededup, packing, quality, simhash, tokenstore, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(found) if name == "documents" else found
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
