@@ -48,3 +48,10 @@ def test_forest_of_any_size(n):
     rows = np.random.default_rng(1).normal(size=(n, 3))
     forest = quality.calibrated(quality.grow_forest(rows), rows, np.ones(n))
     assert (forest.scores(rows) <= forest.threshold).mean() >= 0.99 if n else True
+
+
+def test_repeated_rows_do_not_weigh_on_the_fit(spark):
+    d = "/root/testdata/sf0.001"
+    table, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    once, often = quality.fit(table, labels), quality.fit(table.union(table.where("doc_id < 20")).union(table.where("doc_id = 3")), labels.union(labels))
+    assert once.threshold == often.threshold and (once.cut == often.cut).all()

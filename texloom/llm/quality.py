@@ -213,7 +213,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Forest
                 yield pa.RecordBatch.from_arrays([part.column("quality"), *features.T, pa.array(base_failed(base))], ["quality", *names])
 
     # chosen has at most `rows` rows, so it is small enough to send to every task
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = found.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("text").alias("text")).select("quality", "text")  # repeated rows count once
     table = found.mapInArrow(measured, ", ".join(["quality int", *(f"{x} double" for x in FEATURES), "failed boolean"])).toPandas()
     table = table[~table["failed"]].sort_values(FEATURES)  # what the base rule rejects needs no threshold
     features, quality = table[FEATURES].to_numpy(np.float64), table["quality"].to_numpy()
