@@ -73,3 +73,19 @@ def test_neighbours_are_the_best_by_bm25():
         scores = {j: sum(weight(parts[j], t) for t in asked) for j in range(30) if j != k}
         found = index.neighbours(k, unused)
         assert np.allclose([scores[j] for j in found], sorted((s for s in scores.values() if s > 0), reverse=True), rtol=1e-4)
+
+
+def test_neighbours_are_fetched_until_the_window_is_full():
+    parts = [np.arange(5) + 10 * (k % 2) for k in range(600)]
+    idf = np.full(100, 0.7, np.float32)
+    mixed = [s for s in packing.pack_shard(parts, idf, 5.0) if len({k % 2 for k, _, _ in s}) > 1]
+    assert len(mixed) <= 1  # where the first group ends
+
+
+def test_all_ids_of_a_seed_count():
+    few, last = np.arange(30), np.array([29] * 10)
+    parts = [few, np.arange(100, 110), last, np.arange(100, 110), *([np.arange(29)] * 3)]
+    idf = np.full(200, 2.0, np.float32)
+    idf[29] = 0.1
+    first = next(packing.pack_shard(parts, idf, 10.0, 30 + 3 * 29 + 10))
+    assert {k for k, _, _ in first} == {0, 2, 4, 5, 6}

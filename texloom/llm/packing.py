@@ -35,8 +35,10 @@ from .shared import new_path
 WINDOW = 1024
 #: A shard ends once it has so many ids or documents.
 SHARD_TOKENS, SHARD_DOCS = 2 << 20, 2000
-#: BM25; ids of a seed that are looked up, and neighbours that are fetched.
-K1, B, QUERY, NEIGHBOURS = 1.2, 0.75, 24, 48
+#: BM25; different ids of a seed at most, all looked up, and neighbours that are fetched at a time until the window is full.
+K1, B, QUERY, NEIGHBOURS = 1.2, 0.75, WINDOW, 48
+#: Ids in more than this share of a shard's pieces have their weights in a row for all pieces.
+COMMON = 1 / 8
 #: Shortest sequence that a remainder is cut to; a shorter rest is padded.
 SHORTEST = 32
 
@@ -102,24 +104,38 @@ class Index:
         self.own = mine[np.argsort(short, kind="stable")]
         self.bounds = np.searchsorted(self.doc[self.own], np.arange(len(parts) + 1))
         self.token = token
+        common = np.flatnonzero(n > max(1, COMMON * len(parts)))
+        self.row = np.full(len(self.tokens), -1)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), len(parts)), np.float32)
+        at = np.repeat(self.row, n)
+        self.rows[at[at >= 0], self.doc[at >= 0]] = self.weight[at >= 0]
 
     def asked(self, k: int) -> np.ndarray:
-        """The heaviest ids of piece k, QUERY at most."""
-        own = self.own[self.bounds[k] : self.bounds[k + 1]]
-        if len(own) > QUERY:
-            own = own[np.argpartition(-self.weight[own], QUERY)[:QUERY]]
-        return self.token[own]
+        """The ids of piece k that others have too."""
+        return self.token[self.own[self.bounds[k] : self.bounds[k + 1]]]
+
+    def scores(self, k: int, unused: np.ndarray) -> np.ndarray:
+        """The BM25 score of each unused piece for all ids of piece k; 0 for the others."""
+        ids = np.searchsorted(self.tokens, self.asked(k))
+        row = self.row[ids]
+        scores = self.rows[row[row >= 0]].sum(0)
+        rare = ids[row < 0]
+        n = self.last[rare] - self.first[rare]
+        at = np.arange(n.sum()) + np.repeat(self.first[rare] - np.cumsum(n) + n, n)
+        scores += np.bincount(self.doc[at], self.weight[at], len(unused)).astype(np.float32)
+        return scores * unused
 
     def neighbours(self, k: int, unused: np.ndarray, most: int = NEIGHBOURS) -> np.ndarray:
         """Unused pieces that share ids with piece k, best first."""
-        scores = np.zeros(len(unused), np.float32)
-        for t in np.searchsorted(self.tokens, self.asked(k)):
-            a, b = self.first[t], self.last[t]
-            scores[self.doc[a:b]] += self.weight[a:b]
-        scores *= unused
-        best = np.argpartition(-scores, most)[:most] if len(scores) > most else np.arange(len(scores))
-        best = best[scores[best] > 0]
-        return best[np.lexsort((best, -scores[best]))]
+        return best_of(self.scores(k, unused), most)
+
+
+def best_of(scores: np.ndarray, most: int = NEIGHBOURS) -> np.ndarray:
+    """Where the highest positive scores are, best first."""
+    best = np.argpartition(-scores, most)[:most] if len(scores) > most else np.arange(len(scores))
+    best = best[scores[best] > 0]
+    return best[np.lexsort((best, -scores[best]))]
 
 
 def pack_shard(parts: list[np.ndarray], idf: np.ndarray, usual: float, window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
@@ -148,18 +164,20 @@ def pack_shard(parts: list[np.ndarray], idf: np.ndarray, usual: float, window: i
             break
         take(seed)
         if room:
-            best = index.neighbours(seed, unused)
-            for k in best:
-                if left[k] <= room:
-                    take(k)
-                    if not room:
-                        break
-            if room:
+            scores = index.scores(seed, unused)
+            while room and len(best := best_of(scores)):
+                scores[best] = 0
                 for k in best:
-                    if unused[k]:
+                    if left[k] <= room:
                         take(k)
                         if not room:
                             break
+                if room:
+                    for k in best:
+                        if unused[k]:
+                            take(k)
+                            if not room:
+                                break
         if not room:
             yield sequence
             sequence, room = [], window
