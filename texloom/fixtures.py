@@ -31,7 +31,7 @@ MORE_DOCS = """select doc_id, concat(
  case when doc_id % 5 = 0 then concat(chr(92),'lstset{style=plain}',chr(10)) else '' end,
  chr(92),'begin{document}',chr(10),chr(92),'tableofcontents',chr(10),
  case when doc_id % 2 = 0 then concat(chr(92),'listoffigures',chr(10)) else '' end,
- chr(10),chr(10),'  ',chr(10),chr(10),substr(text,1,200),' % note ',cast(doc_id as varchar(19)),chr(10),'50',chr(92),'% kept',chr(10),
+ chr(10),chr(10),'  ',chr(10),chr(10),text,' % note ',cast(doc_id as varchar(19)),chr(10),'50',chr(92),'% kept',chr(10),
  chr(92),'psfig{fig',cast(doc_id % 9 as varchar(9)),'.ps} ',chr(92),'epsfig{g.eps}',chr(10),
  chr(92),'includegraphics{h',cast(doc_id % 4 as varchar(9)),'} ',chr(92),'includegraphics[scale=2]{h',cast(doc_id % 5 as varchar(9)),'.pdf}',chr(10),
  case when doc_id % 2 = 0 then concat(chr(92),'begin{algorithm}[!htb]',chr(10),' ',chr(92),'caption{A}',chr(92),'label{alg:',cast(doc_id % 6 as varchar(9)),'} x',chr(92),'end{algorithm}',chr(10)) else concat(chr(92),'begin{algorithm*}',chr(10),' ',chr(92),'State y',chr(92),'end{algorithm*}',chr(10)) end,
