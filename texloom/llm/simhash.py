@@ -36,17 +36,24 @@ from .shared import written
 BITS, SHINGLE, DISTANCE, SEED = 64, 3, 2, 42
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
-    """The SimHash of a whole text: lower-cased A-Z, words parted by ASCII white space, shingles with repeats."""
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """A hash of each shingle of a whole text, with repeats: lower-cased A-Z, words parted by ASCII white space."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     flat = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = [0, *ends[:-1].tolist()]
     stops = (ends[shingle - 1 :] - 1).tolist() or [len(flat)]
     one = xxhash.xxh64_intdigest
-    hashes = np.array([one(flat[a:b], SEED) for a, b in zip(starts, stops, strict=False)], np.uint64)
+    return np.array([one(flat[a:b], SEED) for a, b in zip(starts, stops, strict=False)], np.uint64)
+
+
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    """The SimHash of a whole text."""
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, np.int64)
     for k in range(0, len(hashes), 1 << 15):
         ones += np.unpackbits(hashes[k : k + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
