@@ -38,3 +38,12 @@ def test_all_article_text_of_the_synthetic_pages(spark):
         inner = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
         inner = re.sub(r"</?b>", "", inner)
         assert extract(r.html) == " ".join(unescape(re.sub(r"<[^>]+>", " ", inner)).split())
+
+
+STORY = [f"Paragraph {i} of the story with quite a number of words in it." for i in range(8)]
+
+
+def test_a_marked_card_does_not_hide_the_story():
+    story = "".join(f"<p>{x}</p>" for x in STORY)
+    for card in ("<article class='teaser'><p>Another page, and what it is about, in a sentence.</p></article>", "<article><p>Read on.</p></article>"):
+        assert " ".join(STORY) in extract(PAGE % (card + f"<div>{story}</div>"))

@@ -5,10 +5,11 @@ element (scripts, menus, headers, footers, sidebars, notices, adverts, forms,
 reader comments) leaves blank lines. Text lengths are summed over a sliding
 window of lines. Where the sum rises from nothing to text is a surge point,
 where it falls back to nothing a dive point; the text between them is kept.
-If the page marks its article, by an element or else by the class of a
-container, lines outside it count as blank. Otherwise lines
-that are mostly links count as blank, and a region is kept if its text is at
-least LEAST_SHARE of the largest region's.
+Lines that are mostly links count as blank, and a region is kept if its text is
+at least LEAST_SHARE of the largest region's. If the page marks its
+article, by an element or else by the class of a container, the lines in it
+count MARKED times: unless a region outside still has more, lines outside it count as blank
+and all regions in it are kept. An article element marked as a card or teaser is no mark.
 
 Defined results: a null or empty html, or one without text, gives an empty
 text; whole pages of any length are read; unclosed elements end with their
@@ -32,6 +33,8 @@ from .arrow import pieces, texts_of
 #: Lines of a window, and of the gap that a removed element leaves.
 BLOCK = 3
 LEAST_SHARE = 0.1
+#: What text in a marked article weighs against text outside.
+MARKED = 20
 #: Share of a line's text in links from which it counts as a menu's.
 LINKS = 0.6
 
@@ -41,6 +44,10 @@ REMOVED = frozenset("head nav header footer aside form menu dialog button select
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math meter nobr output progress q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset("article main".split())
+#: Elements that hold blocks and whose end tag is not optional.
+CONTAINER = frozenset("div section article main blockquote center ul ol dl table fieldset details".split())
+#: Words of class or id by which an article element is a card about another page.
+CARD = frozenset("card cards teaser teasers".split())
 #: Words of class, id, role and aria-label that mark what is not the article.
 NOT_TEXT = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion promoted "
@@ -73,13 +80,17 @@ def _not_text(attrs: str, marks: set[str]) -> bool:
     return bool(marks & NOT_TEXT) or "header" in marks and marks <= HEADER or bool(attrs) and bool(_HIDDEN.search(attrs))
 
 
-def lines_of(html: str) -> tuple[list[str], list[float], list[int]]:
-    """(lines, share of links, 2 in an article, 1 in an element marked as content, else 0) in page order; removed elements leave BLOCK blank lines."""
+def lines_of(html: str) -> tuple[list[str], list[float], list[int], list[int]]:
+    """(lines, share of links, 2 in an article, 1 in an element marked as content, else 0, number of the container) in page order; removed elements leave BLOCK blank lines."""
     lines: list[str] = []
     links: list[float] = []
     inside: list[int] = []
+    parents: list[int] = []
+    open_: list[tuple[str, int]] = []  # containers
+    made = 0
+    cards: list[bool] = []  # open article elements: whether each is a card
     text: list[str] = []
-    linked = article = anchors = 0
+    linked = anchors = 0
     held, deep, content = None, 0, 0  # an element marked as content, and how many of its name are open
     seen = False  # whether an article has begun
     removed, depth = None, 0  # the element being removed, and how many of its name are open
@@ -91,7 +102,8 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int]]:
         if joined and not joined.isspace():
             lines.append(" ".join(joined.split()))
             links.append(min(1.0, linked / max(1, sum(map(len, text)))))
-            inside.append(2 if article > 0 else 1 if content > 0 else 0)
+            inside.append(2 if not all(cards) else 1 if content > 0 else 0)
+            parents.append(open_[-1][1] if open_ else 0)
         text.clear()
         linked = 0
 
@@ -101,6 +113,7 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int]]:
             lines.append("")
             links.append(0.0)
             inside.append(0)
+            parents.append(-1)
 
     lower, size = html.lower(), len(html)
     while at < size:
@@ -143,11 +156,19 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int]]:
                 continue
             else:
                 continue
-        drop = not closing and name not in VOID and (name in REMOVED or name not in ("html", "body") and (name not in ARTICLE or article > 0) and _not_text(attrs, marks))
+        drop = not closing and name not in VOID and (name in REMOVED or name not in ("html", "body") and (name not in ARTICLE or cards) and _not_text(attrs, marks))
         if drop:
             gap()
             removed, depth = name, 1
             continue
+        if name in CONTAINER:
+            end_line()
+            if not closing:
+                made += 1
+                open_.append((name, made))
+            elif any(n == name for n, _ in open_):
+                while open_.pop()[0] != name:
+                    pass
         if name == held:
             deep += -1 if closing else 1
             if deep == 0:
@@ -161,7 +182,10 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int]]:
         if name in ARTICLE:
             end_line()
             seen = True
-            article = max(0, article + (-1 if closing else 1))
+            if not closing:
+                cards.append(bool(marks & (CARD | NOT_TEXT)))
+            elif cards:
+                cards.pop()
         elif name == "a":
             anchors = 0 if closing else 1
         elif name == "br":
@@ -171,25 +195,36 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int]]:
         else:
             end_line()
     end_line()
-    return lines, links, inside
+    return lines, links, inside, parents
 
 
 def extract(html: str) -> str:
     """The page's main text."""
-    lines, links, inside = lines_of(html)
-    if not lines:
-        return ""
-    marked = max(i if t else 0 for i, t in zip(inside, lines, strict=True))
-    sizes = np.array([len(t) if (i == marked if marked else s < LINKS) else 0 for t, s, i in zip(lines, links, inside, strict=True)])
+    lines, links, inside, parents = lines_of(html)
+    marked = max((i for i, t in zip(inside, lines, strict=True) if t), default=0)
+    if marked:
+        mine = np.array([len(t) if i == marked else 0 for t, i in zip(lines, inside, strict=True)])
+        others = np.array([len(t) if i != marked and s < LINKS else 0 for t, s, i in zip(lines, links, inside, strict=True)])
+        if MARKED * mine.sum() >= max((others[a:b].sum() for a, b in _regions(others, parents)), default=0):
+            return " ".join(t for t, n in zip(lines, mine, strict=True) if n)
+    sizes = np.array([len(t) if s < LINKS else 0 for t, s in zip(lines, links, strict=True)], int)
+    found = _regions(sizes, parents)
+    mass = [sizes[a:b].sum() for a, b in found]
+    kept = [(a, b) for (a, b), m in zip(found, mass, strict=True) if m >= LEAST_SHARE * max(mass)]
+    return " ".join(lines[k] for a, b in kept for k in range(a, b) if sizes[k])
+
+
+def _regions(sizes: np.ndarray, parents: list[int]) -> list[tuple[int, int]]:
+    """(surge, dive) of each region."""
     if not sizes.any():
-        return ""
+        return []
     # distribution[k]: text of the BLOCK lines up to k; surges where a line has text after nothing, dives where a whole window has none
     distribution = np.convolve(sizes, np.ones(BLOCK, int))[: len(sizes)]
     flow = np.concatenate([[0], distribution > 0, [0]])
-    surges, dives = np.flatnonzero(np.diff(flow) == 1), np.flatnonzero(np.diff(flow) == -1)
-    mass = np.array([sizes[a:b].sum() for a, b in zip(surges, dives, strict=True)])
-    kept = [(a, b) for a, b, m in zip(surges, dives, mass, strict=True) if marked or m >= LEAST_SHARE * mass.max()]
-    return " ".join(lines[k] for a, b in kept for k in range(a, b) if sizes[k])
+    out: list[tuple[int, int]] = []
+    for a, b in zip(np.flatnonzero(np.diff(flow) == 1), np.flatnonzero(np.diff(flow) == -1), strict=True):
+        out.append((a, b))
+    return out
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
