@@ -47,3 +47,9 @@ def test_a_marked_card_does_not_hide_the_story():
     story = "".join(f"<p>{x}</p>" for x in STORY)
     for card in ("<article class='teaser'><p>Another page, and what it is about, in a sentence.</p></article>", "<article><p>Read on.</p></article>"):
         assert " ".join(STORY) in extract(PAGE % (card + f"<div>{story}</div>"))
+
+
+def test_short_paragraphs_cut_off_by_removed_elements_stay():
+    story = "".join(f"<p>{x}</p>" for x in STORY)
+    ad = "<div class='ad'>Buy</div>"
+    assert extract(PAGE % f"<div><p>So it began.</p>{ad}{story}{ad}<p>The end.</p></div><div class='ad'>x</div><div>Elsewhere</div>") == " ".join(["So it began.", *STORY, "The end."])

@@ -6,7 +6,8 @@ reader comments) leaves blank lines. Text lengths are summed over a sliding
 window of lines. Where the sum rises from nothing to text is a surge point,
 where it falls back to nothing a dive point; the text between them is kept.
 Lines that are mostly links count as blank, and a region is kept if its text is
-at least LEAST_SHARE of the largest region's. If the page marks its
+at least LEAST_SHARE of the largest region's. Regions parted only by removed
+elements within the same container are one region. If the page marks its
 article, by an element or else by the class of a container, the lines in it
 count MARKED times: unless a region outside still has more, lines outside it count as blank
 and all regions in it are kept. An article element marked as a card or teaser is no mark.
@@ -215,7 +216,7 @@ def extract(html: str) -> str:
 
 
 def _regions(sizes: np.ndarray, parents: list[int]) -> list[tuple[int, int]]:
-    """(surge, dive) of each region."""
+    """(surge, dive) of each region; those parted only by removed elements within a container are one."""
     if not sizes.any():
         return []
     # distribution[k]: text of the BLOCK lines up to k; surges where a line has text after nothing, dives where a whole window has none
@@ -223,6 +224,11 @@ def _regions(sizes: np.ndarray, parents: list[int]) -> list[tuple[int, int]]:
     flow = np.concatenate([[0], distribution > 0, [0]])
     out: list[tuple[int, int]] = []
     for a, b in zip(np.flatnonzero(np.diff(flow) == 1), np.flatnonzero(np.diff(flow) == -1), strict=True):
+        if out:
+            last = out[-1][0] + np.flatnonzero(sizes[out[-1][0] : out[-1][1]])[-1]
+            if parents[last] == parents[a] and all(p < 0 for p in parents[last + 1 : a]):
+                out[-1] = (out[-1][0], b)
+                continue
         out.append((a, b))
     return out
 
