@@ -2,7 +2,8 @@
 
 Each file begins with a skippable frame (magic 0x184D2A5D) that holds the
 dictionary, trained on the first records that the file's task writes (at most
-TRAIN_BYTES). Every record, a WARC/1.1 header and block, is a frame of its own.
+TRAIN_BYTES); where they have 512 KB or less, or nothing in common, it is empty and
+the records are compressed without one. Every record, a WARC/1.1 header and block, is a frame of its own.
 
 Of the pages with equal payloads the one with the smallest page_id is a response
 and the others are revisit records, which carry the HTTP header with the
