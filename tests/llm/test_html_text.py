@@ -1,9 +1,10 @@
 import re
 from html import unescape
 
+import numpy as np
 import pytest
 
-from texloom.llm.html_text import extract, extract_pages
+from texloom.llm.html_text import BLOCK, LEAST_SHARE, LINKS, MARKED, extract, extract_pages, kept_lines
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no";</script></head><body class="has-sidebar-none">
 <header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></ul></nav><!-- x --><div class="ad">Buy</div><div id="cookie-notice"><p>We use <b>cookies</b></p><div>ok</div></div>
@@ -53,3 +54,63 @@ def test_short_paragraphs_cut_off_by_removed_elements_stay():
     story = "".join(f"<p>{x}</p>" for x in STORY)
     ad = "<div class='ad'>Buy</div>"
     assert extract(PAGE % f"<div><p>So it began.</p>{ad}{story}{ad}<p>The end.</p></div><div class='ad'>x</div><div>Elsewhere</div>") == " ".join(["So it began.", *STORY, "The end."])
+
+
+def plain_kept(lines, links, inside, parents):
+    """The definition, line by line."""
+    level = max([i for i, t in zip(inside, lines) if t], default=0)
+    marked = [level > 0 and i == level for i in inside]
+    size = [len(t) * (MARKED if m else 0 if x >= LINKS else 1) for t, m, x in zip(lines, marked, links)]
+    window = [sum(size[max(0, k - BLOCK + 1) : k + 1]) for k in range(len(size))]
+    regions, now = [], None
+    for k, w in enumerate(window + [0]):
+        if w and now is None:
+            now = k
+        if not w and now is not None:
+            held = [j for j in range(now, k) if j < len(size) and size[j]]
+            if regions and parents[regions[-1][-1]] == parents[held[0]] and all(parents[j] < 0 for j in range(regions[-1][-1] + 1, held[0])):
+                regions[-1] += held
+            else:
+                regions.append(held)
+            now = None
+    ours = [any(marked[j] for j in r) for r in regions]
+    mass = [sum(size[j] for j in r) for r in regions]
+    mass = [sum(m for m, o in zip(mass, ours) if o) if o else m for m, o in zip(mass, ours)]
+    good = [m >= LEAST_SHARE * max(mass) for m in mass]
+    if True in good and not any(ours):
+        first, last = good.index(True), len(good) - 1 - good[::-1].index(True)
+        good = [first <= k <= last for k in range(len(good))]
+    return [j for r, ok in zip(regions, good) if ok for j in r]
+
+
+@pytest.mark.parametrize("seed", range(200))
+def test_surge_and_dive_points_against_the_definition(seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(0, 60))
+    blank = rng.random(n) < rng.choice([0.2, 0.5, 0.8])
+    lines = ["" if b else "x" * int(2 ** rng.uniform(0, 10)) for b in blank]
+    links = [float(x) for x in rng.choice([0.0, 0.59, 0.6, 1.0], n, p=[0.7, 0.1, 0.1, 0.1])]
+    most = rng.choice([0, 1, 2])
+    inside = [0 if b else int(x) for b, x in zip(blank, rng.integers(0, most + 1, n) * (rng.random(n) < 0.3))]
+    parents = [-1 if b else int(x) for b, x in zip(blank, rng.integers(0, 4, n))]
+    assert kept_lines(lines, links, inside, parents) == plain_kept(lines, links, inside, parents)
+
+
+def test_letters_whose_lower_case_is_longer_shift_nothing():
+    assert extract("<p>İ x20</p><script>x</script><p>abc</p><p>def ghi</p>") == "İ x20 abc def ghi"
+    assert extract("<p>" + "İ" * 50 + "</p><STYLE>p{}</STYLE><p>abc</p>") == "İ" * 50 + " abc"
+
+
+def test_without_marks_and_lists_the_distribution_tells_text_from_the_rest():
+    story = "".join(f"<p>{x}</p>" for x in STORY)
+    page = f"<body><div class='zq'>Buy this at once.</div><div><h1>What happened</h1>{story}</div><div class='zr'>Some fine print.</div></body>"
+    assert extract(page) == " ".join(["What happened", *STORY])
+
+
+def test_all_articles_of_a_page_are_one():
+    assert extract(f"<article><p>{'long ' * 400}</p></article><div>between</div><article><p>Be.</p></article>") == " ".join(["long"] * 400 + ["Be."])
+
+
+def test_equal_regions_are_kept_together():
+    a = "<div><p>Some text of a length.</p></div>"
+    assert extract(a + "<nav>x</nav>" + a) == "Some text of a length. Some text of a length."

@@ -1,22 +1,27 @@
 """HTML extraction by line-block distribution.
 
-Markup is stripped to lines: each block of a page is a line, and every removed
-element (scripts, menus, headers, footers, sidebars, notices, adverts, forms,
-reader comments) leaves blank lines. Text lengths are summed over a sliding
-window of lines. Where the sum rises from nothing to text is a surge point,
-where it falls back to nothing a dive point; the text between them is kept.
-Lines that are mostly links count as blank, and a region is kept if its text is
-at least LEAST_SHARE of the largest region's. Regions parted only by removed
-elements within the same container are one region. If the page marks its
-article, by an element or else by the class of a container, the lines in it
-count MARKED times: unless a region outside still has more, lines outside it count as blank
-and all regions in it are kept. An article element marked as a card or teaser is no mark.
+Markup is stripped to lines: each block of a page is a line. Removed elements
+(scripts, menus, headers, footers, sidebars, notices, adverts, forms, reader
+comments) leave BLOCK blank lines, and where a dividing container starts or
+ends there are STEP. A line's size is the length of its text; lines that are
+mostly links have none, and those in what the page marks as its article, by an
+element or else by the class of a container, have MARKED times their length.
+Sizes are summed over a sliding window of BLOCK lines: where the sum rises from
+nothing is a surge point, where it falls back to nothing a dive point, and what
+lies between is a region. Regions parted only by blank lines within one
+container are one, and so are all that the page marks. A region is kept if its
+size is at least LEAST_SHARE of the largest one's; without any mark the regions
+between two kept ones are kept too.
+
+So marks only weigh: text outside a marked article is kept where a region of it
+has MARKED * LEAST_SHARE times the article's text. An article element marked as a card or
+teaser is no mark. A marked article is not cut at removed elements or containers.
 
 Defined results: a null or empty html, or one without text, gives an empty
-text; whole pages of any length are read; unclosed elements end with their
-parent, and a removed one at the latest where the first article begins; repeated rows
-get equal results; an empty table gives an empty result; extra columns are not
-looked at.
+text; whole pages of any length are read; regions of equal size are kept or
+dropped together; unclosed elements end with their parent, and a removed one at
+the latest where the first article begins; repeated rows get equal results; an
+empty table gives an empty result; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -31,11 +36,14 @@ from pyspark.sql import DataFrame
 
 from .arrow import pieces, texts_of
 
-#: Lines of a window, and of the gap that a removed element leaves.
+#: Lines of a window, and blank lines where a removed element was.
 BLOCK = 3
+#: Blank lines where a dividing container starts or ends: two containers side by side are parted, one inside text is not.
+STEP = 2
+#: Share of the largest region's size from which a region is kept.
 LEAST_SHARE = 0.1
-#: What text in a marked article weighs against text outside.
-MARKED = 20
+#: What text in a marked article weighs.
+MARKED = 200
 #: Share of a line's text in links from which it counts as a menu's.
 LINKS = 0.6
 
@@ -47,6 +55,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 ARTICLE = frozenset("article main".split())
 #: Elements that hold blocks and whose end tag is not optional.
 CONTAINER = frozenset("div section article main blockquote center ul ol dl table fieldset details".split())
+#: Elements whose start and end part lines, when they are not removed.
+DIVIDING = frozenset("div section article main center fieldset details header footer aside nav".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words of class or id by which an article element is a card about another page.
 CARD = frozenset("card cards teaser teasers".split())
 #: Words of class, id, role and aria-label that mark what is not the article.
@@ -81,8 +92,15 @@ def _not_text(attrs: str, marks: set[str]) -> bool:
     return bool(marks & NOT_TEXT) or "header" in marks and marks <= HEADER or bool(attrs) and bool(_HIDDEN.search(attrs))
 
 
+def _end_of_raw(name: str) -> re.Pattern:
+    return re.compile(rf"(?ai)</{name}")
+
+
+_RAW_ENDS = {name: _end_of_raw(name) for name in RAW}
+
+
 def lines_of(html: str) -> tuple[list[str], list[float], list[int], list[int]]:
-    """(lines, share of links, 2 in an article, 1 in an element marked as content, else 0, number of the container) in page order; removed elements leave BLOCK blank lines."""
+    """(lines, share of links, 2 in an article, 1 in an element marked as content, else 0, number of the container or -1 for blank lines) in page order."""
     lines: list[str] = []
     links: list[float] = []
     inside: list[int] = []
@@ -92,10 +110,14 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int], list[int]]:
     cards: list[bool] = []  # open article elements: whether each is a card
     text: list[str] = []
     linked = anchors = 0
-    held, deep, content = None, 0, 0  # an element marked as content, and how many of its name are open
+    held, deep = None, 0  # an element marked as content, and how many of its name are open
     seen = False  # whether an article has begun
     removed, depth = None, 0  # the element being removed, and how many of its name are open
-    at = 0
+    headed = -1  # number of lines when the last heading ended
+    at, size = 0, len(html)
+
+    def mark() -> int:
+        return 2 if not all(cards) else 1 if held else 0
 
     def end_line() -> None:
         nonlocal linked
@@ -103,20 +125,23 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int], list[int]]:
         if joined and not joined.isspace():
             lines.append(" ".join(joined.split()))
             links.append(min(1.0, linked / max(1, sum(map(len, text)))))
-            inside.append(2 if not all(cards) else 1 if content > 0 else 0)
+            inside.append(mark())
             parents.append(open_[-1][1] if open_ else 0)
         text.clear()
         linked = 0
 
+    def blank(n: int) -> None:
+        lines.extend([""] * n)
+        links.extend([0.0] * n)
+        inside.extend([0] * n)
+        parents.extend([-1] * n)
+
     def gap() -> None:
+        """Where a removed element was; a marked article goes on behind it."""
         end_line()
-        for _ in range(BLOCK):
-            lines.append("")
-            links.append(0.0)
-            inside.append(0)
-            parents.append(-1)
+        if not mark():
+            blank(BLOCK)
 
-    lower, size = html.lower(), len(html)
     while at < size:
         m = _TOKEN.search(html, at)
         upto = m.start() if m else size
@@ -136,9 +161,9 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int], list[int]]:
         attrs = m["attrs"] or m["attrs2"] or ""
         marks = _marks(attrs) if attrs and not closing and "=" in attrs else set()
         if name in RAW and not closing:
-            stop = lower.find(f"</{name}", at)
-            at = size if stop < 0 else (html.find(">", stop) + 1 or size)
-            if removed is None and name != "wbr":
+            stop = _RAW_ENDS[name].search(html, at)
+            at = (html.find(">", stop.start()) + 1 or size) if stop else size
+            if removed is None:
                 gap()
             continue
         if removed is not None:
@@ -162,77 +187,89 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int], list[int]]:
             gap()
             removed, depth = name, 1
             continue
-        if name in CONTAINER:
-            end_line()
-            if not closing:
-                made += 1
-                open_.append((name, made))
-            elif any(n == name for n, _ in open_):
-                while open_.pop()[0] != name:
-                    pass
-        if name == held:
-            deep += -1 if closing else 1
-            if deep == 0:
-                end_line()
-                held = None
-                content -= 1
-        elif held is None and not closing and name in ("div", "section", "td") and marks & CONTENT:
-            end_line()
-            held, deep = name, 1
-            content += 1
-        if name in ARTICLE:
-            end_line()
-            seen = True
-            if not closing:
-                cards.append(bool(marks & (CARD | NOT_TEXT)))
-            elif cards:
-                cards.pop()
-        elif name == "a":
+        if name == "a":
             anchors = 0 if closing else 1
         elif name == "br":
             text.append(" ")
-        elif name == "q" or name in INLINE or name in ("img", "input"):
-            pass
-        else:
+        elif name not in INLINE and name not in ("img", "input"):
             end_line()
+            before = mark()
+            if closing and name in HEADING:
+                headed = len(lines)
+            if name in CONTAINER:
+                if not closing:
+                    made += 1
+                    open_.append((name, made))
+                elif any(n == name for n, _ in open_):
+                    while open_.pop()[0] != name:
+                        pass
+            if name == held:
+                deep += -1 if closing else 1
+                held = held if deep else None
+            elif held is None and not closing and name in ("div", "section", "td") and marks & CONTENT:
+                held, deep = name, 1
+            if name in ARTICLE:
+                seen = True
+                if not closing:
+                    cards.append(bool(marks & (CARD | NOT_TEXT)))
+                elif cards:
+                    cards.pop()
+            if before != mark():
+                blank(BLOCK)
+            elif not before and name in DIVIDING and headed != len(lines):  # a heading goes with what follows it
+                blank(STEP)
     end_line()
     return lines, links, inside, parents
 
 
-def extract(html: str) -> str:
-    """The page's main text."""
-    lines, links, inside, parents = lines_of(html)
-    marked = max((i for i, t in zip(inside, lines, strict=True) if t), default=0)
-    if marked:
-        mine = np.array([len(t) if i == marked else 0 for t, i in zip(lines, inside, strict=True)])
-        others = np.array([len(t) if i != marked and s < LINKS else 0 for t, s, i in zip(lines, links, inside, strict=True)])
-        if MARKED * mine.sum() >= max((others[a:b].sum() for a, b in _regions(others, parents)), default=0):
-            return " ".join(t for t, n in zip(lines, mine, strict=True) if n)
-    sizes = np.array([len(t) if s < LINKS else 0 for t, s in zip(lines, links, strict=True)], int)
-    found = _regions(sizes, parents)
-    mass = [sizes[a:b].sum() for a, b in found]
-    kept = [(a, b) for (a, b), m in zip(found, mass, strict=True) if m >= LEAST_SHARE * max(mass)]
-    return " ".join(lines[k] for a, b in kept for k in range(a, b) if sizes[k])
-
-
-def _regions(sizes: np.ndarray, parents: list[int]) -> list[tuple[int, int]]:
-    """(surge, dive) of each region; those parted only by removed elements within a container are one."""
+def sizes_of(lines: list[str], links: list[float], inside: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(size of each line, whether it is in what the page marks as its article); the strongest kind of mark counts."""
+    level = max((i for i, t in zip(inside, lines, strict=True) if t), default=0)
+    marked = np.array([bool(level) and i == level for i in inside], bool)
+    length = np.array([len(t) for t in lines], np.int64)
+    return length * np.where(marked, MARKED, np.array(links) < LINKS), marked
+
+
+def regions_of(sizes: np.ndarray, parents: list[int]) -> list[tuple[int, int]]:
+    """(surge, dive) of each region; those parted only by blank lines within a container are one."""
     if not sizes.any():
         return []
-    # distribution[k]: text of the BLOCK lines up to k; surges where a line has text after nothing, dives where a whole window has none
-    distribution = np.convolve(sizes, np.ones(BLOCK, int))[: len(sizes)]
+    # distribution[k]: sizes of the BLOCK lines up to k; surges where a line has text after nothing, dives where a whole window has none
+    distribution = np.convolve(sizes, np.ones(BLOCK, np.int64))[: len(sizes)]
     flow = np.concatenate([[0], distribution > 0, [0]])
     out: list[tuple[int, int]] = []
     for a, b in zip(np.flatnonzero(np.diff(flow) == 1), np.flatnonzero(np.diff(flow) == -1), strict=True):
         if out:
             last = out[-1][0] + np.flatnonzero(sizes[out[-1][0] : out[-1][1]])[-1]
             if parents[last] == parents[a] and all(p < 0 for p in parents[last + 1 : a]):
-                out[-1] = (out[-1][0], b)
+                out[-1] = (out[-1][0], int(b))
                 continue
-        out.append((a, b))
+        out.append((int(a), int(b)))
     return out
 
 
+def kept_lines(lines: list[str], links: list[float], inside: list[int], parents: list[int]) -> list[int]:
+    """The lines, by number, that the distribution keeps."""
+    sizes, marked = sizes_of(lines, links, inside)
+    found = regions_of(sizes, parents)
+    if not found:
+        return []
+    ours = np.array([bool(marked[a:b].any()) for a, b in found])
+    mass = np.array([sizes[a:b].sum() for a, b in found])
+    mass[ours] = mass[ours].sum()
+    good = mass >= LEAST_SHARE * mass.max()
+    if not ours.any():
+        among = np.flatnonzero(good)
+        good[among[0] : among[-1]] = True
+    return [k for (a, b), ok in zip(found, good, strict=True) if ok for k in range(a, b) if sizes[k]]
+
+
+def extract(html: str) -> str:
+    """The page's main text."""
+    found = lines_of(html)
+    return " ".join(found[0][k] for k in kept_lines(*found))
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
 
