@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from brute import contamination
 from texloom.llm import decontam
 
@@ -16,10 +18,10 @@ def test_equals_brute_force(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").selectExpr("*", "1 as n_words", "'x' as item_id")
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     want = contamination(texts, [x for x in items if x[0] is not None])
-    for chars in (1 << 20, 150):  # one block; several
-        got = {r[0]: tuple(r[1:]) for r in decontam.match(df, bench, chars).collect()}
+    for how in ((decontam.FILTER_BITS, 1 << 20), (decontam.FILTER_BITS, -1), (64, -1)):  # all small; shuffled; a filter that lets all pass
+        got = {r[0]: tuple(r[1:]) for r in decontam.match(df, bench, *how).collect()}
         assert [got[i] for i in range(len(texts))] == want
-        kept = decontam.drop_contaminated(df, bench, chars)
+        kept = decontam.drop_contaminated(df, bench, *how)
         assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [i for i, w in enumerate(want) if not w[4]]
 
 
@@ -28,3 +30,26 @@ def test_empty_tables(spark):
     assert decontam.match(docs, bench).count() == 0
     one = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     assert [tuple(r)[:4] for r in decontam.match(one, bench).collect()][0][:3] == (1, 2, 0)
+
+
+def test_long_texts_repeated_rows_and_clashing_names(spark):
+    passage = " ".join(f"w{k}" for k in range(60))
+    long = "filler text " * 200_000
+    texts = [long, long + passage, passage, passage, "A " + passage.upper(), None]
+    df = spark.createDataFrame([(i if i != 3 else None, t) for i, t in enumerate(texts)], "doc_id bigint, text string").selectExpr("*", "1 as key", "2 as n_hit", "'x' as hash", "'y' as item_id")
+    bench = spark.createDataFrame([("a", passage), ("b", passage), ("b", passage), ("c", "other words")], "item_id string, text string").selectExpr("*", "3 as size", "4 as no")
+    want = contamination(texts, [("a", passage), ("b", passage), ("c", "other words")])
+    got = sorted((str(r[0]), tuple(r[1:])) for r in decontam.match(df, bench).collect())
+    assert got == sorted((str(i if i != 3 else None), w) for i, w in enumerate(want))
+    kept = decontam.drop_contaminated(df, bench)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 5]
+
+
+def test_the_filter_knows_all_that_was_put_in(spark):
+    bench = spark.createDataFrame([(k, " ".join(f"t{k}x{j}" for j in range(k % 30))) for k in range(200)], "item_id bigint, text string")
+    items = decontam.benchmark_shingles(bench)
+    uri, least = decontam.write_filter(items)
+    bits = decontam._filter(uri)
+    for r in items.collect():
+        assert r.n >= 1 and decontam.known(np.array(r.hashes, np.int64).view(np.uint64), bits).all()
+    assert least == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1}

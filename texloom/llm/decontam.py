@@ -1,42 +1,67 @@
 """Benchmark decontamination: a prefix-filtered set join of documents with benchmark windows.
 
-An item's windows are its runs of 13 words (all its words if it has fewer).
-Each window is a set of word shingles, ordered by their rarity over all
-documents; as a window must be contained whole, its single rarest shingle is
-the necessary prefix. Documents are probed with the prefix shingles only; a
-match gives the window's place by the shingle's position in it (positional
-bound), which must lie within the document (length bound), and the words there
-are compared with the window.
-
-Memory: the index holds one block of the benchmark of a fixed size; a larger
-benchmark is worked off block by block, each against all documents, so no
-size of it is cut. Documents are never shuffled.
+An item's windows are its runs of 13 words (all its words if it has fewer). A
+window holds the word shingles of SHINGLE words (one shingle if it is shorter);
+a document contains it only if it contains them all, one behind the other.
+
+1. All shingle hashes of the benchmark are set in a Bloom filter of a fixed size.
+2. One pass over the documents keeps the runs of consecutive shingles that the
+   filter knows and that are long enough for a window (length bound), with
+   their words. Nothing else of a document goes on.
+3. Over the runs of all documents each shingle is counted. Windows with a
+   shingle that no document has are gone. The rarest shingle of each other
+   window is its prefix: a document that lacks it cannot hold the window.
+4. Prefixes and runs are joined by hash. The shingle's place in the window
+   gives the window's place in the run, which must lie within (positional bound).
+5. There the words are compared with the window's.
+
+Memory: the filter has FILTER_BITS bits at most, whatever the benchmark's size
+(more shingles let more runs pass, and change no result); everything else is a
+distributed table. Equal texts are one key from step 3 on, so copies are joined
+once. Prefixes are sent to all tasks only up to BROADCAST_BYTES; beyond it they
+are joined by a shuffle in which the runs' side is salted.
 
 Defined results: null and empty texts have no words, no hits and are clean;
-items without words or without an id have no windows; repeated items count
-once by id; repeated documents get equal rows; empty tables give empty results
-or clean documents; extra columns are not looked at.
+whole texts of any length are read; items without words or without an id have
+no windows; repeated items count once by id; of equally rare shingles the first
+is the prefix, which changes no result; repeated documents get equal rows; a
+null doc_id stays null; empty tables give empty results or clean documents;
+extra columns are not looked at, those of drop_contaminated are kept and its
+own are named _td_*.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .arrow import pieces, texts_of
-from .shared import written
-
-WINDOW, SHINGLE = 13, 3
-#: Characters of benchmark text in one block.
-BLOCK_CHARS = 16 << 20
+from .files import new_file, open_file
+from .shared import new_path, table_bytes, written
+
+WINDOW, SHINGLE = 13, 5
+#: Bits of the filter for each shingle, and at most and least in all (powers of two).
+BITS_EACH, FILTER_BITS, LEAST_BITS = 16, 1 << 29, 1 << 16
+#: Bits set for a shingle.
+PROBES = 3
+#: Tables up to this size are sent to every task.
+BROADCAST_BYTES = 16 << 20
+SALTS = 8
+#: Words whose hashes a worker remembers.
+REMEMBERED = 1 << 19
 
 #: A-Z become lower case; all other ASCII but digits and letters parts words.
 _FOLD = bytes(x + 32 if 65 <= x <= 90 else x if 48 <= x <= 57 or 97 <= x <= 122 or x >= 128 else 32 for x in range(256))
+_MIX = np.random.default_rng(13).integers(1, 1 << 63, (WINDOW + 1, WINDOW), np.uint64) | np.uint64(1)
+
+RESULT = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+_RUNS = "array<struct<start:int,size:int,words:string,hashes:array<bigint>>>"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -44,137 +69,224 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
-def shingles_of(words: list[bytes], size: int) -> Iterator[tuple[bytes, ...]]:
-    return zip(*(words[i:] for i in range(size)), strict=False)
+class _Hashes(dict):
+    """word -> hash, for the words met last."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = xxhash.xxh64_intdigest(word)
+        return found
+
 
+_HASHES = _Hashes()
 
-class Windows:
-    """The windows of one block of items: window words -> item ids."""
 
-    def __init__(self, items: list[tuple[str, str]]):
-        self.items: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-        for name, text in items:
-            words = words_of(text)
-            for window in shingles_of(words, WINDOW) if len(words) >= WINDOW else [tuple(words)] if words else []:
-                self.items[window].add(name)
-        #: by shingle size, which is under SHINGLE only for windows that short
-        self.vocabulary: dict[int, dict[tuple[bytes, ...], int]] = defaultdict(dict)
-        for window in self.items:
-            known = self.vocabulary[min(SHINGLE, len(window))]
-            for x in shingles_of(list(window), min(SHINGLE, len(window))):
-                known.setdefault(x, len(known))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
-    def index(self, seen: dict[tuple[int, int], int]) -> dict:
-        """size -> rarest shingle -> [(its offset, window length, {window: ids})]; seen: documents by (size, shingle number)."""
-        found: dict = defaultdict(lambda: defaultdict(lambda: defaultdict(dict)))
-        for window, ids in self.items.items():
-            size = min(SHINGLE, len(window))
-            known = self.vocabulary[size]
-            at, rarest = min(enumerate(shingles_of(list(window), size)), key=lambda x: (seen.get((size, known[x[1]]), 0), x))
-            found[size][rarest][at, len(window)][window] = sorted(ids)
-        return {size: {k: [(*where, windows) for where, windows in sorted(v.items())] for k, v in by.items()} for size, by in found.items()}
 
+def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of `size` words, from the words' hashes."""
+    n = len(hashes) - size + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    out = np.full(n, _MIX[size, -1])
+    for j in range(size):
+        out ^= hashes[j : j + n] * _MIX[size, j]
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
 
-def document_frequency(docs: DataFrame, windows: Windows) -> dict[tuple[int, int], int]:
-    """Documents with each shingle of the windows, counted over all documents."""
-    vocabulary = {k: dict(v) for k, v in windows.vocabulary.items()}
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {size: np.zeros(len(known), np.int64) for size, known in vocabulary.items()}
+def benchmark_shingles(benchmark: DataFrame) -> DataFrame:
+    """no, item_id, text, n (words), size and hashes of the shingles of each item with words, each (id, text) once."""
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                for text in texts_of(part):
+                rows = []
+                for name, text in zip(part.column("item_id").to_pylist(), texts_of(part), strict=True):
                     words = words_of(text)
-                    for size, known in vocabulary.items():
-                        if here := known.keys() & set(shingles_of(words, size)):
-                            sums[size][[known[x] for x in here]] += 1
-        for size, n in sums.items():
-            k = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), size, np.int32)), pa.array(k), pa.array(n[k])], ["size", "k", "n"])
-
-    found = docs.select("text").mapInArrow(count, "size int, k bigint, n bigint").groupBy("size", "k").agg(F.sum("n").alias("n"))
-    return {(r.size, r.k): r.n for r in found.toPandas().itertuples()}  # as many rows as the block has shingles
-
-
-def _probe(words: list[bytes], index: dict, hit: np.ndarray, items: set[str]) -> None:
-    n = len(words)
-    for size, by in index.items():
-        for i, shingle in enumerate(shingles_of(words, size)):
-            if shingle in by:
-                for offset, length, windows in by[shingle]:
-                    start = i - offset
-                    if start >= 0 and start + length <= n and (ids := windows.get(tuple(words[start : start + length]))):
-                        hit[start : start + length] = True
-                        items.update(ids)
-
-
-def _marked(docs: DataFrame, index: dict, last: bool) -> DataFrame:
-    """One pass over all documents; `hits` and `items` carry what earlier blocks found. last: the result columns instead of text and state."""
-    first = "_hits" not in docs.columns
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                    if words:
+                        size = min(SHINGLE, len(words))
+                        rows.append((name, text, len(words), size, shingle_hashes(word_hashes(words), size).view(np.int64)))
+                kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)], ["item_id", "text", "n", "size", "hashes"])
+
+    found = items.mapInArrow(run, "item_id string, text string, n int, size int, hashes array<bigint>")
+    return written(found.withColumn("no", F.monotonically_increasing_id()), "benchmark-shingles")
+
+
+def _places(h: Column, bits: int) -> Column:
+    """The bits of a hash in a filter of `bits` (a power of two)."""
+    return F.array(*(F.shiftrightunsigned(h, k * 17).bitwiseAND(F.lit(bits - 1)) for k in range(PROBES)))
+
+
+def write_filter(items: DataFrame, most_bits: int = FILTER_BITS) -> tuple[str, dict[int, int]]:
+    """(URI of the filter's bytes, by shingle size the fewest consecutive shingles of a window)."""
+    spark = items.sparkSession
+    sizes = items.groupBy("size").agg(F.min(F.least("n", F.lit(WINDOW)) - F.col("size") + 1).alias("runs"), F.sum(F.size("hashes")).alias("many")).collect()  # SHINGLE rows at most
+    bits = min(most_bits, max(LEAST_BITS, 1 << max(0, int(BITS_EACH * sum(r.many for r in sizes)) - 1).bit_length()))
+    at = items.select(F.explode("hashes").alias("h")).select(F.explode(_places(F.col("h"), bits)).alias("p"))
+    words = at.groupBy(F.shiftright("p", 6).cast("int").alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("v"))
+    made = np.zeros(bits // 64, np.int64)
+    if sizes:
+        found = words.toArrow()  # bits / 64 rows at most
+        made[found.column("k").to_numpy()] = found.column("v").to_numpy()
+    with new_file(new_path(spark, "benchmark-filter"), "bits") as (out, uri):
+        out.write(made.astype("<i8").tobytes())
+    return uri, {r["size"]: r["runs"] for r in sizes}
+
+
+@functools.lru_cache(maxsize=1)
+def _filter(uri: str) -> np.ndarray:
+    with open_file(uri) as f:
+        return np.frombuffer(f.read(), "<u8")
+
+
+def known(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which hashes the filter may hold."""
+    ok = np.ones(len(hashes), bool)
+    for k in range(PROBES):
+        p = (hashes >> np.uint64(17 * k)) & np.uint64(64 * len(bits) - 1)
+        ok &= (bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+    return ok
+
+
+def runs_of(words: list[bytes], bits: np.ndarray, least: dict[int, int]) -> list[tuple[int, int, str, np.ndarray]]:
+    """(start, shingle size, words, hashes) of the runs of known shingles that are long enough for a window."""
+    out = []
+    hashed = word_hashes(words)
+    for size, fewest in least.items():
+        hashes = shingle_hashes(hashed, size)
+        ok = known(hashes, bits)
+        edge = np.diff(np.concatenate([[0], ok.view(np.int8), [0]]))
+        for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+            if b - a >= fewest:
+                out.append((a, size, b" ".join(words[a : b + size - 1]).decode("utf-8", "surrogatepass"), hashes[a:b].view(np.int64)))
+    return out
+
+
+def with_runs(docs: DataFrame, uri: str, least: dict[int, int]) -> DataFrame:
+    """doc_id, n_words, key (of the text) and runs of every document; without runs both are null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = _filter(uri)
+        run_type = pa.struct([("start", pa.int32()), ("size", pa.int32()), ("words", pa.string()), ("hashes", pa.list_(pa.int64()))])
         for batch in batches:
             for part in pieces(batch, "text"):
-                before = None if first else (part.column("_hits").to_pylist(), part.column("_items").to_pylist())
-                out = []
-                for k, text in enumerate(texts_of(part)):
+                n, keys, runs = [], [], []
+                for text in texts_of(part):
                     words = words_of(text)
-                    hit = np.zeros(len(words), bool) if first else np.unpackbits(np.frombuffer(before[0][k], np.uint8), count=len(words)).astype(bool)
-                    items = set() if first else set(before[1][k])
-                    _probe(words, index, hit, items)
-                    n, names = int(hit.sum()), sorted(items)
-                    if last:
-                        out.append((len(words), n, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), n > 0 and 20 * n >= len(words)))
-                    else:
-                        out.append((np.packbits(hit).tobytes(), names))
-                columns = list(zip(*out, strict=True))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()] if last else [pa.binary(), pa.list_(pa.string())]
-                made = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *([] if last else [part.column("text")]), *made], ["doc_id", *(RESULT if last else ["text", "_hits", "_items"])])
+                    found = runs_of(words, bits, least)
+                    n.append(len(words))
+                    keys.append(hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest() if found else None)
+                    runs.append([dict(zip(("start", "size", "words", "hashes"), r, strict=True)) for r in found] or None)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.string()), pa.array(runs, pa.list_(run_type))], ["doc_id", "n_words", "key", "runs"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(mark, f"doc_id {kind}, " + ("n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean" if last else "text string, _hits binary, _items array<string>"))
-
-
-RESULT = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words bigint, key string, runs {_RUNS}")
 
-def _blocks(benchmark: DataFrame, chars: int) -> list[DataFrame]:
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    n = max(1, -(-(items.agg(F.sum(F.length("text") + 64)).head()[0] or 0) // chars))
-    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
 
+def prefixes(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """hash, at, length, words, ids of each window all of whose shingles occur in documents. counts: hash, n."""
+    spread = items.select("no", F.posexplode("hashes").alias("at", "hash"))
+    seen = spread.join(counts, "hash").groupBy("no").agg(F.collect_list(F.struct("at", "n")).alias("seen"))  # an item's length bounds it
 
-def match(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["hash", "at", "length", "words", "item_id"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                rows = []
+                for r in part.to_pylist():
+                    words = words_of(r["text"])
+                    length = min(WINDOW, len(words))
+                    many = length - r["size"] + 1
+                    n = {x["at"]: x["n"] for x in r["seen"]}
+                    for start in range(len(words) - length + 1):
+                        here = range(start, start + many)
+                        if all(k in n for k in here):
+                            rarest = min(here, key=lambda k: (n[k], k))
+                            rows.append((r["hashes"][rarest], rarest - start, length, b" ".join(words[start : start + length]).decode("utf-8", "surrogatepass"), r["item_id"]))
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)], names)
+
+    found = items.join(seen, "no").select("item_id", "text", "size", "hashes", "seen").mapInArrow(run, "hash bigint, at int, length int, words string, item_id string")
+    return found.groupBy("hash", "at", "length", "words").agg(F.collect_set("item_id").alias("ids"))
+
+
+def _candidates(runs: DataFrame, prefix: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """key, run, at, length, words, ids: where a window may stand in a run, within its bounds."""
+    hits = runs.select("key", F.posexplode("runs").alias("run", "r")).select("key", "run", F.size("r.hashes").alias("many"), F.col("r.size").alias("size"), F.posexplode("r.hashes").alias("place", "hash"))
+    if table_bytes(prefix) <= broadcast_bytes:
+        joined = hits.join(F.broadcast(prefix), "hash")
+    else:  # a passage of many documents is dealt out
+        salted = prefix.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+        joined = hits.withColumn("salt", F.pmod(F.xxhash64("key", "place"), F.lit(SALTS)).cast("int")).join(salted, ["hash", "salt"])
+    start = F.col("place") - F.col("at")
+    fits = (start >= 0) & (start + F.col("length") <= F.col("many") + F.col("size") - 1)
+    return joined.where(fits).select("key", "run", start.alias("at"), "length", "words", "ids")
+
+
+def _verified(runs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """key, n_hit, n_items and items_sha256 of the texts that hold a window, word for word."""
+    found = candidates.groupBy("key").agg(F.collect_list(F.struct("run", "at", "length", "words", "ids")).alias("found"))  # a text's length bounds it
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
+                words = [x["words"].split(" ") for x in r["runs"]]
+                spans, items = set(), set()
+                for c in r["found"]:
+                    if " ".join(words[c["run"]][c["at"] : c["at"] + c["length"]]) == c["words"]:
+                        start = r["runs"][c["run"]]["start"] + c["at"]
+                        spans.add((start, start + c["length"]))
+                        items.update(c["ids"])
+                hit = upto = 0
+                for a, b in sorted(spans):
+                    hit += max(0, b - max(a, upto))
+                    upto = max(upto, b)
+                if hit:
+                    rows.append((r["key"], hit, len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()))
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 4, kinds, strict=True)], ["key", "n_hit", "n_items", "items_sha256"])
+
+    return runs.select("key", "runs").join(found, "key").mapInArrow(run, "key string, n_hit bigint, n_items bigint, items_sha256 string")
+
+
+_NONE = hashlib.sha256(b"").hexdigest()
+
+
+def _matched(docs: DataFrame, benchmark: DataFrame, most_bits: int, broadcast_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_words, key of every document; key, n_hit, n_items, items_sha256 of those with hits), both tables."""
+    items = benchmark_shingles(benchmark)
+    uri, least = write_filter(items, most_bits)
+    rows = written(with_runs(docs, uri, least), "decontamination-runs")
+    # equal texts are one; a shingle counts for each of them
+    runs = written(rows.where("key is not null").groupBy("key").agg(F.first("runs").alias("runs"), F.count("*").alias("copies")), "decontamination-texts", compact=True)
+    each = runs.select("copies", F.explode(F.array_distinct(F.flatten(F.transform("runs", lambda r: r["hashes"])))).alias("hash"))
+    prefix = written(prefixes(items, each.groupBy("hash").agg(F.sum("copies").alias("n"))), "decontamination-prefixes", compact=True)
+    return rows, written(_verified(runs, _candidates(runs, prefix, broadcast_bytes)), "decontamination-hits", compact=True)
+
+
+def match(docs: DataFrame, benchmark: DataFrame, most_bits: int = FILTER_BITS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id and RESULT for every row of docs."""
-    docs = docs.select("doc_id", "text")
-    state, blocks = docs, _blocks(benchmark, block_chars)
-    for k, block in enumerate(blocks):
-        windows = Windows([(r.item_id, r.text) for r in block.toLocalIterator()])  # a block's size is bounded
-        state = _marked(state, windows.index(document_frequency(docs, windows) if windows.items else {}), k == len(blocks) - 1)
-        if k < len(blocks) - 1:
-            state = written(state, "decontamination")
-    return state
+    rows, hits = _matched(docs, benchmark, most_bits, broadcast_bytes)
+    side = F.broadcast(hits) if table_bytes(hits) <= broadcast_bytes else hits
+    spread = F.concat(F.lit("-"), F.xxhash64("doc_id", "n_words").cast("string"))  # texts without runs are no hot key
+    joined = rows.select("doc_id", "n_words", F.coalesce("key", spread).alias("key")).join(side, "key", "left").fillna(0, ["n_hit", "n_items"])
+    bad = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    return joined.select("doc_id", "n_words", "n_hit", "n_items", F.coalesce("items_sha256", F.lit(_NONE)).alias("items_sha256"), bad.alias("contaminated"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, most_bits: int = FILTER_BITS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The rows of docs, with all their columns, that are not contaminated."""
-    blocks = _blocks(benchmark, block_chars)
-    if len(blocks) > 1:
-        bad = written(match(docs, benchmark, block_chars).where("contaminated").select(F.col("doc_id").alias("_bad_id")).distinct(), "contaminated")
-        return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")), "left_anti")
-    windows = Windows([(r.item_id, r.text) for r in blocks[0].toLocalIterator()])
-    index = windows.index(document_frequency(docs, windows) if windows.items else {})
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                clean = []
-                for text in texts_of(part):
-                    words = words_of(text)
-                    hit = np.zeros(len(words), bool)
-                    _probe(words, index, hit, set())
-                    clean.append(not hit.any() or 20 * int(hit.sum()) < len(words))
-                yield part.filter(pa.array(clean, pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+    rows, hits = _matched(docs, benchmark, most_bits, broadcast_bytes)
+    words = rows.where("key is not null").groupBy("key").agg(F.first("n_words").alias("n_words"))
+    bad = written(hits.join(words, "key").where("20 * n_hit >= n_words").select(F.col("key").alias("_td_key")), "contaminated", compact=True)
+    side = F.broadcast(bad) if table_bytes(bad) <= broadcast_bytes else bad
+    return docs.withColumn("_td_text", F.md5(F.col("text").cast("binary"))).join(side, F.col("_td_text") == F.col("_td_key"), "left_anti").drop("_td_text")
