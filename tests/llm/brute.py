@@ -72,3 +72,26 @@ def component_of(fps, distance=2):
                 p, q = find(i), find(j)
                 root[max(p, q)] = min(p, q)
     return {i: find(i) for i, _ in fps}
+
+
+def similar_groups(rows, least=0.8, shingle=5):
+    """rows: [(id, text)] -> id -> least id reachable over pairs whose shingle sets have a similarity of `least` or more."""
+    sets = {}
+    for i, text in rows:
+        words = SPACE_WORD.findall(lower_ascii(text or ""))
+        sets[i] = {tuple(words[k : k + shingle]) for k in range(max(1, len(words) - shingle + 1))}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    names = sorted(sets)
+    for a, i in enumerate(names):
+        for j in names[a + 1 :]:
+            x, y = sets[i], sets[j]
+            if min(len(x), len(y)) >= least * max(len(x), len(y)) and len(x & y) >= least * len(x | y):
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    return {i: find(i) for i in names}

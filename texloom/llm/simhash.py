@@ -31,9 +31,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .arrow import pieces, texts_of
-from .shared import written
+from .shared import table_bytes, written
 
 BITS, SHINGLE, DISTANCE, SEED = 64, 3, 2, 42
+#: Components of fingerprints with company are sent to every task up to this size, so that no fingerprint of many rows is one task's.
+BROADCAST_BYTES = 16 << 20
 
 
 def shingle_hashes(text: str, shingle: int) -> np.ndarray:
@@ -51,7 +53,11 @@ def shingle_hashes(text: str, shingle: int) -> np.ndarray:
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     """The SimHash of a whole text."""
-    hashes = shingle_hashes(text, shingle)
+    return fingerprint_of(shingle_hashes(text, shingle))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The SimHash of shingle hashes: a bit is set if it is in over half of them."""
     if not len(hashes):
         return 0
     ones = np.zeros(BITS, np.int64)
@@ -142,13 +148,17 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the least doc_id that links reach."""
     rows = written(fingerprints(docs, shingle), "fingerprints", compact=True)
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints", compact=True)
+    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("many")), "distinct-fingerprints", compact=True)
     grouped = components(links(distinct.select("fp"), distance))
     roots = distinct.join(grouped, F.col("fp") == F.col("node")).select("fp", "root", "least")
     named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(roots.join(named, "root").select("fp", "component_id"), "components", compact=True)
-    every = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(every, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = roots.join(named, "root").select("fp", "component_id")
+    # a fingerprint that one row has and no other is linked with names its own component
+    every = distinct.join(named, "fp", "left").where("many > 1 or component_id is not null").select("fp", F.coalesce("component_id", "least").alias("component_id"), F.lit(True).alias("shared"))
+    every = written(every, "components", compact=True)
+    side = F.broadcast(every) if table_bytes(every) <= BROADCAST_BYTES else every
+    component = F.when(F.col("shared"), F.col("component_id")).otherwise(F.col("doc_id"))
+    return rows.join(side, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), component.alias("component_id"))
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
