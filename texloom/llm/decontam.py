@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -155,17 +156,28 @@ def known(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return ok
 
 
-def runs_of(words: list[bytes], bits: np.ndarray, least: dict[int, int]) -> list[tuple[int, int, str, np.ndarray]]:
-    """(start, shingle size, words, hashes) of the runs of known shingles that are long enough for a window."""
-    out = []
-    hashed = word_hashes(words)
+def runs_of(texts: list[list[bytes]], bits: np.ndarray, least: dict[int, int]) -> list[list[tuple[int, int, str, np.ndarray]]]:
+    """For each text, a list of words, (start, shingle size, words, hashes) of the runs of known shingles that are long enough for a window."""
+    out: list[list] = [[] for _ in texts]
+    ends = np.cumsum([len(w) + 1 for w in texts])  # texts lie end to end, with a place between them that no run spans
+    between = ends - 1
+    starts = np.append(0, ends[:-1])
+    laid = itertools.chain.from_iterable(itertools.chain(w, (b"",)) for w in texts)
+    hashed = np.fromiter(map(_HASHES.__getitem__, laid), np.uint64, ends[-1] if len(texts) else 0)
     for size, fewest in least.items():
         hashes = shingle_hashes(hashed, size)
         ok = known(hashes, bits)
+        for j in range(size):
+            at = between - j
+            ok[at[(at >= 0) & (at < len(ok))]] = False
         edge = np.diff(np.concatenate([[0], ok.view(np.int8), [0]]))
-        for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
-            if b - a >= fewest:
-                out.append((a, size, b" ".join(words[a : b + size - 1]).decode("utf-8", "surrogatepass"), hashes[a:b].view(np.int64)))
+        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        long = last - first >= fewest
+        first, last = first[long], last[long]
+        owner = np.searchsorted(ends, first, "right")
+        for k, a, b in zip(owner.tolist(), first.tolist(), last.tolist(), strict=True):
+            at = int(starts[k])
+            out[k].append((a - at, size, b" ".join(texts[k][a - at : b - at + size - 1]).decode("utf-8", "surrogatepass"), hashes[a:b].view(np.int64)))
     return out
 
 
@@ -177,13 +189,12 @@ def with_runs(docs: DataFrame, uri: str, least: dict[int, int]) -> DataFrame:
         run_type = pa.struct([("start", pa.int32()), ("size", pa.int32()), ("words", pa.string()), ("hashes", pa.list_(pa.int64()))])
         for batch in batches:
             for part in pieces(batch, "text"):
-                n, keys, runs = [], [], []
-                for text in texts_of(part):
-                    words = words_of(text)
-                    found = runs_of(words, bits, least)
-                    n.append(len(words))
-                    keys.append(hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest() if found else None)
-                    runs.append([dict(zip(("start", "size", "words", "hashes"), r, strict=True)) for r in found] or None)
+                texts = texts_of(part)
+                words = list(map(words_of, texts))
+                found = runs_of(words, bits, least)
+                n = list(map(len, words))
+                keys = [hashlib.md5(t.encode("utf-8", "surrogatepass")).hexdigest() if r else None for t, r in zip(texts, found, strict=True)]
+                runs = [[dict(zip(("start", "size", "words", "hashes"), x, strict=True)) for x in r] or None for r in found]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.string()), pa.array(runs, pa.list_(run_type))], ["doc_id", "n_words", "key", "runs"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
