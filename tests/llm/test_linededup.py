@@ -21,7 +21,7 @@ def brute(rows, ratio, least):
 
 def test_equals_brute_force_on_both_joins(spark):
     df = spark.createDataFrame(ROWS, "doc_id bigint, text string, source string")
-    for limit in (1 << 20, 0):
+    for limit in (1 << 20, -1):
         found = linededup.drop_boilerplate(df, broadcast_bytes=limit)
         assert found.columns == df.columns
         assert sorted([(r.doc_id, r.text) for r in found.collect()], key=str) == sorted(brute(ROWS, 0.1, 3), key=str)
@@ -30,3 +30,13 @@ def test_equals_brute_force_on_both_joins(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string, source string, n_lines int")
     assert linededup.drop_boilerplate(df).count() == 0
+
+
+def test_long_texts_and_clashing_names(spark):
+    rows = [(i, "head\n" + f"line {i} " * 100_000 + "\nown", "h") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").selectExpr("*", "7 as n_lines", "'x' as n_dropped", "1 as _key")
+    for limit in (1 << 20, -1):
+        found = linededup.drop_boilerplate(df, broadcast_bytes=limit, counted=True)
+        assert sorted(found.columns) == sorted(df.columns)
+        assert sorted((r.doc_id, r.n_lines, r.n_dropped, r.text == rows[r.doc_id][1].split("\n")[1]) for r in found.collect()) == [(i, 3, 2, True) for i in range(4)]
+    assert linededup.drop_boilerplate(df).columns == df.columns

@@ -6,8 +6,10 @@ host; a line above the ratio, on enough pages, is dropped from all of them.
 Defined results: rows are pages; a line that a page repeats counts once for
 it; lines are compared as they stand and blank ones are never dropped; rows
 without a host are returned as they are; a null text stays null; a text that
-loses all its lines becomes empty; an empty table gives an empty one. All
-columns of the input are kept; the operator's own are named _tl_* inside.
+loses all its lines becomes empty; whole texts of any length are read; a line
+exactly at the ratio stays; an empty table gives an empty one. All columns of
+the input are kept; the operator's own are named _tl_* inside, and with
+`counted` its n_lines and n_dropped replace columns of those names.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ from .shared import table_bytes, written
 
 #: A line goes if it is on more than this share of the host's pages, and on this many at least.
 RATIO, LEAST_PAGES = 0.1, 3
-#: Files of boilerplate hashes up to this size are sent to every task; beyond it the pages are joined on the host.
-BROADCAST_BYTES = 16 << 20
+#: Files of boilerplate hashes up to this size are sent to every task; beyond it the pages are joined on the host, those of a host dealt out to SALTS tasks.
+BROADCAST_BYTES, SALTS = 16 << 20, 16
 
 
 def _lines(text):
@@ -43,12 +45,16 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, lea
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES, broadcast_bytes: int = BROADCAST_BYTES, counted: bool = False) -> DataFrame:
     """docs with boilerplate lines cut from text; counted: also n_lines and n_dropped."""
     hosts = written(boilerplate(docs, host, ratio, least_pages), "boilerplate", compact=True)
-    side = F.broadcast(hosts) if table_bytes(hosts) <= broadcast_bytes else hosts
-    joined = docs.join(side, F.col(host) == F.col("_tl_host"), "left")
+    if table_bytes(hosts) <= broadcast_bytes:
+        joined = docs.join(F.broadcast(hosts), F.col(host) == F.col("_tl_host"), "left")
+    else:
+        salted = hosts.withColumn("_tl_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+        dealt = docs.withColumn("_tl_mine", F.pmod(F.xxhash64("text", host), F.lit(SALTS)).cast("int"))  # rows without a host too
+        joined = dealt.join(salted, (F.col(host) == F.col("_tl_host")) & (F.col("_tl_mine") == F.col("_tl_salt")), "left")
     kept = F.filter(_lines(F.col("text")), lambda x: (F.trim(x) == "") | ~F.array_contains("_tl_drop", F.xxhash64(x)))
     joined = joined.withColumn("_tl_kept", F.when(F.col("_tl_drop").isNotNull(), kept))
     text = F.when(F.col("_tl_kept").isNull(), F.col("text")).otherwise(F.array_join("_tl_kept", "\n"))
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns if not (counted and c in ("n_lines", "n_dropped"))]
     if counted:
         n = F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines(F.col("text"))))
         columns += [n.cast("long").alias("n_lines"), F.when(F.col("_tl_kept").isNull(), 0).otherwise(n - F.size("_tl_kept")).cast("long").alias("n_dropped")]
