@@ -63,3 +63,15 @@ def test_one_document_is_read_alone():
     assert reader.ids[:3] == [None, 1, 2] and all((reader.get(k) == arrays[k]).all() for k in (3, 0, 2, 1500))
     with pytest.raises(ValueError):
         tokenstore.Reader(File(out.getvalue()), b"other")
+
+
+def test_names_of_other_types(spark):
+    rows = [("é b", "x y"), (None, "z"), ("", "w"), ("a" * 300, None)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = sorted(tokenstore.round_trip(df, PATH, "word", 2).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None, "", "a" * 300, "é b"] and [r.n_tokens for r in got] == [2, 2, 1, 3]
+    days = spark.sql("select date'2020-01-02' as doc_id, 'x' as text union all select date'2019-01-02', 'y'")
+    found = tokenstore.round_trip(days, PATH, "word", 2)
+    assert [str(r.doc_id) for r in found.orderBy("start").collect()] == ["2019-01-02", "2020-01-02"] and found.schema["doc_id"].dataType == days.schema["doc_id"].dataType
+    assert tokenstore.round_trip(days.where("false"), PATH, "word", 2).schema["doc_id"].dataType == days.schema["doc_id"].dataType
+    assert [r.doc_id for r in tokenstore.round_trip(spark.sql("select cast(5 as int) as doc_id, 'x' as text"), PATH, "word", 2).collect()] == [5]
