@@ -55,3 +55,46 @@ def test_repeated_rows_do_not_weigh_on_the_fit(spark):
     table, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
     once, often = quality.fit(table, labels), quality.fit(table.union(table.where("doc_id < 20")).union(table.where("doc_id = 3")), labels.union(labels))
     assert once.threshold == often.threshold and (once.cut == often.cut).all()
+
+
+def plain_score(forest, row):
+    """The isolation forest's definition: walk each tree to its leaf."""
+    total = 0.0
+    for t in range(len(forest.feature)):
+        node = 0
+        while forest.feature[t][node] >= 0:
+            node = (forest.left if row[forest.feature[t][node]] < forest.cut[t][node] else forest.right)[t][node]
+        total += forest.depth[t][node]
+    return 2 ** (-total / len(forest.feature) / forest.usual)
+
+
+def test_kept_equals_a_plain_isolation_forest(spark):
+    d = "/root/testdata/sf0.001"
+    table, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    forest = quality.fit(table, labels)
+    texts = {r.doc_id: r.text for r in table.collect()}
+    _, features = quality.rule_statistics(list(texts.values()))
+    want = {i: (s := plain_score(forest, row), not rules(t)[5] and s <= forest.threshold) for (i, t), row in zip(texts.items(), features)}
+    got = {r.doc_id: (r.score, r.kept) for r in quality.score_documents(table, forest).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[i][0] - want[i][0]) < 1e-9 and got[i][1] == want[i][1] for i in want)
+
+
+def test_trees_part_their_samples_and_paths_are_short_for_outliers():
+    rng = np.random.default_rng(2)
+    rows = np.vstack([rng.normal(size=(500, 3)), [[30, -30, 30]]])
+    forest = quality.grow_forest(rows[:500])
+    scores = forest.scores(rows)
+    assert scores[500] > scores[:500].max()
+    for t in range(8):  # a leaf's depth is its steps and the mean rest of a search among its rows
+        inner = forest.feature[t] >= 0
+        assert (forest.depth[t][~inner & (forest.depth[t] > 0)] <= 2 * np.ceil(np.log2(256)) + quality._mean_depth(256)).all()
+
+
+def test_the_threshold_comes_from_rows_that_the_trees_have_not_seen(spark):
+    d = "/root/testdata/sf0.001"
+    table, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    held = labels.selectExpr("*", "pmod(xxhash64(doc_id), 2) = 1 as held")
+    a = quality.fit(table, labels)
+    b = quality.fit(table, held.selectExpr("doc_id", "if(held, 1 - quality, quality) as quality", "toxic"))
+    assert (a.cut == b.cut).all() and a.threshold != b.threshold

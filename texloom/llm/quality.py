@@ -3,12 +3,14 @@
 Every document gets rule statistics (symbols, repeated lines, repeated word
 windows and so on). Isolation trees are grown on clean labelled rows; a
 document that random splits isolate after few steps is an anomaly. The score
-above which a document is rejected comes from labelled rows too.
+above which a document is rejected comes from other labelled rows, which the
+trees have not seen: half of them by a hash of their id.
 
 Defined results: a null or empty text has no words and fails the base rule;
 whole texts of any length are read; repeated rows get equal results; a null
-doc_id stays null; an empty table gives an empty result; without labelled
-rows of quality 1 only the base rule rejects. Other columns of the input are
+doc_id stays null; an empty table gives an empty result; scores that equal the
+threshold are kept; without labelled rows of quality 1 in both halves only the
+base rule rejects. Other columns of the input are
 not looked at, so their names cannot clash.
 """
 
@@ -203,23 +205,23 @@ def calibrated(forest: Forest, rows: np.ndarray, quality: np.ndarray, loss: floa
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Forest:
     """Forest and threshold from at most `rows` labelled documents, chosen by a hash of their id (the documented bound of the fit)."""
     chosen = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumn("held", (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1))
     names = [*FEATURES, "failed"]
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 base, features = rule_statistics(texts_of(part))
-                yield pa.RecordBatch.from_arrays([part.column("quality"), *features.T, pa.array(base_failed(base))], ["quality", *names])
+                yield pa.RecordBatch.from_arrays([part.column("quality"), part.column("held"), *features.T, pa.array(base_failed(base))], ["quality", "held", *names])
 
     # chosen has at most `rows` rows, so it is small enough to send to every task
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = found.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("text").alias("text")).select("quality", "text")  # repeated rows count once
-    table = found.mapInArrow(measured, ", ".join(["quality int", *(f"{x} double" for x in FEATURES), "failed boolean"])).toPandas()
+    found = found.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.first("held").alias("held"), F.min("text").alias("text")).select("quality", "held", "text")  # repeated rows count once
+    table = found.mapInArrow(measured, ", ".join(["quality int", "held boolean", *(f"{x} double" for x in FEATURES), "failed boolean"])).toPandas()
     table = table[~table["failed"]].sort_values(FEATURES)  # what the base rule rejects needs no threshold
-    features, quality = table[FEATURES].to_numpy(np.float64), table["quality"].to_numpy()
-    spread = np.ptp(features, axis=0) if len(features) else None
-    return calibrated(grow_forest(features[quality == 1], spread), features, quality)
+    features, quality, held = table[FEATURES].to_numpy(np.float64), table["quality"].to_numpy(), table["held"].to_numpy(bool)
+    spread = np.ptp(features[~held], axis=0) if not held.all() else None
+    return calibrated(grow_forest(features[(quality == 1) & ~held], spread), features[held], quality[held])
 
 
 def _judged(forest: Forest, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
