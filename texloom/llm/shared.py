@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used, and set on the session, only where spark.checkpoint.dir is unset.
-DEFAULT_DIR = "file:///tmp/checkpoints/texloom"
+#: Used only where spark.checkpoint.dir is unset and all executors are in this process.
+LOCAL_DIR = "file:///tmp/checkpoints/texloom"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir."""
+    """The folder named by spark.checkpoint.dir; a cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", "")
-    return (found or DEFAULT_DIR).rstrip("/")
+    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (found or LOCAL_DIR).rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
