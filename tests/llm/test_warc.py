@@ -39,5 +39,38 @@ def test_archives_carry_their_dictionary_and_payloads(spark):
             for h, _, payload in warc.read_archive(f):
                 seen += 1
                 if h["WARC-Type"] == "response":
-                    assert payload.decode() == pages[h["WARC-Record-ID"][10:-1]]
+                    assert payload.decode() == pages[h["WARC-Record-ID"][10:-1].split(":")[0]]
     assert seen == len(pages)
+
+
+def test_record_ids_are_unique_and_references_hold(spark):
+    rows = [(k % 5, "u", f"text {k % 3}") for k in range(60)] + [(None, None, "text 0")] * 3 + [(7, None, "alone")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    for limit in (1 << 20, -1):
+        warc.BROADCAST_BYTES, before = limit, warc.BROADCAST_BYTES
+        try:
+            folder = warc.write_archives(df)
+        finally:
+            warc.BROADCAST_BYTES = before
+        heads = []
+        for r in spark.read.parquet(f"{folder}/manifest").collect():
+            with open_file(r.uri) as f:
+                heads += [h for h, _, _ in warc.read_archive(f)]
+        ids = [h["WARC-Record-ID"] for h in heads]
+        responses = {h["WARC-Record-ID"]: h["WARC-Payload-Digest"] for h in heads if h["WARC-Type"] == "response"}
+        assert len(set(ids)) == len(ids) == len(rows)
+        assert all(responses[h["WARC-Refers-To"]] == h["WARC-Payload-Digest"] for h in heads if h["WARC-Type"] == "revisit")
+        kind = df.schema["page_id"].dataType
+        got = warc.read_archives(spark, folder)
+        assert sorted([(r.page_id and int(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, r.refers_to and int(r.refers_to)) for r in got.collect()], key=str) == want(rows), kind
+
+
+def test_small_archives_have_a_dictionary_of_their_size():
+    import io
+    out = io.BytesIO()
+    rows = [warc.record(k, f"http://h/{k}", b"<html><body>the same words on each page, number %d</body></html>" % k, None) for k in range(40)]
+    warc.write_archive(out, iter(rows))
+    size = int.from_bytes(out.getvalue()[4:8], "little")
+    assert 256 <= size <= sum(map(len, rows)) // 8 and len(out.getvalue()) < sum(map(len, rows)) / 2
+    out.seek(0)
+    assert [int(h["WARC-Record-ID"][10:-1].split(":")[0]) for h, _, _ in warc.read_archive(out)] == list(range(40))

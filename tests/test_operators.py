@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from texloom import fixtures, schema
-from texloom.operators import export, layout, order, raster, records, refs
+from texloom.operators import export, includes, layout, order, raster, records, refs
 from texloom.sources import files, services
 from texloom.streaming import ingest
 
@@ -155,3 +155,23 @@ def test_streaming_ingest_adds_once(spark, tmp_path):
     for step in range(2):
         ingest.ingest(spark, str(source), target, str(tmp_path / f"check{step}")).awaitTermination(120)
     assert sorted(r.source_code for r in spark.read.parquet(target).collect()) == ["\\caption{c}", "\\title{A}"]
+
+
+def test_unequal_page_pairs_are_errors_of_their_row(spark):
+    white, dot = bytes([255] * 12), bytes([255] * 3 + [0] * 3 + [255] * 6)
+    rows = [(1, 0, 2, 2, 3, dot, white), (2, 0, 2, 2, 3, dot[:9], white), (3, 0, 2, 2, 3, None, white), (4, 0, None, 2, 3, dot, white), (5, 0, 2, 2, 3, white, white), (6, 1, 9, 9, 3, dot, white)]
+    df = spark.createDataFrame(rows, "doc_id long, page_index long, height int, width int, channels int, drawn binary, blank binary")
+    found = {r.doc_id: r for r in raster.changed_boxes(df).collect()}
+    assert (found[1].x0, found[1].y0, found[1].x1, found[1].y1, found[1].error) == (1, 0, 2, 1, None) and sorted(found) == [1, 2, 3, 4, 6]
+    assert all(found[k].error and found[k].x0 is None for k in (2, 3, 4, 6))
+
+
+def test_includes_of_any_depth_and_in_cycles(spark):
+    rows = [(1, f"f{k}.tex", f"{k} \\input{{f{k + 1}}}") for k in range(15)] + [(1, "f15.tex", "end")]
+    rows += [(2, "a.tex", "A\\input{b}\\input{b}\\input{none}Z"), (2, "b.tex", "B[\\include{a}\\input{c.tex}]"), (2, "c.tex", ""), (3, "a.tex", None), (4, "a.tex", "no includes")]
+    files = spark.createDataFrame(rows, "doc_id long, path string, tex string")
+    roots = spark.createDataFrame([(1, "f0.tex"), (2, "a.tex"), (2, "b.tex"), (3, "a.tex"), (4, "a.tex"), (5, "gone.tex")], "doc_id long, path string")
+    got = {(r.doc_id, r.path): r.tex for r in includes.resolved(files, roots).collect()}
+    assert got[1, "f0.tex"] == " ".join(map(str, range(15))) + " end" and got[4, "a.tex"] == "no includes"
+    assert got[2, "a.tex"] == "AB[\\include{a}]B[\\include{a}]\\input{none}Z" and got[2, "b.tex"] == "B[A\\input{b}\\input{b}\\input{none}Z]"
+    assert (5, "gone.tex") not in got

@@ -61,3 +61,10 @@ def test_groups():
     assert parse.group_of("{a}") == ("group", "a") and parse.group_of("[b]") == ("bracket", "b")
     with pytest.raises(TypeError):
         parse.group_of("(c)")
+
+
+@pytest.mark.parametrize("text", ["{" * 4000 + "x" + "}" * 4000, "\\a{" * 3000 + "}" * 3000, "\\begin{center}" * 2000 + "x" + "\\end{center}" * 2000, "\\a[" * 1500 + "x" + "]" * 1500])
+def test_texts_of_any_depth_parse(text):
+    root = parse.parse(text)
+    assert max(r[3] for r in parse.rows_of(root, text)) >= 1499
+    assert "".join(s[3] for s in parse.segments_of(text, root.body)) == text

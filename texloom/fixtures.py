@@ -31,11 +31,11 @@ MORE_DOCS = """select doc_id, concat(
  case when doc_id % 5 = 0 then concat(chr(92),'lstset{style=plain}',chr(10)) else '' end,
  chr(92),'begin{document}',chr(10),chr(92),'tableofcontents',chr(10),
  case when doc_id % 2 = 0 then concat(chr(92),'listoffigures',chr(10)) else '' end,
- chr(10),chr(10),'  ',chr(10),chr(10),text,' % note ',cast(doc_id as varchar(19)),chr(10),'50',chr(92),'% kept',chr(10),
+ chr(10),chr(10),'  ',chr(10),chr(10),text,' % note ',cast(doc_id as varchar(19)),' ',chr(92),'begin{verbatim}',chr(10),'50',chr(92),'% kept ',chr(92),'verb|%x| % gone',chr(10),
  chr(92),'psfig{fig',cast(doc_id % 9 as varchar(9)),'.ps} ',chr(92),'epsfig{g.eps}',chr(10),
  chr(92),'includegraphics{h',cast(doc_id % 4 as varchar(9)),'} ',chr(92),'includegraphics[scale=2]{h',cast(doc_id % 5 as varchar(9)),'.pdf}',chr(10),
  case when doc_id % 2 = 0 then concat(chr(92),'begin{algorithm}[!htb]',chr(10),' ',chr(92),'caption{A}',chr(92),'label{alg:',cast(doc_id % 6 as varchar(9)),'} x',chr(92),'end{algorithm}',chr(10)) else concat(chr(92),'begin{algorithm*}',chr(10),' ',chr(92),'State y',chr(92),'end{algorithm*}',chr(10)) end,
- case when doc_id % 3 = 0 then concat(chr(92),'lstinputlisting[language=C]{a.c}',chr(10)) when doc_id % 3 = 1 then concat(chr(92),'begin{lstlisting}',chr(10),'int a;',chr(10),chr(92),'end{lstlisting}',chr(10)) else concat(chr(92),'begin{verbatim*}',chr(10),'v',chr(10),chr(92),'end{verbatim*}',chr(10)) end,
+ case when doc_id % 3 = 0 then concat(chr(92),'lstinputlisting[language=C]{a.c}',chr(10)) when doc_id % 3 = 1 then concat(chr(92),'begin{lstlisting}',chr(10),'int a; % stays',chr(10),chr(92),'end{lstlisting}',chr(10)) else concat(chr(92),'begin{verbatim*}',chr(10),'v 50% v',chr(10),chr(92),'end{verbatim*}',chr(10)) end,
  chr(92),'begin{table*}',chr(92),'label{t:a}',chr(92),'begin{tabularx}{1cm}{c}1',chr(92),'end{tabularx}',chr(92),'caption{B}',chr(92),'label{t:',cast(doc_id as varchar(19)),'}',chr(92),'end{table*}',chr(10),
  case when doc_id % 4 = 1 then concat(chr(92),'begin{tabular}{c}',chr(92),'includegraphics{q}',chr(92),'end{tabular}',chr(10)) else '' end,
  chr(92),'section{Next}',chr(92),'label{sec:n}',chr(10),chr(92),'subsection*{Far} word ',chr(92),'label{sec:no}',chr(10),
@@ -82,8 +82,8 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _over(spark, sf_dir, blocks_sql("spark"))
 
 
-#: Characters with a meaning in LaTeX, for prose that must parse.
-SPECIAL = "$%&#{}[]_^~|\\"
+#: Characters with a meaning in LaTeX; in prose that must parse a backslash stands before each.
+SPECIAL = r"([$%&#{}_^~|\\])"
 
 #: TeX logs with the layout lengths; one of them is reported twice.
 LOGS = "select doc_id, concat('x', chr(10), '[layout: The columnwidth is: 1.0pt]', chr(10), " + ", ".join(
@@ -92,3 +92,18 @@ LOGS = "select doc_id, concat('x', chr(10), '[layout: The columnwidth is: 1.0pt]
         "marginparwidth": "65", "marginparsep": "11", "topmargin": "doc_id % 7", "headheight": "12", "headsep": "25", "footskip": "30", "textheight": "650",
     }.items()
 ) + ") as log from documents"
+
+
+#: Changed regions of a mention's pages: three boxes for each line, the last of some on the next page.
+_REGIONS = """select doc_id, category, cast(ann_pos as bigint) as idx, cast(page_index + case when k = 2 and ann_pos % 5 = 0 then 1 else 0 end as bigint) as page_index,
+ cast(40 + (k * 97 + ann_pos * 13) % 230 as double) as x0, cast(30 * (ann_pos % 10) + 12 * k as double) as y0, cast(40 + (k * 97 + ann_pos * 13) % 230 + 30 + ann_pos % 50 as double) as x1, cast(30 * (ann_pos % 10) + 12 * k + 25 as double) as y1
+ from ({blocks}) b cross join (values (0), (1), (2)) as t(k) where category not in ('Figure', 'Footnote')"""
+
+
+def regions_sql(dialect: str) -> str:
+    return _REGIONS.replace("{blocks}", blocks_sql(dialect))
+
+
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, category, idx, page_index and a box of each changed region."""
+    return _over(spark, sf_dir, regions_sql("spark"))

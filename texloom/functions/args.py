@@ -33,6 +33,23 @@ def popped(args: Column, place: int) -> tuple[Column, Column]:
     return F.get(args, F.lit(place)), F.filter(args, lambda x, i: i != place)
 
 
+def reversed_(args: Column) -> Column:
+    return F.reverse(args)
+
+
+def cleared(args: Column) -> Column:
+    """No arguments, in the type of args."""
+    return F.slice(args, F.lit(1), F.lit(0))
+
+
+def sliced(args: Column, start: int | None = None, stop: int | None = None) -> Column:
+    """args from start to before stop; negative places count from the end, and either may be None."""
+    n = F.size(args)
+    at = lambda k, default: default if k is None else F.lit(k) if k >= 0 else F.greatest(n + k, F.lit(0))
+    a = at(start, F.lit(0))
+    return F.slice(args, a + 1, F.greatest(F.least(at(stop, n), n) - a, F.lit(0)))
+
+
 def contains(args: Column, text: str) -> Column:
     return F.array_contains(F.transform(args, lambda x: x["text"]), text)
 

@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from ..schema import REFERENCES, TABLES_OF_CONTENTS
+from ..schema import FOOTNOTES, REFERENCES, TABLES_OF_CONTENTS, TABULARS, VERBATIM_ENVS
 
-#: Nesting of braces that patterns follow.
+#: Nesting of braces that patterns follow; deeper texts are scanned brace by brace.
 DEPTH = 6
 
 
@@ -21,16 +21,22 @@ def braces(depth: int = DEPTH) -> str:
     return rf"\{{{inner}*\}}"
 
 
+# What counts as a mention, as patterns.
 LABEL = r"(?d)\\label\{(.*?)\}"
 REFERENCE = rf"(?d)\\(?:{'|'.join(REFERENCES)})\{{(.*?)\}}"
 GRAPHICS = r"(?d)\\includegraphics(?:\[(.*?)\])?\{(.*?)\}"
-CAPTION = rf"\\caption(?:\[[^\]]*\])?{braces()}"
-PAPER_TITLE = rf"\\title{braces()}"
-FOOTNOTE = {name: rf"\\{name}(?:\[[^\]]*\])?{braces()}" for name in ("footnote", "footnotetext", "tablefootnote")}
+CAPTION_HEAD = r"\\caption(?:\[[^\]]*\])?"
+TITLE_HEAD = r"\\title"
+FOOTNOTE_HEADS = {name: rf"\\{name}(?:\[[^\]]*\])?" for name in FOOTNOTES}
 ABSTRACT = r"(?s)\\begin\{abstract\}.*?\\end\{abstract\}"
-TABULAR = r"(?s)\\begin\{(tabular[*xy]?|tabu)\}.*?\\end\{\1\}"
+TABULAR = rf"(?s)\\begin\{{({'|'.join(x.replace('*', '[*]') for x in sorted(TABULARS, key=len, reverse=True))})\}}.*?\\end\{{\1\}}"
 ALGORITHM = r"(?s)\\begin\{algorithm[*]?\}(.*?)\\end\{algorithm[*]?\}"
 CODE = r"(?s)\\begin\{(verbatim|lstlisting|program)[*]?\}(.*?)\\end\{\1[*]?\}|\\lstinputlisting\[[^\]]*\]\{[^\}]*\}"
+MATH = r"(?d)(\\\(.*?\\\))|(\$.*?\$)|(\\begin\{math\}.*?\\end\{math\})"
+
+CAPTION, PAPER_TITLE = CAPTION_HEAD + braces(), TITLE_HEAD + braces()
+FOOTNOTE = {name: head + braces() for name, head in FOOTNOTE_HEADS.items()}
+_VERBATIM = "|".join(x.replace("*", "[*]") for x in sorted(VERBATIM_ENVS, key=len, reverse=True))
 
 
 def every(tex: Column | str, pattern: str, group: int = 0) -> Column:
@@ -38,6 +44,75 @@ def every(tex: Column | str, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(tex, F.lit(pattern), F.lit(group))
 
 
+def nested_deeper(tex: Column, depth: int = DEPTH) -> Column:
+    """Whether braces nest deeper than patterns follow; found in one walk over the braces."""
+    marks = F.split(F.regexp_replace(tex, r"[^{}]+", ""), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(a: Column, x: Column) -> Column:
+        now = F.when(x == "{", a["now"] + 1).when(x == "}", F.greatest(a["now"] - 1, F.lit(0))).otherwise(a["now"])
+        return F.struct(now.alias("now"), F.greatest(a["most"], now).alias("most"))
+
+    return F.aggregate(marks, start, step, lambda a: a["most"] > depth)
+
+
+def _scanned(tex: Column, head: str) -> tuple[Column, Column]:
+    """(pieces of tex that end at braces, the first and last piece of each group that head opens), by one fold over the pieces.
+
+    In the pieces a head begins with \\u0001 and its opening brace is \\u0002.
+    """
+    marked = F.regexp_replace(tex, rf"({head})\{{", "\u0001$1\u0002")
+    pieces = F.split(marked, "(?<=[{}\u0002])|(?=\u0001)", -1)
+    # depth: -1 outside, 0 between a head and its brace
+    start = F.struct(F.lit(0).alias("k"), F.lit(0).alias("first"), F.lit(-1).alias("depth"), F.array().cast("array<struct<first:int,last:int>>").alias("found"))
+
+    def step(a: Column, x: Column) -> Column:
+        outside = a["depth"] < 0
+        begins = outside & F.startswith(x, F.lit("\u0001"))
+        before = F.when(begins, F.lit(0)).otherwise(a["depth"])
+        opens = F.endswith(x, F.lit("\u0002")) | ((before > 0) & F.endswith(x, F.lit("{")))
+        depth = F.when(before < 0, F.lit(-1)).when(opens, before + 1).when((before > 0) & F.endswith(x, F.lit("}")), before - 1).otherwise(before)
+        first = F.when(begins, a["k"]).otherwise(a["first"])
+        closes = (before > 0) & (depth == 0)
+        found = F.when(closes, F.array_append(a["found"], F.struct(first.alias("first"), a["k"].alias("last")))).otherwise(a["found"])
+        return F.struct((a["k"] + 1).alias("k"), first.alias("first"), F.when(closes, F.lit(-1)).otherwise(depth).alias("depth"), found.alias("found"))
+
+    return pieces, F.aggregate(pieces, start, step, lambda a: a["found"])
+
+
+def _plain(text: Column) -> Column:
+    return F.translate(text, "\u0001\u0002", "\u0001{")
+
+
+def _piece(pieces: Column, first: Column, last: Column) -> Column:
+    return F.replace(_plain(F.array_join(F.slice(pieces, first + 1, F.greatest(last - first + 1, F.lit(0))), "")), F.lit("\u0001"), F.lit(""))
+
+
+def groups(tex: Column | str, head: str) -> Column:
+    """Every head with the brace group that follows, in order, whatever its depth; none within another."""
+    text = F.col(tex) if isinstance(tex, str) else tex
+    pieces, found = _scanned(text, head)
+    deep = F.transform(found, lambda s: _piece(pieces, s["first"], s["last"]))
+    return F.when(nested_deeper(text), deep).otherwise(every(text, head + braces()))
+
+
+def with_groups(tex: Column, head: str, before: str, after: str) -> Column:
+    """tex with `before` behind each opening brace that head opens, and `after` before the closing one."""
+    inner = braces()[2:-2]
+    plain = F.regexp_replace(tex, rf"({head}\{{)({inner})\}}", rf"$1{before}$2{after}}}".replace("\\", "\\\\"))
+    pieces, found = _scanned(tex, head)
+    end = lambda a: F.concat(a["out"], _piece(pieces, a["at"], F.size(pieces)))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(a: Column, s: Column) -> Column:
+        whole = _piece(pieces, s["first"], s["last"])
+        opened = F.length(F.regexp_extract(whole, rf"\A{head}\{{", 0))
+        new = F.concat(F.substring(whole, F.lit(1), opened), F.lit(before), F.substring(whole, opened + 1, F.length(whole) - opened - 1), F.lit(after + "}"))
+        return F.struct((s["last"] + 1).alias("at"), F.concat(a["out"], _piece(pieces, a["at"], s["first"] - 1), new).alias("out"))
+
+    return F.when(nested_deeper(tex), F.aggregate(found, start, step, end)).otherwise(plain)
+
+
 def _gone(tex, pattern: str, by: str = "") -> Column:
     return F.regexp_replace(tex, pattern, by)
 
@@ -47,8 +122,9 @@ def without_comment_envs(tex) -> Column:
 
 
 def without_line_comments(tex) -> Column:
-    """Drops % to the end of the line unless a backslash escapes it."""
-    return _gone(tex, r"(?<!\\)((?:\\\\)*)%[^\n]*", "$1")
+    r"""Drops % to the end of the line unless a backslash escapes it; verbatim environments and \verb stay."""
+    verbatim = rf"\\begin\{{({_VERBATIM})\}}.*?\\end\{{\2\}}|\\verb[*]?([^\sa-zA-Z*])[^\n]*?\3"
+    return _gone(tex, rf"(?s)({verbatim})|(?<!\\)((?:\\\\)*)%[^\n]*", "$1$4")
 
 
 def without_spare_blank_lines(tex) -> Column:
@@ -78,6 +154,11 @@ def main_content(tex) -> tuple[Column, Column, Column]:
     return F.when(fine, F.substring(text, first + 1, F.greatest(last - first, F.lit(0)))), F.when(fine, first.cast("long")), F.when(fine, last.cast("long"))
 
 
+def spliced(text: Column, start: Column, stop: Column, new: Column) -> Column:
+    """text with new in place of what lies from start to stop (offsets from 0)."""
+    return F.concat(F.substring(text, F.lit(1), start.cast("int")), new, F.substring(text, stop.cast("int") + 1, F.length(text)))
+
+
 def replace_nth(text: Column, old: str, new, n) -> Column:
     """The n-th occurrence (from 1) of old by new; unchanged where there are fewer."""
     parts = F.split(text, rf"\Q{old}\E", -1)
@@ -94,7 +175,7 @@ def paragraphs(text: Column) -> Column:
 
 def is_text_eq(text: Column) -> Column:
     r"""Whether text has inline math other than \(..\) around an escaped dollar."""
-    return F.exists(every(text, r"(?d)(\\\(.*?\\\))|(\$.*?\$)|(\\begin\{math\}.*?\\end\{math\})", 1), lambda x: ~F.contains(x, F.lit(r"\$")))
+    return F.exists(every(text, MATH, 1), lambda x: ~F.contains(x, F.lit(r"\$")))
 
 
 def without_outer_braces(text: Column) -> Column:
@@ -121,3 +202,16 @@ def with_extension(path: Column, extension: str) -> Column:
 def normalised_id(entry_id: Column) -> Column:
     """The last part of an entry URL without its version."""
     return F.regexp_extract(entry_id, r"([^/]+?)(v\d+)?$", 1)
+
+
+def group_kind(text: Column) -> Column:
+    """'bracket' or 'group' for a string in brackets or braces, else null."""
+    inside = F.length(text) > 1
+    return F.when(inside & F.startswith(text, F.lit("[")) & F.endswith(text, F.lit("]")), "bracket").when(inside & F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}")), "group")
+
+
+def group_of(text: Column, strict: bool = False) -> Column:
+    """struct<kind, text> of a string in brackets or braces; null for anything else, or a failed query if strict."""
+    kind = group_kind(text)
+    made = F.when(kind.isNotNull(), F.struct(kind.alias("kind"), F.substring(text, F.lit(2), F.length(text) - 2).alias("text")))
+    return made if not strict else F.when(kind.isNull(), F.raise_error(F.concat(F.lit("no group: "), F.substring(text, 1, 40)))).otherwise(made)

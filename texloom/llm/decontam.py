@@ -54,8 +54,8 @@ PROBES = 3
 #: Tables up to this size are sent to every task.
 BROADCAST_BYTES = 16 << 20
 SALTS = 8
-#: Words whose hashes a worker remembers.
-REMEMBERED = 1 << 19
+#: Words whose hashes a task remembers (about 100 bytes each).
+REMEMBERED = 1 << 17
 
 #: A-Z become lower case; all other ASCII but digits and letters parts words.
 _FOLD = bytes(x + 32 if 65 <= x <= 90 else x if 48 <= x <= 57 or 97 <= x <= 122 or x >= 128 else 32 for x in range(256))
@@ -196,6 +196,7 @@ def with_runs(docs: DataFrame, uri: str, least: dict[int, int]) -> DataFrame:
                 keys = [hashlib.md5(t.encode("utf-8", "surrogatepass")).hexdigest() if r else None for t, r in zip(texts, found, strict=True)]
                 runs = [[dict(zip(("start", "size", "words", "hashes"), x, strict=True)) for x in r] or None for r in found]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.string()), pa.array(runs, pa.list_(run_type))], ["doc_id", "n_words", "key", "runs"])
+        _HASHES.clear()  # the worker's next task may be another's
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words bigint, key string, runs {_RUNS}")

@@ -1,20 +1,25 @@
 """License scans with a positional rare-token index, in DataFrame functions only.
 
-The index holds the words of licence templates with their positions. Over all
-documents the frequency of each template word is counted; a template's anchor
-is the word of its key phrases with the highest IDF. Each document's licence
-words are listed with their positions once; an anchor's place less its posting
-in the template is where the template would begin. There the key phrases, which
-are mandatory, are verified word for word, and the other postings are
-intersected by relative position: the score is the share of the template's
-words that stand where they should. As key phrases are mandatory, any of their
-words finds all places, so the counted frequencies save work and change no result.
-
-All of it happens within a row; only the counts of template words are
-shuffled, combined first. No work grows faster than a document's length.
+The index holds the words of licence templates with their positions. All texts
+are cut into words once. A file whose words hold no whole key phrase is done:
+key phrases are mandatory. Of the others the licence words are written with
+their places (other words as nulls), and over all documents the frequency of
+each licence word is counted. Of a template's key words, which a file must all
+have, the one with the highest IDF is looked up in the file; its place less its
+posting in the template is where the template would begin. There the postings of
+the key phrases are intersected by relative position, which verifies them word
+for word, and the template's other postings give the score, the share of its words that
+stand where they should. Any key word finds the same places, so the frequencies
+decide how many places are tried and change no result.
+
+All but the counting happens within a row, where a word at a place is found in
+one step. Only the counts of licence words are shuffled, combined first. Places
+that are tried are occurrences of the rarest word, so no work grows faster than
+a document's length.
 
 Defined results: null and empty texts have no words, no labels, score 0 and
-null positions; whole texts of any length are read; repeated rows get equal
+null positions; whole texts of any length are read; of key words of equal
+frequency the first in the template is looked up; repeated rows get equal
 results; a null doc_id stays null; an empty table gives an empty result; extra
 columns are not looked at.
 """
@@ -27,6 +32,8 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .shared import written
+
 #: Share of a template's words that must stand at their places.
 LEAST_SCORE = 0.7
 
@@ -71,10 +78,18 @@ def key_places(template: str, keys: list[str]) -> list[tuple[int, str]]:
     return sorted(out.items())
 
 
-def document_frequency(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
-    """Documents with each word of the templates, counted over all documents."""
-    known = F.array(*map(F.lit, vocabulary))
-    found = docs.select(F.explode(F.array_intersect(words_of(F.col("text")), known)).alias("word")).groupBy("word").count()
+def licence_words(docs: DataFrame, vocabulary: list[str], phrases: list[list[str]]) -> DataFrame:
+    """doc_id, n_words, _has (the licence words of the text) and _w (its words, those of no licence as null; null where no phrase has all its words)."""
+    some = docs.select("doc_id", words_of(F.col("text")).alias("_all"))
+    some = some.select("doc_id", F.size("_all").cast("long").alias("n_words"), F.transform("_all", lambda w: F.when(w.isin(vocabulary), w)).alias("_w"))
+    some = some.select("doc_id", "n_words", F.array_distinct(F.array_compact("_w")).alias("_has"), "_w")
+    whole = reduce(or_, (F.size(F.array_intersect("_has", F.array(*map(F.lit, sorted(set(p)))))) == len(set(p)) for p in phrases))
+    return some.select("doc_id", "n_words", "_has", F.when(whole, F.col("_w")).alias("_w"))
+
+
+def document_frequency(table: DataFrame) -> dict[str, int]:
+    """Documents with each licence word, counted over all documents."""
+    found = table.select(F.explode("_has").alias("word")).groupBy("word").count()
     return {r.word: r["count"] for r in found.collect()}  # at most the templates' words
 
 
@@ -84,38 +99,37 @@ def _at(words: Column, place: Column) -> Column:
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score of every row."""
-    vocabulary = sorted({w for _, text, _ in TEMPLATES for w in text.split()})
-    rows, having = docs.count(), document_frequency(docs, vocabulary)
+    keyed = [[w for _, w in key_places(text, keys)] for _, text, keys in TEMPLATES] + [p.split() for p, _ in PHRASES]
+    vocabulary = sorted({w for _, text, _ in TEMPLATES for w in text.split()} | {w for p in keyed for w in p})
+    table = written(licence_words(docs, vocabulary, keyed), "licence-words")
+    rows, having = table.count(), document_frequency(table)
     idf = {w: math.log((rows + 1) / (having.get(w, 0) + 1)) for w in vocabulary}
-    index = []
-    for label, text, keys in TEMPLATES:
-        places = key_places(text, keys)
-        at, anchor = max(places, key=lambda x: (idf[x[1]], -x[0]))
-        index.append((label, text.split(), places, at, anchor))
-    firsts = {p.split()[0] for p, _ in PHRASES}
-    rare = sorted({x[4] for x in index} | firsts)
-
-    known = F.array(*map(F.lit, rare))
-    split = docs.select("doc_id", words_of(F.col("text")).alias("_w"))
-    # licence words with their places; documents without any have none of what follows
-    pairs = F.filter(F.transform("_w", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: F.array_contains(known, h.w))
-    hits = split.select("doc_id", "_w", F.when(F.arrays_overlap("_w", known), pairs).alias("_h"))
+    rarest = lambda places: max(places, key=lambda x: (idf[x[1]], -x[0]))
+    index = [(label, text.split(), places := key_places(text, keys), *rarest(places)) for label, text, keys in TEMPLATES]
+    base_index = [(places := list(enumerate(p.split())), *rarest(places)) for p, _ in PHRASES]
+    rare = sorted({x[4] for x in index} | {x[2] for x in base_index})
+
+    # the rarest key words with their places; documents without any have none of what follows
+    pairs = F.filter(F.transform("_w", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: h.w.isin(rare))
+    hits = table.select("doc_id", "n_words", "_w", pairs.alias("_h"))
 
     def starts(word: str, offset: int) -> Column:
         return F.transform(F.filter("_h", lambda h: h.w == word), lambda h: h.i - offset)
 
-    def phrase(words: list[str]) -> Column:
-        return F.filter(starts(words[0], 0), lambda i: reduce(and_, (F.coalesce(_at(F.col("_w"), i + j) == w, F.lit(False)) for j, w in enumerate(words) if j)))
+    def held(places: list[tuple[int, str]], at: int, anchor: str) -> Column:
+        """Where all of places, (offset, word), stand."""
+        others = [(j, w) for j, w in places if j != at]
+        first = min(j for j, _ in places)
+        return F.filter(starts(anchor, at), lambda s: reduce(and_, (F.coalesce(_at(F.col("_w"), s + j) == w, F.lit(False)) for j, w in others), s + first >= 0))
 
     def score(template: list[str], places: list[tuple[int, str]], at: int, anchor: str) -> Column:
-        held = F.filter(starts(anchor, at), lambda s: reduce(and_, (F.coalesce(_at(F.col("_w"), s + j) == w, F.lit(False)) for j, w in places if j != at)))
-        agree = F.transform(held, lambda s: reduce(lambda a, b: a + b, (F.coalesce((_at(F.col("_w"), s + j) == w).cast("int"), F.lit(0)) for j, w in enumerate(template))) / F.lit(float(len(template))))
+        agree = F.transform(held(places, at, anchor), lambda s: reduce(lambda a, b: a + b, (F.coalesce((_at(F.col("_w"), s + j) == w).cast("int"), F.lit(0)) for j, w in enumerate(template))) / F.lit(float(len(template))))
         return F.array_max(agree)
 
     measured = hits.select(
-        "doc_id", F.size("_w").cast("long").alias("n_words"), "_h",
-        *(F.when(F.col("_h").isNotNull(), phrase(p.split())).alias(f"_p{k}") for k, (p, _) in enumerate(PHRASES)),
-        *(F.when(F.col("_h").isNotNull(), score(*x[1:])).alias(f"_s{k}") for k, x in enumerate(index)),
+        "doc_id", "n_words",
+        *(F.when(F.size("_h") > 0, held(*x)).alias(f"_p{k}") for k, x in enumerate(base_index)),
+        *(F.when(F.size("_h") > 0, score(*x[1:])).alias(f"_s{k}") for k, x in enumerate(index)),
     )
     none = F.array().cast("array<int>")
     places = F.concat(*(F.coalesce(f"_p{k}", none) for k in range(len(PHRASES))))

@@ -2,15 +2,21 @@
 
 Each file begins with a skippable frame (magic 0x184D2A5D) that holds the
 dictionary, trained on the first records that the file's task writes (at most
-TRAIN_BYTES); where they have 512 KB or less, or nothing in common, it is empty and
-the records are compressed without one. Every record, a WARC/1.1 header and block, is a frame of its own.
+TRAIN_BYTES), of an eighth of their size and DICTIONARY_BYTES at most. Where the
+trainer finds nothing in common, or has under LEAST_SAMPLES records, the frame
+is empty and the records are compressed without one. Every record, a WARC/1.1
+header and block, is a frame of its own.
 
 Of the pages with equal payloads the one with the smallest page_id is a response
 and the others are revisit records, which carry the HTTP header with the
-payload's length, its digest and the id of the response, but no payload. The
-smallest id per digest is found by an aggregation that combines before it
-shuffles; the join back to the pages can be split where one payload is on a
-third of all pages.
+payload's length, its digest and the id of the response, but no payload. Only
+digests and ids are shuffled, combined first; the digests of two and more pages
+go to every task if their table has BROADCAST_BYTES at most, else the pages are
+joined with them, dealt out to SALTS tasks where one payload is on many.
+
+Record ids are unique: that of a page's first row with a payload is made of its
+page_id and digest, those of others have a number of their own behind it. Only
+a table with repeated rows is written to the shared folder for that, to number them.
 
 Defined results: a null html is an empty payload; payloads of any size are
 written whole; pages without a page_id are responses and never referred to;
@@ -35,10 +41,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .arrow import pieces
 from .files import new_file, open_file
-from .shared import new_path
+from .shared import new_path, table_bytes, written
 
 SKIPPABLE = 0x184D2A5D
-DICTIONARY_BYTES, TRAIN_BYTES, LEVEL = 64 << 10, 4 << 20, 3
+DICTIONARY_BYTES, TRAIN_BYTES, LEAST_SAMPLES, LEVEL = 64 << 10, 4 << 20, 8, 3
+BROADCAST_BYTES, SALTS = 16 << 20, 16
 #: The records' date; a run gives the same archives again.
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -49,22 +56,25 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _record_id(page_id) -> str:
-    return f"<urn:page:{'' if page_id is None else quote(str(page_id), safe='')}>"
+def _record_id(page_id, sha1: str = "", number: int | None = None) -> str:
+    """page_id, then the payload's digest, then a number for all but the first row with both."""
+    parts = ["" if page_id is None else quote(str(page_id), safe=""), sha1, "" if number is None else str(number)]
+    return f"<urn:page:{':'.join(parts).rstrip(':')}>"
 
 
 def _page_id(record_id: str | None) -> str | None:
-    return unquote(record_id[len("<urn:page:") : -1]) or None if record_id else None
+    return unquote(record_id[len("<urn:page:") : -1].split(":")[0]) or None if record_id else None
 
 
-def record(page_id, url: str | None, payload: bytes, refers_to) -> bytes:
-    """One record; refers_to: the response's page_id for a revisit, else None."""
+def record(page_id, url: str | None, payload: bytes, refers_to, number: int | None = None) -> bytes:
+    """One record; refers_to: the response's page_id for a revisit, else None; number: what tells rows of equal page_id and payload apart."""
+    sha1 = digest(payload)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {_record_id(page_id)}", f"WARC-Date: {DATE}"]
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {_record_id(page_id, sha1, number)}", f"WARC-Date: {DATE}"]
     head += [f"WARC-Target-URI: {quote(url, safe=_URI)}"] if url else []
-    head += [f"WARC-Payload-Digest: sha1:{digest(payload)}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
-    head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_record_id(refers_to)}"] if refers_to is not None else []
+    head += [f"WARC-Payload-Digest: sha1:{sha1}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_record_id(refers_to, sha1)}"] if refers_to is not None else []
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -81,7 +91,7 @@ def write_archive(out, records: Iterator[bytes]) -> int:
         if held >= TRAIN_BYTES:
             break
     try:
-        dictionary = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if held > 8 * DICTIONARY_BYTES else b""
+        dictionary = zstandard.train_dictionary(min(DICTIONARY_BYTES, held // 8), samples).as_bytes() if len(samples) >= LEAST_SAMPLES else b""
     except zstandard.ZstdError:  # too little, or nothing in common
         dictionary = b""
     out.write(struct.pack("<II", SKIPPABLE, len(dictionary)) + dictionary)
@@ -123,10 +133,26 @@ def read_archive(file) -> Iterator[tuple[dict[str, str], dict[str, str], bytes]]
 def write_archives(pages: DataFrame, folder: str | None = None) -> str:
     """Writes pages (page_id, url, html) as archives, one for each task; the folder's URI."""
     folder = folder or new_path(pages.sparkSession, "warc")
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.monotonically_increasing_id().alias("_row"))
     keyed = rows.withColumn("_key", F.unhex(F.sha1(F.col("html").cast("binary"))))
-    firsts = keyed.groupBy("_key").agg(F.min("page_id").alias("_first"))
-    joined = keyed.join(firsts, "_key").select("page_id", "url", "html", F.when(F.col("page_id") != F.col("_first"), F.col("_first")).alias("_refers_to"))
+    narrow = written(keyed.select("_key", "page_id"), "warc-keys")
+    firsts = narrow.groupBy("_key").agg(F.min("page_id").alias("_first"), F.count("*").alias("_many")).where("_many > 1").select("_key", "_first")
+    firsts = written(firsts, "warc-digests", compact=True)
+    repeats = lambda rows, *more: rows.where("page_id is not null").groupBy("_key", "page_id").agg(F.count("*").alias("_many"), *more).where("_many > 1")
+    if repeats(narrow).isEmpty():
+        number = F.when(F.col("page_id").isNull(), F.col("_row"))
+    else:  # rows of equal page_id and payload: the first is the one that is referred to, so rows must keep their numbers
+        keyed = written(keyed, "warc-rows")
+        again = written(repeats(keyed, F.min("_row").alias("_one")).select(F.col("_key").alias("_key2"), F.col("page_id").alias("_page2"), "_one"), "warc-repeats", compact=True)
+        same = (F.col("_key") == F.col("_key2")) & (F.col("page_id") == F.col("_page2"))
+        keyed = keyed.join(F.broadcast(again) if table_bytes(again) <= BROADCAST_BYTES else again, same, "left")
+        number = F.when(F.col("page_id").isNull() | (F.col("_row") != F.col("_one")), F.col("_row"))
+    if table_bytes(firsts) <= BROADCAST_BYTES:
+        joined = keyed.join(F.broadcast(firsts), "_key", "left")
+    else:
+        salted = firsts.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+        joined = keyed.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["_key", "_salt"], "left")
+    joined = joined.select("page_id", "url", "html", F.when(F.col("page_id") != F.col("_first"), F.col("_first")).alias("_refers_to"), number.alias("_number"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = (part for batch in batches for part in pieces(batch, "html"))
@@ -134,7 +160,7 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> str:
         if first is None:
             return
         with new_file(folder, f"{TaskContext.get().partitionId():06d}.warc.zst") as (out, uri):
-            n = write_archive(out, (record(i, u, h.encode("utf-8", "surrogatepass"), r) for part in itertools.chain([first], parts) for i, u, h, r in zip(*(c.to_pylist() for c in part.columns), strict=True)))
+            n = write_archive(out, (record(i, u, h.encode("utf-8", "surrogatepass"), r, n) for part in itertools.chain([first], parts) for i, u, h, r, n in zip(*(c.to_pylist() for c in part.columns), strict=True)))
         yield pa.RecordBatch.from_pydict({"uri": [uri], "records": pa.array([n], pa.int64())})
 
     joined.mapInArrow(write, "uri string, records bigint").write.parquet(f"{folder}/manifest")

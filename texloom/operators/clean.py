@@ -9,7 +9,7 @@ from . import includes, records
 from .extract import mentions
 from .order import reading_order
 from .quality import category_quality, page_quality
-from .refs import cross_references
+from .refs import float_and_cross_references
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
@@ -32,5 +32,5 @@ def clean_project(files: DataFrame, roots: DataFrame, recorded: DataFrame) -> Da
 def annotated(docs: DataFrame, blocks: DataFrame) -> dict[str, DataFrame]:
     """All tables that one run over documents (doc_id, tex) and their layout blocks gives; each is a plan of its own."""
     found = mentions(clean_documents(docs))
-    orders = reading_order(blocks).unionByName(cross_references(blocks))
+    orders = reading_order(blocks).unionByName(float_and_cross_references(blocks, docs))
     return {"mentions": found, "orders": orders, "pages": page_quality(blocks), "categories": category_quality(blocks, found)}

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import tex as T
 from ..schema import CATEGORIES, LAYOUT_KEYS
+from .parse import parse_segments
+from .segments import categorised
 
 #: What log lines of layout lengths begin with.
 LOG_TAG = "layout"
@@ -72,15 +74,33 @@ def styled(text: Column) -> Column:
 
 
 def coloured(text: Column) -> Column:
-    """Captions, footnotes, the title, the abstract, tables and code in their colours."""
-    inner = T.braces()[2:-2]
-    out = F.regexp_replace(text, rf"(\\caption(?:\[[^\]]*\])?\{{)({inner})\}}", r"$1{\\color{Caption_color}$2}}")
-    for name in T.FOOTNOTE:
-        out = F.regexp_replace(out, rf"(\\{name}(?:\[[^\]]*\])?\{{)({inner})\}}", r"$1{\\color{Footnote_color}$2}}")
-    out = F.regexp_replace(out, rf"(\\title\{{)({inner})\}}", r"$1{\\textcolor{PaperTitle_color}{$2}}}")
+    """Captions, footnotes, the title, the abstract, tables, code and algorithms in their colours."""
+    out = T.with_groups(text, T.CAPTION_HEAD, r"{\color{Caption_color}", "}")
+    for head in T.FOOTNOTE_HEADS.values():
+        out = T.with_groups(out, head, r"{\color{Footnote_color}", "}")
+    out = T.with_groups(out, T.TITLE_HEAD, r"{\textcolor{PaperTitle_color}{", "}}")
     out = F.regexp_replace(out, r"(?s)(\\begin\{abstract\})(.*?\\end\{abstract\})", r"{$1\\color{Abstract_color}$2}")
-    out = F.regexp_replace(out, r"(?s)(\\begin\{(tabular[*xy]?|tabu)\}.*?\\end\{\2\})", r"{\\color{Table_color}$1}")
-    return F.regexp_replace(out, T.CODE, r"{\\color{Code_color}$0}")
+    out = F.regexp_replace(out, T.TABULAR, r"{\\color{Table_color}$0}")
+    out = F.regexp_replace(out, T.CODE, r"{\\color{Code_color}$0}")
+    return F.regexp_replace(out, r"(?s)(\\begin\{algorithm[*]?\}[^\\]*)(.*?)(\\end\{algorithm[*]?\})", r"$1{\\color{Algorithm_color}$2}$3")
+
+
+def rendered(docs: DataFrame) -> DataFrame:
+    """doc_id, tex, error: documents in which the mentions of all categories have their colour.
+
+    Headings, lists, equations and texts are coloured in the parsed main content, which takes the old one's place; the others in the
+    whole text after that. A document without a main content, or one that cannot be parsed, has no tex but an error.
+    """
+    content, start, stop = T.main_content("tex")
+    parts = docs.select("doc_id", "tex", content.alias("_content"), start.alias("_start"), stop.alias("_stop"))
+    found = categorised(parse_segments(parts.where("_content is not null").select("doc_id", F.col("_content").alias("tex"))))
+    new = F.coalesce(colorize(F.col("text"), F.col("category")), F.col("text"))
+    ordered = F.array_sort(F.collect_list(F.struct("seg_pos", new.alias("t"))))
+    whole = found.groupBy("doc_id").agg(F.array_join(F.transform(ordered, lambda x: F.coalesce(x["t"], F.lit(""))), "").alias("_new"), F.max("error").alias("_error"))
+    joined = parts.join(whole, "doc_id", "left")
+    error = F.when(F.col("_content").isNull(), F.lit("no main content")).otherwise(F.col("_error"))
+    spliced = T.spliced(F.col("tex"), F.col("_start"), F.col("_stop"), F.coalesce("_new", F.lit("")))
+    return joined.select("doc_id", F.when(error.isNull(), coloured(spliced)).alias("tex"), error.alias("error"))
 
 
 _ORDER = rf"\\(?:text)?color\{{({'|'.join(sorted((n for _, n, _ in CATEGORIES), key=len, reverse=True))})_color\}}"
@@ -89,8 +109,18 @@ _ORDER = rf"\\(?:text)?color\{{({'|'.join(sorted((n for _, n, _ in CATEGORIES),
 def _ordered(docs: DataFrame) -> DataFrame:
     """doc_id, tex, seq, category, idx: a row for each coloured mention; idx counts those of its category before it, within the row's own list."""
     listed = docs.select("doc_id", "tex", T.every("tex", _ORDER, 1).alias("_all"))
-    rows = listed.select("doc_id", "tex", "_all", F.posexplode("_all").alias("seq", "category"))
-    idx = F.size(F.filter(F.slice("_all", F.lit(1), F.col("seq")), lambda x: x == F.col("category")))
+    names = [n for _, n, _ in CATEGORIES]
+    # one walk that counts each category
+    start = F.struct(F.array(*[F.lit(0)] * len(names)).alias("n"), F.array().cast("array<int>").alias("idx"))
+
+    def step(a: Column, x: Column) -> Column:
+        here = [x == n for n in names]
+        counts = F.array(*(F.get(a["n"], F.lit(k)) + h.cast("int") for k, h in enumerate(here)))
+        return F.struct(counts.alias("n"), F.array_append(a["idx"], F.get(a["n"], F.array_position(F.array(*map(F.lit, names)), x).cast("int") - 1)).alias("idx"))
+
+    listed = listed.withColumn("_idx", F.aggregate("_all", start, step, lambda a: a["idx"]))
+    rows = listed.select("doc_id", "tex", "_idx", F.posexplode("_all").alias("seq", "category"))
+    idx = F.get("_idx", F.col("seq"))
     return rows.select("doc_id", "tex", F.col("seq").cast("long").alias("seq"), "category", idx.cast("long").alias("idx"))
 
 

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
 from ..schema import BOX_COLOURS, CATEGORIES
+from .quality import category_quality, page_quality, report_header
 
 
 def _category_id() -> Column:
@@ -56,11 +63,107 @@ def order_annotations(orders: DataFrame) -> DataFrame:
     return orders.groupBy("doc_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct(F.col("from_id").alias("k"), triple.alias("v")))).getField("v")).alias("orders"))
 
 
+def blocks_of(layouts: DataFrame) -> DataFrame:
+    """Rows of schema.BLOCKS of layout_info's documents (doc_id, layout); ann_pos is a block's place in its document's pages."""
+    block = "struct<block_id:bigint,category:string,page_index:bigint,parent_block:bigint,source_code:string,bbox:array<double>>"
+    pages = layouts.select("doc_id", F.explode(F.from_json("layout", f"map<string,array<{block}>>")).alias("page", "l"))
+    rows = pages.select("doc_id", F.col("page").cast("long").alias("page"), F.posexplode("l").alias("k", "b"))
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "k")) - 1
+    corners = [F.get("b.bbox", F.lit(i)).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))]
+    return rows.select("doc_id", "b.block_id", place.cast("long").alias("ann_pos"), "b.category", "b.page_index", *corners, F.when(F.col("b.parent_block") >= 0, F.col("b.parent_block")).alias("parent_block"), "b.source_code")
+
+
+def relations(blocks: DataFrame, orders: DataFrame) -> DataFrame:
+    """doc_id, relations: blocks and their orders as one JSON document."""
+    block = F.struct("block_id", "category", "page_index", F.array("x0", "y0", "x1", "y1").alias("bbox"), "source_code", F.coalesce("parent_block", F.lit(-1)).alias("parent_block"))
+    a = blocks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("ann_pos", "block_id", block.alias("v")))).alias("a"))
+    triple = F.struct("type", F.col("from_id").alias("from"), F.col("to_id").alias("to"))
+    o = orders.groupBy("doc_id").agg(F.array_sort(F.collect_list(triple)).alias("o"))
+    none = F.array().cast(o.schema["o"].dataType)
+    return a.join(o, "doc_id", "left").select("doc_id", F.to_json(F.struct(F.transform("a", lambda x: x["v"]).alias("annotations"), F.coalesce("o", none).alias("orders"))).alias("relations"))
+
+
+def reading_annotations_of(documents: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """doc_id, reading, error: the reading annotation of each of relations' documents as JSON.
+
+    A null document, or one without annotations, has an error instead. known: doc_id of those that have one, which are left out.
+    """
+    block = "struct<block_id:bigint,bbox:array<double>,category:string,page_index:bigint,source_code:string>"
+    todo = documents if known is None else documents.join(known.select("doc_id").distinct(), "doc_id", "left_anti")
+    found = todo.select("doc_id", "relations", F.from_json("relations", f"struct<annotations:array<{block}>>").alias("p"))
+    error = F.when(F.col("relations").isNull(), "no document").when(F.col("p.annotations").isNull(), "no annotations")
+    return found.select("doc_id", F.when(error.isNull(), F.to_json("p.annotations")).alias("reading"), error.alias("error"))
+
+
+def quality_reports(blocks: DataFrame, mentions: DataFrame, metrics: DataFrame) -> DataFrame:
+    """doc_id, report: number of pages and columns, quality of categories and pages, as JSON. metrics: doc_id, num_columns."""
+    row = lambda df, *columns: df.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("l"))
+    categories = row(category_quality(blocks, mentions), "category", "geometry_count", "reading_count", "missing_rate").withColumnRenamed("l", "category_quality")
+    pages = row(page_quality(blocks), F.coalesce(F.expr("try_cast(page as int)"), F.lit(-1)).alias("k"), "page", "num_blocks", "area", "overlap", "ratio").select("doc_id", F.transform("l", lambda x: x.dropFields("k")).alias("page_quality"))
+    joined = report_header(blocks).join(metrics.select("doc_id", "num_columns"), "doc_id", "left").join(categories, "doc_id", "left").join(pages, "doc_id", "left")
+    return joined.select("doc_id", F.to_json(F.struct("num_pages", "num_columns", "category_quality", "page_quality")).alias("report"))
+
+
 def page_names(pages: DataFrame) -> DataFrame:
     """pages with file_name, the name of an exported page image."""
     return pages.withColumn("file_name", F.format_string("original-page-%04d.jpg", "page_index"))
 
 
+#: File of a paper's folder -> the column that it holds.
+PAPER_FILES = {"quality_report.json": "report", "layout_info.json": "layout", "order_annotation.json": "relations", "reading_annotation.json": "reading", "layout_annotation.json": "coco", "texts.json": "texts"}
+
+
+def paper_files(papers: DataFrame, documents: dict[str, DataFrame], images: DataFrame | None = None) -> DataFrame:
+    """path, content of the files of each paper's folder, discipline/paper_id/name.
+
+    papers: doc_id, discipline, paper_id of those to export; documents: column of PAPER_FILES -> doc_id and that column;
+    images: doc_id, page_index, content.
+    """
+    folder = F.concat_ws("/", "discipline", "paper_id")
+    parts = []
+    for name, column in PAPER_FILES.items():
+        if column in documents:
+            text = F.to_json(column) if not isinstance(documents[column].schema[column].dataType, StringType) else F.col(column)
+            parts.append(papers.join(documents[column].where(F.col(column).isNotNull()), "doc_id").select(F.concat_ws("/", folder, F.lit(name)).alias("path"), text.cast("binary").alias("content")))
+    if images is not None:
+        parts.append(papers.join(page_names(images), "doc_id").select(F.concat_ws("/", folder, "file_name").alias("path"), "content"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def write_files(found: DataFrame, folder: str) -> DataFrame:
+    """Writes found (path, content) as files below a folder's URI; path, status of each: written, or kept where a file is there already.
+
+    A file gets its name only when it is whole, so a task that runs again, or a second export, changes nothing.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder.removeprefix("file:"))
+        for batch in batches:
+            said = []
+            for k in range(batch.num_rows):
+                name = batch.column(0)[k].as_py()
+                target = f"{base}/{name}"
+                if system.get_file_info(target).type != fs.FileType.NotFound:
+                    said.append("kept")
+                    continue
+                system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                part = f"{target}.{uuid.uuid4().hex[:12]}.part"
+                with system.open_output_stream(part) as out:
+                    out.write(batch.column(1)[k].as_py() or b"")
+                system.move(part, target)
+                said.append("written")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string())], ["path", "status"])
+
+    return found.select("path", "content").mapInArrow(write, "path string, status string")
+
+
+def json_documents(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Appends the rows whose keys the JSON dataset at path has not, in folders by all of keys."""
+    _append(df, path, keys, "json")
+
+
 def overlay(blocks: DataFrame) -> DataFrame:
     """Drawing commands of a page's boxes: file_name, box, label and colour, in the order in which they are drawn."""
     colours = F.array(*map(F.lit, BOX_COLOURS))
@@ -69,8 +172,16 @@ def overlay(blocks: DataFrame) -> DataFrame:
 
 def export(df: DataFrame, path: str, keys: list[str]) -> None:
     """Appends the rows whose keys the dataset at path has not; running it again adds nothing."""
+    _append(df, path, keys, "parquet")
+
+
+def _append(df: DataFrame, path: str, keys: list[str], form: str) -> None:
     spark = df.sparkSession
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folders = keys if form == "json" else keys[:1]
     if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        df = df.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_anti")
-    df.write.mode("append").partitionBy(*keys[:1]).parquet(path)
+        there = spark.read.schema(df.schema).format(form).load(path)
+        mine = [r[0] for r in df.select(folders[0]).distinct().collect()]  # a folder each
+        # only the keys of the folders that df writes to are read
+        df = df.join(there.where(F.col(folders[0]).isin(mine)).select(*keys).distinct(), keys, "left_anti")
+    df.write.mode("append").partitionBy(*folders).format(form).save(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,17 +14,40 @@ def listed(docs: DataFrame, values: Column, *, name: str = "source_code", kept:
     return docs.select(*kept, F.posexplode(values).alias("idx", name)).withColumn("idx", F.col("idx").cast("long"))
 
 
+def _footnotes() -> Column:
+    """All of one command before the next, as the commands are listed."""
+    return F.concat(*(T.groups("tex", head) for head in T.FOOTNOTE_HEADS.values()))
+
+
+def _tabulars() -> Column:
+    """Tables' bodies, without those that hold graphics."""
+    return F.filter(T.every("tex", T.TABULAR), lambda x: ~F.contains(x, F.lit(r"\includegraphics")))
+
+
+def _graphics() -> Column:
+    r"""\includegraphics commands, rebuilt from options and path."""
+    pair = F.arrays_zip(T.every("tex", T.GRAPHICS, 1).alias("o"), T.every("tex", T.GRAPHICS, 2).alias("p"))
+    options = lambda x: F.when(x["o"] != "", F.concat(F.lit("["), x["o"], F.lit("]"))).otherwise("")
+    return F.transform(pair, lambda x: F.concat(F.lit(r"\includegraphics"), options(x), F.lit("{"), x["p"], F.lit("}")))
+
+
+#: category -> its mentions in tex, in order.
+LISTS: dict[str, Callable[[], Column]] = {
+    "Caption": lambda: T.groups("tex", T.CAPTION_HEAD), "PaperTitle": lambda: T.groups("tex", T.TITLE_HEAD), "Footnote": _footnotes, "Table": _tabulars,
+    "Algorithm": lambda: T.every("tex", T.ALGORITHM), "Code": lambda: T.every("tex", T.CODE), "Figure": _graphics,
+}
+
+
 def captions(docs: DataFrame) -> DataFrame:
-    return listed(docs, T.every("tex", T.CAPTION))
+    return listed(docs, LISTS["Caption"]())
 
 
 def paper_titles(docs: DataFrame) -> DataFrame:
-    return listed(docs, T.every("tex", T.PAPER_TITLE))
+    return listed(docs, LISTS["PaperTitle"]())
 
 
 def footnotes(docs: DataFrame) -> DataFrame:
-    """All of one command before the next, as the commands are listed."""
-    return listed(docs, F.concat(*(T.every("tex", p) for p in T.FOOTNOTE.values())))
+    return listed(docs, LISTS["Footnote"]())
 
 
 def abstracts(docs: DataFrame) -> DataFrame:
@@ -34,23 +57,19 @@ def abstracts(docs: DataFrame) -> DataFrame:
 
 
 def tabulars(docs: DataFrame) -> DataFrame:
-    """Tables' bodies, without those that hold graphics."""
-    return listed(docs, F.filter(T.every("tex", T.TABULAR), lambda x: ~F.contains(x, F.lit(r"\includegraphics"))))
+    return listed(docs, LISTS["Table"]())
 
 
 def algorithms(docs: DataFrame) -> DataFrame:
-    return listed(docs, T.every("tex", T.ALGORITHM))
+    return listed(docs, LISTS["Algorithm"]())
 
 
 def codes(docs: DataFrame) -> DataFrame:
-    return listed(docs, T.every("tex", T.CODE))
+    return listed(docs, LISTS["Code"]())
 
 
 def graphics(docs: DataFrame) -> DataFrame:
-    r"""\includegraphics commands, rebuilt from options and path."""
-    pair = F.arrays_zip(T.every("tex", T.GRAPHICS, 1).alias("o"), T.every("tex", T.GRAPHICS, 2).alias("p"))
-    options = lambda x: F.when(x["o"] != "", F.concat(F.lit("["), x["o"], F.lit("]"))).otherwise("")
-    return listed(docs, F.transform(pair, lambda x: F.concat(F.lit(r"\includegraphics"), options(x), F.lit("{"), x["p"], F.lit("}"))))
+    return listed(docs, LISTS["Figure"]())
 
 
 def text_paragraphs(docs: DataFrame) -> DataFrame:
@@ -59,14 +78,13 @@ def text_paragraphs(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.col("idx").cast("long").alias("idx"), F.when(T.is_text_eq(F.col("source_code")), "Text-EQ").otherwise("Text").alias("category"), "source_code")
 
 
-MENTIONS = {"Caption": captions, "PaperTitle": paper_titles, "Footnote": footnotes, "Table": tabulars, "Algorithm": algorithms, "Code": codes, "Figure": graphics}
-
-
 def mentions(docs: DataFrame) -> DataFrame:
-    """doc_id, category, idx, source_code of every category that patterns find."""
-    parts = [f(docs).select("doc_id", F.lit(c).alias("category"), "idx", "source_code") for c, f in MENTIONS.items()]
-    parts.append(abstracts(docs).where("status = 'ok'").select("doc_id", F.lit("Abstract").alias("category"), F.lit(0).cast("long").alias("idx"), "source_code"))
-    return reduce(DataFrame.unionByName, parts)
+    """doc_id, category, idx, source_code of every category that patterns find; the documents are read once. Several abstracts are none."""
+    abstract = T.every("tex", T.ABSTRACT)
+    lists = {c: f() for c, f in LISTS.items()} | {"Abstract": F.when(F.size(abstract) == 1, abstract).otherwise(F.array().cast("array<string>"))}
+    each = F.array(*(F.struct(F.lit(c).alias("category"), v.alias("l")) for c, v in lists.items()))
+    rows = docs.select("doc_id", F.explode(each).alias("m")).select("doc_id", "m.category", F.posexplode("m.l").alias("idx", "source_code"))
+    return rows.withColumn("idx", F.col("idx").cast("long")).select("doc_id", "category", "idx", "source_code")
 
 
 def mention_map(mentioned: DataFrame) -> DataFrame:

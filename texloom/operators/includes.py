@@ -1,9 +1,11 @@
-"""Include resolution: files are spliced into those that name them, level by level."""
+"""Include resolution: files are spliced into those that name them, round by round until nothing changes."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.rounds import cut
+
 PATTERN = r"\\(?:subimport|import)\*?\{[^}]*\}\{[^}]*\}|\\(?:include|input)\{[^}]*\}"
 
 
@@ -21,17 +23,42 @@ def include_edges(files: DataFrame) -> DataFrame:
     return rows.select("doc_id", "path", F.col("seq").cast("long").alias("seq"), "command", _target(F.col("command")).alias("target"))
 
 
-def resolved(files: DataFrame, roots: DataFrame, levels: int = 8) -> DataFrame:
-    """doc_id, path, tex of roots (doc_id, path) with includes in place; those that name no file, or lie deeper than `levels`, stay.
+def _pieces(files: DataFrame) -> DataFrame:
+    """doc_id, path, pieces: each file as an array of (text, command, target) in order; command is null in the last."""
+    gaps, commands = F.split("tex", PATTERN, -1), F.regexp_extract_all("tex", F.lit(PATTERN), F.lit(0))
+    piece = F.transform(F.arrays_zip(gaps.alias("t"), commands.alias("c")), lambda p: F.struct(p["t"].alias("text"), p["c"].alias("command"), _target(p["c"]).alias("target")))
+    return files.select("doc_id", "path", piece.alias("pieces"))
+
+
+def resolved(files: DataFrame, roots: DataFrame) -> DataFrame:
+    """doc_id, path, tex of roots (doc_id, path) with includes in place, however deep. Those that name no file stay, and so do
+    those that name a file they stand in, at any distance: a cycle is entered once.
 
-    A level joins each open document with the files it names; documents without includes pass through.
+    A round joins the open includes with the files that they name; texts that are in place are not touched again. Runs jobs.
     """
-    known = files.select("doc_id", F.col("path").alias("target"), F.col("tex").alias("_text"))
-    state = roots.join(files, ["doc_id", "path"]).select("doc_id", "path", "tex")
-    for _ in range(levels):
-        pieces = state.select("doc_id", "path", F.split("tex", PATTERN, -1).alias("_gaps"), F.regexp_extract_all("tex", F.lit(PATTERN), F.lit(0)).alias("_cmds"))
-        rows = pieces.select("doc_id", "path", F.posexplode(F.arrays_zip("_gaps", "_cmds")).alias("_k", "v"))
-        rows = rows.select("doc_id", "path", "_k", F.col("v._gaps").alias("_gap"), F.col("v._cmds").alias("_cmd")).withColumn("target", _target(F.col("_cmd")))
-        joined = rows.join(known, ["doc_id", "target"], "left").select("doc_id", "path", F.struct("_k", F.concat("_gap", F.coalesce("_text", "_cmd", F.lit(""))).alias("t")).alias("v"))
-        state = joined.groupBy("doc_id", "path").agg(F.array_join(F.transform(F.array_sort(F.collect_list("v")), lambda x: x["t"]), "").alias("tex"))
-    return state
+    known = _pieces(files)
+    row = ["doc_id", "path", "key", "text", "command", "target", "above"]
+
+    def opened(rows: DataFrame) -> DataFrame:
+        """A row for each piece: key is its place, above the files that it stands in."""
+        return rows.select("doc_id", "path", "key", "above", F.posexplode("pieces").alias("k", "p")).select("doc_id", "path", F.array_append("key", F.col("k")).alias("key"), "p.text", "p.command", "p.target", "above")
+
+    first = roots.select("doc_id", "path").distinct().join(known, ["doc_id", "path"])
+    state = opened(first.select("doc_id", "path", F.array().cast("array<int>").alias("key"), F.array("path").alias("above"), "pieces")).select(row)
+    done = None
+    while True:
+        state = cut(state)
+        # the text of a piece is in place; what its command names comes behind it
+        texts = state.select("doc_id", "path", F.array_append("key", F.lit(0)).alias("key"), "text")
+        named = known.select("doc_id", F.col("path").alias("target"), "pieces")
+        todo = state.where("command is not null").join(named, ["doc_id", "target"], "left")
+        todo = todo.withColumn("open", F.col("pieces").isNotNull() & ~F.array_contains("above", F.col("target")))
+        stays = todo.where("not open").select("doc_id", "path", F.array_append("key", F.lit(1)).alias("key"), F.col("command").alias("text"))
+        texts = texts.union(stays)
+        done = texts if done is None else done.union(texts)
+        inner = todo.where("open")
+        if inner.isEmpty():
+            break
+        state = opened(inner.select("doc_id", "path", F.array_append("key", F.lit(1)).alias("key"), F.array_append("above", F.col("target")).alias("above"), "pieces")).select(row)
+    ordered = F.array_sort(F.collect_list(F.struct("key", F.coalesce("text", F.lit("")).alias("t"))))
+    return done.groupBy("doc_id", "path").agg(F.array_join(F.transform(ordered, lambda x: x["t"]), "").alias("tex"))

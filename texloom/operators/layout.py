@@ -28,7 +28,6 @@ def merged_fragments(fragments: DataFrame) -> DataFrame:
     """
     items = F.array_sort(F.collect_list(F.struct("page_index", "col", "ann_pos", "x0", "y0", "x1", "y1")))
     grouped = fragments.groupBy("doc_id", "category", "idx").agg(items.alias("l"))
-    last = lambda acc: F.element_at(acc, -1)
 
     def meets(a: Column, b: Column) -> Column:
         return (a["page_index"] == b["page_index"]) & (F.least(a["x1"], b["x1"]) > F.greatest(a["x0"], b["x0"])) & (F.least(a["y1"], b["y1"]) > F.greatest(a["y0"], b["y0"]))
@@ -36,7 +35,13 @@ def merged_fragments(fragments: DataFrame) -> DataFrame:
     def grown(a: Column, b: Column) -> Column:
         return F.struct(a["page_index"].alias("page_index"), a["col"].alias("col"), a["ann_pos"].alias("ann_pos"), F.least(a["x0"], b["x0"]).alias("x0"), F.least(a["y0"], b["y0"]).alias("y0"), F.greatest(a["x1"], b["x1"]).alias("x1"), F.greatest(a["y1"], b["y1"]).alias("y1"))
 
-    fold = F.aggregate(F.slice("l", F.lit(2), F.size("l")), F.slice("l", 1, 1), lambda acc, x: F.when(meets(last(acc), x), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(grown(last(acc), x)))).otherwise(F.concat(acc, F.array(x))))
+    def step(a: Column, x: Column) -> Column:
+        joins = meets(a["now"], x)
+        return F.struct(F.when(joins, grown(a["now"], x)).otherwise(x).alias("now"), F.when(joins, a["done"]).otherwise(F.array_append(a["done"], a["now"])).alias("done"))
+
+    kind = "array<struct<page_index:bigint,col:bigint,ann_pos:bigint,x0:double,y0:double,x1:double,y1:double>>"
+    start = F.struct(F.get("l", F.lit(0)).alias("now"), F.array().cast(kind).alias("done"))
+    fold = F.aggregate(F.slice("l", F.lit(2), F.size("l")), start, step, lambda a: F.array_append(a["done"], a["now"]))
     rows = grouped.select("doc_id", "category", "idx", F.posexplode(fold).alias("fragment", "v"))
     return rows.select("doc_id", "category", "idx", F.col("fragment").cast("long").alias("fragment"), "v.page_index", "v.x0", "v.y0", "v.x1", "v.y1", F.when(F.col("fragment") > 0, F.col("fragment").cast("long") - 1).alias("parent_fragment"))
 
@@ -102,3 +107,36 @@ def page_pairs(drawn: DataFrame, blank: DataFrame) -> DataFrame:
 def numbered(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """blocks with block_id, deterministic: from 0 for each document in the order of keys."""
     return blocks.withColumn("block_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy(*keys)) - 1).cast("long"))
+
+
+def mention_blocks(regions: DataFrame, mentions: DataFrame, bounds: DataFrame) -> DataFrame:
+    """doc_id, seq, fragment, parent_fragment, category, page_index, box, source_code: the boxes of each mention's changed regions.
+
+    regions: doc_id, category, idx (the mention that a variant leaves out), page_index and a box for each changed region of a page;
+    mentions: doc_id, category, idx, seq (its place among all), source_code; bounds: doc_id, page_index, separations. A mention has a
+    box for each page and column, those that overlap in sequence are one, and each continues the one before. Regions of no mention, and
+    mentions without a region, have no block.
+    """
+    keys = ["doc_id", "category", "idx"]
+    known = mentions.select(*keys, "seq", "source_code")
+    placed = columns_of(regions.join(known.select(*keys), keys, "left_semi"), bounds)
+    boxes = enclosing(placed, [*keys, "page_index", "col"]).withColumn("ann_pos", F.col("col"))
+    return merged_fragments(boxes).join(known, keys).select("doc_id", "seq", "fragment", "parent_fragment", "category", "page_index", "x0", "y0", "x1", "y1", "source_code")
+
+
+def annotated_blocks(regions: DataFrame, mentions: DataFrame, metrics: DataFrame, pages: DataFrame, elements: DataFrame, figures: DataFrame | None = None) -> DataFrame:
+    """The layout annotation of documents, rows of schema.BLOCKS: mentions' blocks in the order of mention, then figures by page and place.
+
+    metrics: rows of layout_metrics; pages: doc_id, page_index, pdf_width, pdf_height, image_height; elements: those of the PDF's pages;
+    figures: doc_id, page_index, box, source_code of figures whose source is known, by default none.
+    """
+    bounds = separations(metrics, pages)
+    others = mention_blocks(regions, mentions, bounds.select("doc_id", "page_index", "separations")).withColumn("kind", F.lit(0))
+    drawn = to_image(figure_boxes(elements), bounds)
+    if figures is not None:
+        box = ["doc_id", "page_index", "x0", "y0", "x1", "y1"]
+        drawn = drawn.join(figures.groupBy(*box).agg(F.min("source_code").alias("source_code")), box, "left")
+    every = others.unionByName(drawn.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    numbered_ = numbered(every, ["kind", "seq", "fragment", "page_index", "y0", "x0", "y1", "x1"])
+    parent = F.when(F.col("parent_fragment").isNotNull(), F.col("block_id") - 1)  # fragments of a mention follow one another
+    return numbered_.select("doc_id", "block_id", F.col("block_id").alias("ann_pos"), "category", "page_index", "x0", "y0", "x1", "y1", parent.alias("parent_block"), "source_code")

@@ -7,21 +7,24 @@ that cannot be parsed gives a row with its error, never a failed job.
 
 from __future__ import annotations
 
+import contextlib
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 
 from .. import schema as S
 
-# Environments whose body is text, those in math mode, and commands of fixed arity (required, optional).
+# Environments whose body is text, those in math mode, commands of fixed arity (required, optional), and what may follow a size command.
 VERBATIM = frozenset("lstlisting verbatim verbatimtab Verbatim listing".split())
 MATH = frozenset("align align* alignat array displaymath eqnarray eqnarray* equation equation* flalign flalign* gather gather* math multline multline* split".split())
 ARITY = {"def": (2, 0), "textbf": (1, 0), "section": (1, 1), "label": (1, 0), "cap": (0, 0), "cup": (0, 0), "in": (0, 0), "notin": (0, 0), "infty": (0, 0), "noindent": (0, 0)}
 SIZES = "left right big Big bigg Bigg".split()
-DELIMITERS = [r"\langle", r"\rangle", r"\lfloor", r"\rfloor", r"\lceil", r"\rceil", r"\ulcorner", r"\urcorner", r"\lbrack", r"\rbrack", r"\{", r"\}", "(", ")", "<", ">", "[", "]", "{", "}", "|", "."]
+DELIMITERS = ["(", ")", "<", ">", "[", "]", "{", "}", r"\{", r"\}", ".", "|", r"\langle", r"\rangle", r"\lfloor", r"\rfloor", r"\lceil", r"\rceil", r"\ulcorner", r"\urcorner", r"\lbrack", r"\rbrack"]
 
 _LEXER = re.compile(
     r"(?P<Escaped>\\[^A-Za-z\[\]()\x00\x7f])"
@@ -249,8 +252,30 @@ class Parser:
         return node
 
 
+#: Frames that one nested group or argument takes at most, and those around it.
+_FRAMES, _SPARE = 6, 2000
+
+
+@contextlib.contextmanager
+def _deep(marks: int) -> Iterator[None]:
+    """Room for as many nested calls as a text has opening marks: frames of Python functions lie on the heap."""
+    before = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(before, _FRAMES * marks + _SPARE))
+    try:
+        yield
+    finally:
+        sys.setrecursionlimit(before)
+
+
+def _opening_marks(tex: str) -> int:
+    """No text nests deeper than it has these."""
+    return tex.count("{") + tex.count("[") + tex.count("$") + tex.count("\\(") + tex.count("\\begin") + tex.count("\\item")
+
+
 def parse(tex: str, tolerant: bool = False) -> Node:
-    return Parser(tex, tolerant).document()
+    """The tree of a text, however deep it nests."""
+    with _deep(_opening_marks(tex)):
+        return Parser(tex, tolerant).document()
 
 
 def rows_of(root: Node, tex: str) -> list[tuple]:
@@ -324,10 +349,23 @@ def segments_of(tex: str, nodes: list[Node]) -> list[tuple[int, str, str, str]]:
         if stop > at:
             emit(depth, tex[at:stop])
 
-    walk(nodes, 0, len(tex), 0)
+    with _deep(_opening_marks(tex)):
+        walk(nodes, 0, len(tex), 0)
     return out
 
 
+def sliced(batch: pa.RecordBatch, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about `most` bytes of tex each, and at least one row."""
+    start = held = 0
+    for i, n in enumerate(pa.compute.binary_length(batch.column("tex")).to_pylist()):
+        if i > start and held + (n or 0) > most:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n or 0
+    if batch.num_rows:
+        yield batch.slice(start)
+
+
 def _expanded(docs: DataFrame, rows, columns: str) -> DataFrame:
     """A row for each that rows(tex) gives; a text that fails has one row with its error and nulls."""
     names = [c.split()[0] for c in columns.split(", ")]
@@ -335,23 +373,29 @@ def _expanded(docs: DataFrame, rows, columns: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                part = batch.slice(k, 64)
+            for part in sliced(batch):
                 out = []
                 for doc_id, tex in zip(part.column("doc_id").to_pylist(), part.column("tex").to_pylist(), strict=True):
                     try:
                         out += [(doc_id, *r, None) for r in rows(tex or "")]
-                    except (ParseError, RecursionError) as e:
-                        out.append((doc_id, *[None] * len(names), str(e)[:500] or "nested too deeply"))
+                    except ParseError as e:
+                        out.append((doc_id, *[None] * len(names), str(e)[:500]))
                 columns_ = list(zip(*out, strict=True)) or [[]] * (len(names) + 2)
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns_, [part.schema.field("doc_id").type, *kinds, pa.string()], strict=True)], ["doc_id", *names, "error"])
 
     return docs.select("doc_id", "tex").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {columns}, error string")
 
 
-def parse_nodes(docs: DataFrame, tolerant: bool = False) -> DataFrame:
-    """doc_id, schema.NODES, char_end, error."""
-    return _expanded(docs, lambda tex: rows_of(parse(tex, tolerant), tex), f"{S.NODES}, char_end int")
+def parse_nodes(docs: DataFrame, tolerant: bool = False, names: list[str] | None = None) -> DataFrame:
+    """doc_id, schema.NODES, char_end, error; names: only the nodes of these names, where no others are needed."""
+    kept = None if names is None else set(names)
+    at = [c.split()[0] for c in S.NODES.split(", ")].index("name")
+
+    def rows(tex: str) -> list[tuple]:
+        found = rows_of(parse(tex, tolerant), tex)
+        return found if kept is None else [r for r in found if r[at] in kept]
+
+    return _expanded(docs, rows, f"{S.NODES}, char_end int")
 
 
 def lex(docs: DataFrame) -> DataFrame:

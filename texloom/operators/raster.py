@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 #: Difference of a pixel's value, from 0 to 1, that counts as a change.
 THRESHOLD = 0.3
-SCHEMA = "doc_id bigint, page_index bigint, box bigint, x0 bigint, y0 bigint, x1 bigint, y1 bigint"
+SCHEMA = "doc_id bigint, page_index bigint, box bigint, x0 bigint, y0 bigint, x1 bigint, y1 bigint, error string"
 
 
 def component_boxes(changed: np.ndarray) -> np.ndarray:
@@ -52,22 +52,32 @@ def component_boxes(changed: np.ndarray) -> np.ndarray:
 
 
 def changed_boxes(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, page_index, box number and box of each changed region; equal pages have none.
+    """doc_id, page_index, box number and box of each changed region, and error; equal pages have no rows.
 
-    pairs: doc_id, page_index, height, width, channels, drawn, blank (uint8 pixels, row by row). A pair of unequal sizes is an error of its row and has no boxes.
+    pairs: doc_id, page_index, height, width, channels, drawn, blank (uint8 pixels, row by row). A pair that lacks a side, or whose
+    sides do not have the size that it states, is one row with its error and no box.
     """
 
+    def fault(r: dict) -> str | None:
+        if r["drawn"] is None or r["blank"] is None:
+            return "a rendering is missing"
+        if None in (r["height"], r["width"], r["channels"]):
+            return "no size"
+        want = r["height"] * r["width"] * r["channels"]
+        return None if len(r["drawn"]) == len(r["blank"]) == want else f"sizes differ: {len(r['drawn'])}, {len(r['blank'])}, not {want}"
+
     def boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, ...]] = []
-            for r in batch.to_pylist():
-                shape = (r["height"], r["width"], r["channels"])
-                if r["drawn"] is None or r["blank"] is None or r["drawn"] == r["blank"] or len(r["drawn"]) != len(r["blank"]) or len(r["drawn"]) != np.prod(shape):
-                    continue
-                a, b = (np.frombuffer(r[k], np.uint8).reshape(shape).astype(np.int16) for k in ("drawn", "blank"))
-                changed = (np.abs(a - b) > threshold * 255).any(axis=2)
-                out += [(r["doc_id"], r["page_index"], k, *map(int, box)) for k, box in enumerate(component_boxes(changed))]
-            names = ["doc_id", "page_index", "box", "x0", "y0", "x1", "y1"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 7)], names)
+            out: list[tuple] = []
+            for k in range(batch.num_rows):  # a page pair at a time
+                r = batch.slice(k, 1).to_pylist()[0]
+                if error := fault(r):
+                    out.append((r["doc_id"], r["page_index"], *[None] * 5, error))
+                elif r["drawn"] != r["blank"]:
+                    a, b = (np.frombuffer(r[c], np.uint8).reshape(r["height"], r["width"], r["channels"]).astype(np.int16) for c in ("drawn", "blank"))
+                    changed = (np.abs(a - b) > threshold * 255).any(axis=2)
+                    out += [(r["doc_id"], r["page_index"], k, *map(int, box), None) for k, box in enumerate(component_boxes(changed))]
+            names = [c.split()[0] for c in SCHEMA.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string() if n == "error" else pa.int64()) for n, c in zip(names, zip(*out, strict=True) if out else [[]] * 8, strict=True)], names)
 
     return pairs.select("doc_id", "page_index", "height", "width", "channels", "drawn", "blank").mapInArrow(boxes, SCHEMA)

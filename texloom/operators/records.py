@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.tex import normalised_id
+from ..schema import SEARCH_RESULTS
 
 
 def successful(manifest: DataFrame) -> DataFrame:
@@ -21,21 +22,39 @@ def upserted(known: DataFrame, new: DataFrame, key: str = "paper_id") -> DataFra
     return known.unionByName(new.join(known.select(key), key, "left_anti").select(*known.columns))
 
 
-def paper_records(entries: DataFrame) -> DataFrame:
-    """Metadata rows of search results; those of equal id are one. entries: entry_id, title, primary_category."""
-    return entries.select(normalised_id(F.col("entry_id")).alias("paper_id"), "entry_id", "title", "primary_category", F.lit("low").alias("quality")).dropDuplicates(["paper_id"])
+def paper_records(entries: DataFrame, paths: DataFrame | None = None) -> DataFrame:
+    """The metadata rows (schema.PAPERS) of search results (schema.SEARCH_RESULTS); of those of equal id the latest version.
+
+    paths: paper_id, paper_path of the papers that lie here; without it, or for other papers, paper_path is null.
+    """
+    version = F.coalesce(F.regexp_extract("entry_id", r"v(\d+)$", 1).try_cast("int"), F.lit(0))
+    columns = [c.split()[0] for c in SEARCH_RESULTS.split(", ")]
+    row = F.struct(*columns)
+    latest = entries.groupBy(normalised_id(F.col("entry_id")).alias("paper_id")).agg(F.max_by(row, F.struct(version, F.coalesce("updated", F.lit("")), "entry_id", F.coalesce("title", F.lit("")), F.coalesce("primary_category", F.lit("")))).alias("r"))
+    found = latest.select(*(f"r.{c}" for c in columns), "paper_id")
+    if paths is None:
+        found = found.withColumn("paper_path", F.lit(None).cast("string"))
+    else:
+        found = found.join(paths.groupBy("paper_id").agg(F.min("paper_path").alias("paper_path")), "paper_id", "left")
+    return found.select(*columns, "paper_id", "paper_path", F.lit("low").alias("quality"))
 
 
 def batches(ids: DataFrame, size: int = 100) -> DataFrame:
     """id, batch: ids in requests of `size`."""
-
-
     # numbered within a hash shard, so that no one task holds all ids
     shard = F.pmod(F.xxhash64("id"), F.lit(64))
     w = Window.partitionBy("shard").orderBy("id")
     return ids.distinct().withColumn("shard", shard).select("id", F.concat_ws("-", "shard", F.floor((F.row_number().over(w) - 1) / size)).alias("batch"))
 
 
+def statuses(work: DataFrame, done: DataFrame, failed: DataFrame, key: str = "path") -> DataFrame:
+    """key, status, error of each unit of work: success, failed (with the first of its errors by name), or open. done: key; failed: key, error."""
+    errors = failed.groupBy(key).agg(F.min("error").alias("error"))
+    joined = work.select(key).distinct().join(done.select(key, F.lit(True).alias("_done")).distinct(), key, "left").join(errors, key, "left")
+    status = F.when(F.col("error").isNotNull(), "failed").when(F.col("_done"), "success").otherwise("open")
+    return joined.select(key, status.alias("status"), "error")
+
+
 def first_distinct(ids: DataFrame, n: int) -> DataFrame:
     return ids.distinct().orderBy("id").limit(n)
 

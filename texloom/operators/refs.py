@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import tex as T
 from .extract import listed
@@ -22,23 +22,30 @@ def references(docs: DataFrame) -> DataFrame:
     return listed(docs, F.filter(T.every("tex", T.REFERENCE, 1), lambda x: x != ""), name="label")
 
 
-def cross_references(blocks: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+def cross_references(blocks: DataFrame, labelled: DataFrame | None = None, cited: DataFrame | None = None) -> DataFrame:
     """doc_id, type, from_id, to_id of each reference to a label of another block; the last block with a label has it.
 
-    blocks: doc_id, block_id, ann_pos, category, source_code; labelled: doc_id, block_id, ann_pos, label, by default the labels in the source.
+    blocks: doc_id, block_id, ann_pos, category, source_code; labelled: doc_id, block_id, ann_pos, label, by default the labels in the
+    source; cited: doc_id, from_id, type, label, by default the references in the source.
     """
     if labelled is None:
         labelled = blocks.select("doc_id", "block_id", "ann_pos", F.explode(T.every("source_code", T.LABEL, 1)).alias("label"))
+    if cited is None:
+        cited = references_of(blocks, EXPLICIT + IMPLICIT)
     owners = labelled.groupBy("doc_id", "label").agg(F.max_by("block_id", F.struct("ann_pos", "block_id")).alias("to_id"))
-    citing = blocks.where(F.col("category").isin(EXPLICIT + IMPLICIT))
-    keys = citing.select("doc_id", F.col("block_id").alias("from_id"), "category", F.explode(F.filter(T.every("source_code", T.REFERENCE, 1), lambda x: x != "")).alias("label"))
+    return cited.join(owners, ["doc_id", "label"]).select("doc_id", "type", "from_id", "to_id")
+
+
+def references_of(blocks: DataFrame, categories: list[str]) -> DataFrame:
+    """doc_id, from_id, type, label of the references in the source of blocks of these categories."""
     kind = F.when(F.col("category").isin(IMPLICIT), "implicit-cite").otherwise("explicit-cite")
-    return keys.join(owners, ["doc_id", "label"]).select("doc_id", kind.alias("type"), "from_id", "to_id")
+    keys = F.explode(F.filter(T.every("source_code", T.REFERENCE, 1), lambda x: x != "")).alias("label")
+    return blocks.where(F.col("category").isin(categories)).select("doc_id", F.col("block_id").alias("from_id"), kind.alias("type"), keys)
 
 
 def title_labels(docs: DataFrame) -> DataFrame:
     """doc_id, idx, title, label: labels in a heading, and the first after it if only white space lies between."""
-    # sections up to the next command's label; the heading's own braces may nest
+    # the heading's own braces may nest
     pattern = rf"(\\(?:sub)*section\*?{T.braces()}|\\chapter\*?{T.braces()})(?:\s*\\label\{{([^}}]*)\}})?"
     pairs = F.arrays_zip(T.every("tex", pattern, 1).alias("title"), T.every("tex", pattern, 2).alias("next"))
     rows = docs.select("doc_id", F.posexplode(pairs).alias("idx", "p"))
@@ -47,34 +54,53 @@ def title_labels(docs: DataFrame) -> DataFrame:
 
 
 def float_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, category, idx, span_start, span_end (offsets from 0), float_key, labels of each float environment."""
-    parts = []
-    for name in FLOATS:
+    """doc_id, category, idx, span_start, span_end (offsets from 0), float_key, labels of each float environment; the documents are read once."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,t:string>>").alias("found"))
+
+    def spans(name: str) -> Column:
         env = name.lower()
         pattern = rf"(?s)\\begin\{{{env}\*?\}}.*?\\end\{{{env}\*?\}}"
-        # the text before a span is what the matches do not cover: offsets add up from gaps and spans
-        gaps = F.split(F.col("tex"), pattern, -1)
-        spans = T.every("tex", pattern)
-        start = lambda i: F.aggregate(F.slice(F.col("gaps"), F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice(F.col("spans"), F.lit(1), i), F.lit(0), lambda a, x: a + F.length(x))
-        one = docs.select("doc_id", gaps.alias("gaps"), spans.alias("spans")).where(F.size("spans") > 0)
-        one = one.select("doc_id", F.posexplode(F.transform("spans", lambda x, i: F.struct(start(i).alias("s"), x.alias("t")))).alias("idx", "v"))
-        parts.append(one.select("doc_id", F.lit(name).alias("category"), F.col("idx").cast("long").alias("idx"), F.col("v.s").cast("long").alias("span_start"), (F.col("v.s") + F.length("v.t")).cast("long").alias("span_end"), T.every(F.col("v.t"), T.LABEL, 1).alias("labels")))
-    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return whole.withColumn("float_key", F.concat_ws(":", "category", "span_start"))
+        # what lies before a span is the gaps and spans before it: one fold adds them up
+        both = F.arrays_zip(F.split(F.col("tex"), pattern, -1).alias("gap"), T.every("tex", pattern).alias("span"))
+
+        def step(a: Column, x: Column) -> Column:
+            at = a["at"] + F.length(x["gap"])
+            found = F.when(x["span"].isNull(), a["found"]).otherwise(F.array_append(a["found"], F.struct(at.alias("s"), x["span"].alias("t"))))
+            return F.struct((at + F.coalesce(F.length(x["span"]), F.lit(0))).alias("at"), found.alias("found"))
+
+        return F.aggregate(both, start, step, lambda a: a["found"])
+
+    each = F.array(*(F.struct(F.lit(c).alias("category"), spans(c).alias("l")) for c in FLOATS))
+    rows = docs.select("doc_id", F.explode(each).alias("m")).select("doc_id", "m.category", F.posexplode("m.l").alias("idx", "v"))
+    rows = rows.select("doc_id", "category", F.col("idx").cast("long").alias("idx"), F.col("v.s").cast("long").alias("span_start"), (F.col("v.s") + F.length("v.t")).cast("long").alias("span_end"), T.every(F.col("v.t"), T.LABEL, 1).alias("labels"))
+    return rows.withColumn("float_key", F.concat_ws(":", "category", "span_start"))
 
 
 def located(mentions: DataFrame, docs: DataFrame) -> DataFrame:
     """mentions with m_start and m_end, where their source first occurs; those that do not occur go."""
     at = F.position("source_code", "tex")
-    return mentions.join(docs.select("doc_id", "tex"), "doc_id").where(at > 0).select(*mentions.columns, (at - 1).cast("long").alias("m_start"), (at - 1 + F.length("source_code")).cast("long").alias("m_end"))
+    return mentions.join(docs.select("doc_id", "tex"), "doc_id").where((at > 0) & (F.col("source_code") != "")).select(*mentions.columns, (at - 1).cast("long").alias("m_start"), (at - 1 + F.length("source_code")).cast("long").alias("m_end"))
+
+
+def holders(mentions: DataFrame, spans: DataFrame) -> DataFrame:
+    """doc_id, m_category, m_idx, float_key, category, span_start, labels: each mention with every float environment that holds it.
+
+    Floats of one category do not overlap, so only the last one that starts before a mention can hold it: places and spans are
+    ordered together, and no pairs are made.
+    """
+    span = F.struct("span_start", "span_end", "float_key", "labels")
+    a = spans.select("doc_id", "category", F.col("span_start").alias("at"), F.lit(0).alias("kind"), span.alias("span"), F.lit(None).cast("string").alias("m_category"), F.lit(None).cast("long").alias("m_idx"), F.lit(None).cast("long").alias("m_end"))
+    each = F.explode(F.array(*map(F.lit, FLOATS)))
+    b = mentions.select("doc_id", each.alias("category"), F.col("m_start").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast(a.schema["span"].dataType).alias("span"), F.col("category").alias("m_category"), F.col("idx").alias("m_idx"), "m_end")
+    before = Window.partitionBy("doc_id", "category").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = a.unionByName(b).withColumn("last", F.last("span", ignorenulls=True).over(before)).where("kind = 1 and m_end <= last.span_end")
+    return found.select("doc_id", "m_category", "m_idx", "last.float_key", "category", "last.span_start", "last.labels")
 
 
 def contained(mentions: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, m_category, idx, float_key, category, labels: each mention with the float that holds it, the last by category and start."""
     rank = F.struct(F.array_position(F.array(*map(F.lit, FLOATS)), F.col("category")).alias("c"), F.col("span_start").alias("s"))
-    m = mentions.select("doc_id", F.col("category").alias("m_category"), F.col("idx").alias("m_idx"), "m_start", "m_end")
-    joined = m.join(spans, "doc_id").where("m_start >= span_start and m_end <= span_end")
-    best = joined.groupBy("doc_id", "m_category", "m_idx").agg(F.max_by(F.struct("float_key", "category", "labels"), rank).alias("b"))
+    best = holders(mentions, spans).groupBy("doc_id", "m_category", "m_idx").agg(F.max_by(F.struct("float_key", "category", "labels"), rank).alias("b"))
     return best.select("doc_id", "m_category", F.col("m_idx").alias("idx"), "b.float_key", "b.category", F.array_join("b.labels", ",").alias("labels"))
 
 
@@ -83,3 +109,31 @@ def caption_relations(captions: DataFrame, bodies: DataFrame) -> DataFrame:
     a = captions.select("doc_id", "float_key", F.col("idx").alias("caption_idx"))
     b = bodies.select("doc_id", "float_key", F.col("m_category").alias("body_category"), F.col("idx").alias("body_idx"))
     return a.join(b, ["doc_id", "float_key"])
+
+
+def block_labels(blocks: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, block_id, ann_pos, label of blocks that carry labels; doc_id, from_id, type, label of captions' references to their float).
+
+    Headings carry the labels in them and the one that follows; equations those in them; tables, figures and algorithms those of the
+    float of their kind that holds them, and its key, which its captions refer to.
+    """
+    own = F.explode(T.every("source_code", T.LABEL, 1)).alias("label")
+    equations = blocks.where("category = 'Equation'").select("doc_id", "block_id", "ann_pos", own)
+    # a heading that occurs twice stands where it occurs first
+    headings = title_labels(docs)
+    first = Window.partitionBy("doc_id", "title")
+    headings = headings.withColumn("_first", F.min("idx").over(first)).where("idx = _first").select("doc_id", F.col("title").alias("source_code"), "label")
+    titles = blocks.where("category = 'Title'").join(headings, ["doc_id", "source_code"]).select("doc_id", "block_id", "ann_pos", "label")
+    inner = blocks.where(F.col("category").isin(FLOATS + IMPLICIT)).select("doc_id", "category", F.col("block_id").alias("idx"), "ann_pos", "source_code")
+    held = holders(located(inner, docs), float_spans(docs))
+    bodies = held.where("category = m_category").join(blocks.select("doc_id", F.col("block_id").alias("m_idx"), "ann_pos"), ["doc_id", "m_idx"])
+    floats = bodies.select("doc_id", F.col("m_idx").alias("block_id"), "ann_pos", F.explode(F.array_append("labels", F.col("float_key"))).alias("label"))
+    captions = contained(located(inner, docs).where(F.col("category").isin(IMPLICIT)), float_spans(docs))
+    cites = captions.select("doc_id", F.col("idx").alias("from_id"), F.lit("implicit-cite").alias("type"), F.col("float_key").alias("label"))
+    return titles.unionByName(equations).unionByName(floats), cites
+
+
+def float_and_cross_references(blocks: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id, type, from_id, to_id: captions to the bodies of their floats, and texts, tables and algorithms to what they refer to."""
+    labelled, cites = block_labels(blocks, docs)
+    return cross_references(blocks, labelled, cites.unionByName(references_of(blocks, EXPLICIT)))

@@ -48,9 +48,17 @@ def texts(nodes: DataFrame) -> DataFrame:
 
 
 def search(nodes: DataFrame, pattern: str) -> DataFrame:
-    """doc_id, pre, idx, body of each match of a pattern within a text leaf."""
-    rows = texts(nodes).select("doc_id", "pre", F.posexplode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("idx", "body"))
-    return rows.withColumn("idx", F.col("idx").cast("long"))
+    """doc_id, pre, idx, body, position (offset in the document) of each match of a pattern within a text leaf."""
+    rows = texts(nodes).select("doc_id", "pre", "char_pos", F.arrays_zip(F.split("text", pattern, -1).alias("gap"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("body")).alias("both"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<body:string,position:int>>").alias("found"))
+
+    def step(a: Column, x: Column) -> Column:
+        at = a["at"] + F.length(x["gap"])
+        found = F.when(x["body"].isNull(), a["found"]).otherwise(F.array_append(a["found"], F.struct(x["body"].alias("body"), at.alias("position"))))
+        return F.struct((at + F.coalesce(F.length(x["body"]), F.lit(0))).alias("at"), found.alias("found"))
+
+    rows = rows.select("doc_id", "pre", "char_pos", F.posexplode(F.aggregate("both", start, step, lambda a: a["found"])).alias("idx", "m"))
+    return rows.select("doc_id", "pre", F.col("idx").cast("long").alias("idx"), "m.body", (F.col("char_pos") + F.col("m.position")).cast("long").alias("position"))
 
 
 def source(nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -83,6 +91,29 @@ def replaced(docs: DataFrame, found: DataFrame, new: Column) -> DataFrame:
     return _edited(docs, found, new)
 
 
+def copied(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs with each node found standing twice; none may lie inside another."""
+    copies = source(found, docs)
+    return _edited(docs, copies.withColumn("char_pos", F.col("char_end")), F.col("source"))
+
+
+def string(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id, pre, string: the text of a command with one argument, or of an environment whose content is one text; others have none."""
+    one = arguments(nodes, docs).where(F.size("args") == 1).select("doc_id", "pre", F.col("args")[0]["text"].alias("string"))
+    inner = nodes.where("slot = 'content' and parent_pre is not null").groupBy("doc_id", F.col("parent_pre").alias("pre")).agg(F.count("*").alias("n"), F.max("kind").alias("kind"), F.max("text").alias("string"))
+    envs = nodes.where("kind in ('env', 'math', 'group', 'bracket')").select("doc_id", "pre")
+    return one.unionByName(inner.where("n = 1 and kind = 'text'").join(envs, ["doc_id", "pre"]).select("doc_id", "pre", "string"))
+
+
+def with_string(docs: DataFrame, nodes: DataFrame, found: DataFrame, new: Column) -> DataFrame:
+    """docs with the one argument of each command found, or the content of each environment found, replaced by new, a column of found."""
+    mine = found.select("doc_id", F.col("pre").alias("parent_pre"), "kind", F.length("begin").alias("_begin"), F.length("end").alias("_end"), F.col("char_pos").alias("_from"), F.col("char_end").alias("_to"), new.alias("_new"))
+    args = nodes.where("slot = 'arg'").groupBy("doc_id", "parent_pre").agg(F.count("*").alias("n"), F.min("char_pos").alias("a"), F.max("char_end").alias("b")).where("n = 1")
+    commands = mine.where("kind = 'cmd'").join(args, ["doc_id", "parent_pre"]).select("doc_id", (F.col("a") + 1).alias("char_pos"), (F.col("b") - 1).alias("char_end"), "_new")
+    envs = mine.where("kind <> 'cmd'").select("doc_id", (F.col("_from") + F.col("_begin")).alias("char_pos"), (F.col("_to") - F.col("_end")).alias("char_end"), "_new")
+    return _edited(docs, commands.unionByName(envs), F.col("_new"))
+
+
 def inserted_before(docs: DataFrame, found: DataFrame, new: Column) -> DataFrame:
     return _edited(docs, found.withColumn("char_end", F.col("char_pos")), new)
 

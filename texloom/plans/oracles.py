@@ -6,7 +6,7 @@ from .. import fixtures, schema
 from ..functions import tex as T
 from ..operators import colour
 
-_SAFE_DOCS = "(select doc_id, source, translate(text, '" + fixtures.SPECIAL + "', '') as text from documents) documents"
+_SAFE_DOCS = f"(select doc_id, source, regexp_replace(text, '{fixtures.SPECIAL}', '\\\\\\1', 'g') as text from documents) documents"
 TEX, MORE, LOGS, BLOCKS = fixtures.TEX_DOCS, fixtures.MORE_DOCS, fixtures.LOGS, fixtures.blocks_sql("duckdb")
 SAFE = TEX.replace("from documents", f"from {_SAFE_DOCS}")
 PAPER_NAMES = ", ".join(f"'{x}'" for x in ("paper_original.tex", "paper_colored.tex", "paper_white.tex"))
@@ -29,6 +29,14 @@ def _all(pattern: str, group: int = 0, of: str = "tex") -> str:
     return f"regexp_extract_all({of}, {_re(pattern)}, {group})"
 
 
+#: Without line comments outside verbatim: RE2 has neither look-behind nor back-references, so escaped signs are hidden and each environment is a branch.
+_KEPT = "|".join(rf"\\begin\{{{x}\}}[\s\S]*?\\end\{{{x}\}}" for x in (n.replace("*", "[*]") for n in schema.VERBATIM_ENVS)) + "|" + "|".join(rf"\\verb[*]?{c}[^\n]*?{c}" for c in ("[|]", "[+]", "!"))
+
+
+def _uncommented(tex: str) -> str:
+    return f"replace(regexp_replace(replace({tex}, '\\%', chr(1)), '({_KEPT})|%[^\\n]*', '\\1', 'g'), chr(1), '\\%')"
+
+
 #: RE2 has no back-references: each spelling has its own branch.
 _SPELLINGS = ["tabular*", "tabularx", "tabulary", "tabular", "tabu"]
 _TABULAR = "(?s)" + "|".join(rf"\\begin\{{{x.replace('*', '[*]')}\}}.*?\\end\{{{x.replace('*', '[*]')}\}}" for x in _SPELLINGS)
@@ -63,11 +71,15 @@ def _before(mark: str, new: str) -> str:
 
 
 _KIND = "case when category in ('Title', 'PaperTitle', 'Abstract') then 'title' when category = 'Footnote' then 'fn' else 'text' end"
-ORDERS = f"""with b as ({BLOCKS}), k as (select *, {_KIND} kind from b where category in ({', '.join(f"'{x}'" for x in schema.SORTABLE)})),
+def _orders(blocks: str) -> str:
+    return f"""with b as ({blocks}), k as (select *, {_KIND} kind from b where category in ({', '.join(f"'{x}'" for x in schema.SORTABLE)})),
 w as (select *, last_value(case when kind <> 'fn' then block_id end ignore nulls) over win as top_id, last_value(case when kind <> 'fn' then kind end ignore nulls) over win as top_kind, last_value(case when kind = 'title' then block_id end ignore nulls) over win as lt
  from k window win as (partition by doc_id order by ann_pos rows between unbounded preceding and 1 preceding)),
 r as (select doc_id, block_id as from_id, top_id, lt, case when parent_block = top_id then 'identical' when kind = 'text' and top_kind = 'text' then 'adj' when kind = 'text' and top_kind = 'title' then 'sub' when kind = 'title' and lt is not null then 'peer' when kind = 'fn' and top_id is not null then 'explicit-cite' end as type from w)
 select doc_id, type, from_id, case when type = 'peer' then lt else top_id end as to_id from r where type is not null"""
+
+
+ORDERS = _orders(BLOCKS)
 PAIRS = f"""with b as ({BLOCKS}) select a.doc_id, a.page_index, a.block_id as a_id, c.block_id as b_id, (least(a.x1, c.x1) - greatest(a.x0, c.x0)) * (least(a.y1, c.y1) - greatest(a.y0, c.y0)) as overlap
  from b a join b c on a.doc_id = c.doc_id and a.page_index = c.page_index and a.block_id < c.block_id and a.x0 <= c.x1 and c.x0 <= a.x1 and a.y0 <= c.y1 and c.y0 <= a.y1"""
 CATEGORY_ID = "case category " + " ".join(f"when '{n}' then {i}" for i, n, _ in schema.CATEGORIES) + " end"
@@ -79,12 +91,12 @@ def _centres(pages: int, width: int) -> str:
 select o.doc_id, type, from_id, to_id, f.x as from_x, f.y as from_y, t.x as to_x, t.y as to_y from o join b f on f.doc_id = o.doc_id and f.block_id = from_id join b t on t.doc_id = o.doc_id and t.block_id = to_id"""
 
 
-def _spans() -> str:
+def _spans(docs: str = MORE) -> str:
     parts = []
     for name in ("Table", "Figure", "Algorithm"):
         p = rf"(?s)\\begin\{{{name.lower()}\*?\}}.*?\\end\{{{name.lower()}\*?\}}"
         parts.append(f"""select doc_id, '{name}' as category, k as idx, list_sum(list_transform(range(1, k + 2), lambda j: length(gaps[j]))) + coalesce(list_sum(list_transform(range(1, k + 1), lambda j: length(spans[j]))), 0) as s, spans[k + 1] as span
- from (select *, unnest(range(len(spans))) as k from (select doc_id, {_all(p)} as spans, string_split_regex(tex, {_re(p)}) as gaps from ({MORE}) t) u) v""")
+ from (select *, unnest(range(len(spans))) as k from (select doc_id, {_all(p)} as spans, string_split_regex(tex, {_re(p)}) as gaps from ({docs}) t) u) v""")
     return f"select doc_id, category, cast(idx as bigint) as idx, cast(s as bigint) as span_start, cast(s + length(span) as bigint) as span_end, concat(category, ':', s::bigint) as float_key, array_to_string({_all(T.LABEL, 1, 'span')}, ',') as labels from ({' union all '.join(parts)}) p"
 
 
@@ -113,7 +125,8 @@ def _coloured() -> str:
     out = f"regexp_replace({out}, {_re(rf'(\\title\{{)({inner})\}}')}, {_str(r'\1{\\textcolor{PaperTitle_color}{\2}}}')}, 'g')"
     out = f"regexp_replace({out}, {_re(r'(?s)(\\begin\{abstract\})(.*?\\end\{abstract\})')}, {_str(r'{\1\\color{Abstract_color}\2}')}, 'g')"
     out = f"regexp_replace({out}, {_re(_TABULAR)}, {_str(r'{\\color{Table_color}\0}')}, 'g')"
-    return f"regexp_replace({out}, {_re(_CODE)}, {_str(r'{\\color{Code_color}\0}')}, 'g')"
+    out = f"regexp_replace({out}, {_re(_CODE)}, {_str(r'{\\color{Code_color}\0}')}, 'g')"
+    return f"regexp_replace({out}, {_re(r'(?s)(\\begin\{algorithm[*]?\}[^\\]*)(.*?)(\\end\{algorithm[*]?\})')}, {_str(r'\1{\\color{Algorithm_color}\2}\3')}, 'g')"
 
 
 _MENTION_ORDER = f"""with c as (select doc_id, {_coloured()} as tex from ({MORE}) t), l as (select doc_id, tex, unnest(range(len(x))) as seq, unnest(x) as category from (select doc_id, tex, {_all(_COLOURED_ORDER, 1)} as x from c) u),
@@ -128,6 +141,52 @@ def _edited() -> str:
 _COCO_PAGES = f"select distinct doc_id, page_index from ({BLOCKS}) b"
 _VALUES = ", ".join(f"({i}, '{n}', '{s}')" for i, n, s in schema.CATEGORIES)
 
+# Blocks of documents by kind and number, as the queries make them, and their labels and references.
+_TWO = f"select doc_id, tex from ({TEX}) a union all select doc_id + 1000000000, tex from ({MORE}) b"
+_BLOCK_LISTS = {
+    "PaperTitle": _all(T.PAPER_TITLE), "Title": _all(r"\\(?:sub)*section\*?\{[^{}]*\}"), "Equation": _all(r"(?s)\\begin\{equation\}.*?\\end\{equation\}"), "Text": "string_split(tex, chr(10) || chr(10))",
+    "Footnote": _FOOTNOTES, "Caption": _all(T.CAPTION), "Table": _TABULARS, "Algorithm": _all(T.ALGORITHM),
+}
+_DOCUMENT_BLOCKS = " union all ".join(
+    f"select doc_id, cast({k + 1} * 100000 + unnest(range(len(l))) as bigint) as block_id, cast({k + 1} * 100000 + unnest(range(len(l))) as bigint) as ann_pos, '{c}' as category, null::bigint as parent_block, unnest(l) as source_code from (select doc_id, {v} as l from two) l_{c.lower()}"
+    for k, (c, v) in enumerate(_BLOCK_LISTS.items()))
+_ANNOTATED_ORDERS = f"""with two as ({_TWO}), blocks as ({_DOCUMENT_BLOCKS}),
+heads as (select doc_id, unnest(range(len(a))) as idx, unnest(a) as title, unnest(b) as nxt from (select doc_id, {_all(_TITLE, 1)} as a, {_all(_TITLE, 2)} as b from two) u),
+hl as (select doc_id, idx, title, unnest(list_append({_all(T.LABEL, 1, 'title')}, coalesce(nxt, ''))) as label from heads),
+hf as (select doc_id, title, label from (select *, min(idx) over (partition by doc_id, title) as f from hl where label <> '') x where idx = f),
+sp as ({_spans('select * from two')}),
+m as (select b.*, strpos(tex, source_code) - 1 as a from blocks b join two using (doc_id) where category in ('Caption', 'Table', 'Algorithm') and source_code <> ''),
+held as (select m.doc_id, m.category as m_category, m.block_id, sp.* exclude (doc_id) from m join sp on sp.doc_id = m.doc_id and a >= span_start and a + length(source_code) <= span_end where a >= 0),
+cap as (select doc_id, block_id, arg_max(float_key, (case category when 'Table' then 1 when 'Figure' then 2 else 3 end)::bigint * 1000000000 + span_start) as label from held where m_category = 'Caption' group by doc_id, block_id),
+labelled as (select b.doc_id, b.block_id, label from blocks b join hf on hf.doc_id = b.doc_id and hf.title = b.source_code where category = 'Title'
+ union all select doc_id, block_id, unnest({_all(T.LABEL, 1, 'source_code')}) from blocks where category = 'Equation'
+ union all select doc_id, block_id, unnest(list_append(list_filter(string_split(labels, ','), lambda x: x <> ''), float_key)) from held where category = m_category),
+owners as (select doc_id, label, max(block_id) as to_id from labelled group by doc_id, label),
+cited as (select doc_id, block_id, 'explicit-cite' as type, unnest(list_filter({_all(T.REFERENCE, 1, 'source_code')}, lambda x: x <> '')) as label from blocks where category in ('Text', 'Text-EQ', 'Table', 'Algorithm') union all select doc_id, block_id, 'implicit-cite', label from cap)
+select doc_id, type, from_id, to_id from ({_orders('select * from blocks')}) o union all select c.doc_id, c.type, c.block_id, o.to_id from cited c join owners o on o.doc_id = c.doc_id and o.label = c.label"""
+
+_REGIONS = fixtures.regions_sql("duckdb")
+
+
+def _mention_blocks(column: str, where: str) -> str:
+    """Boxes of regions by page and column; those that overlap in sequence are one. With two columns at most a page's second box meets the first one's own."""
+    w = "window w as (partition by doc_id, category, idx order by page_index, col)"
+    meets = "lag(page_index) over w = page_index and least(x1, lag(x1) over w) > greatest(x0, lag(x0) over w) and least(y1, lag(y1) over w) > greatest(y0, lag(y0) over w)"
+    return f"""select doc_id, idx as seq, fragment, case when fragment > 0 then fragment - 1 end as parent_fragment, category, min(page_index) as page_index, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1 from (
+ select *, cast(sum(fresh) over (partition by doc_id, category, idx order by page_index, col) - 1 as bigint) as fragment from (
+ select *, case when {meets} then 0 else 1 end as fresh from (
+ select doc_id, category, idx, page_index, {column} as col, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1 from ({_REGIONS}) r where {where} group by all) e {w}) f) g group by doc_id, category, idx, fragment"""
+
+
+_ONE_COLUMN = ", ".join(f"'{x}'" for x in schema.ONE_COLUMN)
+_LAYOUT = f"""with pages as (select distinct doc_id, page_index from ({_REGIONS}) r), b as ({BLOCKS}),
+f as (select 1 as kind, null::bigint as seq, null::bigint as fragment, null::bigint as parent_fragment, b.doc_id, 'Figure' as category, b.page_index, x0 * 2 as x0, (792 - y1) * 2 as y0, x1 * 2 as x1, (792 - y0) * 2 as y1, null as source_code from b join pages p on p.doc_id = b.doc_id and p.page_index = b.page_index where category in ('Figure', 'Table')),
+m as (select 0 as kind, q.*, b.source_code from ({_mention_blocks('0', 'true')}) q join b on b.doc_id = q.doc_id and b.ann_pos = q.seq and b.category = q.category),
+a as (select kind, seq, fragment, parent_fragment, doc_id, category, page_index, x0, y0, x1, y1, source_code from m union all select * from f),
+n as (select *, row_number() over (partition by doc_id order by kind, seq nulls first, fragment nulls first, page_index, y0, x0, y1, x1) - 1 as block_id from a)
+select doc_id, block_id, category, page_index, x0, y0, x1, y1, case when parent_fragment is not null then block_id - 1 end as parent_block, source_code from n"""
+_PLACES = "list_transform(range(1, len(m) + 1), lambda k: list_sum(list_transform(range(1, k + 1), lambda j: length(g[j]))) + coalesce(list_sum(list_transform(range(1, k), lambda j: length(m[j]))), 0))"
+
 ORACLES: dict[str, str] = {
     "q01_env_labels": _listed(TEX, _all(T.LABEL, 1), "label"),
     "q02_env_refs": _listed(TEX, f"list_filter({_all(T.REFERENCE, 1)}, lambda x: x <> '')", "label"),
@@ -173,7 +232,7 @@ select doc_id, idx, case when len(list_filter(regexp_extract_all(source_code, '(
     "q19_blank_lines": rf"select doc_id, regexp_replace(regexp_replace(tex, '\n\s*\n', chr(10) || chr(10), 'g'), '\A\s*\n', '') as tex from ({MORE}) t",
     "q19_contents_lists": rf"select doc_id, regexp_replace(tex, '\\({'|'.join(schema.TABLES_OF_CONTENTS)})', '', 'g') as tex from ({MORE}) t",
     "q19_plain_graphics": rf"select doc_id, regexp_replace(tex, '\\(?:psfig|epsfig)\{{(.*?)\}}', '\\includegraphics{{\1}}', 'g') as tex, regexp_extract(tex, '(?s)\\graphicspath\{{\{{(.+?)\}}', 1) as graphics_path from ({MORE}) t",
-    "q19_strip_line_comments": rf"select doc_id, replace(regexp_replace(replace(tex, '\%', chr(1)), '%[^\n]*', '', 'g'), chr(1), '\%') as tex from ({MORE}) t",
+    "q19_strip_line_comments": f"select doc_id, {_uncommented('tex')} as tex from ({MORE}) t",
     "q20_color_definitions": f"select doc_id, {_before(chr(92) + 'begin{document}', colour.definitions())} as tex from ({MORE}) t",
     "q20_layout_messages": f"select doc_id, {_before(chr(92) + 'end{document}', colour.layout_messages())} as tex from ({MORE}) t",
     "q20_own_colours": rf"""select doc_id, regexp_replace(case when regexp_matches(string_split(tex, '\begin{{document}}')[1], '\\usepackage(?:\[.*?\])?\{{hyperref\}}') then {_before(chr(92) + 'begin{document}', chr(92) + 'hypersetup{colorlinks=false}' + chr(10))} else tex end, '\\lstset\{{.*?\}}', '', 'g') as tex from ({MORE}) t""",
@@ -197,16 +256,17 @@ select doc_id, page_index, 2.0::double as px2img, cast(unnest(range(len(l))) as
     "q28_pdf_to_image": f"select doc_id, page_index, block_id, x0 * s as x0, y0 * s as y0, x1 * s as x1, y1 * s as y1 from (select *, cast(page_index % 3 + 1 as double) as s from ({BLOCKS}) b) t",
     "q28_figure_boxes": f"select doc_id, page_index, 'Figure' as category, x0, 792 - y1 as y0, x1, 792 - y0 as y1 from ({BLOCKS}) b where category = 'Table'",
     "q28_source_lines": f"select doc_id, doc_id % 12 + 1 as line_no, string_split(tex, chr(10))[doc_id % 12 + 1] as source_code from ({TEX}) t",
-    "q28_page_pairs": f"""with p as ({_COCO_PAGES}), a as (select * from p where (doc_id + page_index) % 5 <> 1), b as (select * from p where (doc_id + page_index) % 7 <> 1)
+    "q28_page_pairs": f"""with p as ({_COCO_PAGES}), a as (select * from p where (doc_id + page_index) % 5 <> 1), b as (select * from p where (doc_id + page_index) % 7 <> 1 or (doc_id + page_index) % 5 = 1)
 select doc_id, page_index, a.doc_id is null or b.doc_id is null as missing from a full join b using (doc_id, page_index)""",
     "q28_numbered_blocks": f"select doc_id, page_index, ann_pos, category, row_number() over (partition by doc_id order by page_index, ann_pos) - 1 as block_id from ({BLOCKS}) b",
     "q29_manifest_success": f"select path from ({_MANIFEST}) m where status = 'success'",
     "q29_skip_processed": f"select cast(doc_id as varchar) as path, source from documents where cast(doc_id as varchar) not in (select path from ({_MANIFEST}) m where status = 'success')",
-    "q30_metadata_upsert": "select cast(doc_id as varchar) as paper_id, case when doc_id % 3 <> 0 then 'known' else source end as source, n_chars from documents where doc_id % 3 <> 0 or doc_id % 2 = 0",
+    "q30_metadata_upsert": "select cast(doc_id as varchar) as paper_id, case when doc_id % 3 <> 0 then 'known' else source end as source, n_chars from documents",
     "q31_main_documents": f"""with f as (select doc_id, tex, concat('/data/cs/p', doc_id, case when doc_id % 5 = 0 then '/sub' else '' end, '/', case doc_id % 6 when 0 then 'paper_original.tex' when 1 then 'paper_block__00001_Text.tex' when 2 then 'notes.txt' else 'main.tex' end) as path from ({TEX}) t where doc_id % 7 <> 0)
 select path, 'cs' as discipline, concat('p', doc_id) as paper_id, cast(length(tex) as bigint) as n_chars from f where path like '%.tex' and path not like '%paper_block_%' and string_split(path, '/')[-1] not in ({PAPER_NAMES}) and len(string_split(path, '/')) = 5""",
     "q32_include_edges": f"select doc_id, path, cast(seq as bigint) as seq, target from ({_PROJECT}) d, (values ('main.tex', 0, 'a.tex'), ('main.tex', 1, 'missing.tex'), ('main.tex', 2, 'sub/b.tex'), ('a.tex', 0, 'sub/b.tex')) v(path, seq, target)",
     "q32_include_resolution": "select doc_id, 'main.tex' as path, concat('start A[B', doc_id, '] mid ', chr(92), 'include{missing} B', doc_id, ' end', doc_id) as tex from documents",
+    "q32_include_chain": "select doc_id, 'f0.tex' as path, concat(array_to_string(list_transform(range(11), lambda k: k || '<'), ''), 'end ', chr(92), 'input{f0} ', chr(92), 'input{f11}', repeat('>' || doc_id, 11)) as tex from documents",
     "q33_dependency_intersection": "select doc_id, 'main.tex' as path from documents union all select doc_id, concat('f', doc_id % 4, '.png') as path from documents where doc_id % 4 = doc_id % 3",
     "q33_missing_files": "select doc_id, concat('f', doc_id % 4) as path from documents where doc_id % 4 <> doc_id % 3",
     "q34_char_pos_to_line": f"select doc_id, cast(position as bigint) as position, cast({_LINE} as bigint) as line, cast(length(string_split(substr(tex, 1, cast(position as integer)), chr(10))[-1]) as bigint) as column from (select *, doc_id * 37 % 200 as position from ({TEX}) t) u",
@@ -221,15 +281,30 @@ select path, 'cs' as discipline, concat('p', doc_id) as paper_id, cast(length(te
     "q36_tokens_round_trip": TEX,
     "q37_segments_round_trip": SAFE,
     "q38_connected_boxes": "select doc_id, cast(0 as bigint) as page_index, k as box, 3 + doc_id % 7 as x0, 5 + 12 * k as y0, 20 + k as x1, 12 + 12 * k as y1 from (select doc_id, unnest(range(doc_id % 4)) as k from documents) t",
-    "q39_id_normalise": "select concat('2301.', lpad(cast(doc_id as varchar), 5, '0')) as paper_id, concat('http://papers.example/abs/2301.', lpad(cast(doc_id as varchar), 5, '0'), case when doc_id % 2 = 0 then concat('v', doc_id % 9 + 1) else '' end) as entry_id, source as title, lang as primary_category, 'low' as quality from documents",
+    "q39_id_normalise": "select concat('2301.', lpad(cast(doc_id as varchar), 5, '0')) as paper_id, concat('http://papers.example/abs/2301.', lpad(cast(doc_id as varchar), 5, '0'), case when doc_id % 2 = 0 then concat('v', doc_id % 9 + 1) else '' end) as entry_id from documents",
+    "q39_paper_records": """select concat('http://papers.example/abs/2301.', lpad(cast(doc_id as varchar), 5, '0'), 'v10') as entry_id, '2023-01-10' as updated, '2023-01-01' as published, concat(source, ' 10') as title, null::varchar as doi, concat(source, ',', lang) as authors, md5(text) as summary,
+ null::varchar as journal_ref, lang as primary_category, lang as categories, concat('http://papers.example/pdf/', doc_id) as links, concat('http://papers.example/pdf/', doc_id) as pdf_url, concat('2301.', lpad(cast(doc_id as varchar), 5, '0')) as paper_id,
+ case when doc_id % 3 = 0 then concat('/data/cs/', doc_id) end as paper_path, 'low' as quality from documents""",
     "q39_first_distinct": "select distinct source as id from documents order by id limit 7",
     "q41_segment_mentions": rf"""with t as ({SAFE}) select doc_id, 'Title' as category, cast(0 as bigint) as idx, regexp_extract(tex, '\\section\{{.*?\}}') as source_code from t
 union all select doc_id, 'List', 0, regexp_extract(tex, '(?s)\\begin\{{itemize\}}.*?\\end\{{itemize\}}') from t
 union all select doc_id, 'Equation', 0, regexp_extract(tex, '\\begin\{{equation\}}.*?\\end\{{equation\}}') from t where doc_id % 5 <> 0""",
-    "q42_clean_documents": rf"""select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(replace(tex, '\%', chr(1)), '%[^\n]*', '', 'g'), chr(1), '\%'), '\\({'|'.join(schema.TABLES_OF_CONTENTS)})', '', 'g'), '\\(?:psfig|epsfig)\{{(.*?)\}}', '\\includegraphics{{\1}}', 'g'), '\n\s*\n', chr(10) || chr(10), 'g'), '\A\s*\n', '') as tex from ({MORE}) t""",
+    "q42_clean_documents": rf"""select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace({_uncommented('tex')}, '\\({'|'.join(schema.TABLES_OF_CONTENTS)})', '', 'g'), '\\(?:psfig|epsfig)\{{(.*?)\}}', '\\includegraphics{{\1}}', 'g'), '\n\s*\n', chr(10) || chr(10), 'g'), '\A\s*\n', '') as tex from ({MORE}) t""",
     "q42_clean_project": "select doc_id, 'main.tex' as path, concat('start A[B', doc_id, '] mid ', chr(92), 'include{missing} B', doc_id, ' end', doc_id) as content from documents union all select doc_id, 'sub/b.tex', concat('B', doc_id) from documents",
     "q43_overlay": f"select doc_id, concat('page_', lpad(cast(page_index as varchar), 4, '0'), '.jpg') as file_name, ann_pos as z, x0, y0, x1, y1, category as label, {schema.BOX_COLOURS}[{CATEGORY_ID} + 1] as colour from ({BLOCKS}) b",
     "q44_argument_lists": "select doc_id, case when doc_id % 2 = 0 then '{a}{n}[o]{b}' else '{a}{b}{z}' end as args, case when doc_id % 2 = 0 then '{n}[o]{b}{a}' else '{b}{z}{a}' end as rotated, doc_id % 2 = 0 as has_option from documents",
-    "q42_annotated_orders": ORDERS,  # the lines of the blocks have no labels, so citations add nothing
+    "q42_annotated_orders": _ANNOTATED_ORDERS,
+    "q45_mention_blocks": _mention_blocks(f"case when category in ({_ONE_COLUMN}) then 0 when x0 >= 150 then 1 else 0 end", "idx % 11 <> 4"),
+    "q45_layout_annotation": _LAYOUT,
+    "q46_layout_round_trip": BLOCKS,
+    "q46_reading_of_relations": f"""select doc_id, case when doc_id % 5 < 2 then -1 else n end as n_blocks, case doc_id % 5 when 0 then 'no annotations' when 1 then 'no document' end as error from (select doc_id, count(*) as n from ({BLOCKS}) b group by doc_id) t where doc_id % 7 <> 0""",
+    "q47_quality_reports": f"""{_METRICS}, bl as ({BLOCKS}), q as (select doc_id, max(page_index) + 1 as num_pages, count(distinct case when category <> 'Figure' then category end) + 1 as n_categories, count(distinct page_index) as n_pages, count(*) as num_blocks, sum(abs((x1 - x0) * (y1 - y0))) as area from bl group by doc_id)
+select q.doc_id, num_pages, num_columns, n_categories, n_pages, num_blocks, area from q join z using (doc_id)""",
+    "q49_deep_groups": "select doc_id, cast(k as bigint) as idx, case when k = 0 then concat(chr(92), 'caption[s]{', source, repeat('{x', cast(doc_id % 30 + 1 as integer)), repeat('}', cast(doc_id % 30 + 2 as integer))) else chr(92) || 'caption{plain}' end as source_code from documents, (values (0), (1)) t(k)",
+    "q49_coloured_deep_groups": "select doc_id, concat(chr(92), 'title{{', chr(92), 'textcolor{PaperTitle_color}{', repeat('{x', cast(doc_id % 30 + 1 as integer)), source, repeat('}', cast(doc_id % 30 + 1 as integer)), '}}} b ', chr(92), 'caption{{', chr(92), 'color{Caption_color}plain}}', chr(92), 'footnote{{', chr(92), 'color{Footnote_color}}}') as tex from documents",
+    "q44_argument_slices": "select doc_id, case when doc_id % 2 = 0 then '[o]{b}' else '{b}[o]' end as middle, case when doc_id % 2 = 0 then '{b}{c}' else '[o]{a}' end as last, '' as none, '[k]{v}' as parsed from documents",
+    "q35_tree_search_places": f"with t as (select doc_id, regexp_extract_all(tex, 'cost|hidden') as m, string_split_regex(tex, 'cost|hidden') as g from ({SAFE}) t), p as (select doc_id, unnest(m) as body, unnest({_PLACES}) as position from t) select doc_id, body as there, body, cast(position as bigint) as position from p",
+    "q35_tree_strings": rf"select doc_id, regexp_extract(tex, '\\label\{{(.*?)\}}', 1) as string, regexp_replace(tex, '\\label\{{.*?\}}', concat('\\label{{new:', doc_id, '}}')) as tex from ({SAFE}) t",
+    "q35_tree_insertions": rf"select doc_id, regexp_replace(replace(replace(tex, '\footnote{{', '<f>\footnote{{'), '\end{{itemize}}', '<end>\end{{itemize}}'), '(?s)(\\begin\{{equation\}}.*?\\end\{{equation\}})', '\1\1', 'g') as tex from ({SAFE}) t",
     "q19_resolved_graphics": f"select doc_id, replace(replace(tex, concat('{{h', doc_id % 4, '}}'), concat('{{h', doc_id % 4, '.png}}')), concat('{{h', doc_id % 5, '.pdf}}'), concat('{{h', doc_id % 5, '.png}}')) as tex from ({MORE}) t",
 }

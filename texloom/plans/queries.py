@@ -21,8 +21,8 @@ def query(f: Query) -> Query:
 
 
 def _safe(spark: SparkSession, d: str) -> DataFrame:
-    """LaTeX documents whose prose has no special characters."""
-    plain = fixtures.documents(spark, d).withColumn("text", F.translate("text", fixtures.SPECIAL, ""))
+    """LaTeX documents whose prose has its special characters escaped."""
+    plain = fixtures.documents(spark, d).withColumn("text", F.regexp_replace("text", fixtures.SPECIAL, r"\\$1"))
     return spark.sql(fixtures.TEX_DOCS.replace("{", "{{").replace("}", "}}").replace("from documents", "from {documents}"), documents=plain)
 
 
@@ -343,7 +343,8 @@ def q28_source_lines(spark, d):
 @query
 def q28_page_pairs(spark, d):
     pages = fixtures.blocks(spark, d).select("doc_id", "page_index").distinct()
-    drawn, blank = (pages.where(f"(doc_id + page_index) % {k} <> 1").select("doc_id", "page_index", F.lit(n).alias("content")) for k, n in ((5, "drawn"), (7, "blank")))
+    sides = {"drawn": "(doc_id + page_index) % 5 <> 1", "blank": "(doc_id + page_index) % 7 <> 1 or (doc_id + page_index) % 5 = 1"}  # each page is in one at least
+    drawn, blank = (pages.where(w).select("doc_id", "page_index", F.lit(n).alias("content")) for n, w in sides.items())
     return layout.page_pairs(drawn, blank).select("doc_id", "page_index", "missing")
 
 
@@ -372,7 +373,7 @@ def q29_skip_processed(spark, d):
 def q30_metadata_upsert(spark, d):
     docs = fixtures.documents(spark, d).select(F.col("doc_id").cast("string").alias("paper_id"), "source", "n_chars")
     half = F.col("paper_id").cast("long")
-    return records.upserted(docs.where(half % 3 != 0).withColumn("source", F.lit("known")), docs.where(half % 2 == 0))
+    return records.upserted(docs.where(half % 3 != 0).withColumn("source", F.lit("known")), docs.where((half % 2 == 0) | (half % 3 == 0)))
 
 
 @query
@@ -402,7 +403,21 @@ def q32_include_edges(spark, d):
 @query
 def q32_include_resolution(spark, d):
     files = _project(spark, d)
-    return includes.resolved(files, files.where("path = 'main.tex'").select("doc_id", "path"), 3)
+    return includes.resolved(files, files.where("path = 'main.tex'").select("doc_id", "path"))
+
+
+def _chain(spark, d):
+    """Twelve files for each document, each of which names the next; the last names the first again, and itself."""
+    i, bs, n = F.col("doc_id").cast("string"), F.lit("\\"), 12
+    rows = [F.struct(F.lit(f"f{k}.tex").alias("path"), F.concat(F.lit(f"{k}<"), bs, F.lit(f"input{{f{k + 1}}}>"), i).alias("tex")) for k in range(n - 1)]
+    rows.append(F.struct(F.lit(f"f{n - 1}.tex").alias("path"), F.concat(F.lit("end "), bs, F.lit("input{f0} "), bs, F.lit(f"input{{f{n - 1}}}")).alias("tex")))
+    return fixtures.documents(spark, d).select("doc_id", F.explode(F.array(*rows)).alias("f")).select("doc_id", "f.path", "f.tex")
+
+
+@query
+def q32_include_chain(spark, d):
+    files = _chain(spark, d)
+    return includes.resolved(files, files.where("path = 'f0.tex'").select("doc_id", "path"))
 
 
 @query
@@ -431,7 +446,8 @@ def q34_char_pos_to_line(spark, d):
 
 @query
 def q35_tree_count(spark, d):
-    return tree.count(parse.parse_nodes(_safe(spark, d)), ["label", "section", "item", "equation", "caption"])
+    names = ["label", "section", "item", "equation", "caption"]
+    return tree.count(parse.parse_nodes(_safe(spark, d), names=names), names)
 
 
 @query
@@ -458,6 +474,32 @@ def q35_tree_search(spark, d):
     return tree.search(parse.parse_nodes(_safe(spark, d)), r"cost|hidden").groupBy("doc_id", "body").agg(F.count("*").alias("n"))
 
 
+@query
+def q35_tree_search_places(spark, d):
+    docs = _safe(spark, d)
+    found = tree.search(parse.parse_nodes(docs), "cost|hidden").join(docs, "doc_id")
+    return found.select("doc_id", F.substring(F.col("tex"), F.col("position").cast("int") + 1, F.length("body")).alias("there"), "body", "position")
+
+
+@query
+def q35_tree_strings(spark, d):
+    """Labels read, and documents in which the first one is set anew."""
+    docs = _safe(spark, d)
+    nodes = parse.parse_nodes(docs)
+    first = tree.find(nodes, "label")
+    said = tree.string(nodes, docs).join(first.select("doc_id", "pre"), ["doc_id", "pre"]).select("doc_id", "string")
+    return tree.with_string(docs, nodes, first, F.concat(F.lit("new:"), F.col("doc_id").cast("string"))).join(said, "doc_id").select("doc_id", "string", "tex")
+
+
+@query
+def q35_tree_insertions(spark, d):
+    """A mark before each footnote, a text at the end of each list, and each equation twice."""
+    docs = _safe(spark, d)
+    one = tree.inserted_before(docs, tree.find_all(parse.parse_nodes(docs), "footnote"), F.lit("<f>"))
+    two = tree.appended(one, tree.find_all(parse.parse_nodes(one), "itemize"), F.lit("<end>"))
+    return tree.copied(two, tree.find_all(parse.parse_nodes(two), "equation"))
+
+
 @query
 def q35_tree_positions(spark, d):
     docs = _safe(spark, d)
@@ -529,14 +571,29 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q38_connected_boxes(spark, d):
-    return raster.changed_boxes(_pages(spark, d))
+    return raster.changed_boxes(_pages(spark, d)).drop("error")
 
 
 @query
 def q39_id_normalise(spark, d):
     i = F.col("doc_id").cast("string")
-    entries = fixtures.documents(spark, d).select(F.concat(F.lit("http://papers.example/abs/2301."), F.lpad(i, 5, "0"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("v"), (F.col("doc_id") % 9 + 1).cast("string"))).otherwise("")).alias("entry_id"), F.col("source").alias("title"), F.col("lang").alias("primary_category"))
-    return records.paper_records(entries)
+    entries = fixtures.documents(spark, d).select(F.concat(F.lit("http://papers.example/abs/2301."), F.lpad(i, 5, "0"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("v"), (F.col("doc_id") % 9 + 1).cast("string"))).otherwise("")).alias("entry_id"))
+    return entries.select(T.normalised_id(F.col("entry_id")).alias("paper_id"), "entry_id")
+
+
+@query
+def q39_paper_records(spark, d):
+    """Two versions of each paper; the later one is kept."""
+    i = F.col("doc_id").cast("string")
+    docs = fixtures.documents(spark, d).withColumn("v", F.explode(F.array(F.lit(2), F.lit(10))))
+    v = F.col("v").cast("string")
+    entries = docs.select(
+        F.concat(F.lit("http://papers.example/abs/2301."), F.lpad(i, 5, "0"), F.lit("v"), v).alias("entry_id"), F.concat(F.lit("2023-01-"), v).alias("updated"), F.lit("2023-01-01").alias("published"), F.concat("source", F.lit(" "), v).alias("title"),
+        F.lit(None).cast("string").alias("doi"), F.array("source", "lang").alias("authors"), F.col("text").alias("summary"), F.lit(None).cast("string").alias("journal_ref"), F.col("lang").alias("primary_category"), F.array("lang").alias("categories"),
+        F.array(F.concat(F.lit("http://papers.example/pdf/"), i)).alias("links"), F.concat(F.lit("http://papers.example/pdf/"), i).alias("pdf_url"))
+    paths = fixtures.documents(spark, d).where("doc_id % 3 = 0").select(F.concat(F.lit("2301."), F.lpad(i, 5, "0")).alias("paper_id"), F.concat(F.lit("/data/cs/"), i).alias("paper_path"))
+    found = records.paper_records(entries, paths)
+    return found.select(*(F.array_join(c, ",").alias(c) if c in ("authors", "categories", "links") else F.md5(c).alias(c) if c == "summary" else F.col(c) for c in found.columns))
 
 
 @query
@@ -575,9 +632,96 @@ def q42_clean_project(spark, d):
     return clean.clean_project(files, files.where("path = 'main.tex'").select("doc_id", "path"), lines)
 
 
+def _document_blocks(spark, d):
+    """Blocks of documents: headings, equations, floats' captions, tables and algorithms, footnotes and paragraphs, each in its place by kind and number."""
+    docs = fixtures.tex_docs(spark, d).union(fixtures.more_docs(spark, d).select((F.col("doc_id") + 1_000_000_000).alias("doc_id"), "tex"))
+    found = extract.mentions(docs).where("category in ('Caption', 'Table', 'Algorithm', 'Footnote', 'PaperTitle')")
+    more = F.array(
+        F.struct(F.lit("Title").alias("category"), T.every("tex", r"\\(?:sub)*section\*?\{[^{}]*\}").alias("l")), F.struct(F.lit("Equation").alias("category"), T.every("tex", r"(?s)\\begin\{equation\}.*?\\end\{equation\}").alias("l")),
+        F.struct(F.lit("Text").alias("category"), F.split("tex", "\n\n", -1).alias("l")))
+    others = docs.select("doc_id", F.explode(more).alias("m")).select("doc_id", "m.category", F.posexplode("m.l").alias("idx", "source_code"))
+    kinds = F.array(*map(F.lit, ["PaperTitle", "Title", "Equation", "Text", "Footnote", "Caption", "Table", "Algorithm"]))
+    place = (F.array_position(kinds, F.col("category")) * 100_000 + F.col("idx")).cast("long")
+    return docs, found.unionByName(others).select("doc_id", place.alias("block_id"), place.alias("ann_pos"), "category", F.lit(0).cast("long").alias("page_index"), *(F.lit(0.0).alias(c) for c in ("x0", "y0", "x1", "y1")), F.lit(None).cast("long").alias("parent_block"), "source_code")
+
+
 @query
 def q42_annotated_orders(spark, d):
-    return clean.annotated(fixtures.tex_docs(spark, d), fixtures.blocks(spark, d))["orders"]
+    docs, blocks = _document_blocks(spark, d)
+    return clean.annotated(docs, blocks)["orders"]
+
+
+@query
+def q45_mention_blocks(spark, d):
+    blocks = fixtures.blocks(spark, d)
+    mentions = blocks.select("doc_id", "category", F.col("ann_pos").alias("idx"), F.col("ann_pos").alias("seq"), "source_code").where("idx % 11 <> 4")
+    bounds = fixtures.regions(spark, d).select("doc_id", "page_index").distinct().withColumn("separations", F.array(F.lit(0.0), F.lit(150.0), F.lit(400.0)))
+    return layout.mention_blocks(fixtures.regions(spark, d), mentions, bounds).drop("source_code")
+
+
+@query
+def q45_layout_annotation(spark, d):
+    blocks = fixtures.blocks(spark, d)
+    mentions = blocks.select("doc_id", "category", F.col("ann_pos").alias("idx"), F.col("ann_pos").alias("seq"), "source_code")
+    pages = fixtures.regions(spark, d).select("doc_id", "page_index").distinct().selectExpr("*", "612.0d as pdf_width", "792.0d as pdf_height", "1584.0d as image_height")
+    elements = blocks.select("doc_id", "page_index", F.when(F.col("category") == "Figure", "LTFigure").otherwise("LTTextBox").alias("kind"), "x0", "y0", "x1", "y1", F.lit(792.0).alias("page_height"))
+    # lines whose category is a table stand for figures as well
+    elements = elements.union(blocks.where("category = 'Table'").select("doc_id", "page_index", F.lit("LTFigure"), "x0", "y0", "x1", "y1", F.lit(792.0)))
+    found = layout.annotated_blocks(fixtures.regions(spark, d), mentions, layout.layout_metrics(_logs(spark, d)), pages, elements)
+    return found.select("doc_id", "block_id", "category", "page_index", *(F.round(c, 6).alias(c) for c in ("x0", "y0", "x1", "y1")), "parent_block", "source_code")
+
+
+@query
+def q46_layout_round_trip(spark, d):
+    return export.blocks_of(export.layout_info(fixtures.blocks(spark, d)))
+
+
+@query
+def q46_reading_of_relations(spark, d):
+    blocks = fixtures.blocks(spark, d)
+    made = export.relations(blocks, order.reading_order(blocks))
+    broken = made.select("doc_id", F.when(F.col("doc_id") % 5 == 0, F.lit('{"orders": []}')).when(F.col("doc_id") % 5 == 1, F.lit(None).cast("string")).otherwise(F.col("relations")).alias("relations"))
+    known = fixtures.documents(spark, d).where("doc_id % 7 = 0").select("doc_id")
+    found = export.reading_annotations_of(broken, known)
+    block = "array<struct<block_id:bigint,bbox:array<double>,category:string,page_index:bigint,source_code:string>>"
+    return found.select("doc_id", F.coalesce(F.size(F.from_json("reading", block)), F.lit(-1)).cast("long").alias("n_blocks"), "error")
+
+
+@query
+def q47_quality_reports(spark, d):
+    blocks = fixtures.blocks(spark, d)
+    found = export.quality_reports(blocks, blocks.where("parent_block is null and ann_pos % 7 <> 3 or category = 'List'"), layout.layout_metrics(_logs(spark, d)))
+    parsed = F.from_json("report", "struct<num_pages:bigint,num_columns:bigint,category_quality:array<struct<category:string,missing_rate:double>>,page_quality:array<struct<page:string,num_blocks:bigint,area:double>>>")
+    total = F.filter(F.col("r.page_quality"), lambda x: x["page"] == "total")[0]
+    return found.select("doc_id", parsed.alias("r")).select("doc_id", "r.num_pages", "r.num_columns", F.size("r.category_quality").cast("long").alias("n_categories"), (F.size("r.page_quality") - 1).cast("long").alias("n_pages"), total["num_blocks"].alias("num_blocks"), total["area"].alias("area"))
+
+
+@query
+def q48_rendered(spark, d):
+    """Documents with all their categories coloured."""
+    return colour.rendered(_safe(spark, d)).select("doc_id", F.md5("tex").alias("tex_md5"), F.length("tex").cast("long").alias("n_chars"), "error")
+
+
+@query
+def q48_rendered_mentions(spark, d):
+    """Coloured mentions of whole documents by category."""
+    found = colour.rendered(_safe(spark, d)).where("error is null")
+    return colour.mention_order(found).groupBy("doc_id", "category").agg(F.count("*").alias("n"))
+
+
+@query
+def q49_deep_groups(spark, d):
+    """Captions whose braces nest one deeper for each document up to 30."""
+    k = (F.col("doc_id") % 30 + 1).cast("int")
+    tex = F.concat(F.lit("a \\caption[s]{"), F.col("source"), F.repeat(F.lit("{x"), k), F.repeat(F.lit("}"), k), F.lit("} b \\caption{plain} {open \\caption{c"))
+    return extract.captions(fixtures.documents(spark, d).select("doc_id", tex.alias("tex")))
+
+
+@query
+def q49_coloured_deep_groups(spark, d):
+    k = (F.col("doc_id") % 30 + 1).cast("int")
+    tex = F.concat(F.lit("\\title{"), F.repeat(F.lit("{x"), k), F.col("source"), F.repeat(F.lit("}"), k), F.lit("} b \\caption{plain}\\footnote{}"))
+    return fixtures.documents(spark, d).select("doc_id", colour.coloured(tex).alias("tex"))
 
 
 @query
@@ -585,6 +729,13 @@ def q43_overlay(spark, d):
     return export.overlay(fixtures.blocks(spark, d))
 
 
+@query
+def q44_argument_slices(spark, d):
+    made = F.array(args.argument("a"), args.argument("o", "bracket"), args.argument("b"), args.argument("c"))
+    n = F.when(F.col("doc_id") % 2 == 0, made).otherwise(args.reversed_(made))
+    return fixtures.documents(spark, d).select("doc_id", args.written(args.sliced(n, 1, -1)).alias("middle"), args.written(args.sliced(n, -2)).alias("last"), args.written(args.cleared(n)).alias("none"), args.written(F.array(T.group_of(F.lit("[k]")), T.group_of(F.lit("{v}")))).alias("parsed"))
+
+
 @query
 def q44_argument_lists(spark, d):
     made = F.array(args.argument("a"), args.argument("o", "bracket"), args.argument("b"))

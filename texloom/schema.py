@@ -9,7 +9,8 @@ ORDERS = "doc_id bigint, type string, from_id bigint, to_id bigint"
 NODES = "pre int, post int, parent_pre int, depth int, slot string, ord int, kind string, name string, begin string, end string, text string, char_pos int"
 TOKENS = "tok_pos int, char_pos int, category string, text string"
 SEGMENTS = "seg_pos int, depth int, kind string, name string, text string"
-PAPERS = "paper_id string, entry_id string, title string, primary_category string, quality string"
+SEARCH_RESULTS = "entry_id string, updated string, published string, title string, doi string, authors array<string>, summary string, journal_ref string, primary_category string, categories array<string>, links array<string>, pdf_url string"
+PAPERS = SEARCH_RESULTS + ", paper_id string, paper_path string, quality string"
 
 # Layout categories as (id, name, supercategory).
 CATEGORIES = [
@@ -40,7 +41,10 @@ LISTS = "itemize enumerate description".split()
 FOOTNOTES = "footnote footnotetext tablefootnote".split()
 INLINE_COMMANDS = "cite citet citet* citep citep* citealt citealt* citealp citealp* citeauthor citeauthor* citeyear citeyearpar eqref ref emph textbf textit textsc textsl texttt textup".split() + FOOTNOTES
 OPAQUE_ENVS = ["thebibliography", "abstract"]
-TEXT_ENVS = "theorem observation thm definition lemma remark corollary proposition example proof axiom conjecture exercise question solution quote note assumption fact justify acknowledgements flushleft flushright appendices ieeeproof widetext center".split()
+TEXT_ENVS = "theorem observation thm definition lemma remark corollary proposition example proof axiom conjecture exercise question solution quote note assumption fact justify acknowledgements flushleft flushright appendices IEEEproof widetext center".split()
+
+#: Environments in which a percent sign is no comment.
+VERBATIM_ENVS = "verbatim verbatim* Verbatim Verbatim* lstlisting lstlisting* verbatimtab listing".split()
 
 # TeX lengths that layout metrics are made of, and references' commands.
 LAYOUT_KEYS = "columnwidth columnsep textwidth paperwidth hoffset voffset oddsidemargin evensidemargin marginparwidth marginparsep topmargin headheight headsep footskip textheight".split()

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-import io
 import tarfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def files(spark: SparkSession, path: str, extension: str | None = None) -> DataFrame:
-    """path, content (binary) of every file below path."""
+# Extensions of the files that a LaTeX project is made of.
+SOURCES = ".tex .cls .clo .sty .bst".split()
+
+
+def files(spark: SparkSession, path: str, extension: str | list[str] | None = None) -> DataFrame:
+    """path, content (binary) of every file below path, of one extension or of several."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if extension:
-        reader = reader.option("pathGlobFilter", f"*{extension}")
+        names = [extension] if isinstance(extension, str) else extension
+        reader = reader.option("pathGlobFilter", f"*{{{','.join(names)}}}")
     return reader.load(path).select("path", "content")
 
 
@@ -38,32 +43,42 @@ def papers(found: DataFrame) -> DataFrame:
     return found.select(F.element_at(parts, -3).alias("discipline"), F.element_at(parts, -2).alias("paper_id")).distinct()
 
 
+# How rendered pages and the folders of variants are named.
+PAGE_NAME = r"thread-\d+-page-(\d+)\.jpg$"
+VARIANT_NAME = r"paper_(\w+)_(\d{5})_(.*?)_(\d{5})"
+
+
 def page_images(found: DataFrame) -> DataFrame:
     """path, page_index (from 0), content of rendered pages."""
-    page = F.regexp_extract("path", r"thread-\d+-page-(\d+)\.jpg$", 1)
+    page = F.regexp_extract("path", PAGE_NAME, 1)
     return found.where(page != "").select("path", (page.cast("int") - 1).alias("page_index"), "content")
 
 
 def variant_folders(paths: DataFrame) -> DataFrame:
     """path, seq, category, idx of the folders of one-mention variants."""
-    pattern = r"paper_(\w+)_(\d{5})_(.*?)_(\d{5})"
-    part = lambda k: F.regexp_extract("path", pattern, k)
-    return paths.where(F.col("path").rlike(pattern)).select("path", part(2).cast("int").alias("seq"), part(3).alias("category"), part(4).cast("int").alias("idx"))
+    part = lambda k: F.regexp_extract("path", VARIANT_NAME, k)
+    return paths.where(F.col("path").rlike(VARIANT_NAME)).select("path", part(2).cast("int").alias("seq"), part(3).alias("category"), part(4).cast("int").alias("idx"))
+
 
+def archive_members(archives: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """path, member, content, error of the files in .tar.gz archives; what cannot be read of an archive is one row with its error.
 
-def archive_members(archives: DataFrame) -> DataFrame:
-    """path, member, content, error of the files in .tar.gz archives; an archive that cannot be read is one row with its error."""
+    Members are handed on one by one. known: paths of archives that were read before, which are left out.
+    """
+    schema = pa.schema([("path", pa.string()), ("member", pa.string()), ("content", pa.binary()), ("error", pa.string())])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("path", pa.string()), ("member", pa.string()), ("content", pa.binary()), ("error", pa.string())])
+        row = lambda *values: pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, schema.types, strict=True)], schema=schema)
         for batch in batches:
-            for r in batch.to_pylist():
-                rows = []
+            for k in range(batch.num_rows):
+                path, content = batch.column(0)[k].as_py(), batch.column(1)[k]
                 try:
-                    with tarfile.open(fileobj=io.BytesIO(r["content"] or b"")) as tar:
-                        rows = [(r["path"], m.name, tar.extractfile(m).read(), None) for m in tar if m.isfile()]
-                except (tarfile.ReadError, EOFError, OSError) as e:
-                    rows.append((r["path"], None, None, str(e)[:300]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, schema.types, strict=True)], schema=schema)
-
-    return archives.select("path", "content").mapInArrow(unpack, "path string, member string, content binary, error string")
+                    with tarfile.open(fileobj=pa.BufferReader(content.as_buffer() if content.is_valid else b""), mode="r:*") as tar:
+                        for m in tar:
+                            if m.isfile():
+                                yield row(path, m.name, tar.extractfile(m).read(), None)
+                except (tarfile.TarError, EOFError, OSError, zlib.error) as e:
+                    yield row(path, None, None, str(e)[:300])
+
+    todo = archives if known is None else archives.join(known.select("path").distinct(), "path", "left_anti")
+    return todo.select("path", "content").mapInArrow(unpack, "path string, member string, content binary, error string")

@@ -10,6 +10,10 @@ from ..operators.export import export
 from ..operators.extract import mentions
 
 
+#: Folders of the target by document: a batch reads the keys of those that it adds to.
+BUCKETS = 256
+
+
 def document_stream(spark: SparkSession, path: str) -> DataFrame:
     """path, tex of files as they arrive."""
     found = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("pathGlobFilter", "*.tex").option("recursiveFileLookup", "true").load(path)
@@ -24,9 +28,9 @@ def cleaned(stream: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, path: str, target: str, checkpoint: str) -> StreamingQuery:
-    """Writes the mentions of new files to a dataset; a batch that runs again adds nothing."""
+    """Writes the mentions of new files to a dataset in folders by bucket; a batch that runs again adds nothing."""
 
     def add(batch: DataFrame, _: int) -> None:
-        export(mentions(batch).withColumn("paper", F.col("doc_id")), target, ["category", "paper"])
+        export(mentions(batch).withColumn("bucket", F.pmod("doc_id", F.lit(BUCKETS)).cast("int")), target, ["bucket", "doc_id"])
 
     return cleaned(document_stream(spark, path)).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
