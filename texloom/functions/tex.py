@@ -5,6 +5,8 @@ Patterns are Java's: `.` stops at a newline only under (?d), braces are escaped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from ..schema import FOOTNOTES, REFERENCES, TABLES_OF_CONTENTS, TABULARS, VERBATIM_ENVS
@@ -56,61 +58,71 @@ def nested_deeper(tex: Column, depth: int = DEPTH) -> Column:
     return F.aggregate(marks, start, step, lambda a: a["most"] > depth)
 
 
-def _scanned(tex: Column, head: str) -> tuple[Column, Column]:
-    """(pieces of tex that end at braces, the first and last piece of each group that head opens), by one fold over the pieces.
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is one variable: named many times, it is neither copied nor computed again."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
 
-    In the pieces a head begins with \\u0001 and its opening brace is \\u0002.
-    """
+def _pieces(tex: Column, head: str) -> Column:
+    """tex cut behind braces and before heads: in the pieces a head begins with \\u0001 and its opening brace is \\u0002."""
     marked = F.regexp_replace(tex, rf"({head})\{{", "\u0001$1\u0002")
-    pieces = F.split(marked, "(?<=[{}\u0002])|(?=\u0001)", -1)
+    return F.split(marked, "(?<=[{}\u0002])|(?=\u0001)", -1)
+
+
+def _found(pieces: Column) -> Column:
+    """The first and last piece of each group that a head opens, by one fold over the pieces."""
     # depth: -1 outside, 0 between a head and its brace
     start = F.struct(F.lit(0).alias("k"), F.lit(0).alias("first"), F.lit(-1).alias("depth"), F.array().cast("array<struct<first:int,last:int>>").alias("found"))
 
     def step(a: Column, x: Column) -> Column:
-        outside = a["depth"] < 0
-        begins = outside & F.startswith(x, F.lit("\u0001"))
+        begins = (a["depth"] < 0) & F.startswith(x, F.lit("\u0001"))
         before = F.when(begins, F.lit(0)).otherwise(a["depth"])
+        first = F.when(begins, a["k"]).otherwise(a["first"])
+        return _let(F.struct(before.alias("before"), first.alias("first")), lambda b: after(a, x, b["before"], b["first"]))
+
+    def after(a: Column, x: Column, before: Column, first: Column) -> Column:
         opens = F.endswith(x, F.lit("\u0002")) | ((before > 0) & F.endswith(x, F.lit("{")))
         depth = F.when(before < 0, F.lit(-1)).when(opens, before + 1).when((before > 0) & F.endswith(x, F.lit("}")), before - 1).otherwise(before)
-        first = F.when(begins, a["k"]).otherwise(a["first"])
-        closes = (before > 0) & (depth == 0)
+        closes = (before == 1) & ~opens & F.endswith(x, F.lit("}"))
         found = F.when(closes, F.array_append(a["found"], F.struct(first.alias("first"), a["k"].alias("last")))).otherwise(a["found"])
         return F.struct((a["k"] + 1).alias("k"), first.alias("first"), F.when(closes, F.lit(-1)).otherwise(depth).alias("depth"), found.alias("found"))
 
-    return pieces, F.aggregate(pieces, start, step, lambda a: a["found"])
-
-
-def _plain(text: Column) -> Column:
-    return F.translate(text, "\u0001\u0002", "\u0001{")
+    return F.aggregate(pieces, start, step, lambda a: a["found"])
 
 
 def _piece(pieces: Column, first: Column, last: Column) -> Column:
-    return F.replace(_plain(F.array_join(F.slice(pieces, first + 1, F.greatest(last - first + 1, F.lit(0))), "")), F.lit("\u0001"), F.lit(""))
+    joined = F.array_join(F.slice(pieces, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+    return F.replace(F.translate(joined, "\u0001\u0002", "\u0001{"), F.lit("\u0001"), F.lit(""))
 
 
 def groups(tex: Column | str, head: str) -> Column:
     """Every head with the brace group that follows, in order, whatever its depth; none within another."""
     text = F.col(tex) if isinstance(tex, str) else tex
-    pieces, found = _scanned(text, head)
-    deep = F.transform(found, lambda s: _piece(pieces, s["first"], s["last"]))
-    return F.when(nested_deeper(text), deep).otherwise(every(text, head + braces()))
+    deep = lambda t: _let(_pieces(t, head), lambda p: F.transform(_found(p), lambda s: _piece(p, s["first"], s["last"])))
+    return _let(text, lambda t: F.when(nested_deeper(t), deep(t)).otherwise(every(t, head + braces())))
 
 
 def with_groups(tex: Column, head: str, before: str, after: str) -> Column:
     """tex with `before` behind each opening brace that head opens, and `after` before the closing one."""
     inner = braces()[2:-2]
-    plain = F.regexp_replace(tex, rf"({head}\{{)({inner})\}}", rf"$1{before}$2{after}}}".replace("\\", "\\\\"))
-    pieces, found = _scanned(tex, head)
-    end = lambda a: F.concat(a["out"], _piece(pieces, a["at"], F.size(pieces)))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        whole = _piece(pieces, s["first"], s["last"])
-        opened = F.length(F.regexp_extract(whole, rf"\A{head}\{{", 0))
-        new = F.concat(F.substring(whole, F.lit(1), opened), F.lit(before), F.substring(whole, opened + 1, F.length(whole) - opened - 1), F.lit(after + "}"))
-        return F.struct((s["last"] + 1).alias("at"), F.concat(a["out"], _piece(pieces, a["at"], s["first"] - 1), new).alias("out"))
-
-    return F.when(nested_deeper(tex), F.aggregate(found, start, step, end)).otherwise(plain)
+
+    def plain(text: Column) -> Column:
+        return F.regexp_replace(text, rf"({head}\{{)({inner})\}}", rf"$1{before}$2{after}}}".replace("\\", "\\\\"))
+
+    def deep(pieces: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+        def step(a: Column, s: Column) -> Column:
+            return _let(_piece(pieces, s["first"], s["last"]), lambda whole: wrapped(a, s, whole))
+
+        def wrapped(a: Column, s: Column, whole: Column) -> Column:
+            opened = F.length(F.regexp_extract(whole, rf"\A{head}\{{", 0))
+            new = F.concat(F.substring(whole, F.lit(1), opened), F.lit(before), F.substring(whole, opened + 1, F.length(whole) - opened - 1), F.lit(after + "}"))
+            return F.struct((s["last"] + 1).alias("at"), F.concat(a["out"], _piece(pieces, a["at"], s["first"] - 1), new).alias("out"))
+
+        return F.aggregate(_found(pieces), start, step, lambda a: F.concat(a["out"], _piece(pieces, a["at"], F.size(pieces))))
+
+    return _let(tex, lambda t: F.when(nested_deeper(t), _let(_pieces(t, head), deep)).otherwise(plain(t)))
 
 
 def _gone(tex, pattern: str, by: str = "") -> Column:
