@@ -1,6 +1,8 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 from .licenses import oracle as _licenses
+from .search import oracle as _search
+from .veccodes import oracle as _vectors
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -44,4 +46,6 @@ select conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10) |
  sum(formatted)::bigint as formatted_chars
 from e group by conv_id""",
     "op10_licenses": _licenses(),
+    "op11_vector_codes": _vectors(),
+    "op13_lexical_search": _search(),
 }

@@ -1,12 +1,12 @@
-"""The queries op1 to op10: each operator over its whole table."""
+"""The queries op1 to op13: each operator over its whole table."""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import spread
-from . import chat, decontam, html_text, licenses, linededup, packing, quality, simhash, tokenstore, warc
+from . import chat, decontam, html_text, licenses, linededup, packing, quality, search, simhash, tokenstore, toxicity, veccodes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,4 +58,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_decontamination, op4_warc, op5_simhash, op6_chat_format, op7_html_text, op8_packing, op9_token_store, op10_licenses)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return veccodes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_decontamination, op4_warc, op5_simhash, op6_chat_format, op7_html_text, op8_packing, op9_token_store, op10_licenses, op11_vector_codes, op12_toxicity, op13_lexical_search)}
