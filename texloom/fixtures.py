@@ -41,6 +41,16 @@ MORE_DOCS = """select doc_id, concat(
  chr(92),'section{Next}',chr(92),'label{sec:n}',chr(10),chr(92),'subsection*{Far} word ',chr(92),'label{sec:no}',chr(10),
  chr(92),'end{document}',chr(10)) as tex from documents"""
 
+#: Projects of 200 files, one for each document: most name the next one, some others across the project, graphics without extension and bibliographies.
+PROJECT_FILES = """select cast(floor(doc_id / 200.0) as bigint) as doc_id, concat('f', cast(doc_id % 200 as varchar(9)), '.tex') as path, concat(text, chr(10),
+ case when doc_id % 11 <> 4 then concat(chr(92), 'input{f', cast(doc_id % 200 + 1 as varchar(9)), '}', chr(10)) else '' end,
+ case when doc_id % 7 = 3 then concat(chr(92), 'include{./f', cast(doc_id * 5 % 200 as varchar(9)), '.tex}', chr(10)) else '' end,
+ case when doc_id % 3 = 0 then concat(chr(92), 'includegraphics[width=1cm]{g', cast(doc_id % 9 as varchar(9)), '}', chr(10)) else '' end,
+ case when doc_id % 13 = 0 then concat(chr(92), 'bibliography{missing,b', cast(doc_id % 5 as varchar(9)), '}', chr(10)) else '' end) as tex from documents
+union all select cast(floor(doc_id / 200.0) as bigint), concat('g', cast(doc_id % 200 as varchar(9)), case when doc_id % 2 = 0 then '.png' else '.pdf' end), '' from documents where doc_id % 200 < 9
+union all select cast(floor(doc_id / 200.0) as bigint), concat('g', cast(doc_id % 200 as varchar(9)), '.eps'), '' from documents where doc_id % 200 < 9
+union all select cast(floor(doc_id / 200.0) as bigint), concat('b', cast(doc_id % 200 - 20 as varchar(9)), '.bib'), '' from documents where doc_id % 200 between 20 and 24"""
+
 _CATEGORY = "case (doc_id*7+{pos}*5) % 11 when 0 then 'PaperTitle' when 1 then 'Abstract' when 2 then 'Title' when 3 then 'Equation' when 4 then 'List' when 5 then 'Footnote' when 6 then 'Text-EQ' when 7 then 'Table' when 8 then 'Caption' else 'Text' end"
 _LINES = {
     "spark": "select doc_id, pos, line from documents lateral view posexplode(split(text, chr(10))) t as pos, line",
@@ -77,6 +87,11 @@ def more_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _over(spark, sf_dir, MORE_DOCS.replace("{", "{{").replace("}", "}}"))
 
 
+def project_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id (the project), path, tex."""
+    return _over(spark, sf_dir, PROJECT_FILES.replace("{", "{{").replace("}", "}}"))
+
+
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of schema.BLOCKS."""
     return _over(spark, sf_dir, blocks_sql("spark"))

@@ -5,7 +5,7 @@ A node's descendants are those with a pre number between its own and a smaller p
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.tex import line_and_column
 
@@ -37,9 +37,29 @@ def children(nodes: DataFrame, parents: DataFrame, texts: bool = True, blank: bo
 
 
 def descendants(nodes: DataFrame, of: DataFrame) -> DataFrame:
-    """of_pre and the columns of nodes for everything below `of` (doc_id, pre, post)."""
-    a = of.select("doc_id", F.col("pre").alias("of_pre"), F.col("post").alias("of_post"))
-    return nodes.join(a, "doc_id").where("pre > of_pre and post < of_post").select("of_pre", *nodes.columns)
+    """of_pre and the columns of nodes for everything below `of` (doc_id, pre, post, depth).
+
+    A node has post - pre + depth descendants, and their pre numbers follow its own. One sweep over a document's nodes and
+    the starts and ends of `of` counts the nodes passed, so that each of `of` knows the run of them that lies below it; the
+    runs are joined by place. The work is that of the rows returned, not of all pairs, and no key holds more than one row.
+    """
+    cols = nodes.columns
+    starts, stops = F.col("pre"), F.col("post") + F.col("depth")
+    marks = nodes.select("doc_id", F.col("pre").alias("at"), F.lit(0).alias("side"), F.lit(None).cast("int").alias("of_pre"))
+    for side, at in ((1, starts), (2, stops)):
+        marks = marks.unionByName(of.select("doc_id", at.alias("at"), F.lit(side).alias("side"), F.col("pre").alias("of_pre")))
+    swept = Window.partitionBy("doc_id").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
+    passed = marks.select("doc_id", "side", "of_pre", F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).over(swept).alias("n"))
+    runs = passed.where("side > 0").groupBy("doc_id", "of_pre").agg(F.min("n").alias("first"), F.max("n").alias("last")).where("last > first")
+    places = runs.select("doc_id", "of_pre", F.explode(F.sequence(F.col("first") + 1, F.col("last"))).alias("_place"))
+    placed = nodes.withColumn("_place", F.row_number().over(Window.partitionBy("doc_id").orderBy("pre")).cast("long"))
+    return placed.join(places, ["doc_id", "_place"]).select("of_pre", *cols)
+
+
+def enclosing(nodes: DataFrame, of: DataFrame) -> DataFrame:
+    """doc_id, pre, of_pre: the innermost of `of` that each node lies in, if any; a row for each node that has one."""
+    found = descendants(nodes, of)
+    return found.groupBy("doc_id", "pre").agg(F.max("of_pre").alias("of_pre"))
 
 
 def texts(nodes: DataFrame) -> DataFrame:

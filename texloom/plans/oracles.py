@@ -187,6 +187,14 @@ n as (select *, row_number() over (partition by doc_id order by kind, seq nulls
 select doc_id, block_id, category, page_index, x0, y0, x1, y1, case when parent_fragment is not null then block_id - 1 end as parent_block, source_code from n"""
 _PLACES = "list_transform(range(1, len(m) + 1), lambda k: list_sum(list_transform(range(1, k + 1), lambda j: length(g[j]))) + coalesce(list_sum(list_transform(range(1, k), lambda j: length(m[j]))), 0))"
 
+_FILES = fixtures.PROJECT_FILES
+#: kind, pattern, extensions by rank
+_NAMED = [("include", r"\\(?:input|include)\{([^}]*)\}", ["", ".tex"]), ("graphics", r"\\includegraphics(?:\[[^\]]*\])?\{([^}]*)\}", ["", ".pdf", ".png", ".jpg", ".jpeg", ".eps", ".ps"]), ("bibliography", r"\\bibliography\{([^}]*)\}", ["", ".bib"])]
+_EDGES = f"""files as materialized ({_FILES}),
+names as (""" + " union all ".join(f"select doc_id, path, '{kind}' as kind, {extensions} as extensions, unnest(list_distinct(flatten(list_transform(regexp_extract_all(tex, '{pattern}', 1), lambda x: string_split(x, ','))))) as name from files" for kind, pattern, extensions in _NAMED) + """),
+tried as (select doc_id, path, kind, name, unnest(extensions) as e, unnest(range(len(extensions))) as rank from names),
+edges as materialized (select distinct t.doc_id, t.path, kind, f.path as target from tried t join files f on f.doc_id = t.doc_id and f.path = regexp_replace(name, '^[.]/', '') || e qualify row_number() over (partition by t.doc_id, t.path, kind, name order by rank) = 1)"""
+
 ORACLES: dict[str, str] = {
     "q01_env_labels": _listed(TEX, _all(T.LABEL, 1), "label"),
     "q02_env_refs": _listed(TEX, f"list_filter({_all(T.REFERENCE, 1)}, lambda x: x <> '')", "label"),
@@ -307,4 +315,6 @@ select q.doc_id, num_pages, num_columns, n_categories, n_pages, num_blocks, area
     "q35_tree_strings": rf"select doc_id, regexp_extract(tex, '\\label\{{(.*?)\}}', 1) as string, regexp_replace(tex, '\\label\{{.*?\}}', concat('\\label{{new:', doc_id, '}}')) as tex from ({SAFE}) t",
     "q35_tree_insertions": rf"select doc_id, regexp_replace(replace(replace(tex, '\footnote{{', '<f>\footnote{{'), '\end{{itemize}}', '<end>\end{{itemize}}'), '(?s)(\\begin\{{equation\}}.*?\\end\{{equation\}})', '\1\1', 'g') as tex from ({SAFE}) t",
     "q19_resolved_graphics": f"select doc_id, replace(replace(tex, concat('{{h', doc_id % 4, '}}'), concat('{{h', doc_id % 4, '.png}}')), concat('{{h', doc_id % 5, '.pdf}}'), concat('{{h', doc_id % 5, '.png}}')) as tex from ({MORE}) t",
+    "q50_dependency_edges": f"with {_EDGES} select * from edges",
+    "q50_dependencies": f"with recursive {_EDGES}, reach(doc_id, path) as (select doc_id, path from files where path = 'f0.tex' union select e.doc_id, e.target from reach r join edges e on e.doc_id = r.doc_id and e.path = r.path) select * from reach",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixtures, schema
 from ..functions import args, tex as T
-from ..operators import clean, colour, export, extract, includes, layout, order, parse, quality, raster, records, refs, segments, tree
+from ..operators import clean, closure, colour, export, extract, includes, layout, order, parse, quality, raster, records, refs, segments, tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -742,3 +742,15 @@ def q44_argument_lists(spark, d):
     first = F.when(F.col("doc_id") % 2 == 0, args.inserted(made, 1, args.argument("n"))).otherwise(args.removed(args.appended(made, args.argument("z")), "o"))
     one, others = args.popped(first, 0)
     return fixtures.documents(spark, d).select("doc_id", args.written(first).alias("args"), args.written(args.extended(others, F.array(one))).alias("rotated"), args.contains(first, "o").alias("has_option"))
+
+
+@query
+def q50_dependencies(spark, d):
+    """What the first file of each project reaches."""
+    files = fixtures.project_files(spark, d)
+    return closure.dependencies(files, files.where("path = 'f0.tex'").select("doc_id", "path"))
+
+
+@query
+def q50_dependency_edges(spark, d):
+    return closure.dependency_edges(fixtures.project_files(spark, d))
