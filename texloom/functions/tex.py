@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F
 
 from ..schema import FOOTNOTES, REFERENCES, TABLES_OF_CONTENTS, TABULARS, VERBATIM_ENVS
 
-#: Nesting of braces that patterns follow; deeper texts are scanned brace by brace.
+#: Nesting of braces that patterns follow; deeper ones are found brace by brace.
 DEPTH = 6
 
 
@@ -46,60 +46,67 @@ def every(tex: Column | str, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(tex, F.lit(pattern), F.lit(group))
 
 
-def nested_deeper(tex: Column, depth: int = DEPTH) -> Column:
-    """Whether braces nest deeper than patterns follow; found in one walk over the braces."""
-    marks = F.split(F.regexp_replace(tex, r"[^{}]+", ""), "")
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-
-    def step(a: Column, x: Column) -> Column:
-        now = F.when(x == "{", a["now"] + 1).when(x == "}", F.greatest(a["now"] - 1, F.lit(0))).otherwise(a["now"])
-        return F.struct(now.alias("now"), F.greatest(a["most"], now).alias("most"))
-
-    return F.aggregate(marks, start, step, lambda a: a["most"] > depth)
-
-
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), where value is one variable: named many times, it is neither copied nor computed again."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _pieces(tex: Column, head: str) -> Column:
-    """tex cut behind braces and before heads: in the pieces a head begins with \\u0001 and its opening brace is \\u0002."""
-    marked = F.regexp_replace(tex, rf"({head})\{{", "\u0001$1\u0002")
-    return F.split(marked, "(?<=[{}\u0002])|(?=\u0001)", -1)
+def _cut(tex: Column, head: str) -> Column:
+    """tex as an array whose elements add up to it: heads with their opening brace, single braces, and what lies between."""
+    return F.regexp_extract_all(tex, F.lit(rf"{head}\{{|[{{}}]|[^{{}}\\]+|\\"), F.lit(0))
+
 
+def _walked(pieces: Column, head: str) -> Column:
+    """found: the first and last piece of each group that a head opens, none within another; open: the first pieces of those that never close.
 
-def _found(pieces: Column) -> Column:
-    """The first and last piece of each group that a head opens, by one fold over the pieces."""
-    # depth: -1 outside, 0 between a head and its brace
-    start = F.struct(F.lit(0).alias("k"), F.lit(0).alias("first"), F.lit(-1).alias("depth"), F.array().cast("array<struct<first:int,last:int>>").alias("found"))
+    One fold over the pieces, which remembers the heads that are open and the depth that each lies at.
+    """
+    places = "array<struct<first:int,depth:int>>"
+    start = F.struct(F.lit(0).alias("k"), F.lit(0).alias("depth"), F.array().cast(places).alias("open"), F.array().cast("array<struct<first:int,last:int>>").alias("found"))
 
     def step(a: Column, x: Column) -> Column:
-        begins = (a["depth"] < 0) & F.startswith(x, F.lit("\u0001"))
-        before = F.when(begins, F.lit(0)).otherwise(a["depth"])
-        first = F.when(begins, a["k"]).otherwise(a["first"])
-        return _let(F.struct(before.alias("before"), first.alias("first")), lambda b: after(a, x, b["before"], b["first"]))
+        plain = ~F.endswith(x, F.lit("{")) & (x != "}")
+        here = F.struct((a["k"] + 1).alias("k"), a["depth"].alias("depth"), a["open"].alias("open"), a["found"].alias("found"))
+        opened = F.struct((a["k"] + 1).alias("k"), (a["depth"] + 1).alias("depth"), F.when(x != "{", F.array_append(a["open"], F.struct(a["k"].alias("first"), a["depth"].alias("depth")))).otherwise(a["open"]).alias("open"), a["found"].alias("found"))
+        return F.when(plain, here).when(x == "}", _let(F.try_element_at(a["open"], F.lit(-1)), lambda top: closed(a, top))).otherwise(opened)
 
-    def after(a: Column, x: Column, before: Column, first: Column) -> Column:
-        opens = F.endswith(x, F.lit("\u0002")) | ((before > 0) & F.endswith(x, F.lit("{")))
-        depth = F.when(before < 0, F.lit(-1)).when(opens, before + 1).when((before > 0) & F.endswith(x, F.lit("}")), before - 1).otherwise(before)
-        closes = (before == 1) & ~opens & F.endswith(x, F.lit("}"))
-        found = F.when(closes, F.array_append(a["found"], F.struct(first.alias("first"), a["k"].alias("last")))).otherwise(a["found"])
-        return F.struct((a["k"] + 1).alias("k"), first.alias("first"), F.when(closes, F.lit(-1)).otherwise(depth).alias("depth"), found.alias("found"))
+    def closed(a: Column, top: Column) -> Column:
+        depth = F.greatest(a["depth"] - 1, F.lit(0))
+        ends = top.isNotNull() & (top["depth"] == depth) & (a["depth"] > 0)
+        found = F.array_append(F.filter(a["found"], lambda f: f["first"] < top["first"]), F.struct(top["first"].alias("first"), a["k"].alias("last")))
+        rest = F.slice(a["open"], F.lit(1), F.greatest(F.size(a["open"]) - 1, F.lit(0)))
+        return F.struct((a["k"] + 1).alias("k"), depth.alias("depth"), F.when(ends, rest).otherwise(a["open"]).alias("open"), F.when(ends, found).otherwise(a["found"]).alias("found"))
 
-    return F.aggregate(pieces, start, step, lambda a: a["found"])
+    return F.aggregate(pieces, start, step, lambda a: F.struct(a["found"].alias("found"), F.transform(a["open"], lambda o: o["first"]).alias("open")))
 
 
 def _piece(pieces: Column, first: Column, last: Column) -> Column:
-    joined = F.array_join(F.slice(pieces, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
-    return F.replace(F.translate(joined, "\u0001\u0002", "\u0001{"), F.lit("\u0001"), F.lit(""))
+    return F.array_join(F.slice(pieces, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+
+
+def _simple(text: Column, head: str, matches: Column) -> Column:
+    """Whether matches, those of the pattern with braces of DEPTH, are all groups that head opens: then none is deeper, holds another or stays open."""
+    return F.size(matches) == F.regexp_count(text, F.lit(rf"{head}\{{"))
 
 
 def groups(tex: Column | str, head: str) -> Column:
-    """Every head with the brace group that follows, in order, whatever its depth; none within another."""
+    """Every head with the brace group that follows, in order, whatever its depth; none within another. Those that never close are none."""
     text = F.col(tex) if isinstance(tex, str) else tex
-    deep = lambda t: _let(_pieces(t, head), lambda p: F.transform(_found(p), lambda s: _piece(p, s["first"], s["last"])))
-    return _let(text, lambda t: F.when(nested_deeper(t), deep(t)).otherwise(every(t, head + braces())))
+
+    def deep(t: Column) -> Column:
+        return _let(_cut(t, head), lambda p: F.transform(_walked(p, head)["found"], lambda s: _piece(p, s["first"], s["last"])))
+
+    return _let(text, lambda t: _let(every(t, head + braces()), lambda m: F.when(_simple(t, head, m), m).otherwise(deep(t))))
+
+
+def unclosed(tex: Column | str, head: str) -> Column:
+    """Offsets (from 0) of the heads whose group never closes."""
+    text = F.col(tex) if isinstance(tex, str) else tex
+
+    def deep(t: Column) -> Column:
+        return _let(_cut(t, head), lambda p: F.transform(_walked(p, head)["open"], lambda k: F.length(_piece(p, F.lit(0), k - 1))))
+
+    return _let(text, lambda t: F.when(_simple(t, head, every(t, head + braces())), F.array().cast("array<int>")).otherwise(deep(t)))
 
 
 def with_groups(tex: Column, head: str, before: str, after: str) -> Column:
@@ -110,19 +117,16 @@ def with_groups(tex: Column, head: str, before: str, after: str) -> Column:
         return F.regexp_replace(text, rf"({head}\{{)({inner})\}}", rf"$1{before}$2{after}}}".replace("\\", "\\\\"))
 
     def deep(pieces: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
         def step(a: Column, s: Column) -> Column:
-            return _let(_piece(pieces, s["first"], s["last"]), lambda whole: wrapped(a, s, whole))
-
-        def wrapped(a: Column, s: Column, whole: Column) -> Column:
-            opened = F.length(F.regexp_extract(whole, rf"\A{head}\{{", 0))
-            new = F.concat(F.substring(whole, F.lit(1), opened), F.lit(before), F.substring(whole, opened + 1, F.length(whole) - opened - 1), F.lit(after + "}"))
-            return F.struct((s["last"] + 1).alias("at"), F.concat(a["out"], _piece(pieces, a["at"], s["first"] - 1), new).alias("out"))
+            opening = F.get(pieces, s["first"])
+            new = F.array(_piece(pieces, a["at"], s["first"] - 1), opening, F.lit(before), _piece(pieces, s["first"] + 1, s["last"] - 1), F.lit(after + "}"))
+            return F.struct((s["last"] + 1).alias("at"), F.concat(a["out"], new).alias("out"))
 
-        return F.aggregate(_found(pieces), start, step, lambda a: F.concat(a["out"], _piece(pieces, a["at"], F.size(pieces))))
+        return F.aggregate(_walked(pieces, head)["found"], start, step, lambda a: F.concat(F.array_join(a["out"], ""), _piece(pieces, a["at"], F.size(pieces))))
 
-    return _let(tex, lambda t: F.when(nested_deeper(t), _let(_pieces(t, head), deep)).otherwise(plain(t)))
+    return _let(tex, lambda t: F.when(_simple(t, head, every(t, head + braces())), plain(t)).otherwise(_let(_cut(t, head), deep)))
 
 
 def _gone(tex, pattern: str, by: str = "") -> Column:
@@ -182,7 +186,7 @@ def replace_nth(text: Column, old: str, new, n) -> Column:
 
 def paragraphs(text: Column) -> Column:
     r"""Splits on \n\n and keeps the separators; empty pieces go."""
-    return F.filter(F.split(_gone(text, r"\n\n", "\u0001$0\u0001"), "\u0001", -1), lambda x: x != "")
+    return F.filter(F.flatten(F.transform(F.split(text, "\n\n", -1), lambda x, i: F.when(i > 0, F.array(F.lit("\n\n"), x)).otherwise(F.array(x)))), lambda x: x != "")
 
 
 def is_text_eq(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import tex as T
 from ..schema import CATEGORIES, LAYOUT_KEYS
@@ -106,36 +106,37 @@ def rendered(docs: DataFrame) -> DataFrame:
 _ORDER = rf"\\(?:text)?color\{{({'|'.join(sorted((n for _, n, _ in CATEGORIES), key=len, reverse=True))})_color\}}"
 
 
-def _ordered(docs: DataFrame) -> DataFrame:
-    """doc_id, tex, seq, category, idx: a row for each coloured mention; idx counts those of its category before it, within the row's own list."""
-    listed = docs.select("doc_id", "tex", T.every("tex", _ORDER, 1).alias("_all"))
-    names = [n for _, n, _ in CATEGORIES]
-    # one walk that counts each category
-    start = F.struct(F.array(*[F.lit(0)] * len(names)).alias("n"), F.array().cast("array<int>").alias("idx"))
+def _marked(docs: DataFrame) -> DataFrame:
+    """doc_id, tex, seq, category, mark, and lengths of all gaps and commands: a row for each colour command of a mention."""
+    gaps = F.transform(F.split("tex", _ORDER, -1), F.length)
+    listed = docs.select("doc_id", "tex", gaps.alias("gaps"), T.every("tex", _ORDER, 0).alias("marks"), T.every("tex", _ORDER, 1).alias("_all"))
+    rows = listed.select("doc_id", "tex", "gaps", F.transform("marks", F.length).alias("lengths"), F.col("_all"), F.posexplode("marks").alias("seq", "mark"))
+    return rows.select("doc_id", "tex", "gaps", "lengths", "_all", F.col("seq").cast("long").alias("seq"), F.get("_all", F.col("seq")).alias("category"), "mark")
 
-    def step(a: Column, x: Column) -> Column:
-        here = [x == n for n in names]
-        counts = F.array(*(F.get(a["n"], F.lit(k)) + h.cast("int") for k, h in enumerate(here)))
-        return F.struct(counts.alias("n"), F.array_append(a["idx"], F.get(a["n"], F.array_position(F.array(*map(F.lit, names)), x).cast("int") - 1)).alias("idx"))
 
-    listed = listed.withColumn("_idx", F.aggregate("_all", start, step, lambda a: a["idx"]))
-    rows = listed.select("doc_id", "tex", "_idx", F.posexplode("_all").alias("seq", "category"))
-    idx = F.get("_idx", F.col("seq"))
-    return rows.select("doc_id", "tex", F.col("seq").cast("long").alias("seq"), "category", idx.cast("long").alias("idx"))
+def mention_order(docs: DataFrame) -> DataFrame:
+    """doc_id, seq, category, idx: coloured mentions in document order; idx counts those of its category before it. Definitions are none."""
+    rows = docs.select("doc_id", F.posexplode(T.every("tex", _ORDER, 1)).alias("seq", "category")).withColumn("seq", F.col("seq").cast("long"))
+    before = Window.partitionBy("doc_id", "category").orderBy("seq")
+    return rows.withColumn("idx", (F.row_number().over(before) - 1).cast("long"))
 
 
-def mention_order(docs: DataFrame) -> DataFrame:
-    """doc_id, seq, category, idx: coloured mentions in document order; definitions are none."""
-    return _ordered(docs).select("doc_id", "seq", "category", "idx")
+def patches(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, seq, category, idx, start, length, new: what each variant changes in its document, at an offset from 0.
+
+    A document's text is not copied unless `keep` names tex. The places before a mention are added up for its row alone, so a
+    row costs no more than the text that a variant holds.
+    """
+    seq = F.col("seq").cast("int")
+    sums = lambda c, n: F.aggregate(F.slice(c, F.lit(1), n), F.lit(0), lambda a, x: a + x)
+    start = sums("gaps", seq + 1) + sums("lengths", seq)
+    idx = F.size(F.filter(F.slice("_all", F.lit(1), seq), lambda x: x == F.col("category")))
+    new = F.regexp_replace("mark", r"\{.*", "{black}")
+    return _marked(docs).select("doc_id", *keep, "seq", "category", idx.cast("long").alias("idx"), start.cast("long").alias("start"), F.length("mark").cast("long").alias("length"), new.alias("new"))
 
 
 def variants(docs: DataFrame) -> DataFrame:
     """doc_id, seq, category, name, tex: for each mention the document with that mention in black. Nothing is shuffled."""
-    colour = F.concat(F.lit("color{"), F.col("category"), F.lit("_color}"))
-    parts = F.split(F.col("tex"), F.concat(F.lit(r"(?<=\\|\\text)\Q"), colour, F.lit(r"\E")), -1)
-    n = (F.col("idx") + 1).cast("int")
-    text = F.concat(
-        F.aggregate(F.slice("_p", F.lit(2), n - 1), F.get("_p", F.lit(0)), lambda a, x: F.concat(a, colour, x)), F.lit("color{black}"),
-        F.aggregate(F.slice("_p", n + 2, F.size("_p")), F.get("_p", n), lambda a, x: F.concat(a, colour, x)))
     name = F.format_string("paper_block__%05d_%s_%05d", F.col("seq"), F.col("category"), F.col("idx"))
-    return _ordered(docs).withColumn("_p", parts).select("doc_id", "seq", "category", name.alias("name"), text.alias("tex"))
+    text = T.spliced(F.col("tex"), F.col("start"), F.col("start") + F.col("length"), F.col("new"))
+    return patches(docs, ("tex",)).select("doc_id", "seq", "category", name.alias("name"), text.alias("tex"))

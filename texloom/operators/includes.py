@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..sources.rounds import cut
+from ..sources.rounds import new_folder
 
 PATTERN = r"\\(?:subimport|import)\*?\{[^}]*\}\{[^}]*\}|\\(?:include|input)\{[^}]*\}"
 
@@ -34,31 +34,33 @@ def resolved(files: DataFrame, roots: DataFrame) -> DataFrame:
     """doc_id, path, tex of roots (doc_id, path) with includes in place, however deep. Those that name no file stay, and so do
     those that name a file they stand in, at any distance: a cycle is entered once.
 
-    A round joins the open includes with the files that they name; texts that are in place are not touched again. Runs jobs.
+    A round joins the open includes, and nothing else, with the files that they name. What a round finds is written once: texts that
+    are in place go to one table and are not touched again, and the next round reads what is still open. Runs jobs.
     """
     known = _pieces(files)
     row = ["doc_id", "path", "key", "text", "command", "target", "above"]
 
     def opened(rows: DataFrame) -> DataFrame:
         """A row for each piece: key is its place, above the files that it stands in."""
-        return rows.select("doc_id", "path", "key", "above", F.posexplode("pieces").alias("k", "p")).select("doc_id", "path", F.array_append("key", F.col("k")).alias("key"), "p.text", "p.command", "p.target", "above")
+        return rows.select("doc_id", "path", "key", "above", F.posexplode("pieces").alias("k", "p")).select("doc_id", "path", F.array_append("key", F.col("k")).alias("key"), "p.text", "p.command", "p.target", "above").select(row)
 
+    named = known.select("doc_id", F.col("path").alias("target"), "pieces")
     first = roots.select("doc_id", "path").distinct().join(known, ["doc_id", "path"])
-    state = opened(first.select("doc_id", "path", F.array().cast("array<int>").alias("key"), F.array("path").alias("above"), "pieces")).select(row)
-    done = None
+    inner = opened(first.select("doc_id", "path", F.array().cast("array<int>").alias("key"), F.array("path").alias("above"), "pieces"))
+    spark, folder, rounds = files.sparkSession, new_folder(files.sparkSession), 0
     while True:
-        state = cut(state)
         # the text of a piece is in place; what its command names comes behind it
-        texts = state.select("doc_id", "path", F.array_append("key", F.lit(0)).alias("key"), "text")
-        named = known.select("doc_id", F.col("path").alias("target"), "pieces")
-        todo = state.where("command is not null").join(named, ["doc_id", "target"], "left")
-        todo = todo.withColumn("open", F.col("pieces").isNotNull() & ~F.array_contains("above", F.col("target")))
-        stays = todo.where("not open").select("doc_id", "path", F.array_append("key", F.lit(1)).alias("key"), F.col("command").alias("text"))
-        texts = texts.union(stays)
-        done = texts if done is None else done.union(texts)
-        inner = todo.where("open")
-        if inner.isEmpty():
+        joined = inner.join(named, ["doc_id", "target"], "left")
+        joined = joined.withColumn("open", F.col("command").isNotNull() & F.col("pieces").isNotNull() & ~F.array_contains("above", F.col("target")))
+        kept = joined.select("doc_id", "path", "key", "text", F.when(~F.col("open"), F.col("command")).alias("stays"), F.when(F.col("open"), F.struct(F.array_append("above", F.col("target")).alias("above"), "pieces")).alias("next"), F.col("open").alias("goes_on"))
+        kept.write.parquet(f"{folder}/round={rounds}")
+        state = spark.read.schema(kept.schema).parquet(f"{folder}/round={rounds}")
+        rounds += 1
+        todo = state.where("goes_on")
+        if todo.isEmpty():
             break
-        state = opened(inner.select("doc_id", "path", F.array_append("key", F.lit(1)).alias("key"), F.array_append("above", F.col("target")).alias("above"), "pieces")).select(row)
-    ordered = F.array_sort(F.collect_list(F.struct("key", F.coalesce("text", F.lit("")).alias("t"))))
-    return done.groupBy("doc_id", "path").agg(F.array_join(F.transform(ordered, lambda x: x["t"]), "").alias("tex"))
+        inner = opened(todo.select("doc_id", "path", F.array_append("key", F.lit(1)).alias("key"), "next.above", "next.pieces"))
+    pieces = spark.read.schema(kept.schema).parquet(*(f"{folder}/round={k}" for k in range(rounds)))
+    both = F.array(F.struct(F.array_append("key", F.lit(0)).alias("key"), F.coalesce("text", F.lit("")).alias("t")), F.struct(F.array_append("key", F.lit(1)).alias("key"), F.col("stays").alias("t")))
+    done = pieces.select("doc_id", "path", F.explode(both).alias("x")).where("x.t is not null")
+    return done.groupBy("doc_id", "path").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), "").alias("tex"))
