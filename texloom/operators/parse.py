@@ -228,6 +228,10 @@ class Parser:
                 node.body.append(Node("text", "", label.stop, stop, begin=self.tex[label.stop : stop]))
             while self.peek()[0] < node.stop:
                 self.at += 1
+            # a percent sign in the body is no comment: what its token holds of the text behind the end is cut anew
+            last, _, text = self.toks[self.at - 1]
+            if last + len(text) > node.stop:
+                self.toks[self.at : self.at] = [(node.stop + k, *t) for k, *t in tokens(self.tex[node.stop : last + len(text)])]
             return node
         spare = self.optional(node, -1, math)
         self.required(node, -1, math)

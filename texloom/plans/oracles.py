@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from .. import fixtures, schema
 from ..functions import tex as T
-from ..operators import colour
+from ..operators import colour, parse
 
 _SAFE_DOCS = f"(select doc_id, source, regexp_replace(text, '{fixtures.SPECIAL}', '\\\\\\1', 'g') as text from documents) documents"
 TEX, MORE, LOGS, BLOCKS = fixtures.TEX_DOCS, fixtures.MORE_DOCS, fixtures.LOGS, fixtures.blocks_sql("duckdb")
@@ -187,6 +189,17 @@ n as (select *, row_number() over (partition by doc_id order by kind, seq nulls
 select doc_id, block_id, category, page_index, x0, y0, x1, y1, case when parent_fragment is not null then block_id - 1 end as parent_block, source_code from n"""
 _PLACES = "list_transform(range(1, len(m) + 1), lambda k: list_sum(list_transform(range(1, k + 1), lambda j: length(g[j]))) + coalesce(list_sum(list_transform(range(1, k), lambda j: length(m[j]))), 0))"
 
+#: Tokens without look-ahead: a run of text is taken whole, and the white space that it begins with is counted apart.
+_DELIM = "|".join(re.escape(x) for x in parse.DELIMITERS)
+_TOKEN = r"\\[^A-Za-z\[\]()\x00\x7f]|%[^\n]*|\$\$|\$|\\[(\[)\]]|[\x00\x7f]+|\\(?:" + "|".join(parse.SIZES) + rf")(?:{_DELIM})|\\[A-Za-z]+\*?|\\|[{{}}\[\]]|[^\\{{}}$\[\]%\x00\x7f]+"
+_CATEGORY = "case t " + " ".join(f"when '{m}' then '{n}'" for m, n in [("$$", "DisplayMath"), ("$", "Math"), ("{", "GroupBegin"), ("}", "GroupEnd"), ("[", "BracketBegin"), ("]", "BracketEnd"), (r"\(", "MathBegin"), (r"\[", "MathBegin"), (r"\)", "MathEnd"), (r"\]", "MathEnd"), ("\\", "Escape")]) + rf" else case when t[1] = '%' then 'Comment' when regexp_matches(t, '^[\x00\x7f]') then 'Ignored' when regexp_full_match(t, '\\(?:{'|'.join(parse.SIZES)})(?:{_DELIM})') then 'Punctuation' when regexp_matches(t, '^\\[A-Za-z]') then 'Command' when t[1] = '\' then 'Escaped' else 'Text' end end"
+_TOKENS = rf"""with d as ({SAFE}), l as (select doc_id, regexp_extract_all(tex, {_re(_TOKEN)}) as l from d), r as (select doc_id, unnest(l) as t, unnest(list_append(l[2:], null)) as nx from l),
+c as (select t, nx, {_CATEGORY} as category, regexp_extract(t, '^[ \t\n]*') as w from r),
+s as (select *, length(w) - length(replace(w, chr(10), '')) as lines, w = t and (nx is null or not regexp_matches(nx, '^[\x00\x7f]')) as whole from c where category = 'Text'),
+p as (select case when whole then greatest(1, lines) else greatest(0, lines - 1) end as n, case when whole then length(t) when lines > 1 then length(w) - strpos(reverse(w), chr(10)) else 0 end as chars, whole, length(t) as size from s),
+a as (select category, 1 as n, length(t) as chars from c where category <> 'Text' union all select 'Spacer', n, chars from p where n > 0 union all select 'Text', 1, size - chars from p where not whole)
+select category, cast(sum(n) as bigint) as n, cast(sum(chars) as bigint) as chars from a group by category"""
+
 _FILES = fixtures.PROJECT_FILES
 #: kind, pattern, extensions by rank
 _NAMED = [("include", r"\\(?:input|include)\{([^}]*)\}", ["", ".tex"]), ("graphics", r"\\includegraphics(?:\[[^\]]*\])?\{([^}]*)\}", ["", ".pdf", ".png", ".jpg", ".jpeg", ".eps", ".ps"]), ("bibliography", r"\\bibliography\{([^}]*)\}", ["", ".bib"])]
@@ -317,4 +330,14 @@ select q.doc_id, num_pages, num_columns, n_categories, n_pages, num_blocks, area
     "q19_resolved_graphics": f"select doc_id, replace(replace(tex, concat('{{h', doc_id % 4, '}}'), concat('{{h', doc_id % 4, '.png}}')), concat('{{h', doc_id % 5, '.pdf}}'), concat('{{h', doc_id % 5, '.png}}')) as tex from ({MORE}) t",
     "q50_dependency_edges": f"with {_EDGES} select * from edges",
     "q50_dependencies": f"with recursive {_EDGES}, reach(doc_id, path) as (select doc_id, path from files where path = 'f0.tex' union select e.doc_id, e.target from reach r join edges e on e.doc_id = r.doc_id and e.path = r.path) select * from reach",
+    "q36_tokens_by_category": _TOKENS,
+    "q51_native_tokens": _TOKENS,
+    "q51_token_places": rf"""with d as ({MORE}), m as (select doc_id, string_split_regex(tex, '\\[A-Za-z]+[*]?|\\[^A-Za-z]|%[^\n]*') as gaps, regexp_extract_all(tex, '\\[A-Za-z]+[*]?|\\[^A-Za-z]|%[^\n]*') as hits from d),
+u as (select doc_id, gaps, hits, unnest(range(len(hits))) as k from m), p as (select doc_id, hits[k + 1] as t, list_sum(list_transform(gaps[1 : k + 1], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1 : k], lambda x: length(x))), 0) as pos from u)
+select doc_id, cast(pos as integer) as char_pos, t as there, t as text from p where regexp_matches(t, '^\\[A-Za-z]')""",
+    "q51_environments": rf"""with d as ({SAFE}), n as (select doc_id, tex, unnest(['document', 'abstract', 'equation', 'table', 'tabular', 'figure', 'comment', 'itemize', 'verbatim']) as name from d)
+select doc_id, name, cast(strpos(tex, concat('\begin{{', name, '}}')) - 1 as integer) as char_pos, cast(strpos(tex, concat('\end{{', name, '}}')) + length(name) + 5 as integer) as char_end, case when name = 'document' then 1 when name = 'tabular' then 3 else 2 end as level, cast(null as varchar) as error from n where strpos(tex, concat('\begin{{', name, '}}')) > 0""",
+    "q51_brackets": rf"""with d as ({SAFE}), m as (select doc_id, string_split_regex(tex, '\\[\s\S]|\{{[^{{}}\\]*\}}|%[^\n]*') as gaps, regexp_extract_all(tex, '\\[\s\S]|\{{[^{{}}\\]*\}}|%[^\n]*') as hits from d),
+u as (select doc_id, gaps, hits, unnest(range(len(hits))) as k from m), p as (select doc_id, hits[k + 1] as t, list_sum(list_transform(gaps[1 : k + 1], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1 : k], lambda x: length(x))), 0) as pos from u)
+select doc_id, cast(pos as integer) as char_pos, substr(t, 2, length(t) - 2) as inside from p where t[1] = '{{'""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixtures, schema
 from ..functions import args, tex as T
-from ..operators import clean, closure, colour, export, extract, includes, layout, order, parse, quality, raster, records, refs, segments, tree
+from ..operators import clean, closure, colour, export, extract, includes, layout, lexer, order, parse, quality, raster, records, refs, segments, tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -754,3 +754,29 @@ def q50_dependencies(spark, d):
 @query
 def q50_dependency_edges(spark, d):
     return closure.dependency_edges(fixtures.project_files(spark, d))
+
+
+@query
+def q51_native_tokens(spark, d):
+    return lexer.lex(_safe(spark, d)).groupBy("category").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@query
+def q51_token_places(spark, d):
+    """Commands of whole documents where they stand."""
+    docs = fixtures.more_docs(spark, d)
+    return lexer.lex(docs).where("category = 'Command'").join(docs, "doc_id").select("doc_id", "char_pos", F.substring("tex", F.col("char_pos") + 1, F.length("text")).alias("there"), "text")
+
+
+@query
+def q51_environments(spark, d):
+    return lexer.environments(_safe(spark, d)).select("doc_id", "name", "char_pos", "char_end", "level", "error")
+
+
+@query
+def q51_brackets(spark, d):
+    """Braces that close, by what stands in them, where nothing is nested."""
+    docs = _safe(spark, d)
+    found = lexer.brackets(lexer.lex(docs)).where("kind = 'group'").join(docs, "doc_id")
+    inside = F.substring("tex", F.col("char_pos") + 2, F.col("char_end") - F.col("char_pos") - 2)
+    return found.select("doc_id", "char_pos", inside.alias("inside")).where(~F.col("inside").rlike(r"[{}\\]"))
