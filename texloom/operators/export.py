@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
 from ..schema import BOX_COLOURS, CATEGORIES
+from ..sources.folders import committed, register
+from ..sources.rounds import cut
 from .quality import category_quality, page_quality, report_header
+from .records import successful
 
 
 def _category_id() -> Column:
@@ -130,33 +130,20 @@ def paper_files(papers: DataFrame, documents: dict[str, DataFrame], images: Data
     return reduce(DataFrame.unionByName, parts)
 
 
-def write_files(found: DataFrame, folder: str) -> DataFrame:
-    """Writes found (path, content) as files below a folder's URI; path, status of each: written, or kept where a file is there already.
+def export_papers(statuses: DataFrame, ids: DataFrame, documents: dict[str, DataFrame], folder: str, images: DataFrame | None = None) -> int:
+    """Writes the files of each successful paper to folder/discipline/paper_id, and returns how many papers are new in it.
 
-    A file gets its name only when it is whole, so a task that runs again, or a second export, changes nothing.
+    statuses: path (.../discipline/paper_id), status; ids: path, doc_id; documents, images: as paper_files takes them. Papers that an
+    earlier run has committed stay as they are; those of a run that failed are written again. Runs jobs.
     """
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        system, base = fs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder.removeprefix("file:"))
-        for batch in batches:
-            said = []
-            for k in range(batch.num_rows):
-                name = batch.column(0)[k].as_py()
-                target = f"{base}/{name}"
-                if system.get_file_info(target).type != fs.FileType.NotFound:
-                    said.append("kept")
-                    continue
-                system.create_dir(target.rsplit("/", 1)[0], recursive=True)
-                part = f"{target}.{uuid.uuid4().hex[:12]}.part"
-                with system.open_output_stream(part) as out:
-                    out.write(batch.column(1)[k].as_py() or b"")
-                system.move(part, target)
-                said.append("written")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string())], ["path", "status"])
-
-    return found.select("path", "content").mapInArrow(write, "path string, status string")
+    spark = statuses.sparkSession
+    register(spark)
+    parts = F.split(F.regexp_replace("path", "/+$", ""), "/")
+    papers = successful(statuses).distinct().join(ids.select("path", "doc_id"), "path").select("doc_id", F.element_at(parts, -2).alias("discipline"), F.element_at(parts, -1).alias("paper_id"))
+    done = committed(spark, folder).select(F.regexp_replace("path", "/[^/]*$", "").alias("_folder")).distinct()
+    new = cut(papers.join(done, F.concat_ws("/", "discipline", "paper_id") == F.col("_folder"), "left_anti"), "papers")
+    paper_files(new, documents, images).write.format("paper_folder").mode("append").save(folder)
+    return new.count()
 
 
 def json_documents(df: DataFrame, path: str, keys: list[str]) -> None:
@@ -181,7 +168,7 @@ def _append(df: DataFrame, path: str, keys: list[str], form: str) -> None:
     folders = keys if form == "json" else keys[:1]
     if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         there = spark.read.schema(df.schema).format(form).load(path)
-        mine = [r[0] for r in df.select(folders[0]).distinct().collect()]  # a folder each
         # only the keys of the folders that df writes to are read
-        df = df.join(there.where(F.col(folders[0]).isin(mine)).select(*keys).distinct(), keys, "left_anti")
+        there = there.join(df.select(folders[0]).distinct(), folders[0], "left_semi")
+        df = df.join(there.select(*keys).distinct(), keys, "left_anti")
     df.write.mode("append").partitionBy(*folders).format(form).save(path)
