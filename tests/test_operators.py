@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from texloom import fixtures, schema
-from texloom.operators import export, includes, layout, order, raster, records, refs
+from texloom.operators import clean, export, extract, includes, layout, order, raster, records, refs
 from texloom.sources import files, services
 from texloom.streaming import ingest
 
@@ -175,3 +175,31 @@ def test_includes_of_any_depth_and_in_cycles(spark):
     assert got[1, "f0.tex"] == " ".join(map(str, range(15))) + " end" and got[4, "a.tex"] == "no includes"
     assert got[2, "a.tex"] == "AB[\\include{a}]B[\\include{a}]\\input{none}Z" and got[2, "b.tex"] == "B[A\\input{b}\\input{b}\\input{none}Z]"
     assert (5, "gone.tex") not in got
+
+
+def test_errors_are_rows_and_counted(spark):
+    docs = spark.createDataFrame([(1, "\\caption{fine}"), (2, "a \\caption{never closed"), (3, "\\footnote{x \\title{y"), (4, None), (5, "\\begin{abstract}\\end{abstract}\\begin{abstract}\\end{abstract}")], "doc_id bigint, tex string")
+    checked, seen = extract.with_errors(docs)
+    assert {r.doc_id: r.errors for r in checked.collect()} == {1: [], 2: ["Caption at 2: not closed"], 3: ["PaperTitle at 12: not closed", "Footnote at 0: not closed"], 4: [], 5: ["Abstract: several"]}
+    assert seen.get == {"documents": 5, "failed": 3}
+    assert {r.doc_id: (r.status, r.error) for r in extract.document_statuses(docs).collect()} == {1: ("success", None), 2: ("failed", "Caption at 2: not closed"), 3: ("failed", "Footnote at 0: not closed"), 4: ("success", None), 5: ("failed", "Abstract: several")}
+
+
+def test_a_discipline_from_files_to_tables(spark, tmp_path):
+    text = "\\begin{document}\\caption{%s}\\end{document}"
+    rows = [("/d/cs/p1/main.tex", text % "one"), ("/d/cs/p2/main.tex", "\\begin{document}\\caption{open"), ("/d/cs/p1/notes.txt", "x"), ("/d/math/p3/main.tex", text % "three")]
+    made = spark.createDataFrame([(p, t.encode()) for p, t in rows], "path string, content binary")
+    target = str(tmp_path / "out")
+    said = {r.path: (r.status, r.error) for r in clean.process_discipline(made, 2, target, "cs").collect()}
+    assert said == {"/d/cs/p1/main.tex": ("success", None), "/d/cs/p2/main.tex": ("failed", "Caption at 16: not closed")}
+    assert clean.process_discipline(made, 2, target, "cs").count() == 0
+    assert [r.path for r in clean.process_discipline(made, 2, target).collect()] == ["/d/math/p3/main.tex"]
+    found = spark.read.parquet(f"{target}/mentions")
+    assert sorted(r.source_code for r in found.collect()) == ["\\caption{one}", "\\caption{three}"] and spark.read.parquet(f"{target}/statuses").count() == 3
+
+
+def test_dictionaries_are_tables(spark):
+    docs = spark.createDataFrame([(1, "\\begin{falign*}a\\end{falign*} \\begin{lemma}x\\begin{proof}y\\end{proof}\\end{lemma}\\begin{proof}z\\end{proof}\\begin{open}")], "doc_id bigint, tex string")
+    dictionary = spark.createDataFrame([("lemma", "Theorem", 2), ("proof", "Theorem", 3), ("proof", "Proof", 1), ("falign*", "Equation", 9), (None, "x", 0)], "name string, category string, ord int")
+    assert sorted((r.category, r.idx, r.source_code) for r in extract.by_dictionary(docs, dictionary).collect()) == [("Equation", 0, "\\begin{falign*}a\\end{falign*}"), ("Proof", 0, "\\begin{proof}z\\end{proof}"), ("Theorem", 0, "\\begin{lemma}x\\begin{proof}y\\end{proof}\\end{lemma}")]
+    assert "falign*" in schema.MATH_ENVS and "flalign*" in schema.MATH_ENVS

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import tex as T
+from ..sources.rounds import cut
 from . import includes, records
-from .extract import mentions
+from .export import export
+from .extract import document_statuses, mentions
 from .order import reading_order
 from .quality import category_quality, page_quality
 from .refs import float_and_cross_references
@@ -34,3 +36,23 @@ def annotated(docs: DataFrame, blocks: DataFrame) -> dict[str, DataFrame]:
     found = mentions(clean_documents(docs))
     orders = reading_order(blocks).unionByName(float_and_cross_references(blocks, docs))
     return {"mentions": found, "orders": orders, "pages": page_quality(blocks), "categories": category_quality(blocks, found)}
+
+
+def process_discipline(files: DataFrame, root_depth: int, target: str, discipline: str | None = None) -> DataFrame:
+    """Finds the main documents among files (path, content) of a root of root_depth parts, cleans them and adds their mentions and statuses to target; returns the statuses.
+
+    Documents whose status target has already are left out, so a run that is repeated, or goes on after a failure, adds each once. A
+    document that cannot be cleaned or extracted is a row of status failed. Runs jobs.
+    """
+    spark = files.sparkSession
+    found = records.main_documents(files, root_depth)
+    found = (found if discipline is None else found.where(F.col("discipline") == discipline)).select(F.xxhash64("path").alias("doc_id"), "path", "discipline", "tex")
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/statuses")
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        found = records.unprocessed(found, spark.read.parquet(f"{target}/statuses"), "doc_id")
+    docs = cut(found, "discipline")
+    cleaned = clean_documents(docs)
+    export(mentions(cleaned).join(docs.select("doc_id", "discipline"), "doc_id"), f"{target}/mentions", ["discipline", "doc_id"])
+    said = cut(document_statuses(cleaned).join(docs.select("doc_id", "discipline", "path"), "doc_id").select("discipline", "doc_id", "path", "status", "error"), "statuses")
+    export(said, f"{target}/statuses", ["discipline", "doc_id"])
+    return said

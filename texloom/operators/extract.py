@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions import tex as T
+from .lexer import environments
+from .records import statuses
 
 
 def listed(docs: DataFrame, values: Column, *, name: str = "source_code", kept: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -91,3 +93,48 @@ def mention_map(mentioned: DataFrame) -> DataFrame:
     """doc_id, texts: category -> its mentions in order."""
     by = mentioned.groupBy("doc_id", "category").agg(F.array_sort(F.collect_list(F.struct("idx", "source_code"))).alias("l"))
     return by.groupBy("doc_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", F.transform("l", lambda x: x["source_code"]))))).alias("texts"))
+
+
+#: category -> heads whose brace group must close.
+HEADS = {"Caption": [T.CAPTION_HEAD], "PaperTitle": [T.TITLE_HEAD], "Footnote": list(T.FOOTNOTE_HEADS.values())}
+
+
+def _errors() -> Column:
+    """What keeps mentions of tex from being found, as texts."""
+
+    def said(category: str, head: str) -> Column:
+        return F.transform(T.unclosed("tex", head), lambda k: F.format_string(f"{category} at %d: not closed", k))
+
+    parts = [said(category, head) for category, heads in HEADS.items() for head in heads]
+    return F.concat(*parts, F.when(F.size(T.every("tex", T.ABSTRACT)) > 1, F.array(F.lit("Abstract: several"))).otherwise(F.array().cast("array<string>")))
+
+
+def with_errors(docs: DataFrame) -> tuple[DataFrame, Observation]:
+    """docs with errors, an array of texts, and an observation of how many documents pass (documents) and how many have some (failed); it is there after any action on the table."""
+    seen = Observation("extraction")
+    return docs.withColumn("errors", F.coalesce(_errors(), F.array().cast("array<string>"))).observe(seen, F.count(F.lit(1)).alias("documents"), F.count_if(F.size("errors") > 0).alias("failed")), seen
+
+
+def failures(docs: DataFrame) -> DataFrame:
+    """doc_id, error: a row for each head that never closes, and for documents of several abstracts."""
+    return docs.select("doc_id", F.explode(_errors()).alias("error"))
+
+
+def document_statuses(docs: DataFrame) -> DataFrame:
+    """doc_id, status, error: one row for each document; failed ones have the first of their errors by name."""
+    return statuses(docs, docs, failures(docs), "doc_id")
+
+
+def by_dictionary(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """doc_id, category, idx, name, source_code of the environments that a dictionary names. dictionary: name, category, ord.
+
+    A name that stands for several categories stands for the first by ord. What a mention holds is no mention of its own;
+    idx counts those of a category. The dictionary is a table of the user's: it is joined by name, whatever its size.
+    """
+    first = dictionary.where("name is not null").groupBy("name").agg(F.min_by("category", F.struct("ord", "category")).alias("category"))
+    found = environments(docs).where("error is null").join(first, "name").select("doc_id", "category", "name", "char_pos", "char_end")
+    before = Window.partitionBy("doc_id").orderBy("char_pos").rowsBetween(Window.unboundedPreceding, -1)
+    outer = found.withColumn("_reach", F.coalesce(F.max("char_end").over(before), F.lit(0))).where("char_pos >= _reach").drop("_reach")
+    place = Window.partitionBy("doc_id", "category").orderBy("char_pos")
+    numbered = outer.withColumn("idx", (F.row_number().over(place) - 1).cast("long"))
+    return numbered.join(docs.select("doc_id", "tex"), "doc_id").select("doc_id", "category", "idx", "name", F.substring("tex", F.col("char_pos") + 1, F.col("char_end") - F.col("char_pos")).alias("source_code"))

@@ -200,6 +200,8 @@ p as (select case when whole then greatest(1, lines) else greatest(0, lines - 1)
 a as (select category, 1 as n, length(t) as chars from c where category <> 'Text' union all select 'Spacer', n, chars from p where n > 0 union all select 'Text', 1, size - chars from p where not whole)
 select category, cast(sum(n) as bigint) as n, cast(sum(chars) as bigint) as chars from a group by category"""
 
+_FAILURES = f"select doc_id, case doc_id % 5 when 0 then concat('Caption at ', length(tex), ': not closed') when 1 then concat('Footnote at ', length(tex), ': not closed') else 'Abstract: several' end as error from ({MORE}) t where doc_id % 5 < 3"
+
 _FILES = fixtures.PROJECT_FILES
 #: kind, pattern, extensions by rank
 _NAMED = [("include", r"\\(?:input|include)\{([^}]*)\}", ["", ".tex"]), ("graphics", r"\\includegraphics(?:\[[^\]]*\])?\{([^}]*)\}", ["", ".pdf", ".png", ".jpg", ".jpeg", ".eps", ".ps"]), ("bibliography", r"\\bibliography\{([^}]*)\}", ["", ".bib"])]
@@ -340,4 +342,12 @@ select doc_id, name, cast(strpos(tex, concat('\begin{{', name, '}}')) - 1 as int
     "q51_brackets": rf"""with d as ({SAFE}), m as (select doc_id, string_split_regex(tex, '\\[\s\S]|\{{[^{{}}\\]*\}}|%[^\n]*') as gaps, regexp_extract_all(tex, '\\[\s\S]|\{{[^{{}}\\]*\}}|%[^\n]*') as hits from d),
 u as (select doc_id, gaps, hits, unnest(range(len(hits))) as k from m), p as (select doc_id, hits[k + 1] as t, list_sum(list_transform(gaps[1 : k + 1], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1 : k], lambda x: length(x))), 0) as pos from u)
 select doc_id, cast(pos as integer) as char_pos, substr(t, 2, length(t) - 2) as inside from p where t[1] = '{{'""",
+    "q52_dictionary_mentions": rf"""with t as (select doc_id, lower(n_name) as nation, r_name as region, n_nationkey as k, text from (select doc_id, regexp_replace(text, '{fixtures.SPECIAL}', '\\\1', 'g') as text from documents) d join nation on n_nationkey = doc_id % 25 join region on n_regionkey = r_regionkey),
+f as (select r_name as france, n_nationkey % 3 = 0 as early from nation join region on n_regionkey = r_regionkey where n_name = 'FRANCE'),
+m as (select doc_id, 0 as place, nation as name, case when k % 3 = 0 then 'FIRST' else region end as category, concat('\begin{{', nation, '}}', text, '\begin{{algeria}}in\end{{algeria}}\end{{', nation, '}}') as source_code from t
+union all select doc_id, 1, 'france', case when early then 'FIRST' else france end, '\begin{{france}}b\end{{france}}' from t, f where doc_id % 2 = 0
+union all select doc_id, 2, nation, case when k % 3 = 0 then 'FIRST' else region end, concat('\begin{{', nation, '}}c\end{{', nation, '}}') from t)
+select doc_id, category, row_number() over (partition by doc_id, category order by place) - 1 as idx, name, source_code from m""",
+    "q53_failures": _FAILURES,
+    "q53_statuses": f"select doc_id, case when error is null then 'success' else 'failed' end as status, error from ({MORE}) t left join ({_FAILURES}) f using (doc_id)",
 }

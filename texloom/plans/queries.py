@@ -780,3 +780,39 @@ def q51_brackets(spark, d):
     found = lexer.brackets(lexer.lex(docs)).where("kind = 'group'").join(docs, "doc_id")
     inside = F.substring("tex", F.col("char_pos") + 2, F.col("char_end") - F.col("char_pos") - 2)
     return found.select("doc_id", "char_pos", inside.alias("inside")).where(~F.col("inside").rlike(r"[{}\\]"))
+
+
+def _named_environments(spark, d):
+    """Documents with an environment named like a nation, others in and behind it; and a dictionary made of the nations and their regions."""
+    tables = {n: spark.read.parquet(f"{d}/{n}.parquet") for n in ("nation", "region")}
+    i = F.col("doc_id")
+    named = fixtures.documents(spark, d).withColumn("text", F.regexp_replace("text", fixtures.SPECIAL, r"\\$1")).withColumn("n_nationkey", (i % 25).cast(tables["nation"].schema["n_nationkey"].dataType)).join(tables["nation"], "n_nationkey")
+    env = lambda name, body: F.concat(F.lit("\\begin{"), name, F.lit("}"), body, F.lit("\\end{"), name, F.lit("}"))
+    other = F.when(i % 2 == 0, "FRANCE").otherwise("unknown")
+    docs = named.select("doc_id", F.concat(env(F.lower("n_name"), F.concat("text", env(F.lit("algeria"), F.lit("in")))), F.lit(" "), env(F.lower(other), F.lit("b")), env(F.lower("n_name"), F.lit("c"))).alias("tex"))
+    rows = tables["nation"].join(tables["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    one = rows.select(F.lower("n_name").alias("name"), F.col("r_name").alias("category"), F.col("n_nationkey").alias("ord"))
+    return docs, one.unionByName(rows.where("n_nationkey % 3 = 0").select(F.lower("n_name").alias("name"), F.lit("FIRST").alias("category"), (F.col("n_nationkey") - 10).alias("ord")))
+
+
+@query
+def q52_dictionary_mentions(spark, d):
+    docs, dictionary = _named_environments(spark, d)
+    return extract.by_dictionary(docs, dictionary)
+
+
+def _broken(spark, d):
+    i = F.col("doc_id")
+    more = F.when(i % 5 == 0, "\\caption{never closed {x}").when(i % 5 == 1, "\\footnote[1]{open \\title{t}").when(i % 5 == 2, "\\begin{abstract}a\\end{abstract} \\begin{abstract}b\\end{abstract}").otherwise("")
+    return fixtures.more_docs(spark, d).select("doc_id", F.concat("tex", more).alias("tex"))
+
+
+@query
+def q53_statuses(spark, d):
+    """Each document with its status: some have a group that never closes, or two abstracts."""
+    return extract.document_statuses(_broken(spark, d))
+
+
+@query
+def q53_failures(spark, d):
+    return extract.failures(_broken(spark, d))

@@ -31,7 +31,7 @@ SORTABLE = ["PaperTitle", "Abstract", "Title", "Text", "Text-EQ", "Equation", "F
 ONE_COLUMN = ["Table", "Caption", "Algorithm", "PaperTitle", "Title"]
 
 # Environment and command names by what they stand for.
-MATH_ENVS = "equation equation* align align* $$ displaymath math gather gather* flalign flalign* multline multline* alignat alignat* split eqnarray eqnarray* subequations chem chem* ceqn ceqn*".split()
+MATH_ENVS = "equation equation* align align* $$ displaymath math gather gather* flalign flalign* falign* multline multline* alignat alignat* split eqnarray eqnarray* subequations chem chem* ceqn ceqn*".split()
 INLINE_MATH = ["$", "math"]
 TABLES_OF_CONTENTS = "tableofcontents listoffigures listoftables listofalgorithms lstlistoflistings".split()
 SECTIONS = "chapter chapter* subsubsection subsubsection* subsection subsection* section* section".split()
