@@ -350,4 +350,12 @@ union all select doc_id, 2, nation, case when k % 3 = 0 then 'FIRST' else region
 select doc_id, category, row_number() over (partition by doc_id, category order by place) - 1 as idx, name, source_code from m""",
     "q53_failures": _FAILURES,
     "q53_statuses": f"select doc_id, case when error is null then 'success' else 'failed' end as status, error from ({MORE}) t left join ({_FAILURES}) f using (doc_id)",
+    "q54_nested_edits": rf"""with s as ({SAFE}), m as (select doc_id, regexp_replace(tex, '(\\begin\{{equation\}})\\label\{{eq:[0-9]\}}', '\1') as tex from s),
+e as (select doc_id, replace(tex, '\end{{document}}', concat(case when doc_id % 5 <> 0 then concat('\label{{eq:', doc_id % 5, '}}') else '' end, '\end{{document}}')) as tex from m),
+i as (select doc_id, replace(tex, concat('\item a', chr(10), '\item b', chr(10)), concat('\item a', chr(10), '\item a', chr(10), '\item b', chr(10), '\item b', chr(10))) as tex from e),
+t as (select doc_id, regexp_replace(replace(tex, '\end{{table}}', '<t>\end{{table}}'), '(?s)\\begin\{{tabular\}}.*?\\end\{{tabular\}}', '[T]') as tex from i)
+select doc_id, regexp_replace(tex, '(?s)\\begin\{{abstract\}}.*?\\end\{{abstract\}}', '') as tex from t""",
+    "q54_edited_numbers": """with r as (select doc_id, unnest([{'name': 'document', 'depth': 0, 'n': 1}, {'name': 'itemize', 'depth': 1, 'n': 1}, {'name': 'item', 'depth': 2, 'n': 2}, {'name': 'label', 'depth': 1, 'n': 1}, {'name': 'equation', 'depth': 1, 'n': cast(doc_id % 5 <> 0 as int)},
+ {'name': 'table', 'depth': 1, 'n': cast(doc_id % 2 = 0 as int)}, {'name': 'tabular', 'depth': 2, 'n': cast(doc_id % 2 = 0 as int)}, {'name': 'caption', 'depth': 2, 'n': cast(doc_id % 2 = 0 as int)}, {'name': 'label', 'depth': 2, 'n': cast(doc_id % 5 <> 0 as int) + cast(doc_id % 2 = 0 as int)}]) as x from documents)
+select doc_id, x['name'] as name, cast(x['depth'] as bigint) as depth, cast(x['n'] as bigint) as n from r where x['n'] > 0""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixtures, schema
 from ..functions import args, tex as T
-from ..operators import clean, closure, colour, export, extract, includes, layout, lexer, order, parse, quality, raster, records, refs, segments, tree
+from ..operators import clean, closure, colour, edits, export, extract, includes, layout, lexer, order, parse, quality, raster, records, refs, segments, tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -816,3 +816,30 @@ def q53_statuses(spark, d):
 @query
 def q53_failures(spark, d):
     return extract.failures(_broken(spark, d))
+
+
+@query
+def q54_nested_edits(spark, d):
+    """Labels go out of their equations to the document's end, list items double, a mark goes into each table and each tabular in it is replaced, and abstracts go with all they hold."""
+    docs = _safe(spark, d)
+    nodes = parse.parse_nodes(docs)
+    ids = lambda *names: tree.find_all(nodes, list(names)).select("doc_id", F.col("pre").cast("bigint").alias("id"), "name", F.col("parent_pre").cast("bigint").alias("parent"))
+    document = ids("document").select("doc_id", F.col("id").alias("target"))
+    labels = ids("label").join(ids("equation").select("doc_id", F.col("id").alias("parent")), ["doc_id", "parent"])
+    moves = labels.join(document, "doc_id").select("doc_id", "id", "target", F.lit("last").alias("place"), F.lit(0).alias("ord"))
+    copies = ids("item").select("doc_id", "id", F.col("id").alias("target"), F.lit("after").alias("place"), F.lit(0).alias("ord"))
+    marks = ids("table").select("doc_id", "id", F.lit("last").alias("place"), F.lit(0).alias("ord"), F.lit("<t>").alias("text"))
+    return edits.source_of(edits.edited(edits.events_of(nodes, docs), [
+        lambda e: edits.moved(e, moves), lambda e: edits.copied(e, copies), lambda e: edits.inserted(e, marks),
+        lambda e: edits.replaced(e, ids("tabular").select("doc_id", "id", F.lit("[T]").alias("text"))), lambda e: edits.deleted(e, ids("abstract")),
+    ]))
+
+
+@query
+def q54_edited_numbers(spark, d):
+    """How many nodes are left at each depth when figures and footnotes have gone."""
+    docs = _safe(spark, d)
+    nodes = parse.parse_nodes(docs)
+    found = tree.find_all(nodes, ["figure", "footnote"]).select("doc_id", F.col("pre").cast("bigint").alias("id"))
+    events = edits.edited(edits.events_of(nodes, docs), [lambda e: edits.deleted(e, found)])
+    return edits.nodes_of(events).where(F.col("name").isin("document", "table", "tabular", "itemize", "item", "caption", "label", "equation")).groupBy("doc_id", "name", "depth").agg(F.count("*").alias("n"))
