@@ -74,3 +74,9 @@ def test_small_archives_have_a_dictionary_of_their_size():
     assert 256 <= size <= sum(map(len, rows)) // 8 and len(out.getvalue()) < sum(map(len, rows)) / 2
     out.seek(0)
     assert [int(h["WARC-Record-ID"][10:-1].split(":")[0]) for h, _, _ in warc.read_archive(out)] == list(range(40))
+
+
+def test_empty_ids_are_not_null_ones(spark):
+    df = spark.createDataFrame([("", "u", "a"), ("b", "u", "a"), (None, "u", "a"), ("c:d/", None, "x")], "page_id string, url string, html string")
+    got = sorted(((r.page_id, r.record_type, r.refers_to) for r in warc.round_trip(df).collect()), key=str)
+    assert got == sorted([("", "response", None), ("b", "revisit", ""), (None, "response", None), ("c:d/", "response", None)], key=str)

@@ -19,7 +19,8 @@ page_id and digest, those of others have a number of their own behind it. Only
 a table with repeated rows is written to the shared folder for that, to number them.
 
 Defined results: a null html is an empty payload; payloads of any size are
-written whole; pages without a page_id are responses and never referred to;
+written whole; pages without a page_id are responses and never referred to, and
+one that is the empty string is an id like any other;
 repeated rows of the smallest page_id are responses each; a null url has no
 target URI; an empty table makes no archive; extra columns are not looked at.
 """
@@ -57,13 +58,13 @@ def digest(payload: bytes) -> str:
 
 
 def _record_id(page_id, sha1: str = "", number: int | None = None) -> str:
-    """page_id, then the payload's digest, then a number for all but the first row with both."""
+    """page_id, then the payload's digest, then a number for all but the first row with both. A row without a page_id has another prefix, so that an empty one is told apart."""
     parts = ["" if page_id is None else quote(str(page_id), safe=""), sha1, "" if number is None else str(number)]
-    return f"<urn:page:{':'.join(parts).rstrip(':')}>"
+    return f"<urn:{'nopage' if page_id is None else 'page'}:{':'.join(parts).rstrip(':')}>"
 
 
 def _page_id(record_id: str | None) -> str | None:
-    return unquote(record_id[len("<urn:page:") : -1].split(":")[0]) or None if record_id else None
+    return unquote(record_id[len("<urn:page:") : -1].split(":")[0]) if record_id and record_id.startswith("<urn:page:") else None
 
 
 def record(page_id, url: str | None, payload: bytes, refers_to, number: int | None = None) -> bytes:
