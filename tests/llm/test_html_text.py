@@ -4,7 +4,7 @@ from html import unescape
 import numpy as np
 import pytest
 
-from texloom.llm.html_text import BLOCK, LEAST_SHARE, LINKS, MARKED, extract, extract_pages, kept_lines
+from texloom.llm.html_text import BLOCK, LEAST_SHARE, LINKS, MARKED, MENU, OUTSIDE_SHARE, extract, extract_pages, kept_lines
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no";</script></head><body class="has-sidebar-none">
 <header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></ul></nav><!-- x --><div class="ad">Buy</div><div id="cookie-notice"><p>We use <b>cookies</b></p><div>ok</div></div>
@@ -17,7 +17,10 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
     ("<div><h2>Title here</h2><p>Long paragraph of the article with many words in it.</p><p>So.</p></div>", "Title here Long paragraph of the article with many words in it. So."),
     ("<article><p>&lt;b&gt; &eacute;&#233;&#xe9; &nbsp; a</p><ul><li>i<li>j</ul><pre>k  l</pre></article>", "<b> ééé a i j k l"),
     ("<article><p>a <a href='x>y'>link</a> b</p><script>if (a<b) {}</script><p data-x=\"</p>\">c</p>", "a link b c"),
-    ("<div class='site-header'>Site</div><div id='content'><div class='post-header'><h1>A</h1></div><div><p>x</p></div><div class='share'>s</div><p>y</p></div><div>other text here, quite long but not the article</div>", "A x y"),
+    ("<div class='site-header'>Site</div><div id='content'><div class='post-header'><h1>A</h1></div><div><p>x, and what follows from it</p></div><div class='share'>s</div><p>y</p></div><div>other text here, quite long but not the article</div>", "A x, and what follows from it y"),
+    ("<p>One paragraph of the story, long enough.</p><p><a href='r'>See the whole report of the committee here</a></p><p>Another paragraph of the story, as long.</p>", "One paragraph of the story, long enough. See the whole report of the committee here Another paragraph of the story, as long."),
+    ("<p>One paragraph of the story, long enough.</p><ul><li><a>Home page</a><li><a>About us</a><li><a>More links</a></ul><p>Another paragraph of the story, as long.</p>", "One paragraph of the story, long enough. Another paragraph of the story, as long."),
+    ("<article><p>It began.</p><section class='search'><p>How the search went on</p><p>and what they found in the end, nobody knows.</p></section><div class='story-share'>Her share of it.</div><div class='share'><a>Tweet</a> Mail</div><p>So.</p></article>", "It began. How the search went on and what they found in the end, nobody knows. Her share of it. So."),
     ("<p>intro text with some words</p><div class='ad'>Buy</div><p>more text with several words that follow it</p><ul><li><a href='x'>l1</a></li><li><a href='y'>l2</a></li></ul>", "intro text with some words more text with several words that follow it"),
 ])
 def test_pages(body, want):
@@ -76,11 +79,16 @@ def plain_kept(lines, links, inside, parents):
     ours = [any(marked[j] for j in r) for r in regions]
     mass = [sum(size[j] for j in r) for r in regions]
     mass = [sum(m for m, o in zip(mass, ours) if o) if o else m for m, o in zip(mass, ours)]
-    good = [m >= LEAST_SHARE * max(mass) for m in mass]
+    good = [m >= (LEAST_SHARE if o or not any(ours) else OUTSIDE_SHARE) * max(mass) for m, o in zip(mass, ours)]
     if True in good and not any(ours):
         first, last = good.index(True), len(good) - 1 - good[::-1].index(True)
         good = [first <= k <= last for k in range(len(good))]
-    return [j for r, ok in zip(regions, good) if ok for j in r]
+    out = []
+    for r in (r for r, ok in zip(regions, good) if ok):
+        for a, b in zip(r, [*r[1:], None]):
+            between = [k for k in range(a + 1, b) if lines[k]] if b is not None else []
+            out += [a, *(between if len(between) < MENU else [])]
+    return out
 
 
 @pytest.mark.parametrize("seed", range(200))

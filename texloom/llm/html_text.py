@@ -10,11 +10,15 @@ Sizes are summed over a sliding window of BLOCK lines: where the sum rises from
 nothing is a surge point, where it falls back to nothing a dive point, and what
 lies between is a region. Regions parted only by blank lines within one
 container are one, and so are all that the page marks. A region is kept if its
-size is at least LEAST_SHARE of the largest one's; without any mark the regions
-between two kept ones are kept too.
+size is at least LEAST_SHARE of the largest one's, and OUTSIDE_SHARE if the page
+marks an article and it lies outside; without any mark the regions between two kept ones are kept too. Of a kept region every line comes out, links
+between its first and last text too, but for runs of MENU lines of links and more.
+
+A container whose class says only that it may be no text (MAYBE_TEXT: search,
+share and the like) is removed if nothing in it reads as a sentence.
 
 So marks only weigh: text outside a marked article is kept where a region of it
-has MARKED * LEAST_SHARE times the article's text. An article element marked as a card or
+has MARKED * OUTSIDE_SHARE times the article's text. An article element marked as a card or
 teaser is no mark. A marked article is not cut at removed elements or containers.
 
 Defined results: a null or empty html, or one without text, gives an empty
@@ -40,12 +44,14 @@ from .arrow import pieces, texts_of
 BLOCK = 3
 #: Blank lines where a dividing container starts or ends: two containers side by side are parted, one inside text is not.
 STEP = 2
-#: Share of the largest region's size from which a region is kept.
-LEAST_SHARE = 0.1
+#: Share of the largest region's size from which a region is kept, and one outside a marked article.
+LEAST_SHARE, OUTSIDE_SHARE = 0.1, 0.5
 #: What text in a marked article weighs.
-MARKED = 200
-#: Share of a line's text in links from which it counts as a menu's.
-LINKS = 0.6
+MARKED = 5
+#: Share of a line's text in links from which it counts as a menu's, and how many such lines in a row are a menu within text.
+LINKS, MENU = 0.6, 3
+#: Characters from which a line reads as prose even without a full stop.
+PROSE = 80
 
 # HTML's elements by what they do to the text.
 RAW = frozenset("script style textarea title noscript template xmp iframe noembed noframes plaintext".split())
@@ -66,8 +72,10 @@ NOT_TEXT = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toolbar topbar masthead "
     "sidebar aside complementary widget widgets related recommended recommendations "
     "footer colophon copyright contentinfo notice notices notification alert cookie cookies consent gdpr privacy popup modal overlay dialog paywall subscribe subscription newsletter signup login "
-    "comment comments commentlist respond reply replies disqus discussion form search share sharing social".split()
+    "comment comments commentlist respond reply replies disqus".split()
 )
+#: Words that stand for what is not the article only where no sentence is in it.
+MAYBE_TEXT = frozenset("discussion form search share sharing social".split())
 #: A container of these words alone is a page's header; one with any of the second list is its article, where no element says so.
 HEADER = frozenset("header site top global main bar wrapper container inner".split())
 CONTENT = frozenset("article content post entry story main maincontent".split())
@@ -80,6 +88,7 @@ _TOKEN = re.compile(
 _MARKS = re.compile(r"(?:^|[\s\"'/])(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[A-Za-z]+")
+_SENTENCE = re.compile(r"\S+\s+\S+\s+\S.*[.!?\u2026][\"'\u201d\u00bb)]*$")
 
 
 def _marks(attrs: str) -> set[str]:
@@ -113,6 +122,7 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int], list[int]]:
     held, deep = None, 0  # an element marked as content, and how many of its name are open
     seen = False  # whether an article has begun
     removed, depth = None, 0  # the element being removed, and how many of its name are open
+    doubted, within, since = None, 0, 0  # an element that may be no text, how many of its name are open, and its first line
     headed = -1  # number of lines when the last heading ended
     at, size = 0, len(html)
 
@@ -142,6 +152,16 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int], list[int]]:
         if not mark():
             blank(BLOCK)
 
+    def judge() -> None:
+        """At the end of a doubted element: its lines go if none of them is a sentence."""
+        nonlocal doubted
+        end_line()
+        doubted = None
+        if not any(share < LINKS and (len(t) >= PROSE or _SENTENCE.match(t)) for t, share in zip(lines[since:], links[since:], strict=True)):
+            for x in (lines, links, inside, parents):
+                del x[since:]
+            gap()
+
     while at < size:
         m = _TOKEN.search(html, at)
         upto = m.start() if m else size
@@ -187,6 +207,13 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int], list[int]]:
             gap()
             removed, depth = name, 1
             continue
+        if name == doubted:
+            within += -1 if closing else 1
+            if not within:
+                judge()
+        elif doubted is None and not closing and name in CONTAINER and name not in ARTICLE and marks & MAYBE_TEXT:
+            end_line()
+            doubted, within, since = name, 1, len(lines)
         if name == "a":
             anchors = 0 if closing else 1
         elif name == "br":
@@ -219,6 +246,8 @@ def lines_of(html: str) -> tuple[list[str], list[float], list[int], list[int]]:
             elif not before and name in DIVIDING and headed != len(lines):  # a heading goes with what follows it
                 blank(STEP)
     end_line()
+    if doubted:
+        judge()
     return lines, links, inside, parents
 
 
@@ -257,11 +286,21 @@ def kept_lines(lines: list[str], links: list[float], inside: list[int], parents:
     ours = np.array([bool(marked[a:b].any()) for a, b in found])
     mass = np.array([sizes[a:b].sum() for a, b in found])
     mass[ours] = mass[ours].sum()
-    good = mass >= LEAST_SHARE * mass.max()
+    good = mass >= np.where(ours | (not ours.any()), LEAST_SHARE, OUTSIDE_SHARE) * mass.max()
     if not ours.any():
         among = np.flatnonzero(good)
         good[among[0] : among[-1]] = True
-    return [k for (a, b), ok in zip(found, good, strict=True) if ok for k in range(a, b) if sizes[k]]
+    kept = []
+    for a, b in (r for r, ok in zip(found, good, strict=True) if ok):
+        text = a + np.flatnonzero(sizes[a:b])
+        run: list[int] = []
+        for k in range(int(text[0]), int(text[-1]) + 1):
+            if sizes[k]:
+                kept += [*(run if len(run) < MENU else []), k]
+                run = []
+            elif lines[k]:  # a line of links between texts
+                run.append(k)
+    return kept
 
 
 def extract(html: str) -> str:
