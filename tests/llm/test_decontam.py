@@ -53,3 +53,18 @@ def test_the_filter_knows_all_that_was_put_in(spark):
     for r in items.collect():
         assert r.n >= 1 and decontam.known(np.array(r.hashes, np.int64).view(np.uint64), bits).all()
     assert least == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1}
+
+
+def test_a_passage_of_very_many_items(spark):
+    """The ids go with the passage's windows, not with each of their places in each text."""
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    passage = " ".join(f"w{k}" for k in range(20))
+    bench = spark.range(20_000).select(F.col("id").alias("item_id"), F.lit(passage).alias("text"))
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b "), F.lit(passage), F.lit(" c"), F.col("id").cast("string")).alias("text"))
+    want = hashlib.sha256(",".join(sorted(map(str, range(20_000)))).encode()).hexdigest()
+    got = decontam.match(docs, bench)
+    assert {(r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got.collect()} == {(23, 20, 20_000, want, True)}
+    assert got.count() == 300

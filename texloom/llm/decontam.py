@@ -14,12 +14,15 @@ a document contains it only if it contains them all, one behind the other.
 4. Prefixes and runs are joined by hash. The shingle's place in the window
    gives the window's place in the run, which must lie within (positional bound).
 5. There the words are compared with the window's.
+6. Texts that hold the same windows have the same items: the ids of a set of
+   windows are gathered and hashed once, whatever number of texts hold it.
 
 Memory: the filter has FILTER_BITS bits at most, whatever the benchmark's size
 (more shingles let more runs pass, and change no result); everything else is a
 distributed table. Equal texts are one key from step 3 on, so copies are joined
 once. Prefixes are sent to all tasks only up to BROADCAST_BYTES; beyond it they
-are joined by a shuffle in which the runs' side is salted.
+are joined by a shuffle in which the runs' side is salted, the more the larger it is.
+Ids of items go with windows, never with the places where they stand.
 
 Defined results: null and empty texts have no words, no hits and are clean;
 whole texts of any length are read; items without words or without an id have
@@ -53,7 +56,8 @@ BITS_EACH, FILTER_BITS, LEAST_BITS = 16, 1 << 29, 1 << 16
 PROBES = 3
 #: Tables up to this size are sent to every task.
 BROADCAST_BYTES = 16 << 20
-SALTS = 8
+#: Salts of a shuffled join at least, and bytes of runs from which there are more, one for each such part.
+SALTS, SALT_BYTES = 8, 64 << 20
 #: Words whose hashes a task remembers (about 100 bytes each).
 REMEMBERED = 1 << 17
 
@@ -202,8 +206,8 @@ def with_runs(docs: DataFrame, uri: str, least: dict[int, int]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words bigint, key string, runs {_RUNS}")
 
 
-def prefixes(items: DataFrame, counts: DataFrame) -> DataFrame:
-    """hash, at, length, words, ids of each window all of whose shingles occur in documents. counts: hash, n."""
+def windows_of(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """hash, at, length, words, item_id of each window of each item all of whose shingles occur in documents, by its rarest shingle. counts: hash, n."""
     spread = items.select("no", F.posexplode("hashes").alias("at", "hash"))
     seen = spread.join(counts, "hash").groupBy("no").agg(F.collect_list(F.struct("at", "n")).alias("seen"))  # an item's length bounds it
 
@@ -226,25 +230,26 @@ def prefixes(items: DataFrame, counts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)], names)
 
     found = items.join(seen, "no").select("item_id", "text", "size", "hashes", "seen").mapInArrow(run, "hash bigint, at int, length int, words string, item_id string")
-    return found.groupBy("hash", "at", "length", "words").agg(F.collect_set("item_id").alias("ids"))
+    return found.distinct()
 
 
 def _candidates(runs: DataFrame, prefix: DataFrame, broadcast_bytes: int) -> DataFrame:
-    """key, run, at, length, words, ids: where a window may stand in a run, within its bounds."""
+    """key, run, at, length, words: where a window may stand in a run, within its bounds."""
     hits = runs.select("key", F.posexplode("runs").alias("run", "r")).select("key", "run", F.size("r.hashes").alias("many"), F.col("r.size").alias("size"), F.posexplode("r.hashes").alias("place", "hash"))
     if table_bytes(prefix) <= broadcast_bytes:
         joined = hits.join(F.broadcast(prefix), "hash")
     else:  # a passage of many documents is dealt out
-        salted = prefix.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-        joined = hits.withColumn("salt", F.pmod(F.xxhash64("key", "place"), F.lit(SALTS)).cast("int")).join(salted, ["hash", "salt"])
+        salts = max(SALTS, table_bytes(runs) // SALT_BYTES)
+        salted = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = hits.withColumn("salt", F.pmod(F.xxhash64("key", "place"), F.lit(salts)).cast("int")).join(salted, ["hash", "salt"])
     start = F.col("place") - F.col("at")
     fits = (start >= 0) & (start + F.col("length") <= F.col("many") + F.col("size") - 1)
-    return joined.where(fits).select("key", "run", start.alias("at"), "length", "words", "ids")
+    return joined.where(fits).select("key", "run", start.alias("at"), "length", "words")
 
 
 def _verified(runs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """key, n_hit, n_items and items_sha256 of the texts that hold a window, word for word."""
-    found = candidates.groupBy("key").agg(F.collect_list(F.struct("run", "at", "length", "words", "ids")).alias("found"))  # a text's length bounds it
+    """key, n_hit and windows (their words, each once, sorted) of the texts that hold a window, word for word."""
+    found = candidates.groupBy("key").agg(F.collect_list(F.struct("run", "at", "length", "words")).alias("found"))  # a text's length bounds it
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,22 +257,33 @@ def _verified(runs: DataFrame, candidates: DataFrame) -> DataFrame:
             for k in range(batch.num_rows):
                 r = batch.slice(k, 1).to_pylist()[0]
                 words = [x["words"].split(" ") for x in r["runs"]]
-                spans, items = set(), set()
+                spans, windows = set(), set()
                 for c in r["found"]:
                     if " ".join(words[c["run"]][c["at"] : c["at"] + c["length"]]) == c["words"]:
                         start = r["runs"][c["run"]]["start"] + c["at"]
                         spans.add((start, start + c["length"]))
-                        items.update(c["ids"])
+                        windows.add(c["words"])
                 hit = upto = 0
                 for a, b in sorted(spans):
                     hit += max(0, b - max(a, upto))
                     upto = max(upto, b)
                 if hit:
-                    rows.append((r["key"], hit, len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()))
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 4, kinds, strict=True)], ["key", "n_hit", "n_items", "items_sha256"])
+                    rows.append((r["key"], hit, sorted(windows)))
+            kinds = [pa.string(), pa.int64(), pa.list_(pa.string())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 3, kinds, strict=True)], ["key", "n_hit", "windows"])
 
-    return runs.select("key", "runs").join(found, "key").mapInArrow(run, "key string, n_hit bigint, n_items bigint, items_sha256 string")
+    return runs.select("key", "runs").join(found, "key").mapInArrow(run, "key string, n_hit bigint, windows array<string>")
+
+
+def _with_items(hits: DataFrame, windows: DataFrame) -> DataFrame:
+    """key, n_hit, n_items, items_sha256. hits: key, n_hit, windows; windows: words, item_id.
+
+    Texts are grouped by the set of windows that they hold, so the items of a passage are gathered once and not for each text.
+    """
+    sets = hits.select("windows").distinct()
+    items = sets.select("windows", F.explode("windows").alias("words")).join(windows.select("words", "item_id"), "words")
+    items = items.select("windows", "item_id").distinct().groupBy("windows").agg(F.count("*").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list("item_id")), ",").cast("binary"), 256).alias("items_sha256"))
+    return hits.join(items, "windows").select("key", "n_hit", "n_items", "items_sha256")
 
 
 _NONE = hashlib.sha256(b"").hexdigest()
@@ -281,8 +297,10 @@ def _matched(docs: DataFrame, benchmark: DataFrame, most_bits: int, broadcast_by
     # equal texts are one; a shingle counts for each of them
     runs = written(rows.where("key is not null").groupBy("key").agg(F.first("runs").alias("runs"), F.count("*").alias("copies")), "decontamination-texts", compact=True)
     each = runs.select("copies", F.explode(F.array_distinct(F.flatten(F.transform("runs", lambda r: r["hashes"])))).alias("hash"))
-    prefix = written(prefixes(items, each.groupBy("hash").agg(F.sum("copies").alias("n"))), "decontamination-prefixes", compact=True)
-    return rows, written(_verified(runs, _candidates(runs, prefix, broadcast_bytes)), "decontamination-hits", compact=True)
+    windows = written(windows_of(items, each.groupBy("hash").agg(F.sum("copies").alias("n"))), "decontamination-windows", compact=True)
+    prefix = written(windows.select("hash", "at", "length", "words").distinct(), "decontamination-prefixes", compact=True)
+    hits = written(_verified(runs, _candidates(runs, prefix, broadcast_bytes)), "decontamination-windows-held", compact=True)
+    return rows, written(_with_items(hits, windows), "decontamination-hits", compact=True)
 
 
 def match(docs: DataFrame, benchmark: DataFrame, most_bits: int = FILTER_BITS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
