@@ -1,21 +1,25 @@
 """License scans with a positional rare-token index, in DataFrame functions only.
 
-The index holds the words of licence templates with their positions. All texts
-are cut into words once. A file whose words hold no whole key phrase is done:
-key phrases are mandatory. Of the others the licence words are written with
-their places (other words as nulls), and over all documents the frequency of
-each licence word is counted. Of a template's key words, which a file must all
-have, the one with the highest IDF is looked up in the file; its place less its
-posting in the template is where the template would begin. There the postings of
-the key phrases are intersected by relative position, which verifies them word
-for word, and the template's other postings give the score, the share of its words that
-stand where they should. Any key word finds the same places, so the frequencies
-decide how many places are tried and change no result.
+The index holds, for each rare licence word, its postings: the templates whose
+rarest key word it is, and the word's position in them. All texts are cut into
+words once. A file whose words hold no whole key phrase is done: key phrases are
+mandatory. Of the others the licence words are written with their places (other
+words as nulls), and over all documents the frequency of each licence word is
+counted; of a template's key words, which a file must all have, the one with the
+highest IDF gets the posting.
+
+In a file its highest-IDF licence words are looked up in the index. A place less
+a posting's position is where a template would begin. There the places of the
+key phrases are verified word for word, and those of the template's other words
+are counted: the score is the share of its words that stand where they should.
+Any key word would find the same templates, so the frequencies decide how many
+places are tried, and change no result.
 
 All but the counting happens within a row, where a word at a place is found in
-one step. Only the counts of licence words are shuffled, combined first. Places
-that are tried are occurrences of the rarest word, so no work grows faster than
-a document's length.
+one step. Only the counts of licence words are shuffled, combined first. The
+index and the templates are constants of a few hundred words. Places that are
+tried are occurrences of the rarest words, so no work grows faster than a
+document's length.
 
 Defined results: null and empty texts have no words, no labels, score 0 and
 null positions; whole texts of any length are read; of key words of equal
@@ -45,6 +49,10 @@ TEMPLATES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction", ["permission is hereby granted free of charge", "associated documentation files"]),
     ("apache-2.0", "licensed under the apache license version 2 0", ["apache license version 2 0"]),
     ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at", ["except in compliance with the license"]),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied", ["unless required by applicable law or agreed to in writing"]),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", ["this permission notice shall be included"]),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program", ["a copy of the gnu general public license along with this program"]),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ["nor the names of its contributors", "endorse or promote products"]),
     ("gpl-3.0", "licensed under the gnu general public license version 3", ["gnu general public license version 3"]),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ["redistribute it and or modify it", "gnu general public license"]),
     ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation", ["gnu lesser general public license"]),
@@ -93,53 +101,51 @@ def document_frequency(table: DataFrame) -> dict[str, int]:
     return {r.word: r["count"] for r in found.collect()}  # at most the templates' words
 
 
-def _at(words: Column, place: Column) -> Column:
-    return F.get(words, place)
+def postings(having: dict[str, int], rows: int) -> dict[str, list[tuple[int, int]]]:
+    """word -> (number of the template, position in it) of the templates whose key word of highest IDF it is; of equal ones the first. Base phrases come behind the templates."""
+    idf = lambda w: math.log((rows + 1) / (having.get(w, 0) + 1))
+    index: dict[str, list[tuple[int, int]]] = {}
+    for t, (_, text, keys) in enumerate(_all_templates()):
+        at, word = max(key_places(text, keys), key=lambda x: (idf(x[1]), -x[0]))
+        index.setdefault(word, []).append((t, at))
+    return index
+
+
+def _all_templates() -> list[tuple[str, str, list[str]]]:
+    return TEMPLATES + [(label, phrase, [phrase]) for phrase, label in PHRASES]
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score of every row."""
-    keyed = [[w for _, w in key_places(text, keys)] for _, text, keys in TEMPLATES] + [p.split() for p, _ in PHRASES]
-    vocabulary = sorted({w for _, text, _ in TEMPLATES for w in text.split()} | {w for p in keyed for w in p})
+    every = _all_templates()
+    keyed = [[w for _, w in key_places(text, keys)] for _, text, keys in every]
+    vocabulary = sorted({w for _, text, _ in every for w in text.split()})
     table = written(licence_words(docs, vocabulary, keyed), "licence-words")
-    rows, having = table.count(), document_frequency(table)
-    idf = {w: math.log((rows + 1) / (having.get(w, 0) + 1)) for w in vocabulary}
-    rarest = lambda places: max(places, key=lambda x: (idf[x[1]], -x[0]))
-    index = [(label, text.split(), places := key_places(text, keys), *rarest(places)) for label, text, keys in TEMPLATES]
-    base_index = [(places := list(enumerate(p.split())), *rarest(places)) for p, _ in PHRASES]
-    rare = sorted({x[4] for x in index} | {x[2] for x in base_index})
-
-    # the rarest key words with their places; documents without any have none of what follows
-    pairs = F.filter(F.transform("_w", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: h.w.isin(rare))
-    hits = table.select("doc_id", "n_words", "_w", pairs.alias("_h"))
-
-    def starts(word: str, offset: int) -> Column:
-        return F.transform(F.filter("_h", lambda h: h.w == word), lambda h: h.i - offset)
-
-    def held(places: list[tuple[int, str]], at: int, anchor: str) -> Column:
-        """Where all of places, (offset, word), stand."""
-        others = [(j, w) for j, w in places if j != at]
-        first = min(j for j, _ in places)
-        return F.filter(starts(anchor, at), lambda s: reduce(and_, (F.coalesce(_at(F.col("_w"), s + j) == w, F.lit(False)) for j, w in others), s + first >= 0))
-
-    def score(template: list[str], places: list[tuple[int, str]], at: int, anchor: str) -> Column:
-        agree = F.transform(held(places, at, anchor), lambda s: reduce(lambda a, b: a + b, (F.coalesce((_at(F.col("_w"), s + j) == w).cast("int"), F.lit(0)) for j, w in enumerate(template))) / F.lit(float(len(template))))
-        return F.array_max(agree)
-
-    measured = hits.select(
-        "doc_id", "n_words",
-        *(F.when(F.size("_h") > 0, held(*x)).alias(f"_p{k}") for k, x in enumerate(base_index)),
-        *(F.when(F.size("_h") > 0, score(*x[1:])).alias(f"_s{k}") for k, x in enumerate(index)),
-    )
-    none = F.array().cast("array<int>")
-    places = F.concat(*(F.coalesce(f"_p{k}", none) for k in range(len(PHRASES))))
-    base = [F.when(F.size(F.coalesce(f"_p{k}", none)) > 0, F.lit(label)) for k, (_, label) in enumerate(PHRASES)]
-    more = [F.when(F.col(f"_s{k}") >= LEAST_SCORE, F.lit(x[0])) for k, x in enumerate(index)]
-    best = F.greatest(F.lit(0.0), F.lit(0.0), *(F.when(F.col(f"_s{k}") >= LEAST_SCORE, F.col(f"_s{k}")) for k in range(len(index))))
-    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))), ",")
-    return measured.select(
-        "doc_id", "n_words", F.size(places).cast("long").alias("n_base"), F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"),
-        joined(base).alias("base_labels"), joined(base + more).alias("labels"), F.when(reduce(or_, (b.isNotNull() for b in base)), F.lit(1.0)).otherwise(best).alias("score"),
+    index = postings(document_frequency(table), table.count())
+
+    strings, ints = lambda x: F.array(*map(F.lit, x)), lambda x: F.array(*map(F.lit, x))
+    templates = F.array(*(F.struct(strings(text.split()).alias("words"), ints(at for at, _ in key_places(text, keys)).alias("keys")) for _, text, keys in every))
+    looked_up = F.create_map(*(x for word, found in sorted(index.items()) for x in (F.lit(word), F.array(*(F.struct(F.lit(t).alias("t"), F.lit(at).alias("at")) for t, at in found)))))
+    names = F.array(*(F.lit(label) for label, _, _ in every))
+
+    # the file's rarest licence words with their places; files without any have none of what follows
+    places = F.filter(F.transform("_w", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: h.w.isin(sorted(index)))
+    begins = F.flatten(F.transform(places, lambda h: F.transform(F.element_at(looked_up, h.w), lambda p: F.struct(p.t.alias("t"), (h.i - p.at).alias("s")))))
+    stands = lambda x, j, word: F.coalesce(F.get(F.col("_w"), x.s + j) == word, F.lit(False))
+    template = lambda x: F.get(templates, x.t)
+    held = lambda x: F.forall(template(x).keys, lambda j: stands(x, j, F.get(template(x).words, j)))
+    agree = lambda x: F.size(F.filter(F.transform(template(x).words, lambda word, j: stands(x, j, word)), lambda ok: ok)) / F.size(template(x).words)
+    some = table.select("doc_id", "n_words", "_w", begins.alias("_b"))
+    some = some.select("doc_id", "n_words", F.when(F.size("_b") > 0, F.transform(F.filter("_b", held), lambda x: F.struct(x.t.alias("t"), x.s.alias("s"), agree(x).alias("score")))).alias("_f"))
+    found = some.select("doc_id", "n_words", F.coalesce("_f", F.array().cast(some.schema["_f"].dataType)).alias("_f"))
+
+    base = F.filter("_f", lambda x: x.t >= len(TEMPLATES))
+    good = F.filter("_f", lambda x: x.score >= LEAST_SCORE)
+    joined = lambda these: F.array_join(F.array_sort(F.array_distinct(F.transform(these, lambda x: F.get(names, x.t)))), ",")
+    starts = F.transform(base, lambda x: x.s)
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
+        joined(base).alias("base_labels"), joined(good).alias("labels"), F.coalesce(F.array_max(F.transform(good, lambda x: x.score)), F.lit(0.0)).alias("score"),
     )
 
 
