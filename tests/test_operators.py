@@ -203,3 +203,26 @@ def test_dictionaries_are_tables(spark):
     dictionary = spark.createDataFrame([("lemma", "Theorem", 2), ("proof", "Theorem", 3), ("proof", "Proof", 1), ("falign*", "Equation", 9), (None, "x", 0)], "name string, category string, ord int")
     assert sorted((r.category, r.idx, r.source_code) for r in extract.by_dictionary(docs, dictionary).collect()) == [("Equation", 0, "\\begin{falign*}a\\end{falign*}"), ("Proof", 0, "\\begin{proof}z\\end{proof}"), ("Theorem", 0, "\\begin{lemma}x\\begin{proof}y\\end{proof}\\end{lemma}")]
     assert "falign*" in schema.MATH_ENVS and "flalign*" in schema.MATH_ENVS
+
+
+def test_equal_captions_stand_in_their_own_floats(spark):
+    tex = "\\begin{figure}\\caption{same}\\end{figure} t \\begin{table}\\caption{same}\\begin{tabular}{c}1\\end{tabular}\\end{table} " + "{" * 9 + "}" * 9
+    docs = spark.createDataFrame([(1, tex)], "doc_id bigint, tex string")
+    found = extract.placed(docs, ["Caption", "Table"])
+    assert all(tex[r.m_start : r.m_end] == r.source_code for r in found.collect()) and found.count() == 3
+    held = {(r.m_category, r.idx): r.category for r in refs.contained(found, refs.float_spans(docs)).collect()}
+    assert held == {("Caption", 0): "Figure", ("Caption", 1): "Table", ("Table", 0): "Table"}
+    again = refs.located(found.drop("m_start", "m_end"), docs)
+    assert sorted(map(tuple, again.select(*found.columns).collect())) == sorted(map(tuple, found.collect()))
+    assert refs.located(spark.createDataFrame([(1, "Caption", 0, "nowhere"), (1, "Caption", 1, "")], "doc_id bigint, category string, idx bigint, source_code string"), docs).isEmpty()
+
+
+def test_places_equal_the_models(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["\\caption{a}", "\\caption{b{c}}", "{{{{{{{{d}}}}}}}}", "\\footnote{f}", "\\footnotetext[1]{g}", "x", "é\n", "\\begin{tabular}1\\end{tabular}", "\\begin{tabular}\\includegraphics{i}\\end{tabular}"]) for _ in range(rng.randint(0, 15))) for _ in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, tex string")
+    found = extract.placed(docs, ["Caption", "Footnote", "Table"])
+    assert all(texts[r.doc_id][r.m_start : r.m_end] == r.source_code for r in found.collect())
+    want = extract.mentions(docs).where("category in ('Caption', 'Footnote', 'Table')")
+    got = found.select(want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() > 100

@@ -99,6 +99,26 @@ def groups(tex: Column | str, head: str) -> Column:
     return _let(text, lambda t: _let(every(t, head + braces()), lambda m: F.when(_simple(t, head, m), m).otherwise(deep(t))))
 
 
+def gapped(tex: Column | str, pattern: str) -> Column:
+    """All matches in order, each with the length of what lies between it and the one before: array<struct<gap, text>>."""
+    both = F.arrays_zip(F.transform(F.split(tex, pattern, -1), F.length).alias("gap"), every(tex, pattern).alias("text"))
+    return F.filter(both, lambda x: x["text"].isNotNull())
+
+
+def gapped_groups(tex: Column | str, head: str) -> Column:
+    """groups(), each with the length of what lies between it and the one before: array<struct<gap, text>>."""
+    text = F.col(tex) if isinstance(tex, str) else tex
+
+    def places(p: Column, found: Column) -> Column:
+        before = lambda i: F.when(i > 0, F.get(found, i - 1)["last"]).otherwise(-1)
+        return F.transform(found, lambda s, i: F.struct(F.length(_piece(p, before(i) + 1, s["first"] - 1)).alias("gap"), _piece(p, s["first"], s["last"]).alias("text")))
+
+    def deep(t: Column) -> Column:
+        return _let(_cut(t, head), lambda p: _let(_walked(p, head)["found"], lambda found: places(p, found)))
+
+    return _let(text, lambda t: F.when(_simple(t, head, every(t, head + braces())), gapped(t, head + braces())).otherwise(deep(t)))
+
+
 def unclosed(tex: Column | str, head: str) -> Column:
     """Offsets (from 0) of the heads whose group never closes."""
     text = F.col(tex) if isinstance(tex, str) else tex

@@ -89,6 +89,27 @@ def mentions(docs: DataFrame) -> DataFrame:
     return rows.withColumn("idx", F.col("idx").cast("long")).select("doc_id", "category", "idx", "source_code")
 
 
+#: category -> lists of its mentions with the gaps before them; idx counts on from list to list.
+PLACES: dict[str, Callable[[], list[Column]]] = {
+    "Caption": lambda: [T.gapped_groups("tex", T.CAPTION_HEAD)], "PaperTitle": lambda: [T.gapped_groups("tex", T.TITLE_HEAD)], "Footnote": lambda: [T.gapped_groups("tex", head) for head in T.FOOTNOTE_HEADS.values()],
+    "Table": lambda: [T.gapped("tex", T.TABULAR)], "Algorithm": lambda: [T.gapped("tex", T.ALGORITHM)], "Code": lambda: [T.gapped("tex", T.CODE)],
+}
+
+
+def placed(docs: DataFrame, categories: list[str]) -> DataFrame:
+    """doc_id, category, idx, source_code, m_start, m_end: mentions with the offsets (from 0) at which they stand, equal ones each at its own."""
+    each = F.array(*(F.struct(F.lit(c).alias("category"), F.lit(k).alias("part"), v.alias("l")) for c in categories for k, v in enumerate(PLACES[c]())))
+    rows = docs.select("doc_id", F.explode(each).alias("m")).select("doc_id", "m.category", "m.part", F.posexplode("m.l").alias("_k", "g"))
+    rows = rows.select("doc_id", "category", "part", "_k", F.col("g.gap").alias("_gap"), F.col("g.text").alias("source_code"))
+    upto = Window.partitionBy("doc_id", "category", "part").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("m_end", F.sum(F.col("_gap") + F.length("source_code")).over(upto).cast("long"))
+    # tables that hold graphics count as text between the others
+    rows = rows.where((F.col("category") != "Table") | ~F.contains("source_code", F.lit(r"\includegraphics")))
+    place = Window.partitionBy("doc_id", "category").orderBy("part", "_k")
+    rows = rows.withColumn("idx", (F.row_number().over(place) - 1).cast("long"))
+    return rows.select("doc_id", "category", "idx", "source_code", (F.col("m_end") - F.length("source_code")).alias("m_start"), "m_end")
+
+
 def mention_map(mentioned: DataFrame) -> DataFrame:
     """doc_id, texts: category -> its mentions in order."""
     by = mentioned.groupBy("doc_id", "category").agg(F.array_sort(F.collect_list(F.struct("idx", "source_code"))).alias("l"))

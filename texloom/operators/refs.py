@@ -77,9 +77,19 @@ def float_spans(docs: DataFrame) -> DataFrame:
 
 
 def located(mentions: DataFrame, docs: DataFrame) -> DataFrame:
-    """mentions with m_start and m_end, where their source first occurs; those that do not occur go."""
-    at = F.position("source_code", "tex")
-    return mentions.join(docs.select("doc_id", "tex"), "doc_id").where((at > 0) & (F.col("source_code") != "")).select(*mentions.columns, (at - 1).cast("long").alias("m_start"), (at - 1 + F.length("source_code")).cast("long").alias("m_end"))
+    """mentions (doc_id, category, idx, source_code) with m_start and m_end, where their source occurs; those that do not occur go.
+
+    Of equal mentions the first by idx stands where the source first occurs, the second where it occurs next, and so on. Mentions that
+    extract.placed gives have their places already.
+    """
+    again = Window.partitionBy("doc_id", "category", "source_code").orderBy("idx")
+    numbered = mentions.where("source_code <> ''").withColumn("_n", F.row_number().over(again))
+    # the text before the n-th occurrence
+    before = F.expr("substring_index(tex, source_code, _n)")
+    there = F.length("tex") > F.length(before)
+    found = numbered.join(docs.select("doc_id", "tex"), "doc_id").where(there)
+    start = F.length(before).cast("long")
+    return found.select(*mentions.columns, start.alias("m_start"), (start + F.length("source_code")).alias("m_end"))
 
 
 def holders(mentions: DataFrame, spans: DataFrame) -> DataFrame:

@@ -358,4 +358,8 @@ select doc_id, regexp_replace(tex, '(?s)\\begin\{{abstract\}}.*?\\end\{{abstract
     "q54_edited_numbers": """with r as (select doc_id, unnest([{'name': 'document', 'depth': 0, 'n': 1}, {'name': 'itemize', 'depth': 1, 'n': 1}, {'name': 'item', 'depth': 2, 'n': 2}, {'name': 'label', 'depth': 1, 'n': 1}, {'name': 'equation', 'depth': 1, 'n': cast(doc_id % 5 <> 0 as int)},
  {'name': 'table', 'depth': 1, 'n': cast(doc_id % 2 = 0 as int)}, {'name': 'tabular', 'depth': 2, 'n': cast(doc_id % 2 = 0 as int)}, {'name': 'caption', 'depth': 2, 'n': cast(doc_id % 2 = 0 as int)}, {'name': 'label', 'depth': 2, 'n': cast(doc_id % 5 <> 0 as int) + cast(doc_id % 2 = 0 as int)}]) as x from documents)
 select doc_id, x['name'] as name, cast(x['depth'] as bigint) as depth, cast(x['n'] as bigint) as n from r where x['n'] > 0""",
+    "q55_placed_mentions": f"""with t as (select doc_id, concat(tex, tex) as tex, length(tex) as size from ({MORE}) d), m as (""" + " union all ".join(
+        f"select doc_id, tex, size, '{c}' as category, unnest(range(len(l))) as idx, unnest(l) as s from (select doc_id, tex, size, {v} as l from t) x_{c.lower()}" for c, v in {"Caption": _all(T.CAPTION), "Table": _TABULARS, "Algorithm": _all(T.ALGORITHM)}.items()) + """),
+k as (select *, row_number() over (partition by doc_id, category, s order by idx) as n from m)
+select doc_id, category, idx, case when n = 1 then strpos(tex, s) - 1 else size + strpos(substr(tex, size + 1), s) - 1 end as m_start, substr(s, 1, 20) as begins from k""",
 }

@@ -266,8 +266,7 @@ def q23_float_spans(spark, d):
 
 def _contained(spark, d):
     docs = fixtures.more_docs(spark, d)
-    found = extract.captions(docs).withColumn("category", F.lit("Caption")).unionByName(extract.tabulars(docs).withColumn("category", F.lit("Table")))
-    return refs.contained(refs.located(found, docs), refs.float_spans(docs))
+    return refs.contained(extract.placed(docs, ["Caption", "Table"]), refs.float_spans(docs))
 
 
 @query
@@ -843,3 +842,10 @@ def q54_edited_numbers(spark, d):
     found = tree.find_all(nodes, ["figure", "footnote"]).select("doc_id", F.col("pre").cast("bigint").alias("id"))
     events = edits.edited(edits.events_of(nodes, docs), [lambda e: edits.deleted(e, found)])
     return edits.nodes_of(events).where(F.col("name").isin("document", "table", "tabular", "itemize", "item", "caption", "label", "equation")).groupBy("doc_id", "name", "depth").agg(F.count("*").alias("n"))
+
+
+@query
+def q55_placed_mentions(spark, d):
+    """Mentions with their places in documents that stand twice, so that each mention has an equal one further on."""
+    docs = fixtures.more_docs(spark, d).select("doc_id", F.concat("tex", "tex").alias("tex"))
+    return extract.placed(docs, ["Caption", "Table", "Algorithm"]).select("doc_id", "category", "idx", "m_start", F.substring(F.col("source_code"), 1, 20).alias("begins"))
