@@ -19,18 +19,18 @@ def listed(spark, text, f):
 
 
 @pytest.mark.parametrize(("text", "want"), [
-    ("no math", False), (r"5\$ only", False), ("$E=mc^2$", True), (r"\(E=mc^2\)", True), (r"\begin{math}x\end{math}", True), (r"$x$ and 5\$", True), ("a $x\ny$", False), ("", False),
+    ("no math", False), (r"5\$ only", False), ("$a<b$", True), (r"\(a<b\)", True), (r"\begin{math}x\end{math}", True), (r"$x$ and 5\$", True), ("a $x\ny$", False), ("", False),
 ])
 def test_is_text_eq(spark, text, want):
     assert value(spark, text, T.is_text_eq(F.col("tex"))) is want
 
 
 @pytest.mark.parametrize(("f", "text", "want"), [
-    (extract.captions, r"\caption{} \caption[]{} \caption{\label{demo-table}Your caption.}", [r"\caption{}", r"\caption[]{}", r"\caption{\label{demo-table}Your caption.}"]),
+    (extract.captions, r"\caption{} \caption[]{} \caption{Rain by month\label{t:rain}}", [r"\caption{}", r"\caption[]{}", r"\caption{Rain by month\label{t:rain}}"]),
     (extract.footnotes, r"a\footnote{\url{x}} b\footnotesize{no} \footnotetext{t}", [r"\footnote{\url{x}}", r"\footnotetext{t}"]),
-    (extract.paper_titles, r"\title{This is a title} \icmltitle{x} \title{b}", [r"\title{This is a title}", r"\title{b}"]),
+    (extract.paper_titles, r"\title{On the growth of reeds} \icmltitle{x} \title{b}", [r"\title{On the growth of reeds}", r"\title{b}"]),
     (extract.tabulars, "\\begin{tabular}a\\end{tabular}\\begin{tabularx}{b}\n\\end{tabularx}\\begin{tabular}\\includegraphics{f}\\end{tabular}", ["\\begin{tabular}a\\end{tabular}", "\\begin{tabularx}{b}\n\\end{tabularx}"]),
-    (extract.graphics, r"\includegraphics{a.png}\includegraphics[width=\columnwidth]{figures/b.png}", [r"\includegraphics{a.png}", r"\includegraphics[width=\columnwidth]{figures/b.png}"]),
+    (extract.graphics, r"\includegraphics{a.png}\includegraphics[height=3cm]{plots/rain.png}", [r"\includegraphics{a.png}", r"\includegraphics[height=3cm]{plots/rain.png}"]),
     (extract.codes, "\\begin{verbatim*}v\\end{verbatim*}\\lstinputlisting[l]{f}\\lstinputlisting{g}", ["\\begin{verbatim*}v\\end{verbatim*}", "\\lstinputlisting[l]{f}"]),
 ])
 def test_mentions(spark, f, text, want):
@@ -38,12 +38,12 @@ def test_mentions(spark, f, text, want):
 
 
 @pytest.mark.parametrize(("category", "text", "want"), [
-    ("PaperTitle", r"\title{This is a title}", r"\title{{\textcolor{PaperTitle_color}{This is a title}}}"),
+    ("PaperTitle", r"\title{On the growth of reeds}", r"\title{{\textcolor{PaperTitle_color}{On the growth of reeds}}}"),
     ("Caption", r"\caption[s]{C}", r"\caption[s]{{\color{Caption_color}C}}"),
     ("Footnote", r"\footnote{\url{x}}", r"\footnote{{\color{Footnote_color}\url{x}}}"),
     ("Table", r"\begin{tabular}a\end{tabular}", r"{\color{Table_color}\begin{tabular}a\end{tabular}}"),
     ("Abstract", r"\begin{abstract}a\end{abstract}", r"{\begin{abstract}\color{Abstract_color}a\end{abstract}}"),
-    ("Algorithm", "\\begin{algorithm}[!htb]\n    \\caption{c} x\\end{algorithm}", "\\begin{algorithm}[!htb]\n    {\\color{Algorithm_color}\\caption{c} x}\\end{algorithm}"),
+    ("Algorithm", "\\begin{algorithm}[t]\n  \\caption{c} x\\end{algorithm}", "\\begin{algorithm}[t]\n  {\\color{Algorithm_color}\\caption{c} x}\\end{algorithm}"),
     ("Algorithm", "\\begin{algorithm*}\\State y\\end{algorithm*}", "\\begin{algorithm*}{\\color{Algorithm_color}\\State y}\\end{algorithm*}"),
     ("Equation", "$$x$$", r"{\color{Equation_color}{$$x$$}}"),
     ("Text", "t", r"{\textcolor{Text_color}{t}}"),

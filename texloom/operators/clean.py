@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import tex as T
+from ..sources.files import SOURCES
 from ..sources.rounds import cut
-from . import includes, records
+from . import closure, includes, records
 from .export import export
 from .extract import document_statuses, mentions
 from .order import reading_order
@@ -20,15 +21,21 @@ def clean_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", T.without_spare_blank_lines(T.with_plain_graphics(T.without_contents_lists(tex))).alias("tex"))
 
 
-def clean_project(files: DataFrame, roots: DataFrame, recorded: DataFrame) -> DataFrame:
+def clean_project(files: DataFrame, roots: DataFrame, recorded: DataFrame | None = None) -> DataFrame:
     """doc_id, path, content of the needed files of each project, its roots expanded and cleaned.
 
-    files: doc_id, path, tex; roots: doc_id, path; recorded: doc_id, line of the compiler's file record.
+    files: doc_id, path, tex; roots: doc_id, path; recorded: doc_id, line of the compiler's file record; without it the files that the
+    roots name, directly or through others, are needed. Roots and their .bbl files are kept in any case, and no source or style file
+    keeps spare blank lines.
     """
     expanded = includes.resolved(files, roots)
-    cleaned = expanded.select("doc_id", "path", T.without_spare_blank_lines(T.without_line_comments(T.without_comment_envs("tex"))).alias("content"))
+    cleaned = expanded.select("doc_id", "path", T.without_line_comments(T.without_comment_envs("tex")).alias("content"))
     whole = records.overlaid(files.select("doc_id", "path", F.col("tex").alias("content")), cleaned)
-    return whole.join(records.needed(whole, records.recorded_inputs(recorded)), ["doc_id", "path"], "left_semi")
+    wanted = closure.dependencies(files, roots) if recorded is None else records.needed(whole, records.recorded_inputs(recorded))
+    wanted = wanted.union(roots.select("doc_id", "path")).union(roots.select("doc_id", T.with_extension(F.col("path"), ".bbl").alias("path"))).distinct()
+    source = F.col("path").rlike("(?:" + "|".join(x.replace(".", "[.]") for x in SOURCES) + ")$")
+    tidy = F.when(source, T.without_spare_blank_lines("content")).otherwise(F.col("content"))
+    return whole.join(wanted, ["doc_id", "path"], "left_semi").select("doc_id", "path", tidy.alias("content"))
 
 
 def annotated(docs: DataFrame, blocks: DataFrame) -> dict[str, DataFrame]:

@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.tex import line_and_column
-
 
 def find_all(nodes: DataFrame, names: list[str] | str) -> DataFrame:
     """Commands and environments of these names."""
@@ -87,9 +85,14 @@ def source(nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def positions(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id, pre, line and column of each node."""
-    line, column = line_and_column(F.col("tex"), F.col("char_pos"))
-    return nodes.join(docs.select("doc_id", "tex"), "doc_id").select("doc_id", "pre", line.alias("line"), column.alias("column"))
+    """doc_id, pre, line and column (from 0) of each node: one sweep over a document's line starts and the nodes' offsets."""
+    lines = docs.select("doc_id", F.posexplode(F.split("tex", "\n", -1)).alias("line", "_text"))
+    before = Window.partitionBy("doc_id").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    starts = lines.select("doc_id", F.coalesce(F.sum(F.length("_text") + 1).over(before), F.lit(0)).alias("at"), F.lit(0).alias("side"), F.col("line"), F.lit(None).cast("int").alias("pre"))
+    both = starts.unionByName(nodes.select("doc_id", F.col("char_pos").cast("bigint").alias("at"), F.lit(1).alias("side"), F.lit(None).cast("int").alias("line"), "pre"))
+    upto = Window.partitionBy("doc_id").orderBy("at", "side", "line").rowsBetween(Window.unboundedPreceding, 0)
+    line = F.last(F.when(F.col("side") == 0, F.struct("line", "at")), ignorenulls=True).over(upto)
+    return both.withColumn("_l", line).where("side = 1").select("doc_id", "pre", F.col("_l.line").cast("long").alias("line"), (F.col("at") - F.col("_l.at")).cast("long").alias("column"))
 
 
 def _edited(docs: DataFrame, spans: DataFrame, new: Column) -> DataFrame:

@@ -233,8 +233,8 @@ select doc_id, coalesce(category, 'Total') as category, geometry_count, reading_
     "q08_overlap_pairs": PAIRS,
     "q09_coco_annotations": f"select doc_id, page_index as image_id, row_number() over (partition by doc_id, page_index order by ann_pos, block_id) - 1 as id, cast({CATEGORY_ID} as bigint) as category_id, x0 as x, y0 as y, x1 - x0 as width, y1 - y0 as height, (x1 - x0) * (y1 - y0) as area, cast(0 as bigint) as iscrowd from ({BLOCKS}) b",
     "q10_coco_images": f"select doc_id, page_index as id, cast(612 as bigint) as width, cast(792 as bigint) as height, concat('page_', lpad(cast(page_index as varchar), 4, '0'), '.jpg') as file_name from ({_COCO_PAGES}) p",
-    "q10_coco_categories": f"select cast(id as bigint) as id, name, supercategory from (values {_VALUES}) v(id, name, supercategory)",
-    "q40_categories": f"select cast(id as bigint) as id, name, supercategory from (values {_VALUES}) v(id, name, supercategory)",
+    "q10_coco_categories": f"select cast(id as bigint) as id, name, supercategory from (values {_VALUES}) v(id, name, supercategory) where name in (select category from ({BLOCKS}) b)",
+    "q40_categories": f"select cast(id as bigint) as id, name, supercategory, coalesce(n, 0) as n_blocks from (values {_VALUES}) v(id, name, supercategory) left join (select category as name, count(*) as n from ({BLOCKS}) b group by category) c using (name)",
     "q11_reading_annotation": f"select doc_id, block_id, [x0, y0, x1, y1] as bbox, category, page_index, source_code from ({BLOCKS}) b",
     "q12_relation_centres_single": _centres(1, 0),
     "q12_relation_centres_two_page": _centres(2, 612),
@@ -362,4 +362,15 @@ select doc_id, x['name'] as name, cast(x['depth'] as bigint) as depth, cast(x['n
         f"select doc_id, tex, size, '{c}' as category, unnest(range(len(l))) as idx, unnest(l) as s from (select doc_id, tex, size, {v} as l from t) x_{c.lower()}" for c, v in {"Caption": _all(T.CAPTION), "Table": _TABULARS, "Algorithm": _all(T.ALGORITHM)}.items()) + """),
 k as (select *, row_number() over (partition by doc_id, category, s order by idx) as n from m)
 select doc_id, category, idx, case when n = 1 then strpos(tex, s) - 1 else size + strpos(substr(tex, size + 1), s) - 1 end as m_start, substr(s, 1, 20) as begins from k""",
+    "q56_static_clean_project": rf"""with recursive {_EDGES}, reach(doc_id, path) as (select doc_id, path from files where path = 'f199.tex' union select e.doc_id, e.target from reach r join edges e on e.doc_id = r.doc_id and e.path = r.path),
+c as (select doc_id, path, case when path like '%.tex' then regexp_replace(regexp_replace(tex, '\n\s*\n', chr(10) || chr(10), 'g'), '^\s*\n', '') else tex end as content from files join (select distinct * from reach) r using (doc_id, path) where path <> 'f199.tex')
+select doc_id, path, md5(content) as content_md5, length(content) as n_chars from c""",
+    "q57_page_files": """select concat('/out/', doc_id, '/thread-0001-page-', lpad(cast(doc_id % 40 + 1 as varchar), 2, '0'), '.jpg') as path, cast(doc_id % 40 as integer) as page_index, cast(null as integer) as seq, cast(null as varchar) as category, cast(null as integer) as idx from documents
+union all select concat('/out/', doc_id, '/paper_block_', lpad(cast(doc_id % 7 as varchar), 5, '0'), '_', c, '_', lpad(cast(doc_id % 3 as varchar), 5, '0')), null, cast(doc_id % 7 as integer), c, cast(doc_id % 3 as integer) from (select doc_id, case when doc_id % 2 = 0 then 'Text-EQ' else 'Table' end as c from documents) d""",
+    "q57_paths": r"""with p as (select doc_id, source, concat(source, '/p', doc_id, '/fig.v1', case when doc_id % 2 = 0 then '.tex' else '' end) as below from documents where source is not null)
+select doc_id, concat('\data\', below) as path, below, concat(source, '/p', doc_id, case when doc_id % 2 = 0 then '/fig.v1.png' else '/fig.png' end) as png, concat('{', doc_id, '}') as inner, string_split(source, '/')[-1] as discipline from p""",
+    "q57_batches": "select count(distinct doc_id) as n_ids, true as fits from documents",
+    "q57_styled": rf"""with a as (select doc_id, {_before(chr(92) + 'begin{document}', colour.definitions())} as tex from ({MORE}) t), b as (select doc_id, {_before(chr(92) + 'end{document}', colour.layout_messages())} as tex from a)
+select doc_id, regexp_replace(case when regexp_matches(string_split(tex, '\begin{{document}}')[1], '\\usepackage(?:\[.*?\])?\{{hyperref\}}') then {_before(chr(92) + 'begin{document}', chr(92) + 'hypersetup{colorlinks=false}' + chr(10))} else tex end, '\\lstset\{{.*?\}}', '', 'g') as tex from b""",
+    "q57_mention_lists": f"select doc_id, category, count(*) as n, md5(string_agg(source_code, '|' order by idx)) as texts_md5 from ({_mentions(TEX)}) m group by doc_id, category",
 }

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import fixtures, schema
 from ..functions import args, tex as T
 from ..operators import clean, closure, colour, edits, export, extract, includes, layout, lexer, order, parse, quality, raster, records, refs, segments, tree
+from ..sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,7 +93,8 @@ def q10_coco_images(spark, d):
 
 @query
 def q10_coco_categories(spark, d):
-    return export.coco_categories(spark)
+    """The categories that some block has."""
+    return export.coco_categories(spark).join(fixtures.blocks(spark, d).select(F.col("category").alias("name")).distinct(), "name", "left_semi")
 
 
 @query
@@ -602,7 +604,9 @@ def q39_first_distinct(spark, d):
 
 @query
 def q40_categories(spark, d):
-    return schema.categories(spark).select(F.col("id").cast("long").alias("id"), "name", "supercategory")
+    """All categories, with how many blocks have each."""
+    used = fixtures.blocks(spark, d).groupBy(F.col("category").alias("name")).agg(F.count("*").alias("n_blocks"))
+    return schema.categories(spark).join(used, "name", "left").select(F.col("id").cast("long").alias("id"), "name", "supercategory", F.coalesce("n_blocks", F.lit(0)).alias("n_blocks"))
 
 
 def _main(spark, d):
@@ -849,3 +853,52 @@ def q55_placed_mentions(spark, d):
     """Mentions with their places in documents that stand twice, so that each mention has an equal one further on."""
     docs = fixtures.more_docs(spark, d).select("doc_id", F.concat("tex", "tex").alias("tex"))
     return extract.placed(docs, ["Caption", "Table", "Algorithm"]).select("doc_id", "category", "idx", "m_start", F.substring(F.col("source_code"), 1, 20).alias("begins"))
+
+
+@query
+def q56_static_clean_project(spark, d):
+    """Projects of whole texts without what their first file doesn't need, by the commands in them."""
+    files = fixtures.project_files(spark, d)
+    made = clean.clean_project(files, files.where("path = 'f199.tex'").select("doc_id", "path"))
+    return made.where("path <> 'f199.tex'").select("doc_id", "path", F.md5("content").alias("content_md5"), F.length("content").cast("long").alias("n_chars"))
+
+
+@query
+def q57_page_files(spark, d):
+    """Names of rendered pages and of variants' folders, taken apart."""
+    i = F.col("doc_id")
+    paths = fixtures.documents(spark, d).select("doc_id", F.format_string("/out/%d/thread-0001-page-%02d.jpg", i, i % 40 + 1).alias("page"), F.format_string("/out/%d/paper_block_%05d_%s_%05d", i, i % 7, F.when(i % 2 == 0, "Text-EQ").otherwise("Table"), i % 3).alias("folder"))
+    pages = files.page_images(paths.select(F.col("page").alias("path"), F.lit(b"").alias("content"))).select("path", "page_index")
+    folders = files.variant_folders(paths.select(F.col("folder").alias("path")))
+    return pages.select("path", "page_index", *(F.lit(None).cast(t).alias(c) for c, t in (("seq", "int"), ("category", "string"), ("idx", "int")))).unionByName(folders.withColumn("page_index", F.lit(None).cast("int")))
+
+
+@query
+def q57_paths(spark, d):
+    """Paths of files below a folder, their papers, and other extensions."""
+    i = F.col("doc_id").cast("string")
+    path = F.concat(F.lit("\\data\\"), F.col("source"), F.lit("/p"), i, F.lit("/fig.v1"), F.when(F.col("doc_id") % 2 == 0, ".tex").otherwise(""))
+    rows = fixtures.documents(spark, d).select("doc_id", path.alias("path"))
+    below = T.relative_path(F.col("path"), F.lit("/data/"))
+    named = rows.select("doc_id", "path", below.alias("below"), T.with_extension(below, ".png").alias("png"), T.without_outer_braces(F.concat(F.lit("{{"), i, F.lit("}}"))).alias("inner"))
+    papers = files.papers(rows.select("doc_id", F.replace("path", F.lit("\\"), F.lit("/")).alias("path")))
+    return named.join(papers.select("discipline", F.substring("paper_id", 2, 30).cast("bigint").alias("doc_id")), "doc_id")
+
+
+@query
+def q57_batches(spark, d):
+    """How many ids there are, how many requests they take at least, and the largest request."""
+    found = records.batches(fixtures.documents(spark, d).select(F.col("doc_id").cast("string").alias("id")), 100).groupBy("batch").agg(F.count("*").alias("n"))
+    return found.agg(F.sum("n").alias("n_ids"), (F.max("n") <= 100).alias("fits"))
+
+
+@query
+def q57_styled(spark, d):
+    return fixtures.more_docs(spark, d).select("doc_id", colour.styled(F.col("tex")).alias("tex"))
+
+
+@query
+def q57_mention_lists(spark, d):
+    """The map of mentions by category, taken apart."""
+    rows = extract.mention_map(extract.mentions(fixtures.tex_docs(spark, d))).select("doc_id", F.explode("texts").alias("category", "texts"))
+    return rows.select("doc_id", "category", F.size("texts").cast("long").alias("n"), F.md5(F.array_join("texts", "|")).alias("texts_md5"))
