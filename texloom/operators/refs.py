@@ -54,25 +54,17 @@ def title_labels(docs: DataFrame) -> DataFrame:
 
 
 def float_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, category, idx, span_start, span_end (offsets from 0), float_key, labels of each float environment; the documents are read once."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,t:string>>").alias("found"))
+    """doc_id, category, idx, span_start, span_end (offsets from 0), float_key, labels of each float environment; the documents are read once.
 
-    def spans(name: str) -> Column:
-        env = name.lower()
-        pattern = rf"(?s)\\begin\{{{env}\*?\}}.*?\\end\{{{env}\*?\}}"
-        # what lies before a span is the gaps and spans before it: one fold adds them up
-        both = F.arrays_zip(F.split(F.col("tex"), pattern, -1).alias("gap"), T.every("tex", pattern).alias("span"))
-
-        def step(a: Column, x: Column) -> Column:
-            at = a["at"] + F.length(x["gap"])
-            found = F.when(x["span"].isNull(), a["found"]).otherwise(F.array_append(a["found"], F.struct(at.alias("s"), x["span"].alias("t"))))
-            return F.struct((at + F.coalesce(F.length(x["span"]), F.lit(0))).alias("at"), found.alias("found"))
-
-        return F.aggregate(both, start, step, lambda a: a["found"])
-
-    each = F.array(*(F.struct(F.lit(c).alias("category"), spans(c).alias("l")) for c in FLOATS))
+    A span is listed with the length of what lies before it, and a running sum over the spans of a document gives its place.
+    """
+    patterns = {c: rf"(?s)\\begin\{{{c.lower()}\*?\}}.*?\\end\{{{c.lower()}\*?\}}" for c in FLOATS}
+    each = F.array(*(F.struct(F.lit(c).alias("category"), T.gapped("tex", p).alias("l")) for c, p in patterns.items()))
     rows = docs.select("doc_id", F.explode(each).alias("m")).select("doc_id", "m.category", F.posexplode("m.l").alias("idx", "v"))
-    rows = rows.select("doc_id", "category", F.col("idx").cast("long").alias("idx"), F.col("v.s").cast("long").alias("span_start"), (F.col("v.s") + F.length("v.t")).cast("long").alias("span_end"), T.every(F.col("v.t"), T.LABEL, 1).alias("labels"))
+    rows = rows.select("doc_id", "category", F.col("idx").cast("long").alias("idx"), F.col("v.gap").alias("gap"), F.length("v.text").alias("size"), T.every(F.col("v.text"), T.LABEL, 1).alias("labels"))
+    upto = Window.partitionBy("doc_id", "category").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("span_end", F.sum(F.col("gap") + F.col("size")).over(upto).cast("long"))
+    rows = rows.select("doc_id", "category", "idx", (F.col("span_end") - F.col("size")).alias("span_start"), "span_end", "labels")
     return rows.withColumn("float_key", F.concat_ws(":", "category", "span_start"))
 
 
@@ -109,8 +101,13 @@ def holders(mentions: DataFrame, spans: DataFrame) -> DataFrame:
 
 def contained(mentions: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, m_category, idx, float_key, category, labels: each mention with the float that holds it, the last by category and start."""
+    return innermost(holders(mentions, spans))
+
+
+def innermost(held: DataFrame) -> DataFrame:
+    """contained(), of what holders gives."""
     rank = F.struct(F.array_position(F.array(*map(F.lit, FLOATS)), F.col("category")).alias("c"), F.col("span_start").alias("s"))
-    best = holders(mentions, spans).groupBy("doc_id", "m_category", "m_idx").agg(F.max_by(F.struct("float_key", "category", "labels"), rank).alias("b"))
+    best = held.groupBy("doc_id", "m_category", "m_idx").agg(F.max_by(F.struct("float_key", "category", "labels"), rank).alias("b"))
     return best.select("doc_id", "m_category", F.col("m_idx").alias("idx"), "b.float_key", "b.category", F.array_join("b.labels", ",").alias("labels"))
 
 
@@ -138,7 +135,7 @@ def block_labels(blocks: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFra
     held = holders(located(inner, docs), float_spans(docs))
     bodies = held.where("category = m_category").join(blocks.select("doc_id", F.col("block_id").alias("m_idx"), "ann_pos"), ["doc_id", "m_idx"])
     floats = bodies.select("doc_id", F.col("m_idx").alias("block_id"), "ann_pos", F.explode(F.array_append("labels", F.col("float_key"))).alias("label"))
-    captions = contained(located(inner, docs).where(F.col("category").isin(IMPLICIT)), float_spans(docs))
+    captions = innermost(held.where(F.col("m_category").isin(IMPLICIT)))
     cites = captions.select("doc_id", F.col("idx").alias("from_id"), F.lit("implicit-cite").alias("type"), F.col("float_key").alias("label"))
     return titles.unionByName(equations).unionByName(floats), cites
 

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.tex import gapped
+
 
 def find_all(nodes: DataFrame, names: list[str] | str) -> DataFrame:
     """Commands and environments of these names."""
@@ -67,21 +69,18 @@ def texts(nodes: DataFrame) -> DataFrame:
 
 def search(nodes: DataFrame, pattern: str) -> DataFrame:
     """doc_id, pre, idx, body, position (offset in the document) of each match of a pattern within a text leaf."""
-    rows = texts(nodes).select("doc_id", "pre", "char_pos", F.arrays_zip(F.split("text", pattern, -1).alias("gap"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("body")).alias("both"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<body:string,position:int>>").alias("found"))
-
-    def step(a: Column, x: Column) -> Column:
-        at = a["at"] + F.length(x["gap"])
-        found = F.when(x["body"].isNull(), a["found"]).otherwise(F.array_append(a["found"], F.struct(x["body"].alias("body"), at.alias("position"))))
-        return F.struct((at + F.coalesce(F.length(x["body"]), F.lit(0))).alias("at"), found.alias("found"))
-
-    rows = rows.select("doc_id", "pre", "char_pos", F.posexplode(F.aggregate("both", start, step, lambda a: a["found"])).alias("idx", "m"))
-    return rows.select("doc_id", "pre", F.col("idx").cast("long").alias("idx"), "m.body", (F.col("char_pos") + F.col("m.position")).cast("long").alias("position"))
+    rows = texts(nodes).select("doc_id", "pre", "char_pos", F.posexplode(gapped("text", pattern)).alias("idx", "m"))
+    upto = Window.partitionBy("doc_id", "pre").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("m.gap") + F.length("m.text")).over(upto)
+    return rows.withColumn("_end", end).select("doc_id", "pre", F.col("idx").cast("long").alias("idx"), F.col("m.text").alias("body"), (F.col("char_pos") + F.col("_end") - F.length("m.text")).cast("long").alias("position"))
 
 
 def source(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """nodes with source, the text that each spans."""
-    return nodes.join(docs.select("doc_id", "tex"), "doc_id").select(*nodes.columns, F.substring(F.col("tex"), F.col("char_pos") + 1, F.col("char_end") - F.col("char_pos")).alias("source"))
+    """nodes with source, the text that each spans. A document's text meets all its nodes in one row; it isn't copied to each of them."""
+    spans = nodes.select("doc_id", F.struct("pre", "char_pos", "char_end").alias("s")).groupBy("doc_id").agg(F.collect_set("s").alias("_s"))
+    cut = F.transform("_s", lambda x: F.struct(x["pre"].alias("pre"), F.substring(F.col("tex"), x["char_pos"] + 1, x["char_end"] - x["char_pos"]).alias("source")))
+    texts_ = docs.select("doc_id", "tex").join(spans, "doc_id").select("doc_id", F.explode(cut).alias("c")).select("doc_id", "c.pre", "c.source")
+    return nodes.join(texts_, ["doc_id", "pre"]).select(*nodes.columns, "source")
 
 
 def positions(nodes: DataFrame, docs: DataFrame) -> DataFrame:
