@@ -2,26 +2,11 @@
 
 from __future__ import annotations
 
-import re
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from ..sources.rounds import new_folder as new_path, shared_dir
 
-#: Used only where spark.checkpoint.dir is unset and all executors are in this process.
-LOCAL_DIR = "file:///tmp/checkpoints/texloom"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a cluster must name one."""
-    found = spark.conf.get("spark.checkpoint.dir", "")
-    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return (found or LOCAL_DIR).rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+__all__ = ["file_system", "local_uri", "new_path", "shared_dir", "table_bytes", "written"]
 
 
 def written(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
