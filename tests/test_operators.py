@@ -226,3 +226,25 @@ def test_places_equal_the_models(spark):
     want = extract.mentions(docs).where("category in ('Caption', 'Footnote', 'Table')")
     got = found.select(want.columns)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() > 100
+
+
+def test_a_folder_is_cleaned_from_the_command_line(spark, tmp_path, capsys):
+    from texloom.__main__ import main
+
+    source, target = tmp_path / "in", tmp_path / "out"
+    (source / "sec").mkdir(parents=True)
+    (source / "main.tex").write_text("\\documentclass{own}% note\n\n\n\n\\begin{document}\n\\input{sec/a}\n\\includegraphics{fig}\n\\end{document}")
+    (source / "sec/a.tex").write_text("A % gone")
+    (source / "own.cls").write_text("\n\nclass\n\n\n\nend % kept")
+    (source / "main.bbl").write_bytes(b"bbl \xff")
+    (source / "fig.png").write_bytes(b"\x89PNG\x00")
+    (source / "spare.png").write_bytes(b"x")
+    (source / "old.tex").write_text("no document")
+    assert main(["clean", str(source), str(target)]) == 0 and "5 files" in capsys.readouterr().out
+    assert (target / "main.tex").read_text() == "\\documentclass{own}\n\n\\begin{document}\nA \n\\includegraphics{fig}\n\\end{document}"
+    assert (target / "own.cls").read_text() == "class\n\nend % kept" and (target / "fig.png").read_bytes() == b"\x89PNG\x00" and (target / "main.bbl").read_bytes() == b"bbl \xff"
+    assert not (target / "spare.png").exists() and not (target / "old.tex").exists()
+    paper = tmp_path / "all/cs/p1"
+    paper.mkdir(parents=True)
+    (paper / "main.tex").write_text("\\begin{document}\\caption{c}\\end{document}")
+    assert main(["annotate", str(tmp_path / "all"), str(tmp_path / "tables"), "--discipline", "cs"]) == 0 and "1 success" in capsys.readouterr().out

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import re
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import tex as T
-from ..sources.files import SOURCES
+from ..sources import files
+from ..sources.folders import register
 from ..sources.rounds import cut
 from . import closure, includes, records
 from .export import export
@@ -14,6 +17,9 @@ from .order import reading_order
 from .quality import category_quality, page_quality
 from .refs import float_and_cross_references
 
+#: Paths of source and style files.
+SOURCE_NAME = "(?:" + "|".join(x.replace(".", "[.]") for x in files.SOURCES) + ")$"
+
 
 def clean_documents(docs: DataFrame) -> DataFrame:
     """doc_id, tex without comment environments, line comments, contents lists, old figure commands and spare blank lines."""
@@ -21,20 +27,19 @@ def clean_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", T.without_spare_blank_lines(T.with_plain_graphics(T.without_contents_lists(tex))).alias("tex"))
 
 
-def clean_project(files: DataFrame, roots: DataFrame, recorded: DataFrame | None = None) -> DataFrame:
+def clean_project(found: DataFrame, roots: DataFrame, recorded: DataFrame | None = None) -> DataFrame:
     """doc_id, path, content of the needed files of each project, its roots expanded and cleaned.
 
-    files: doc_id, path, tex; roots: doc_id, path; recorded: doc_id, line of the compiler's file record; without it the files that the
+    found: doc_id, path, tex of files; roots: doc_id, path; recorded: doc_id, line of the compiler's file record; without it the files that the
     roots name, directly or through others, are needed. Roots and their .bbl files are kept in any case, and no source or style file
     keeps spare blank lines.
     """
-    expanded = includes.resolved(files, roots)
+    expanded = includes.resolved(found, roots)
     cleaned = expanded.select("doc_id", "path", T.without_line_comments(T.without_comment_envs("tex")).alias("content"))
-    whole = records.overlaid(files.select("doc_id", "path", F.col("tex").alias("content")), cleaned)
-    wanted = closure.dependencies(files, roots) if recorded is None else records.needed(whole, records.recorded_inputs(recorded))
+    whole = records.overlaid(found.select("doc_id", "path", F.col("tex").alias("content")), cleaned)
+    wanted = closure.dependencies(found, roots) if recorded is None else records.needed(whole, records.recorded_inputs(recorded))
     wanted = wanted.union(roots.select("doc_id", "path")).union(roots.select("doc_id", T.with_extension(F.col("path"), ".bbl").alias("path"))).distinct()
-    source = F.col("path").rlike("(?:" + "|".join(x.replace(".", "[.]") for x in SOURCES) + ")$")
-    tidy = F.when(source, T.without_spare_blank_lines("content")).otherwise(F.col("content"))
+    tidy = F.when(F.col("path").rlike(SOURCE_NAME), T.without_spare_blank_lines("content")).otherwise(F.col("content"))
     return whole.join(wanted, ["doc_id", "path"], "left_semi").select("doc_id", "path", tidy.alias("content"))
 
 
@@ -45,14 +50,14 @@ def annotated(docs: DataFrame, blocks: DataFrame) -> dict[str, DataFrame]:
     return {"mentions": found, "orders": orders, "pages": page_quality(blocks), "categories": category_quality(blocks, found)}
 
 
-def process_discipline(files: DataFrame, root_depth: int, target: str, discipline: str | None = None) -> DataFrame:
-    """Finds the main documents among files (path, content) of a root of root_depth parts, cleans them and adds their mentions and statuses to target; returns the statuses.
+def process_discipline(folder: DataFrame, root_depth: int, target: str, discipline: str | None = None) -> DataFrame:
+    """Finds the main documents among the files (path, content) of a root of root_depth parts, cleans them and adds their mentions and statuses to target; returns the statuses.
 
     Documents whose status target has already are left out, so a run that is repeated, or goes on after a failure, adds each once. A
     document that cannot be cleaned or extracted is a row of status failed. Runs jobs.
     """
-    spark = files.sparkSession
-    found = records.main_documents(files, root_depth)
+    spark = folder.sparkSession
+    found = records.main_documents(folder, root_depth)
     found = (found if discipline is None else found.where(F.col("discipline") == discipline)).select(F.xxhash64("path").alias("doc_id"), "path", "discipline", "tex")
     place = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/statuses")
     if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
@@ -63,3 +68,21 @@ def process_discipline(files: DataFrame, root_depth: int, target: str, disciplin
     said = cut(document_statuses(cleaned).join(docs.select("doc_id", "discipline", "path"), "doc_id").select("discipline", "doc_id", "path", "status", "error"), "statuses")
     export(said, f"{target}/statuses", ["discipline", "doc_id"])
     return said
+
+
+def clean_folder(spark: SparkSession, source: str, target: str, roots: list[str] | None = None) -> int:
+    """Writes a cleaned copy of the project in a folder to another: the files that its roots need, with includes in place and comments gone. Returns how many.
+
+    roots: paths below source of the documents to keep, or else all that hold a document. Files other than sources are copied as they are. Runs jobs.
+    """
+    register(spark)
+    base = F.lit(re.sub(r"^file:/*", "/", source).rstrip("/") + "/")
+    path = F.regexp_replace("path", "^file:/*", "/")
+    found = files.files(spark, source).select(F.lit(0).cast("bigint").alias("doc_id"), T.relative_path(path, base).alias("path"), "content")
+    text = F.when(F.col("path").rlike(SOURCE_NAME), F.try_validate_utf8(F.col("content").cast("string")))
+    project = cut(found.withColumn("tex", text), "project")
+    main = project.where(F.contains("tex", F.lit(r"\begin{document}")) if roots is None else F.col("path").isin(roots)).select("doc_id", "path")
+    kept = clean_project(project.select("doc_id", "path", "tex"), main).withColumnRenamed("content", "_new")
+    made = cut(project.join(kept, ["doc_id", "path"]).select("path", F.coalesce(F.col("_new").cast("binary"), "content").alias("content")), "cleaned")
+    made.write.format("paper_folder").mode("append").save(target)
+    return made.count()
