@@ -20,9 +20,9 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Chunks that a worker remembers, twice over at most (about 200 bytes each), so its memory is bounded.
-REMEMBERED = 500_000
+REMEMBERED = 350_000
 #: Text bytes that are encoded together.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 #: White_Space of Unicode, which the tokenizers' patterns call \s.
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: A run of letters that ends for certain where it is cut: before white space or ASCII punctuation but the apostrophe.
