@@ -373,4 +373,11 @@ select doc_id, concat('\data\', below) as path, below, concat(source, '/p', doc_
     "q57_styled": rf"""with a as (select doc_id, {_before(chr(92) + 'begin{document}', colour.definitions())} as tex from ({MORE}) t), b as (select doc_id, {_before(chr(92) + 'end{document}', colour.layout_messages())} as tex from a)
 select doc_id, regexp_replace(case when regexp_matches(string_split(tex, '\begin{{document}}')[1], '\\usepackage(?:\[.*?\])?\{{hyperref\}}') then {_before(chr(92) + 'begin{document}', chr(92) + 'hypersetup{colorlinks=false}' + chr(10))} else tex end, '\\lstset\{{.*?\}}', '', 'g') as tex from b""",
     "q57_mention_lists": f"select doc_id, category, count(*) as n, md5(string_agg(source_code, '|' order by idx)) as texts_md5 from ({_mentions(TEX)}) m group by doc_id, category",
+    "q11_layout_info": f"""with b as ({BLOCKS}), p as (select doc_id, cast(page_index as varchar) as page, to_json(list({{'block_id': block_id, 'category': category, 'page_index': page_index, 'parent_block': coalesce(parent_block, -1), 'source_code': source_code, 'bbox': [x0, y0, x1, y1]}} order by ann_pos)) as j from b group by doc_id, page_index)
+select doc_id, concat('{{', string_agg(concat('"', page, '":', j), ',' order by page), '}}') as layout from p group by doc_id""",
+    "q11_order_annotation": f"select doc_id, cast(to_json(list({{'type': type, 'from': from_id, 'to': to_id}} order by from_id, type, to_id)) as varchar) as orders from ({ORDERS}) o group by doc_id",
+    "q10_coco_documents": f"""with b as ({BLOCKS}), a as (select *, row_number() over (partition by doc_id, page_index order by ann_pos, block_id) - 1 as id, {CATEGORY_ID} as cat from b),
+n as (select doc_id, to_json(list({{'id': id, 'image_id': page_index, 'category_id': cast(cat as bigint), 'bbox': [x0, y0, x1 - x0, y1 - y0], 'area': (x1 - x0) * (y1 - y0), 'iscrowd': 0, 'segmentation': cast([] as double[])}} order by page_index, id)) as anns from a group by doc_id),
+i as (select doc_id, to_json(list({{'id': page_index, 'width': 612, 'height': 792, 'file_name': concat('page_', lpad(cast(page_index as varchar), 4, '0'), '.jpg')}} order by page_index)) as images from (select distinct doc_id, page_index from b) p group by doc_id)
+select doc_id, concat('{{"images":', images, ',"annotations":', anns, ',"categories":', (select to_json(list({{'id': id, 'name': name, 'supercategory': supercategory}} order by id)) from (values {_VALUES}) v(id, name, supercategory)), '}}') as coco from i join n using (doc_id)""",
 }
