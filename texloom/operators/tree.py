@@ -76,11 +76,12 @@ def search(nodes: DataFrame, pattern: str) -> DataFrame:
 
 
 def source(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """nodes with source, the text that each spans. A document's text meets all its nodes in one row; it isn't copied to each of them."""
-    spans = nodes.select("doc_id", F.struct("pre", "char_pos", "char_end").alias("s")).groupBy("doc_id").agg(F.collect_set("s").alias("_s"))
-    cut = F.transform("_s", lambda x: F.struct(x["pre"].alias("pre"), F.substring(F.col("tex"), x["char_pos"] + 1, x["char_end"] - x["char_pos"]).alias("source")))
-    texts_ = docs.select("doc_id", "tex").join(spans, "doc_id").select("doc_id", F.explode(cut).alias("c")).select("doc_id", "c.pre", "c.source")
-    return nodes.join(texts_, ["doc_id", "pre"]).select(*nodes.columns, "source")
+    """nodes with source, the text that each spans. A document's text meets all its nodes in one row, so it isn't copied to each of them; nodes are read once."""
+    own = [c for c in nodes.columns if c != "doc_id"]
+    spans = nodes.where("pre is not null").groupBy("doc_id").agg(F.collect_list(F.struct(*own)).alias("_s"))
+    cut_ = F.transform("_s", lambda x: F.struct(x.alias("n"), F.substring(F.col("tex"), x["char_pos"] + 1, x["char_end"] - x["char_pos"]).alias("source")))
+    found = docs.select("doc_id", "tex").join(spans, "doc_id").select("doc_id", F.explode(cut_).alias("c"))
+    return found.select(*("doc_id" if c == "doc_id" else f"c.n.{c}" for c in nodes.columns), "c.source")
 
 
 def positions(nodes: DataFrame, docs: DataFrame) -> DataFrame:
