@@ -63,3 +63,26 @@ def test_recall_on_large_mixed_buckets(spark):
     kept = {r.doc_id for r in nearcopies.keep_one(df).collect()}
     groups = set(want.values())
     assert groups <= kept and len(kept) <= 1.05 * len(groups), (len(kept), len(groups))
+
+
+def test_pairs_of_large_buckets_are_exact(spark):
+    """Every similar pair of different groups, among many texts that resemble one another less."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from texloom.llm import nearcopies
+
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(200)]
+    texts = []
+    for k in range(60):
+        own = [w if rng.random() > 0.06 else f"x{k}-{i}" for i, w in enumerate(base)]
+        texts += [" ".join(own), " ".join([*own[:-1], f"y{k}"])]
+    docs = spark.createDataFrame(list(enumerate([*texts, "", "one"])), "doc_id bigint, text string")
+    rows = docs.select(nearcopies._sig().alias("sig"), "text").collect()
+    sets = {r["sig"]: nearcopies.shingles(r["text"]) for r in rows}
+    members = spark.createDataFrame([((s, len(x)), s) for s, x in sets.items()], "t struct<sig:bigint,n:int>, root bigint").withColumn("band", F.lit(0))
+    found = {frozenset((r["u"]["sig"], r["v"]["sig"])) for r in nearcopies.exact_pairs(docs, members).collect()}
+    want = {frozenset((a, b)) for a in sets for b in sets if a < b and nearcopies.similar(sets[a], sets[b])}
+    assert len(want) >= 60 and want <= found

@@ -15,10 +15,9 @@ still hold several groups go on. One of up to SMALL different texts gives all
 its pairs of different groups. In a larger one the texts outside its largest
 group are compared with CENTRES texts of that group, chosen by a hash of bucket
 and round, and with one of another group. That goes on for ROUNDS rounds, or
-until no large bucket is mixed or nothing new is found. So a pair of similar
-texts is missed only if it shares no small bucket, neither text is the other's
-centre in any band and round, and no third text links them; tests measure the
-recall on large mixed groups.
+until nothing new is found. What is in large mixed buckets then is joined
+exactly, by a prefix filter over the sets (exact_pairs). So each pair of
+similar texts that share a bucket is linked, by itself or through others.
 
 Texts are told apart by 64-bit hashes: among 1e10 different ones about three
 pairs are taken as equal.
@@ -37,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .arrow import pieces, texts_of
 from .shared import written
@@ -173,22 +172,52 @@ def verified(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     return written(both.select("u", "v", "text", "other").mapInArrow(run, "u bigint, v bigint"), "nearcopies-links", compact=True)
 
 
+def exact_pairs(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """u, v: all pairs of different groups among the texts of members that can be similar, by an exact prefix filter.
+
+    With each set's shingles in one order, the rarest first, two sets of LEAST similarity share one of the first
+    n - ceil(LEAST n) + 1 of each. A shingle meets only the groups that have it there, and a shingle's largest group not itself.
+    """
+    some = written(members.select("t", "root").distinct(), "nearcopies-mixed-texts", compact=True)
+    whole = docs.select(_sig().alias("sig"), "text").join(some.select("t.sig"), "sig", "left_semi").groupBy("sig").agg(F.first("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                sets = [shingles(text) for text in texts_of(part)]
+                owners = np.repeat(part.column("sig").to_numpy(), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(sets).view(np.int64))], ["sig", "token"])
+
+    rows = written(whole.mapInArrow(run, "sig bigint, token bigint"), "nearcopies-tokens")
+    ranked = rows.join(rows.groupBy("token").agg(F.count("*").alias("df")), "token")
+    ranked = ranked.withColumn("place", F.row_number().over(Window.partitionBy("sig").orderBy("df", "token"))).where("df > 1")
+    first = ranked.join(some.select("t.sig", "t", "root"), "sig").where(F.col("place") <= F.col("t.n") - F.ceil(F.col("t.n") * LEAST - 1e-9) + 1)
+    first = written(first.select("token", "t", "root"), "nearcopies-prefixes", compact=True)
+    groups = first.groupBy("token", "root").agg(F.count("*").alias("size"))
+    main = groups.groupBy("token").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("many")).where("many > 1").select("token", "main")
+    shared = first.join(main, "token")
+    outside = shared.where("root <> main").select("token", F.col("t").alias("u"), F.col("root").alias("_root"))
+    return outside.join(shared, "token").where("root <> _root and (root = main or u.sig < t.sig)").select("u", F.col("t").alias("v")).distinct()
+
+
 def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """u, v: verified pairs whose closure is that of all candidates'."""
     members = band_buckets(distinct)
     found = verified(docs, _to_centres(members).union(fingerprint_candidates(distinct)))
-    for number in range(1, ROUNDS + 1):
-        if number > 1 and members.isEmpty():
-            break
+    number, last = 0, False
+    while not last:
+        number += 1
         roots = written(components(found), "nearcopies-roots", compact=True)
         mixed = mixed_buckets(members, roots)
         if mixed.isEmpty():
             break
         members = mixed.where(F.col("many") > SMALL)
+        last = number > ROUNDS
         # what small buckets give is whole; what was found before is kept as a link to its group's root
-        new = verified(docs, _pairs(mixed.where(F.col("many") <= SMALL)).union(_to_other_centres(members, number)))
-        if new.isEmpty():
-            break
+        large = exact_pairs(docs, members) if last else _to_other_centres(members, number)
+        new = verified(docs, _pairs(mixed.where(F.col("many") <= SMALL)).union(large))
+        if not last and new.isEmpty():
+            number = ROUNDS  # centres give no more: the rest is compared exactly
         found = roots.where("node <> root").selectExpr("node as u", "root as v").union(new)
     return found
 
