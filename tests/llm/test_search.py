@@ -94,3 +94,13 @@ def test_max_score_equals_whole_sums():
 
 def test_empty_tables(spark):
     assert run(spark, [], [(1, "a")]) == [] and run(spark, [(1, "a")], []) == [] and run(spark, [(1, None)], [(1, "a")]) == []
+
+
+def test_a_row_group_of_the_index_holds_few_shards(spark):
+    """Readers and writers hold a whole row group, so it must not grow with the documents of a task."""
+    import pyarrow.parquet as pq
+
+    docs = spark.range(0, 120, 1, 1).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 20000), x -> hex(xxhash64(x, id)))) as text")
+    files = [pq.ParquetFile(f.removeprefix("file://").removeprefix("file:")) for f in search.index(docs).inputFiles()]
+    sizes = [f.metadata.row_group(k).num_rows for f in files for k in range(f.num_row_groups)]
+    assert sum(sizes) == 10 and max(sizes) <= 3

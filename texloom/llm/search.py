@@ -118,7 +118,7 @@ def index(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"n_docs bigint, n_terms bigint, ids array<{kind}>, lengths array<bigint>, terms array<string>, counts array<int>, postings array<int>, tfs array<int>"
-    return written(docs.select("doc_id", "text").mapInArrow(built, schema), "search-index")
+    return written(docs.select("doc_id", "text").mapInArrow(built, schema), "search-index", large_rows=True)
 
 
 def item_terms(items: DataFrame) -> DataFrame:
