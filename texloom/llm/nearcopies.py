@@ -16,7 +16,8 @@ its pairs of different groups. In a larger one the texts outside its largest
 group are compared with CENTRES texts of that group, chosen by a hash of bucket
 and round, and with one of another group. That goes on for ROUNDS rounds, or
 until nothing new is found. What is in large mixed buckets then is joined
-exactly, by a prefix filter over the sets (exact_pairs). So each pair of
+exactly, by a prefix filter over the sets' differences from a centre
+(exact_pairs). So each pair of
 similar texts that share a bucket is linked, by itself or through others.
 
 Texts are told apart by 64-bit hashes: among 1e10 different ones about three
@@ -47,6 +48,8 @@ BANDS, ROWS, SHINGLE, LEAST = 20, 4, 5, 0.8
 FIRST = 4
 #: Different texts in a bucket up to which all its pairs are compared; texts of a larger one's main group that others are compared with in a round, and rounds.
 SMALL, CENTRES, ROUNDS = 32, 4, 4
+#: Two sets have a similarity of LEAST or more if they have APART times as many members as their symmetric difference.
+APART = round((1 + LEAST) / (1 - LEAST))
 _MULTIPLY, _ADD = np.random.default_rng(42).integers(0, 1 << 63, (2, BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -153,14 +156,20 @@ def _to_other_centres(members: DataFrame, number: int) -> DataFrame:
     return found.select(F.col("t").alias("u"), F.explode(F.array_distinct(F.concat("main.texts", with_other))).alias("v"))
 
 
+def _with_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """u, v, text, other: pairs of sigs with the texts of both."""
+    needed = written(pairs.select(F.col("u").alias("sig")).union(pairs.select("v")).distinct(), "nearcopies-needed", compact=True)
+    some = docs.select(_sig().alias("sig"), "text").join(needed, "sig", "left_semi")
+    texts = written(some.groupBy("sig").agg(F.first("text").alias("text")), "nearcopies-texts", compact=True)
+    both = pairs.join(texts.withColumnRenamed("sig", "u"), "u").join(texts.select(F.col("sig").alias("v"), F.col("text").alias("other")), "v")
+    return both.select("u", "v", "text", "other")
+
+
 def verified(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     """u, v: the sigs of candidates whose whole sets are similar."""
     close = F.least("u.n", "v.n") >= LEAST * F.greatest("u.n", "v.n")
     pairs = candidates.where(close).select(F.least("u.sig", "v.sig").alias("u"), F.greatest("u.sig", "v.sig").alias("v")).where("u <> v").distinct()
     pairs = written(pairs, "nearcopies-candidates", compact=True)
-    needed = written(pairs.select(F.col("u").alias("sig")).union(pairs.select("v")).distinct(), "nearcopies-needed", compact=True)
-    some = docs.select(_sig().alias("sig"), "text").join(needed, "sig", "left_semi")
-    texts = written(some.groupBy("sig").agg(F.first("text").alias("text")), "nearcopies-texts", compact=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,36 +177,53 @@ def verified(docs: DataFrame, candidates: DataFrame) -> DataFrame:
                 same = [similar(shingles(a), shingles(b)) for a, b in zip(texts_of(part), texts_of(part, "other"), strict=True)]
                 yield part.select(["u", "v"]).filter(pa.array(same, pa.bool_()))
 
-    both = pairs.join(texts.withColumnRenamed("sig", "u"), "u").join(texts.select(F.col("sig").alias("v"), F.col("text").alias("other")), "v")
-    return written(both.select("u", "v", "text", "other").mapInArrow(run, "u bigint, v bigint"), "nearcopies-links", compact=True)
+    return written(_with_texts(docs, pairs).mapInArrow(run, "u bigint, v bigint"), "nearcopies-links", compact=True)
+
+
+def _centred(members: DataFrame) -> DataFrame:
+    """t, root, c, main of members: c, of root main, is the text of the largest group of t's bucket whose buckets hold the most. Members of buckets with one largest group have one c."""
+    by = [c for c in members.columns if c not in ("t", "root", "many")]
+    groups = members.groupBy(*by, "root").agg(F.count("*").alias("size"))
+    main = groups.groupBy(*by).agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("all"))
+    main = written(main, "nearcopies-main-groups", compact=True)
+    weights = members.join(main, by).groupBy("t", "root").agg(F.sum("all").alias("weight"))
+    centres = weights.groupBy(F.col("root").alias("main")).agg(F.max_by("t", F.struct("weight", "t.sig")).alias("c"))
+    return written(members.join(main, by).join(centres, "main").select("t", "root", "c", "main").distinct(), "nearcopies-centred", compact=True)
 
 
 def exact_pairs(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """u, v: all pairs of different groups among the texts of members that can be similar, by an exact prefix filter.
+    """u, v: pairs of different groups among the texts of members, that all pairs of a bucket that are similar are linked by; an exact prefix filter.
 
-    With each set's shingles in one order, the rarest first, two sets of LEAST similarity share one of the first
-    n - ceil(LEAST n) + 1 of each. A shingle meets only the groups that have it there, and a shingle's largest group not itself.
+    Texts are looked at as what tells them from a centre c: D(x), the shingles in one of x and c only. x and y are similar if and only if
+    x ^ y = D(x) ^ D(y) has (|x| + |y|) / APART shingles at most, so D(x) and D(y) share a number that grows with their sizes.
+    Texts similar to c are linked with it. Of any other pair D(x) and D(y) share one at least: with their shingles in one order, the
+    rarest first, and i and j the places of the first that they share, 1 + min(|D(x)| - i, |D(y)| - j) is what they can share.
+    What near copies have in common stands in no D, so the shingles that meet are those that few of them lost or got.
     """
-    some = written(members.select("t", "root").distinct(), "nearcopies-mixed-texts", compact=True)
-    whole = docs.select(_sig().alias("sig"), "text").join(some.select("t.sig"), "sig", "left_semi").groupBy("sig").agg(F.first("text").alias("text"))
+    some = _centred(members)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                sets = [shingles(text) for text in texts_of(part)]
-                owners = np.repeat(part.column("sig").to_numpy(), [len(x) for x in sets])
-                yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(sets).view(np.int64))], ["sig", "token"])
-
-    rows = written(whole.mapInArrow(run, "sig bigint, token bigint"), "nearcopies-tokens")
-    ranked = rows.join(rows.groupBy("token").agg(F.count("*").alias("df")), "token")
-    ranked = ranked.withColumn("place", F.row_number().over(Window.partitionBy("sig").orderBy("df", "token"))).where("df > 1")
-    first = ranked.join(some.select("t.sig", "t", "root"), "sig").where(F.col("place") <= F.col("t.n") - F.ceil(F.col("t.n") * LEAST - 1e-9) + 1)
-    first = written(first.select("token", "t", "root"), "nearcopies-prefixes", compact=True)
-    groups = first.groupBy("token", "root").agg(F.count("*").alias("size"))
-    main = groups.groupBy("token").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("many")).where("many > 1").select("token", "main")
-    shared = first.join(main, "token")
-    outside = shared.where("root <> main").select("token", F.col("t").alias("u"), F.col("root").alias("_root"))
-    return outside.join(shared, "token").where("root <> _root and (root = main or u.sig < t.sig)").select("u", F.col("t").alias("v")).distinct()
+                rows = [np.setxor1d(shingles(a), shingles(b), assume_unique=True).view(np.int64) for a, b in zip(texts_of(part), texts_of(part, "other"), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("u"), part.column("v"), pa.array(rows, pa.list_(pa.int64()))], ["u", "v", "tokens"])
+
+    apart = _with_texts(docs, some.selectExpr("t.sig as u", "c.sig as v")).mapInArrow(run, "u bigint, v bigint, tokens array<bigint>")
+    rows = some.join(apart, (F.col("t.sig") == F.col("u")) & (F.col("c.sig") == F.col("v"))).withColumn("size", F.size("tokens"))
+    rows = rows.withColumn("near", APART * F.col("size") <= F.col("t.n") + F.col("c.n")).select("t", "root", "c", "main", "size", "near", "tokens")
+    rows = written(rows, "nearcopies-apart", compact=True)
+    # the least that D(t) shares with another D, whatever that is: one of a pair is not near
+    excess = APART * F.col("size") + F.when(F.col("near"), F.col("c.n") - F.col("t.n")).otherwise(-F.col("c.n") - F.col("t.n"))
+    need = F.greatest(F.lit(1), F.ceil(excess / (2 * APART)))
+    tokens = rows.select("t", "root", F.col("c.sig").alias("c"), "size", "near", need.alias("need"), F.explode("tokens").alias("token"))
+    ranked = tokens.join(tokens.groupBy("c", "token").agg(F.count("*").alias("df")), ["c", "token"])
+    ranked = ranked.withColumn("place", F.row_number().over(Window.partitionBy("c", "t").orderBy("df", "token"))).where("df > 1 and place <= size - need + 1")
+    first = written(ranked.select("c", "token", "t", "root", "near", F.col("size").alias("a"), (F.col("size") - F.col("place")).alias("left")), "nearcopies-prefixes", compact=True)
+    far = first.where("not near").select("c", "token", F.col("t").alias("u"), *(F.col(k).alias(f"_{k}") for k in ("root", "a", "left")))
+    can = 2 * APART * (1 + F.least("_left", "left")) >= APART * (F.col("_a") + F.col("a")) - F.col("u.n") - F.col("t.n")
+    close = F.least("u.n", "t.n") >= LEAST * F.greatest("u.n", "t.n")
+    found = far.join(first, ["c", "token"]).where(can & close).where("root <> _root and (near or u.sig < t.sig)").select("u", F.col("t").alias("v"))
+    return found.union(rows.where("near and root <> main").select("t", "c")).distinct()
 
 
 def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
