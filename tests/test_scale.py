@@ -141,3 +141,20 @@ def test_named_files(spark):
     found = {(r["kind"], r["target"]) for r in closure.dependency_edges(files).collect()}
     assert found == {("class", "art.cls"), ("style", "one.sty"), ("include", "sec/a.tex"), ("include", "b.tex"), ("import", "sub/c.tex"), ("import", "d/e.tex"), ("graphics", "fig.pdf"), ("bibliography", "y.bib"), ("bibliography style", "plain.bst"), ("listing", "code.c"), ("include", "z.tex")}
     assert closure.dependencies(files, spark.createDataFrame([(1, "main.tex")], "doc_id bigint, path string")).count() == 12
+
+
+def test_annotated_reads_blocks_once(spark):
+    from texloom.operators import clean
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    docs = spark.createDataFrame([(1, r"\begin{document}\section{A}\label{a} x \ref{a}\end{document}")], "doc_id bigint, tex string")
+    blocks = spark.createDataFrame([(1, k, k, c, s) for k, (c, s) in enumerate([("Title", r"\section{A}"), ("Text", r"x \ref{a}")])], "doc_id bigint, block_id bigint, ann_pos bigint, category string, source_code string")
+    blocks = blocks.selectExpr("*", "0L as page_index", "0d as x0", "0d as y0", "0d as x1", "0d as y1", "cast(null as bigint) as parent_block")
+    found = clean.annotated(docs, blocks.mapInPandas(counted, blocks.schema))["orders"]
+    assert {(r["type"], r["from_id"], r["to_id"]) for r in found.collect()} == {("sub", 1, 0), ("explicit-cite", 1, 0)} and seen.value == 2

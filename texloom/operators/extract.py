@@ -80,11 +80,11 @@ def text_paragraphs(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.col("idx").cast("long").alias("idx"), F.when(T.is_text_eq(F.col("source_code")), "Text-EQ").otherwise("Text").alias("category"), "source_code")
 
 
-def mentions(docs: DataFrame) -> DataFrame:
-    """doc_id, category, idx, source_code of every category that patterns find; the documents are read once. Several abstracts are none."""
+def mentions(docs: DataFrame, categories: list[str] | None = None) -> DataFrame:
+    """doc_id, category, idx, source_code of every category that patterns find, or of some; the documents are read once. Several abstracts are none."""
     abstract = T.every("tex", T.ABSTRACT)
     lists = {c: f() for c, f in LISTS.items()} | {"Abstract": F.when(F.size(abstract) == 1, abstract).otherwise(F.array().cast("array<string>"))}
-    each = F.array(*(F.struct(F.lit(c).alias("category"), v.alias("l")) for c, v in lists.items()))
+    each = F.array(*(F.struct(F.lit(c).alias("category"), v.alias("l")) for c, v in lists.items() if categories is None or c in categories))
     rows = docs.select("doc_id", F.explode(each).alias("m")).select("doc_id", "m.category", F.posexplode("m.l").alias("idx", "source_code"))
     return rows.withColumn("idx", F.col("idx").cast("long")).select("doc_id", "category", "idx", "source_code")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import tex as T
+from ..sources.rounds import cut
 from .extract import listed
 
 #: Categories whose references cite, and how.
@@ -47,7 +48,9 @@ def title_labels(docs: DataFrame) -> DataFrame:
     """doc_id, idx, title, label: labels in a heading, and the first after it if only white space lies between."""
     # the heading's own braces may nest
     pattern = rf"(\\(?:sub)*section\*?{T.braces()}|\\chapter\*?{T.braces()})(?:\s*\\label\{{([^}}]*)\}})?"
-    pairs = F.arrays_zip(T.every("tex", pattern, 1).alias("title"), T.every("tex", pattern, 2).alias("next"))
+    # one pass over the text; the parts are read from what it found
+    part = lambda x, k: F.regexp_extract(x, pattern, k)
+    pairs = F.transform(T.every("tex", pattern), lambda x: F.struct(part(x, 1).alias("title"), part(x, 2).alias("next")))
     rows = docs.select("doc_id", F.posexplode(pairs).alias("idx", "p"))
     found = F.filter(F.concat(T.every(F.col("p.title"), T.LABEL, 1), F.array(F.col("p.next"))), lambda x: x != "")
     return rows.select("doc_id", F.col("idx").cast("long").alias("idx"), F.col("p.title").alias("title"), F.explode(found).alias("label"))
@@ -79,7 +82,7 @@ def located(mentions: DataFrame, docs: DataFrame) -> DataFrame:
     # the text before the n-th occurrence
     before = F.expr("substring_index(tex, source_code, _n)")
     there = F.length("tex") > F.length(before)
-    found = numbered.join(docs.select("doc_id", "tex"), "doc_id").where(there)
+    found = numbered.hint("shuffle_hash").join(docs.select("doc_id", "tex"), "doc_id").where(there)  # texts are not sorted
     start = F.length(before).cast("long")
     return found.select(*mentions.columns, start.alias("m_start"), (start + F.length("source_code")).alias("m_end"))
 
@@ -122,7 +125,7 @@ def block_labels(blocks: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFra
     """(doc_id, block_id, ann_pos, label of blocks that carry labels; doc_id, from_id, type, label of captions' references to their float).
 
     Headings carry the labels in them and the one that follows; equations those in them; tables, figures and algorithms those of the
-    float of their kind that holds them, and its key, which its captions refer to.
+    float of their kind that holds them, and its key, which its captions refer to. Runs a job: floats and captions read one table of holders.
     """
     own = F.explode(T.every("source_code", T.LABEL, 1)).alias("label")
     equations = blocks.where("category = 'Equation'").select("doc_id", "block_id", "ann_pos", own)
@@ -132,7 +135,7 @@ def block_labels(blocks: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFra
     headings = headings.withColumn("_first", F.min("idx").over(first)).where("idx = _first").select("doc_id", F.col("title").alias("source_code"), "label")
     titles = blocks.where("category = 'Title'").join(headings, ["doc_id", "source_code"]).select("doc_id", "block_id", "ann_pos", "label")
     inner = blocks.where(F.col("category").isin(FLOATS + IMPLICIT)).select("doc_id", "category", F.col("block_id").alias("idx"), "ann_pos", "source_code")
-    held = holders(located(inner, docs), float_spans(docs))
+    held = cut(holders(located(inner, docs), float_spans(docs)), "holders")
     bodies = held.where("category = m_category").join(blocks.select("doc_id", F.col("block_id").alias("m_idx"), "ann_pos"), ["doc_id", "m_idx"])
     floats = bodies.select("doc_id", F.col("m_idx").alias("block_id"), "ann_pos", F.explode(F.array_append("labels", F.col("float_key"))).alias("label"))
     captions = innermost(held.where(F.col("m_category").isin(IMPLICIT)))
