@@ -109,7 +109,8 @@ _ORDER = rf"\\(?:text)?color\{{({'|'.join(sorted((n for _, n, _ in CATEGORIES),
 def _marked(docs: DataFrame) -> DataFrame:
     """doc_id, tex, seq, category, mark, and lengths of all gaps and commands: a row for each colour command of a mention."""
     gaps = F.transform(F.split("tex", _ORDER, -1), F.length)
-    listed = docs.select("doc_id", "tex", gaps.alias("gaps"), T.every("tex", _ORDER, 0).alias("marks"), T.every("tex", _ORDER, 1).alias("_all"))
+    listed = docs.select("doc_id", "tex", gaps.alias("gaps"), T.every("tex", _ORDER, 0).alias("marks"))
+    listed = listed.withColumn("_all", F.transform("marks", lambda x: F.regexp_extract(x, _ORDER, 1)))
     rows = listed.select("doc_id", "tex", "gaps", F.transform("marks", F.length).alias("lengths"), F.col("_all"), F.posexplode("marks").alias("seq", "mark"))
     return rows.select("doc_id", "tex", "gaps", "lengths", "_all", F.col("seq").cast("long").alias("seq"), F.get("_all", F.col("seq")).alias("category"), "mark")
 
