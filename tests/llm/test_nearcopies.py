@@ -116,3 +116,23 @@ def test_exact_join_of_one_family_does_not_pair_all(spark):
     found = [(r["u"], r["v"]) for r in nearcopies.verified(docs, pairs).collect()]
     want = [(a, b) for a in sets for b in sets if a < b and nearcopies.similar(sets[a], sets[b])]
     assert len(want) > len(sets) and set(found) <= set(want) and groups_of(found) == groups_of(want)
+
+
+def test_mixed_buckets_take_one_more_round(spark, monkeypatch):
+    """Chains of texts, each a near copy of the next and not of a centre further on, are linked by one exact join: candidates are verified twice, however long the chains."""
+    rnd = random.Random(13)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for chain in range(3):
+        own = list(base)
+        for i in rnd.sample(range(300), 12):
+            own[i] = f"c{chain}-{i}"
+        for k in range(40):
+            own = list(own)
+            own[rnd.randrange(300)] = f"x{chain}-{k}"
+            rows.append((len(rows), " ".join(own)))
+    calls = []
+    monkeypatch.setattr(nearcopies, "verified", lambda *a, f=nearcopies.verified: calls.append(1) or f(*a))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id for r in nearcopies.keep_one(df).collect()}
+    assert len(calls) == 2 and kept == set(brute.similar_groups(rows).values())

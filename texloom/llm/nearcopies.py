@@ -12,13 +12,10 @@ Pairs of a bucket would grow with its square, so each bucket has a centre, the
 same text wherever it lies, and each text is first compared with FIRST of its
 buckets' centres. What that has linked needs no further look: only buckets that
 still hold several groups go on. One of up to SMALL different texts gives all
-its pairs of different groups. In a larger one the texts outside its largest
-group are compared with CENTRES texts of that group, chosen by a hash of bucket
-and round, and with one of another group. That goes on for ROUNDS rounds, or
-until nothing new is found. What is in large mixed buckets then is joined
-exactly, by a prefix filter over the sets' differences from a centre
-(exact_pairs). So each pair of
-similar texts that share a bucket is linked, by itself or through others.
+its pairs of different groups. Larger ones are joined exactly, by a prefix
+filter over the sets' differences from a centre (exact_pairs). So each pair of
+similar texts that share a bucket is linked, by itself or through others, and
+the number of jobs depends on no data but the depth of the links.
 
 Texts are told apart by 64-bit hashes: among 1e10 different ones about three
 pairs are taken as equal.
@@ -46,8 +43,8 @@ from .simhash import DISTANCE, components, fingerprint_of, links as fingerprint_
 BANDS, ROWS, SHINGLE, LEAST = 20, 4, 5, 0.8
 #: Centres that a text is compared with at first.
 FIRST = 4
-#: Different texts in a bucket up to which all its pairs are compared; texts of a larger one's main group that others are compared with in a round, and rounds.
-SMALL, CENTRES, ROUNDS = 32, 4, 4
+#: Different texts in a bucket up to which all its pairs are compared.
+SMALL = 32
 #: Two sets have a similarity of LEAST or more if they have APART times as many members as their symmetric difference.
 APART = round((1 + LEAST) / (1 - LEAST))
 _MULTIPLY, _ADD = np.random.default_rng(42).integers(0, 1 << 63, (2, BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -103,7 +100,7 @@ _NODE = "struct(sig, n) as t"
 
 def fingerprint_candidates(distinct: DataFrame) -> DataFrame:
     """u, v (structs of sig and n): texts of equal fingerprints with the first of them, and the first ones of fingerprints that SimHash links."""
-    firsts = written(distinct.groupBy("fp").agg(F.min(F.struct("sig", "n")).alias("first")), "nearcopies-fingerprints", compact=True)
+    firsts = written(distinct.groupBy("fp").agg(F.min(F.struct("sig", "n")).alias("first")), "nearcopies-fingerprints")
     same = distinct.join(firsts, "fp").where("sig <> first.sig").selectExpr("first as u", "struct(sig, n) as v")
     found = fingerprint_links(firsts.select("fp"), DISTANCE)
     for end in ("u", "v"):
@@ -142,25 +139,11 @@ def _pairs(members: DataFrame) -> DataFrame:
     return whole.select("ts", F.explode("ts").alias("u")).select("u", F.explode("ts").alias("v")).where("u.t.sig < v.t.sig and u.root <> v.root").selectExpr("u.t as u", "v.t as v")
 
 
-def _to_other_centres(members: DataFrame, number: int) -> DataFrame:
-    """u, v: the members outside their bucket's largest group, each with CENTRES texts of that group and with one of another."""
-    by = ["band", "value"]
-    place = lambda k: F.xxhash64("t.sig", *by, F.lit(number * CENTRES + k))
-    groups = members.groupBy(*by, "root").agg(F.count("*").alias("size"), F.min(place(0)).alias("place"), F.array(*(F.min_by("t", place(k)) for k in range(CENTRES))).alias("texts"))
-    groups = written(groups, "nearcopies-bucket-groups", compact=True)
-    main = groups.groupBy(*by).agg(F.max_by(F.struct("root", "texts"), F.struct("size", "root")).alias("main"))
-    outside = groups.join(main.select(*by, F.col("main.root").alias("_root")), by).where("root <> _root")
-    other = outside.groupBy(*by).agg(F.min_by(F.struct("root", F.get("texts", F.lit(0)).alias("t")), F.struct("place", "root")).alias("other"))
-    found = members.join(main, by).where("root <> main.root").join(other, by)
-    with_other = F.when(F.col("other.root") != F.col("root"), F.array("other.t")).otherwise(F.array().cast("array<struct<sig:bigint,n:int>>"))
-    return found.select(F.col("t").alias("u"), F.explode(F.array_distinct(F.concat("main.texts", with_other))).alias("v"))
-
-
 def _with_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """u, v, text, other: pairs of sigs with the texts of both."""
-    needed = written(pairs.select(F.col("u").alias("sig")).union(pairs.select("v")).distinct(), "nearcopies-needed", compact=True)
+    needed = written(pairs.select(F.col("u").alias("sig")).union(pairs.select("v")).distinct(), "nearcopies-needed")
     some = docs.select(_sig().alias("sig"), "text").join(needed, "sig", "left_semi")
-    texts = written(some.groupBy("sig").agg(F.first("text").alias("text")), "nearcopies-texts", compact=True)
+    texts = written(some.groupBy("sig").agg(F.first("text").alias("text")), "nearcopies-texts")
     both = pairs.join(texts.withColumnRenamed("sig", "u"), "u").join(texts.select(F.col("sig").alias("v"), F.col("text").alias("other")), "v")
     return both.select("u", "v", "text", "other")
 
@@ -169,7 +152,7 @@ def verified(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     """u, v: the sigs of candidates whose whole sets are similar."""
     close = F.least("u.n", "v.n") >= LEAST * F.greatest("u.n", "v.n")
     pairs = candidates.where(close).select(F.least("u.sig", "v.sig").alias("u"), F.greatest("u.sig", "v.sig").alias("v")).where("u <> v").distinct()
-    pairs = written(pairs, "nearcopies-candidates", compact=True)
+    pairs = written(pairs, "nearcopies-candidates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,10 +168,12 @@ def _centred(members: DataFrame) -> DataFrame:
     by = [c for c in members.columns if c not in ("t", "root", "many")]
     groups = members.groupBy(*by, "root").agg(F.count("*").alias("size"))
     main = groups.groupBy(*by).agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("all"))
-    main = written(main, "nearcopies-main-groups", compact=True)
+    main = written(main, "nearcopies-main-groups")
     weights = members.join(main, by).groupBy("t", "root").agg(F.sum("all").alias("weight"))
     centres = weights.groupBy(F.col("root").alias("main")).agg(F.max_by("t", F.struct("weight", "t.sig")).alias("c"))
-    return written(members.join(main, by).join(centres, "main").select("t", "root", "c", "main").distinct(), "nearcopies-centred", compact=True)
+    # a bucket is one row when it meets its centre: a group may have most of the members
+    named = main.join(centres, "main").select(*by, "main", "c")
+    return written(members.join(named, by).select("t", "root", "c", "main").distinct(), "nearcopies-centred")
 
 
 def exact_pairs(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -230,32 +215,23 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """u, v: verified pairs whose closure is that of all candidates'."""
     members = band_buckets(distinct)
     found = verified(docs, _to_centres(members).union(fingerprint_candidates(distinct)))
-    number, last = 0, False
-    while not last:
-        number += 1
-        roots = written(components(found), "nearcopies-roots", compact=True)
-        mixed = mixed_buckets(members, roots)
-        if mixed.isEmpty():
-            break
-        members = mixed.where(F.col("many") > SMALL)
-        last = number > ROUNDS
-        # what small buckets give is whole; what was found before is kept as a link to its group's root
-        large = exact_pairs(docs, members) if last else _to_other_centres(members, number)
-        new = verified(docs, _pairs(mixed.where(F.col("many") <= SMALL)).union(large))
-        if not last and new.isEmpty():
-            number = ROUNDS  # centres give no more: the rest is compared exactly
-        found = roots.where("node <> root").selectExpr("node as u", "root as v").union(new)
-    return found
+    roots = components(found)
+    mixed = mixed_buckets(members, roots)
+    if mixed.isEmpty():
+        return found
+    new = verified(docs, _pairs(mixed.where(F.col("many") <= SMALL)).union(exact_pairs(docs, mixed.where(F.col("many") > SMALL))))
+    # what was found before is kept as a link to its group's root
+    return roots.where("node <> root").selectExpr("node as u", "root as v").union(new)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, with the least doc_id of each group that links connect. Rows without a doc_id stay."""
     rows = written(signed(docs), "nearcopies-signed")
     grouped = rows.groupBy("sig").agg(F.min("doc_id").alias("least"), F.count("*").alias("many"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    distinct = written(grouped, "nearcopies-distinct", compact=True)
-    roots = written(components(links(docs, distinct)), "nearcopies-groups", compact=True)
+    distinct = written(grouped, "nearcopies-distinct")
+    roots = components(links(docs, distinct))
     company = distinct.join(roots, F.col("sig") == F.col("node"), "left").where("many > 1 or root is not null")
-    named = written(company.select("sig", "least", F.coalesce("root", "sig").alias("root")), "nearcopies-named", compact=True)
+    named = written(company.select("sig", "least", F.coalesce("root", "sig").alias("root")), "nearcopies-named")
     least = named.groupBy("root").agg(F.min("least").alias("_least"))
     drop = rows.select("doc_id", "sig").join(named.join(least, "root").select("sig", "_least"), "sig").where("doc_id <> _least").select(F.col("doc_id").alias("_other_id")).distinct()
-    return docs.join(written(drop, "nearcopies-dropped", compact=True), F.col("doc_id") == F.col("_other_id"), "left_anti")
+    return docs.join(written(drop, "nearcopies-dropped"), F.col("doc_id") == F.col("_other_id"), "left_anti")

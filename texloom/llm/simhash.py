@@ -132,7 +132,7 @@ def _is_forest(state: DataFrame) -> bool:
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the least node of each component with a link, for every node of edges (u, v)."""
-    state = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links", compact=True)
+    state = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     while not _is_forest(state):
         # large star: each node's greater neighbours go to its least one
         both = state.select("u", "v").union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -141,7 +141,7 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: each node's lesser neighbours, and it itself, go to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        state = written(small, "stars", compact=True)
+        state = written(small, "stars")
     return state.select(F.col("u").alias("node"), F.col("v").alias("root")).union(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
