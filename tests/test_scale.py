@@ -6,7 +6,7 @@ import time
 import numpy as np
 import pytest
 
-from texloom.operators import closure, parse, quality, tree
+from texloom.operators import clean, closure, parse, quality, tree
 
 BOXES = "doc_id bigint, page_index bigint, block_id bigint, x0 double, y0 double, x1 double, y1 double"
 
@@ -158,3 +158,17 @@ def test_annotated_reads_blocks_once(spark):
     blocks = blocks.selectExpr("*", "0L as page_index", "0d as x0", "0d as y0", "0d as x1", "0d as y1", "cast(null as bigint) as parent_block")
     found = clean.annotated(docs, blocks.mapInPandas(counted, blocks.schema))["orders"]
     assert {(r["type"], r["from_id"], r["to_id"]) for r in found.collect()} == {("sub", 1, 0), ("explicit-cite", 1, 0)} and seen.value == 2
+
+
+def test_texts_of_files_that_nobody_needs_are_not_shuffled(spark):
+    """They lie uneven: the first of many partitions hold them, and a join that reads its shuffle by mapper would give all of them to one task."""
+    texts = spark.range(40).selectExpr("id % 2 as doc_id", "concat('spare', id, '.tex') as path", "array_join(transform(sequence(1, 3000), k -> sha2(cast(k * 41 + id as string), 256)), '') as tex").repartition(4).persist()
+    texts.count()
+    few = spark.createDataFrame([(0, "main.tex", "a\\input{b}% gone"), (0, "b.tex", "B"), (1, "main.tex", "no includes")], "doc_id long, path string, tex string")
+    found = texts.union(few)
+    made = clean.clean_project(found, found.where("path = 'main.tex'").select("doc_id", "path"))
+    shuffled = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+    before = shuffled()
+    assert sorted(tuple(r) for r in made.collect()) == [(0, "b.tex", "B"), (0, "main.tex", "aB"), (1, "main.tex", "no includes")]
+    assert shuffled() - before < 1 << 20
+    texts.unpersist()
