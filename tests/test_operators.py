@@ -177,6 +177,27 @@ def test_includes_of_any_depth_and_in_cycles(spark):
     assert (5, "gone.tex") not in got
 
 
+def test_large_projects_are_resolved_in_rounds_and_others_where_they_meet(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = []
+    for d in range(12):
+        for k in range(rng.randint(1, 6)):
+            commands = [rng.choice(["\\input{%s}", "\\include{%s.tex}", "\\import{sub/}{%s}", "%% \\subimport*{.}{%s}"]) % f"f{rng.randint(0, 6)}" for _ in range(rng.randint(0, 3))]
+            rows.append((d, rng.choice([f"f{k}.tex", f"f{k}.tex", f"sub/f{k}.tex"]), rng.choice([None, "", *["é\n".join(["", *commands, f"{d}.{k}"])] * 6])))
+    rows += [(3, "f0.tex", "z\\input{f1}"), (3, "f0.tex", "y\\input{f1}"), (None, "f0.tex", "no project"), (4, None, "no path")]
+    files = spark.createDataFrame(rows, "doc_id int, path string, tex string").repartition(5)
+    roots = files.select("doc_id", "path").union(files.select("doc_id", "path").limit(9))
+    jobs = []
+    rounds = includes._in_rounds
+    monkeypatch.setattr(includes, "_in_rounds", lambda *a: jobs.append("rounds") or rounds(*a))
+    got = []
+    for most in (1 << 20, 200, -1):
+        monkeypatch.setattr(includes, "LARGE", most)
+        got.append(sorted(tuple(r) for r in includes.resolved(files, roots).select("doc_id", "path", "tex").collect()))
+        assert len(jobs) == len(got) - 1
+    assert got[0] == got[1] == got[2] and len(got[0]) > 20 and (3, "f0.tex") in {r[:2] for r in got[0]} and not any(r[2].startswith("z") for r in got[0])
+
+
 def test_errors_are_rows_and_counted(spark):
     docs = spark.createDataFrame([(1, "\\caption{fine}"), (2, "a \\caption{never closed"), (3, "\\footnote{x \\title{y"), (4, None), (5, "\\begin{abstract}\\end{abstract}\\begin{abstract}\\end{abstract}")], "doc_id bigint, tex string")
     checked, seen = extract.with_errors(docs)
