@@ -68,3 +68,9 @@ def test_texts_of_any_depth_parse(text):
     root = parse.parse(text)
     assert max(r[3] for r in parse.rows_of(root, text)) >= 1499
     assert "".join(s[3] for s in parse.segments_of(text, root.body)) == text
+
+
+def test_texts_hold_no_lists_of_their_own():
+    """Most nodes are texts: they share what they have instead of arguments and a body."""
+    leaves = [n for n in parse.parse("\\textbf{a} b \\$ c\n[d]").body if n.kind == "text"]
+    assert len(leaves) == 6 and all(n.args is leaves[0].body and n.body is leaves[0].body for n in leaves)
