@@ -65,3 +65,21 @@ def test_steps_of_edits_do_not_carry_the_documents_texts(spark):
         want = {k: v.replace(f"\\label{{{name}}}", "<m>") for k, v in want.items()}
     assert {r["doc_id"]: r["tex"] for r in made.where("doc_id < 3").collect()} == want
     assert seen == [0, 5]
+
+
+def test_nodes_parsed_with_their_sources_do_not_read_the_documents_again(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    docs = spark.createDataFrame([*_docs(spark).collect(), (5, "é\\caption[s]{\U0001d54f{y}} \\caption{z}")], "doc_id bigint, tex string")
+    once = docs.mapInArrow(counted, docs.schema)
+    nodes = cut(parse.parse_nodes(once, names=["caption"], parts=("arg",), sources=("arg",)))
+    assert nodes.columns[-3:] == ["char_end", "source", "error"] and read.value == docs.count()
+    plain = parse.parse_nodes(docs, names=["caption"], parts=("arg",))
+    assert _rows(tree.arguments(nodes, once)) == _rows(tree.arguments(plain, docs)) and read.value == docs.count()
+    assert {r["source"] for r in nodes.where("slot = 'arg' or source is not null").collect()} == {"[s]", "{c {\\label{y}}}", "{\U0001d54f{y}}", "{z}"}
+    assert _rows(tree.source(nodes.where("slot = 'arg'"), once)) == _rows(tree.source(plain.where("slot = 'arg'"), docs))

@@ -76,7 +76,9 @@ def search(nodes: DataFrame, pattern: str) -> DataFrame:
 
 
 def source(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """nodes with source, the text that each spans. A document's text meets all its nodes in one row, so it isn't copied to each of them; nodes are read once."""
+    """nodes with source, the text that each spans. A document's text meets all its nodes in one row, so it isn't copied to each of them; nodes are read once. Nodes that were parsed with their sources keep those, and docs is not read."""
+    if "source" in nodes.columns:
+        return nodes.select(*(c for c in nodes.columns if c != "source"), "source")
     own = [c for c in nodes.columns if c != "doc_id"]
     spans = nodes.where("pre is not null").groupBy("doc_id").agg(F.collect_list(F.struct(*own)).alias("_s"))
     cut_ = F.transform("_s", lambda x: F.struct(x.alias("n"), F.substring(F.col("tex"), x["char_pos"] + 1, x["char_end"] - x["char_pos"]).alias("source")))
